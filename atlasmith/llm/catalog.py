@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from atlasmith.llm import line_dedup, simhash
+from atlasmith.llm import line_dedup, mixing, packing, simhash, toxicity
 
 QUERIES = {
+    "op5_toxicity": toxicity.op5_toxicity,
     "op7_simhash": simhash.op7_simhash,
+    "op8_mixing": mixing.op8_mixing,
+    "op9_packing": packing.op9_packing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 ORACLES = {
+    "op8_mixing": mixing.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
