@@ -30,7 +30,10 @@ END = 2
 SHARD_TOKENS = 1 << 19
 K1, B = 1.2, 0.75
 CACHE_WORDS, CACHE_BYTES = 600_000, 64
-_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: A word that no text has: its end.
+_STOP = b"\n"
+_MARKS = b".,;:!?"
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -55,8 +58,7 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
+        self.known = {_STOP: np.array([END], self.kind).tobytes()}
 
     def _each(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
@@ -74,38 +76,52 @@ class Encoder:
         return out
 
     def _learn(self, words: set[bytes]) -> None:
-        halves = {}
+        """Marks after a letter or digit are a pre-token of their own, so that the word before them is encoded once."""
+        known, whole, halves = self.known, set(), []
         for w in words:
-            core = w.rstrip(b".,;:!?")
-            core = core if core and core[-1:].isalnum() else w
-            halves[w] = (core.lower() if core.isascii() else core, w[len(core) :])
-        new = {x for half in halves.values() for x in half if x and x not in self.cores}
-        letters = [x for x in new if _LETTERS.fullmatch(x.decode())]
-        others = list(new.difference(letters))
-        self.cores.update(zip([*letters, *others], [*self._letters(letters), *self._each(others)], strict=True))
-        cores = self.cores
-        self.known.update((w, cores[a] + cores[b] if b else cores[a]) for w, (a, b) in halves.items())
+            core = w.rstrip(_MARKS)
+            if len(core) == len(w) or not core[-1:].isalnum():
+                whole.add(w)
+            else:
+                halves.append((w, core, w[len(core) :]))
+        whole.update(x for _, *half in halves for x in half if x not in known)
+        letters = [x for x in whole if x.isalpha() or _LETTERS.fullmatch(x.decode())]
+        others = list(whole.difference(letters))
+        known.update(zip(letters, self._letters(letters), strict=True))
+        known.update(zip(others, self._each(others), strict=True))
+        known.update([(w, known[core] + known[marks]) for w, core, marks in halves])
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(x or "").encode().split() for x in texts]
+        known, split = self.known, []
+        for text in texts:
+            data = (text or "").encode()
+            # The tokenizer lower-cases too; only its special tokens are told from capitals.
+            split.append((data if b"<|" in data else data.lower()).split())
+            split[-1].append(_STOP)
         words = [w for x in split for w in x]
-        parts = list(map(self.known.get, words))
-        gone: set[bytes] = set()
-        if new := {w for w, p in zip(words, parts, strict=True) if p is None}:
+        if new := set(words).difference(known):
             self._learn(new)
-            parts = list(map(self.known.__getitem__, words))
-            gone = {w for w in new if len(w) > CACHE_BYTES}
-        end, out, at = np.array([END], self.kind).tobytes(), [], 0
+        parts, out, at = list(map(known.__getitem__, words)), [], 0
         for x in split:
-            out.append(np.frombuffer(b"".join((*parts[at : at + len(x)], end)), self.kind))
+            out.append(np.frombuffer(b"".join(parts[at : at + len(x)]), self.kind))
             at += len(x)
-        for w in gone:
-            self.known.pop(w), self.cores.pop(w, None)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear(), self.cores.clear()
+        for w in [w for w in new if len(w) > CACHE_BYTES]:
+            known.pop(w, None), known.pop(w.rstrip(_MARKS), None)
+        if len(known) > CACHE_WORDS:
+            self.known = {_STOP: known[_STOP]}
         return out
 
 
+def worker_encoder(path: str) -> Encoder:
+    """One encoder for each Python worker: its words stay known from task to task."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -114,7 +130,7 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, doc_tokens, crcs of whole windows, tail: ids after them as little-endian bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
