@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from atlasmith.llm import line_dedup, mixing, packing, simhash, toxicity
+from atlasmith.llm import line_dedup, mixing, packing, simhash, substring, topk, toxicity
 
 QUERIES = {
+    "op2_topk": topk.op2_topk,
+    "op4_substring_dedup": substring.op4_substring_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_simhash": simhash.op7_simhash,
     "op8_mixing": mixing.op8_mixing,
@@ -12,6 +14,8 @@ QUERIES = {
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 ORACLES = {
+    "op2_topk": topk.ORACLE,
+    "op4_substring_dedup": substring.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }

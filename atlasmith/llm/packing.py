@@ -29,7 +29,7 @@ WINDOW = 4096
 END = 2
 SHARD_TOKENS = 1 << 19
 K1, B = 1.2, 0.75
-CACHE_WORDS, CACHE_BYTES = 600_000, 64
+CACHE_WORDS, CACHE_BYTES = 1_200_000, 64
 #: A word that no text has: its end.
 _STOP = b"\n"
 _MARKS = b".,;:!?"
