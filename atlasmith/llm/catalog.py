@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from atlasmith.llm import line_dedup, mixing, packing, simhash, substring, topk, toxicity
+from atlasmith.llm import licenses, line_dedup, media, mixing, packing, simhash, substring, token_counts, topk, toxicity
 
 QUERIES = {
+    "op1_media": media.op1_media,
     "op2_topk": topk.op2_topk,
+    "op3_license_scan": licenses.op3_license_scan,
     "op4_substring_dedup": substring.op4_substring_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op7_simhash": simhash.op7_simhash,
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
