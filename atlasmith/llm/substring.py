@@ -8,19 +8,21 @@ once for about 22 words:
 
 1. prefixes are counted (one row per document and prefix); those of a single document head a subtree
    without repeats and go, and most of the corpus with them;
-2. the suffixes below the other prefixes are grouped by prefix and by their first WINDOW words. Such
-   a group is a node at depth WINDOW; one with leaves in several documents is a deep internal node.
-   Nodes are found by aggregation with partial sums, so a passage that a third of all documents
-   share is one row per task, and no subtree has to fit in memory;
+2. neighbouring suffixes of one prefix are a run. Equal runs are taken together first: only the
+   earliest document's run stays in the subtree, every suffix of the others has an earlier leaf.
+   The runs that stay, below prefixes with several of them, are split into suffixes, and these grouped
+   by prefix and by their first WINDOW words. Such a group is a node at depth WINDOW; one with leaves in several
+   documents is a deep internal node. Both groupings are aggregations with partial sums, so a passage that a
+   third of all documents share is one row per task, and no subtree has to fit in memory;
 3. leaves of deep nodes in later documents are collected per document, their spans united (runs of
    neighbouring leaves are maximal repeats) and cut from the text.
 
-Words, eight-word groups and windows are hashed to 64 bits with mixed polynomials; a node's key is
+Texts are shuffled compressed. Words, eight-word groups and windows are hashed to 64 bits with mixed polynomials; a node's key is
 its prefix and its window, 128 bits.
 
 Defined cases. A null or wordless text has no words. Fewer words than a window lose nothing. Rows
 with a null doc_id are kept whole and are no one's earlier document. Rows that repeat a doc_id are
-one document: none is earlier than the other. Other columns of docs pass through dedup().
+one document: none is earlier than the other, and what any of them loses counts for all, by position. Columns of docs but for the text pass through dedup().
 """
 
 from __future__ import annotations
@@ -30,9 +32,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from atlasmith.llm import _shared as S
 
@@ -82,8 +87,8 @@ class Suffixes:
     def __init__(self) -> None:
         self.letters, self.words = Powers(BASES[0]), Powers(BASES[1])
 
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        data = np.frombuffer(text, np.uint8)
         starts, stops = word_spans(data)
         n = len(starts)
         if n < WINDOW:
@@ -95,12 +100,25 @@ class Suffixes:
         return sliding_window_view(group, WINDOW - GROUP + 1).min(axis=1), sums(word, self.words, at, at + WINDOW)
 
 
+def _packed(texts: pd.Series) -> pd.Series:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return texts.map(lambda x: None if x is None else pack(x.encode("utf-8", "surrogatepass")))
+
+
+def packed(text: str) -> Column:
+    return F.pandas_udf(_packed, T.BinaryType())(F.col(text))
+
+
+def unpacked(data: bytes | None) -> bytes:
+    return b"" if data is None else zstandard.ZstdDecompressor().decompress(data)
+
+
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     suffixes = Suffixes()
     for batch in batches:
         ids, found = batch.column("doc_id").to_pylist(), []
         for x in batch.column("text"):
-            s = suffixes.of(x.as_py())
+            s = suffixes.of(x.as_py().encode("utf-8", "surrogatepass"))
             found.append(np.empty(0, np.uint64) if s is None else np.unique(s[0]))
         sizes = [len(x) for x in found]
         prefix = np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64)
@@ -112,18 +130,21 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     suffixes = Suffixes()
     for batch in batches:
         rows: list[tuple] = []
-        for doc_id, text, shared in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("shared").to_pylist(), strict=True):
-            prefix, node = suffixes.of(text.as_py())
+        for doc_id, text, shared in zip(batch.column("doc_id").to_pylist(), batch.column("packed"), batch.column("shared").to_pylist(), strict=True):
+            found = suffixes.of(unpacked(text.as_py()))
+            if found is None:
+                continue
+            prefix, node = found
             wanted = np.isin(prefix, np.array(shared, np.int64).view(np.uint64))
             cuts = np.flatnonzero(np.concatenate(([True], prefix[1:] != prefix[:-1])))
             for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(prefix)], strict=True):
                 if wanted[s]:
-                    rows.append((doc_id, int(prefix[s : s + 1].view(np.int64)[0]), s, node[s:e].view(np.int64)))
-        columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.list_(pa.int64()))],
-            ["doc_id", "prefix", "start", "nodes"],
-        )
+                    nodes = node[s:e]
+                    run = xxhash.xxh64_intdigest(nodes.tobytes()) - (1 << 63)
+                    rows.append((doc_id, int(prefix[s : s + 1].view(np.int64)[0]), run, s, e - s, nodes.view(np.int64)))
+        columns = list(zip(*rows, strict=True)) or [[]] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "prefix", "run", "start", "size", "nodes"])
 
 
 def repeated_starts(docs: DataFrame) -> DataFrame:
@@ -132,36 +153,52 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     prefixes = S.stage_table(known.mapInArrow(_prefixes, "doc_id long, prefix long"), "prefixes")
     several = prefixes.groupBy("prefix").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("prefix")
     shared = prefixes.join(several, "prefix").groupBy("doc_id").agg(F.collect_set("prefix").alias("shared"))
-    leaves = S.stage_table(known.join(shared, "doc_id").mapInArrow(_leaves, "doc_id long, prefix long, start int, nodes array<long>"), "leaves")
-    each = leaves.select("doc_id", "prefix", "start", F.posexplode("nodes").alias("at", "node"))
+    below = known.select("doc_id", packed("text").alias("packed")).join(shared, "doc_id")
+    leaves = S.stage_table(below.mapInArrow(_leaves, "doc_id long, prefix long, run long, start int, size int, nodes array<long>"), "leaves")
+    S.drop_stage(prefixes)
+    key = ["prefix", "run"]
+    runs = leaves.groupBy(*key).agg(F.min("doc_id").alias("first"))
+    # Runs that an earlier document has as a whole.
+    whole = leaves.select(*key, "doc_id", "start", "size").join(runs, key).where("doc_id > first").select("doc_id", F.explode(F.sequence("start", F.col("start") + F.col("size") - 1)).alias("start"))
+    # The earliest document's runs, where their prefix has others.
+    mixed = runs.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix")
+    each = (
+        leaves.join(runs.join(mixed, "prefix", "left_semi"), key).where("doc_id = first")
+        .select("doc_id", "prefix", "start", F.posexplode("nodes").alias("at", "node")).select("doc_id", "prefix", (F.col("start") + F.col("at")).alias("start"), "node")
+    )
     deep = each.groupBy("prefix", "node").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = each.join(deep, ["prefix", "node"]).where("doc_id > first")
-    return later.select("doc_id", (F.col("start") + F.col("at")).alias("start")).groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    # A run of several documents may hold a node that a still earlier one has; its copies lose it as part of the run.
+    later = each.join(deep, ["prefix", "node"]).where("doc_id > first").select("doc_id", "start")
+    starts = S.stage_table(whole.unionByName(later).groupBy("doc_id").agg(F.collect_set("start").alias("starts")), "starts")
+    S.drop_stage(leaves)
+    return starts
 
 
 def _cut(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
     """Texts without the words that the windows cover, joined by one space, and counts of words."""
     out = []
     for text, at in zip(texts, starts, strict=True):
-        words = (text or "").encode("utf-8", "surrogatepass").split()
+        words = unpacked(text).split()
         n, kept = len(words), words
-        if at is not None and len(at):
+        at = np.asarray([] if at is None else at, np.int64)
+        at = at[at + WINDOW <= n]
+        if len(at):
             change = np.zeros(n + 1, np.int64)
-            np.add.at(change, np.asarray(at), 1)
-            np.add.at(change, np.asarray(at) + WINDOW, -1)
+            np.add.at(change, at, 1)
+            np.add.at(change, at + WINDOW, -1)
             kept = [words[i] for i in np.flatnonzero(np.cumsum(change[:n]) == 0).tolist()]
         out.append((n, n - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
     return pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """docs with n_words, n_removed and kept, the text of the words that stay, in place of any such columns."""
+    """docs with n_words, n_removed and kept, the text of the words that stay, in place of text and any such columns."""
     starts = repeated_starts(docs).select(F.col("doc_id").alias("_id"), "starts")
     cut = F.pandas_udf(_cut, "n_words long, n_removed long, kept string")
-    wrapped = docs.select(F.struct("*").alias("doc"))
-    new = ("n_words", "n_removed", "kept")
-    found = wrapped.join(starts, F.col("doc.doc_id") == F.col("_id"), "left").select("doc", cut(F.col("doc.text"), "starts").alias("cut"))
-    return found.select(*(F.col("doc")[c].alias(c) for c in docs.columns if c not in new), "cut.*")
+    others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept")]
+    wrapped = docs.select(F.struct(*others).alias("doc"), packed("text").alias("_text"))
+    found = wrapped.join(starts, F.col("doc.doc_id") == F.col("_id"), "left").select("doc", cut(F.col("_text"), "starts").alias("cut"))
+    return found.select(*(F.col("doc")[c].alias(c) for c in others), "cut.*")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
