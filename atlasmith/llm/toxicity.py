@@ -174,6 +174,7 @@ def _fit(examples: pd.DataFrame, toxic_share: float, swap_penalty: float) -> Mod
     sides = [_rows([examples[c].iloc[i] for i in paired]) for c in ("plain", "other")]
     weight, power, base, base_power = np.zeros(SIZE), np.full(SIZE, 1e-8), float(np.log(toxic_share / (1 - toxic_share))), 1e-8
     random = np.random.default_rng(7)
+    batch = min(256, max(16, n // 16))  # small samples still get some hundred steps
 
     def take(rows: np.ndarray, start: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, feature and value of each entry of the rows; a row has length 1."""
@@ -187,7 +188,7 @@ def _fit(examples: pd.DataFrame, toxic_share: float, swap_penalty: float) -> Mod
 
     for _ in range(EPOCHS):
         order = random.permutation(n)
-        for rows in np.array_split(order, max(1, n // 256)):
+        for rows in np.array_split(order, max(1, n // batch)):
             row, f, v = take(rows, *whole)
             z = np.bincount(row, weight[f] * v, minlength=len(rows)) + base
             error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) * cost[rows] / len(rows)
