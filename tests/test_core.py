@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from atlasmith import catalog
+from atlasmith import catalog, steps
 from atlasmith.functions import expressions as X
 from atlasmith.functions import stats
 from atlasmith.operators import classify, locations, quality
@@ -38,8 +38,13 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(repr([plain(r[c]) for c in columns]) for r in df.collect()) == sorted(repr([plain(r[i]) for i in at]) for r in want.fetchall())
 
 
+@pytest.mark.parametrize("name", ["read_dim_csv", "materialize_months", "pr_era_logic", "failed_minimums", "join_location_default", "semi_qualified_activity", "capped_supply", "momentum_direction", "top_quartile_share", "scenario_shift", "normalize_key", "clean_text", "match_name_terms", "stage_override", "dominant_city", "country_key_dim", "repo_maturity", "quality_gate", "check_rank_order"])
+def test_step_equals_sql(spark, duck, name):
+    test_query_equals_sql(spark, duck, name)
+
+
 def test_every_query_is_registered_with_a_twin_or_not():
-    assert set(catalog.ORACLES) <= set(catalog.QUERIES) and len(catalog.QUERIES) > 90
+    assert set(catalog.ORACLES) <= set(steps.QUERIES) and len(steps.QUERIES) > 220
 
 
 @pytest.mark.parametrize(("opportunity", "confidence", "ok", "tier"), [(80, 75, True, "priority"), (75, 70, True, "priority"), (74.9, 90, True, "promising"), (90, 60, True, "promising"), (59, 90, True, "monitor"), (90, 44.9, True, "insufficient_data"), (90, 90, False, "insufficient_data"), (10, 45, True, "monitor")])
