@@ -195,3 +195,86 @@ def test_pipeline_runs_and_keeps_clean_documents(spark, tmp_path):
         docs = stage(spark, docs, SF)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert docs.where("doc_id = 5").count() <= 1
+
+
+def documents():
+    """(doc_id, text) of the smallest table, read without Spark."""
+    return duckdb.connect().sql(f"select doc_id, coalesce(text, '') from read_parquet('{SF}/documents.parquet')").fetchall()
+
+
+def test_media_query_equals_brute_force(spark):
+    got = {r["doc_id"]: r for r in catalog.QUERIES["op1_media"](spark, SF).collect()}
+    for doc_id, text in documents():
+        raw = text.encode()
+        payload = raw + b" " * (max(192, -(-len(raw) // 192) * 192) - len(raw))
+        row = got.pop(doc_id)
+        assert (row["n_bytes"], row["payload_bytes"], row["payload_sha256"], row["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
+    assert not got
+
+
+def test_simhash_query_equals_brute_force(spark):
+    import re
+
+    import xxhash
+
+    prints = {}
+    for doc_id, text in documents():
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text))
+        shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+        hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+        prints[doc_id] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    root = {i: i for i in prints}
+    for a, b in combinations(sorted(prints), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 4 and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if x == high else x for i, x in root.items()}
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in catalog.QUERIES["op7_simhash"](spark, SF).collect()}
+    assert got == {i: (f"{x:016x}", root[i]) for i, x in prints.items()}
+
+
+def test_packing_query_has_the_tokenizer_s_ids(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    pieces = {}
+    for p in catalog.QUERIES["op9_packing"](spark, SF).collect():
+        pieces.setdefault(p["doc_id"], []).append((p["start"], p["length"], p["ids_crc32"], p["doc_tokens"]))
+    for doc_id, text in documents():
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        at = 0
+        for start, length, crc, total in sorted(pieces.pop(doc_id)):
+            assert (start, crc, total) == (at, zlib.crc32(np.array(ids[at : at + length], "<u4").tobytes()), len(ids))
+            at += length
+        assert at == len(ids)
+    assert not pieces
+
+
+@pytest.mark.parametrize("text", ["İstanbul ǅ ﬁne don't stop!!! it's 3.14,15 (a.b)", "a<|endoftext|>b <|startoftext|> C", "été naïve x y\u0085z", "日本語。テスト! ...,,, ?!word?! w0rd9.", "A" * 9000 + " x" * 9000, "﻿bom ​zero abͅ"])
+def test_encoder_equals_the_tokenizer(text):
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(packing.default_tokenizer()), packing.Encoder(packing.default_tokenizer())
+    for x in (text, text.upper(), f"word. {text}\n{text}"):
+        assert encoder.batch([x])[0].tolist() == [*tokenizer.encode(x, add_special_tokens=False).ids, 2]
+
+
+def test_token_counts_query_equals_greedy_matching(spark):
+    vocabulary = set(token_counts.read_vocabulary(token_counts.default_vocabulary()))
+    longest, known = max(map(len, vocabulary)), {}
+
+    def pieces(word):
+        symbols, at, n = (*word, token_counts.END), 0, 0
+        while at < len(symbols):
+            size = next((k for k in range(min(longest, len(symbols) - at), 0, -1) if symbols[at : at + k] in vocabulary), 0)
+            if not size:
+                return 1
+            at, n = at + size, n + 1
+        return n
+
+    got = {r["doc_id"]: (r["n_words"], r["n_tokens"]) for r in catalog.QUERIES["op6_token_counts"](spark, SF).collect()}
+    for doc_id, text in documents():
+        words = text.encode().lower().split()
+        for w in set(words).difference(known):
+            known[w] = pieces(w)
+        assert got.pop(doc_id) == (len(words), sum(known[w] for w in words))
+    assert not got
