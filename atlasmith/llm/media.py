@@ -4,8 +4,8 @@ The codec is lossless sequential JPEG (SOF3, predictor 1) in an AVI container wi
 frame is intra-coded. The Huffman table gives a category s a code of 16 - s bits, so that each
 sample takes 16 bits with its s extra bits; all frames of a file are then coded and decoded as arrays.
 The reader walks the RIFF chunks, takes frames from the index (from the movi list if there is none),
-and reads each frame's markers. Frames of another process, size or table can't be read: they get no
-histogram and start a clip of their own.
+and reads each frame's markers. Frames of other writers are read too if they are baseline JPEG (see
+jpeg.py; their luminance counts). Frames that can't be read get no histogram and start a clip of their own.
 
 A shot ends where the histogram difference of neighbouring frames exceeds an adaptive threshold: the
 mean of the RADIUS differences on each side plus FACTOR of their standard deviations, and LEAST.
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atlasmith.llm import _shared as S
+from atlasmith.llm.jpeg import luminance
 
 UNIT = 192
 WIDTH, HEIGHT = 16, 12
@@ -107,10 +108,13 @@ def decode_frames(frames: list[bytes]) -> list[np.ndarray | None]:
     """8-bit samples (height, width) of JPEG files; none for what can't be read."""
     scans = [_scan(x) for x in frames]
     out: list[np.ndarray | None] = [None] * len(frames)
+    known: dict[bytes, list] = {}
     sizes: dict[tuple[int, int], list[int]] = {}
     for i, scan in enumerate(scans):
         if scan:
             sizes.setdefault(scan[:2], []).append(i)
+        else:
+            out[i] = luminance(frames[i], known)
     for (width, height), rows in sizes.items():
         words = np.frombuffer(b"".join(scans[i][2] for i in rows), ">u2").reshape(len(rows), height, width)
         d = DECODE[words]

@@ -278,3 +278,77 @@ def test_token_counts_query_equals_greedy_matching(spark):
             known[w] = pieces(w)
         assert got.pop(doc_id) == (len(words), sum(known[w] for w in words))
     assert not got
+
+
+def baseline_frame(grey, colour=False, restart=0):
+    """A baseline JPEG file of an image, all quantisers 1; with colour, two flat components of half the size."""
+    from atlasmith.llm import jpeg
+
+    step = 16 if colour else 8
+    height, width = grey.shape
+    image = np.pad(grey, ((0, -height % step), (0, -width % step)), mode="edge").astype(float) - 128
+    tables = {0: bytes([0, 0, 0, 12] + [0] * 12) + bytes(range(12)), 16: bytes([0] * 7 + [176] + [0] * 8) + bytes(r << 4 | s for r in range(16) for s in range(11))}
+    codes = {k: {s: (i, 4 if k == 0 else 8) for i, s in enumerate(t[16:])} for k, t in tables.items()}
+    segments, bits, last = [], "", 0
+
+    def value(x):
+        n = abs(x).bit_length()
+        return n, format(x if x > 0 else x + (1 << n) - 1, f"0{n}b") if n else ""
+
+    def put(kind, symbol, extra=""):
+        code, length = codes[kind][symbol]
+        return format(code, f"0{length}b") + extra
+
+    def flush():
+        data = bits + "1" * (-len(bits) % 8)
+        segments.append(int(data, 2).to_bytes(len(data) // 8, "big").replace(b"\xff", b"\xff\x00") if data else b"")
+
+    units = [(y, x) for y in range(0, image.shape[0], step) for x in range(0, image.shape[1], step)]
+    for unit, (y, x) in enumerate(units):
+        if restart and unit and unit % restart == 0:
+            flush()
+            bits, last = "", 0
+        for i in range(0, step, 8):
+            for j in range(0, step, 8):
+                block = image[y + i : y + i + 8, x + j : x + j + 8]
+                found = np.rint(jpeg.COSINES @ block @ jpeg.COSINES.T).astype(int).ravel()[jpeg.ORDER].tolist()
+                n, extra = value(found[0] - last)
+                last = found[0]
+                bits += put(0, n, extra)
+                run = 0
+                for c in found[1:]:
+                    if not c:
+                        run += 1
+                        continue
+                    while run > 15:
+                        bits += put(16, 0xF0)
+                        run -= 16
+                    n, extra = value(c)
+                    bits += put(16, run << 4 | n, extra)
+                    run = 0
+                if run:
+                    bits += put(16, 0)
+        if colour:
+            bits += (put(0, 0) + put(16, 0)) * 2
+    flush()
+    part = lambda mark, body: bytes([0xFF, mark]) + (len(body) + 2).to_bytes(2, "big") + body
+    ids = (1, 2, 3) if colour else (1,)
+    head = part(0xDB, b"\x00" + b"\x01" * 64) + part(0xC0, b"\x08" + height.to_bytes(2, "big") + width.to_bytes(2, "big") + bytes([len(ids)]) + b"".join(bytes([c, 0x22 if colour and c == 1 else 0x11, 0]) for c in ids))
+    head += part(0xC4, b"\x00" + tables[0] + b"\x10" + tables[16]) + (part(0xDD, restart.to_bytes(2, "big")) if restart else b"")
+    head += part(0xDA, bytes([len(ids)]) + b"".join(bytes([c, 0]) for c in ids) + bytes([0, 63, 0]))
+    scan = segments[0] + b"".join(bytes([0xFF, 0xD0 + k % 8]) + x for k, x in enumerate(segments[1:]))
+    return b"\xff\xd8" + head + scan + b"\xff\xd9"
+
+
+@pytest.mark.parametrize(("colour", "restart"), [(False, 0), (True, 0), (False, 2), (True, 1)])
+def test_baseline_frames_are_decoded(colour, restart):
+    rng = np.random.default_rng(5)
+    grey = np.clip(np.add.outer(np.arange(37) * 3, np.arange(29) * 2) + rng.integers(-40, 40, (37, 29)), 0, 255).astype(np.uint8)
+    frame = baseline_frame(grey, colour, restart)
+    found = media.decode_frames([frame, frame[:200], b"", b"\xff\xd8\xff"])
+    assert np.abs(found[0].astype(int) - grey).max() <= 2 and found[1:] == [None, None, None]
+
+
+def test_shots_of_baseline_files():
+    frames = [baseline_frame(np.full((16, 16), level, np.uint8)) for level in (20, 220, 90) for _ in range(12)]
+    assert [(c.first_frame, c.n_frames) for c in media.clips_of(media.write_avi(frames, 16, 16))] == [(0, 12), (12, 12), (24, 12)]
