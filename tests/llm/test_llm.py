@@ -352,3 +352,34 @@ def test_baseline_frames_are_decoded(colour, restart):
 def test_shots_of_baseline_files():
     frames = [baseline_frame(np.full((16, 16), level, np.uint8)) for level in (20, 220, 90) for _ in range(12)]
     assert [(c.first_frame, c.n_frames) for c in media.clips_of(media.write_avi(frames, 16, 16))] == [(0, 12), (12, 12), (24, 12)]
+
+
+def test_license_query_misses_no_template(spark):
+    """Every block that is within the limit of any template, all of them tried, is confirmed, and no other."""
+    import re
+
+    mention = re.compile(licenses.MENTION)
+    scanner, want, memo = licenses.Scanner(licenses.TEMPLATES), {}, {}
+    for doc_id, text in documents():
+        lines, start = [*text.split("\n"), ""], None
+        for i, line in enumerate(lines):
+            if mention.search(line) and i < len(lines) - 1:
+                start = i if start is None else start
+            elif start is not None:
+                block, words = "\n".join(lines[start:i]), None
+                if block not in memo:
+                    words = licenses.words_of(block)
+                    memo[block] = any(sum(licenses.differences(words, t)) <= licenses.MAX_CHANGED * len(t) for t in scanner.words)
+                want[doc_id, start], start = memo[block], None
+    got = {(r["doc_id"], r["line"]): r["confirmed"] for r in catalog.QUERIES["op3_license_scan"](spark, SF).collect()}
+    assert got == want and any(want.values())
+
+
+def test_toxicity_query_on_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    scored = catalog.QUERIES["op5_toxicity"](spark, sf_dir)
+    rows = scored.where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").toPandas()
+    ranks, toxic = rows["score"].rank(), rows["toxic"] == 1
+    auc = (ranks[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
+    assert auc > 0.88 and rows["predicted"].eq(rows["score"].ge(0.3).astype(int)).all()
