@@ -383,3 +383,45 @@ def test_toxicity_query_on_held_out_documents(spark):
     ranks, toxic = rows["score"].rank(), rows["toxic"] == 1
     auc = (ranks[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
     assert auc > 0.88 and rows["predicted"].eq(rows["score"].ge(0.3).astype(int)).all()
+
+
+def test_pipeline_stages_equal_brute_force(spark):
+    """Each stage's rows against a plainer way to them, on all that the stage before it kept."""
+    from atlasmith.llm import _shared
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, _shared.stage_table(stage(spark, docs, SF), "test")
+        kept[name] = before.toPandas(), docs.toPandas()
+
+    before, after = kept["toxicity"]
+    model = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    assert sorted(after["doc_id"]) == sorted(before["doc_id"][model.scores(list(before["text"])) < toxicity.THRESHOLD])
+
+    documents, after = kept["line dedup"]
+    sha = lambda x: hashlib.sha256((x or "").encode()).hexdigest()
+    con = duckdb.connect()
+    con.register("documents", documents)
+    want = con.sql(f"select doc_id, kept_sha256 from ({line_dedup.ORACLE})").fetchall()
+    assert sorted(zip(after["doc_id"], after["text"].map(sha), strict=True)) == sorted(want)
+
+    before, after = kept["near duplicates"]
+    prints = {int(i): simhash.fingerprint(t) for i, t in zip(before["doc_id"], before["text"], strict=True)}
+    root = {i: i for i in prints}
+    for a, b in combinations(sorted(prints), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 4 and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if x == high else x for i, x in root.items()}
+    assert sorted(after["doc_id"]) == sorted(set(root.values())) and len(after) < len(before)
+
+    before, after = kept["mixing"]
+    con = duckdb.connect()
+    con.register("documents", before)
+    want = con.sql(f"select doc_id from ({mixing.oracle('documents', mixing.ONCE)})").fetchall()
+    assert sorted(after["doc_id"]) == sorted(i for (i,) in want)
+
+    before, pieces = kept["packing"]
+    assert set(pieces["doc_id"]) == set(before["doc_id"])
+    totals = pieces.groupby("doc_id").agg(n=("length", "sum"), total=("doc_tokens", "first"))
+    assert (totals["n"] == totals["total"]).all()
