@@ -21,7 +21,7 @@ fingerprint, else null. Rows that repeat a doc_id are one document. An empty tab
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -198,12 +198,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return prints.join(groups, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = near_groups) -> DataFrame:
     """docs with one document of each near-duplicate group: the smallest doc_id, once.
 
-    Rows without a doc_id stay: they can't be told apart by it.
+    groups gives each row's doc_id and component_id. Rows without a doc_id stay: they can't be told apart by it.
     """
-    lost = near_groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("lost_id")).distinct()
+    lost = groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("lost_id")).distinct()
     kept = docs.join(lost, docs["doc_id"] == lost["lost_id"], "left_anti")
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
 

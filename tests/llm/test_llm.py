@@ -425,3 +425,42 @@ def test_pipeline_stages_equal_brute_force(spark):
     assert set(pieces["doc_id"]) == set(before["doc_id"])
     totals = pieces.groupby("doc_id").agg(n=("length", "sum"), total=("doc_tokens", "first"))
     assert (totals["n"] == totals["total"]).all()
+
+
+def test_near_duplicate_stage_equals_exact_jaccard(spark):
+    """Every pair of sf0.01 with five-word Jaccard of 0.8 or more, compared by sets of word tuples, and no other."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    own = {}
+    for r in docs.select("doc_id", "text").collect():
+        words = (r["text"] or "").encode().lower().split()
+        own[r["doc_id"]] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    root, far = {i: i for i in own}, 0
+    for a, b in combinations(sorted(own), 2):
+        low, high = sorted((len(own[a]), len(own[b])))
+        if 5 * low >= 4 * high and 9 * len(own[a] & own[b]) >= 4 * (low + high):
+            far += own[a] != own[b]
+            if root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if x == high else x for i, x in root.items()}
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").toPandas()
+    assert sorted(got["doc_id"]) == sorted(set(root.values())) and far > 5
+
+
+def test_near_copies_in_crowded_buckets(spark, monkeypatch):
+    """A chain of near copies, many equal texts and texts that share less, with buckets dealt into blocks."""
+    from atlasmith.llm import near_copies
+
+    monkeypatch.setattr(near_copies, "BUCKET_ROWS", 3)
+    base = [f"w{i}" for i in range(100)]
+    texts = {k: " ".join([f"n{k}x{i}" for i in range(k)] + base[k:]) for k in range(60)}
+    texts |= {1000 + k: " ".join([*base[:50], *(f"m{k}x{i}" for i in range(50))]) for k in range(20)}
+    texts |= {2000 + k: "the same text in many documents of this table" for k in range(20)} | {3000: None, 3001: " "}
+    own = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in ((i, (t or "").split()) for i, t in texts.items())}
+    root = {i: i for i in own}
+    for a, b in combinations(sorted(own), 2):
+        if len(own[a] & own[b]) >= 0.8 * len(own[a] | own[b]) and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if x == high else x for i, x in root.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_copies.near_groups(docs).collect()} == root
+    assert near_copies.near_groups(docs.limit(0)).count() == 0
