@@ -1,20 +1,26 @@
 """License scans by conditional compression.
 
-Candidate blocks are runs of lines that mention licensing. Each is compressed alone and with each
-template as zstandard raw dictionary; the template that shrinks it most (as a share of its size
-alone) is the likely wording. The winners, best first, are then confirmed by exact wording: words of
-block and template are aligned, and a block is confirmed as a template if at most MAX_CHANGED of the
-aligned words differ. The rank by size only orders the work; a template that is not among the
-TRIED best, but within TIE of them, is tried as well.
+Every confirmed wording is sought in the words of the whole text, so neither line breaks nor the
+length of a line decide: words of text and template are aligned, and a span is confirmed if at most
+MAX_CHANGED of the template's words differ. A template with k differences at most, cut into k + 1
+pieces, has one piece unchanged in the text; spans are aligned around each such place. Of spans that
+overlap the one with most words in common is taken, and what is left of the text is searched on.
+
+Runs of lines that mention licensing and what confirmed spans leave of them are candidate blocks too.
+Windows around their mentions, as long as the longest template, are compressed alone and with each
+template as zstandard raw dictionary; the template that shrinks one most (as a share of its size
+alone) is the likely wording. The winners, best first, are aligned as well.
 
 Defined cases. A null or empty text has no block, nor has one that mentions nothing. A null doc_id is
-carried through. Blocks are whole, however long. Ties in size go to the earlier template. Repeated
+carried through. Blocks are whole, however long. Each
+confirmed wording is a row of its own. line is where the first mention run that a row touches begins. Ties in size go to the earlier template. Repeated
 rows give repeated blocks; an empty table gives none. Other columns of docs are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -100,49 +106,122 @@ BLOCK = "doc_id long, line long, text string"
 FOUND = "license string, confirmed boolean, n_added int, n_missing int, gain double, bytes_alone int, bytes_given int"
 
 
-def candidate_blocks(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, text): runs of neighbouring lines that mention licensing, whole."""
-    mentioned = docs.where(F.col("text").rlike(MENTION)).select(F.col("doc_id").cast("long"), "text")
-    pattern = MENTION
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mention = re.compile(pattern)
-        for batch in batches:
-            rows: list[list] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                before = False
-                for i, line in enumerate(text.split("\n")):
-                    now = mention.search(line) is not None
-                    if now and before:
-                        rows[-1][2] += "\n" + line
-                    elif now:
-                        rows.append([doc_id, i, line])
-                    before = now
-            kinds = (pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["doc_id", "line", "text"])
+class Finder:
+    """All confirmed wordings of a text, and the likely ones of what else mentions licensing."""
 
-    return mentioned.mapInArrow(run, BLOCK)
+    def __init__(self, templates: dict[str, str]):
+        self.scanner, self.mention, self.known = Scanner(templates), re.compile(MENTION), {}
+        self.reach = max(map(len, self.scanner.words), default=0)
+        #: First word of a piece: (rest of the piece, template, the piece's place in it, differences allowed).
+        self.pieces: dict[str, list[tuple[list[str], int, int, int]]] = {}
+        for i, words in enumerate(self.scanner.words):
+            most = int(MAX_CHANGED * len(words))
+            cuts = [len(words) * k // (most + 1) for k in range(most + 2)]
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                if e > s:
+                    self.pieces.setdefault(words[s], []).append((words[s:e], i, s, most))
+
+    def confirmed(self, words: list[str]) -> list[tuple[int, int, int, int, int]]:
+        """(start, stop, template, added, missing) of disjoint spans of words, in order."""
+        places: dict[tuple[int, int], int] = {}
+        for at, word in enumerate(words):
+            for piece, i, offset, most in self.pieces.get(word, ()):
+                if words[at : at + len(piece)] == piece:
+                    places[i, at - offset] = most
+        found = []
+        for (i, start), most in places.items():
+            template = self.scanner.words[i]
+            # The narrowest window first: words around a wording must not be aligned with it.
+            for slack in range(most + 1):
+                low = max(0, start - slack)
+                part = words[low : max(0, start + len(template) + slack)]
+                same = [m for m in SequenceMatcher(None, part, template, autojunk=False).get_matching_blocks() if m.size]
+                added, missing = differences(part, template)
+                if same and added + missing <= MAX_CHANGED * len(template):
+                    found.append((len(template) - added - 2 * missing, low + same[0].a, low + same[-1].a + same[-1].size, i, added, missing))
+        taken: list[tuple[int, int, int, int, int]] = []
+        for _, s, e, i, added, missing in sorted(found, key=lambda x: (-x[0], x[3], x[1])):
+            if all(e <= x[0] or s >= x[1] for x in taken):
+                taken.append((s, e, i, added, missing))
+        return sorted(taken)
+
+    def likely(self, block: str) -> dict:
+        """The best row of the windows around a block's mentions."""
+        words = [m.span() for m in _WORDS.finditer(_lower(block))]
+        if len(words) <= 2 * self.reach:
+            return self.scanned(block)
+        starts, rows, after = [s for s, _ in words], [], -1
+        for m in self.mention.finditer(block):
+            if m.start() < after:
+                continue
+            at = max(0, bisect_right(starts, m.start()) - 1)
+            low, high = max(0, at - self.reach // 2), min(len(words), at + self.reach)
+            after = words[min(high, at + self.reach // 2 + 1) - 1][1]
+            rows += [self.scanned(block[words[low][0] : words[high - 1][1]]), self.scanned(block[words[at][0] : words[min(len(words), at + 12) - 1][1]])]
+        return min(rows, key=lambda r: (not r["confirmed"], r["license"] is None, -r["gain"])) if rows else self.scanned(block)
+
+    def scanned(self, block: str) -> dict:
+        if block not in self.known:
+            if len(self.known) > 10_000:
+                self.known.clear()
+            self.known[block] = self.scanner.scan(block)
+        return self.known[block]
+
+    def rows(self, text: str) -> Iterator[tuple[int, str, dict]]:
+        """(line, text, FOUND) of each candidate block that no wording covers, then of each confirmed wording."""
+        runs, lines, at = [], [], 0
+        for i, line in enumerate(text.split("\n")):
+            lines.append(at)
+            if self.mention.search(line):
+                if runs and runs[-1][1] == i - 1:
+                    runs[-1][1:] = i, at + len(line)
+                else:
+                    runs.append([i, i, at + len(line)])
+            at += len(line) + 1
+        low = _lower(text)
+        spans = [m.span() for m in _WORDS.finditer(low)]
+        wordings = [(spans[s][0], spans[e - 1][1], *rest) for s, e, *rest in self.confirmed([low[a:b] for a, b in spans])]
+        for first, _, stop in runs:
+            at, left = lines[first], []
+            for s, e, *_ in wordings:
+                if s < stop and e > at:
+                    left.append((at, s))
+                    at = max(at, e)
+            whole = not left
+            for s, e in [*left, (at, stop)]:
+                if whole or (s < e and self.mention.search(text, s, e)):
+                    row = self.likely(text[s:e])
+                    if whole or row["license"]:
+                        yield first, text[s:e], row
+        for s, e, i, added, missing in wordings:
+            line = next((first for first, _, stop in runs if lines[first] < e and stop > s), bisect_right(lines, s) - 1)
+            data = text[s:e].lower().encode("utf-8", "surrogatepass")
+            alone, given = len(self.scanner.plain.compress(data)), len(self.scanner.primed[i].compress(data))
+            yield line, text[s:e], {"license": self.scanner.names[i], "confirmed": True, "n_added": added, "n_missing": missing, "gain": round((alone - given) / alone, 4), "bytes_alone": alone, "bytes_given": given}
+
+
+def _lower(text: str) -> str:
+    """Lower case of the same length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """A row per candidate block: BLOCK and FOUND. license is null where no template shrinks the block."""
+    """A row per confirmed wording and per other candidate block: BLOCK and FOUND. license is null where no template shrinks the block."""
     wordings = dict(templates or TEMPLATES)
+    mentioned = docs.where(F.col("text").rlike(MENTION)).select(F.col("doc_id").cast("long"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, known = Scanner(wordings), {}
-        kinds = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "double": pa.float64()}
+        finder = Finder(wordings)
+        kinds = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+        fields = [x.split() for x in f"{BLOCK}, {FOUND}".split(", ")]
         for batch in batches:
             rows = []
-            for x in batch.column("text").to_pylist():
-                if x not in known:
-                    if len(known) > 10_000:
-                        known.clear()
-                    known[x] = scanner.scan(x)
-                rows.append(known[x])
-            columns = [pa.array([r[n] for r in rows], kinds[t]) for n, t in (c.split() for c in FOUND.split(", "))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [c.split()[0] for c in f"{BLOCK}, {FOUND}".split(", ")])
-
-    return candidate_blocks(docs).mapInArrow(run, f"{BLOCK}, {FOUND}")
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                rows += [{"doc_id": doc_id, "line": line, "text": part} | row for line, part, row in finder.rows(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], kinds[t]) for n, t in fields], [n for n, _ in fields])
+
+    return mentioned.mapInArrow(run, f"{BLOCK}, {FOUND}")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -464,3 +464,15 @@ def test_near_copies_in_crowded_buckets(spark, monkeypatch):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r["doc_id"]: r["component_id"] for r in near_copies.near_groups(docs).collect()} == root
     assert near_copies.near_groups(docs.limit(0)).count() == 0
+
+
+def test_wrapped_and_embedded_license_notices_are_confirmed(spark):
+    """Neither hard wrapping nor the length of a line hides a wording."""
+    import textwrap
+
+    names = [n for n, t in licenses.TEMPLATES.items() if n != "CC0-1.0"]  # its wording has no MENTION word, so alone it is no block by definition
+    prose = "nothing of interest is said in this sentence about rivers and hills " * 50
+    rows = [(i, f"Title\n{textwrap.fill(licenses.TEMPLATES[n], 72)}\nEnd") for i, n in enumerate(names)]
+    rows += [(100 + i, f"{prose}{licenses.TEMPLATES[n]} {prose}") for i, n in enumerate(names)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed").collect()
+    assert sorted((r["doc_id"], r["license"]) for r in got) == sorted((i + k, n) for i, n in enumerate(names) for k in (0, 100))
