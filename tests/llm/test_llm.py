@@ -476,3 +476,11 @@ def test_wrapped_and_embedded_license_notices_are_confirmed(spark):
     rows += [(100 + i, f"{prose}{licenses.TEMPLATES[n]} {prose}") for i, n in enumerate(names)]
     got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed").collect()
     assert sorted((r["doc_id"], r["license"]) for r in got) == sorted((i + k, n) for i, n in enumerate(names) for k in (0, 100))
+
+
+def test_all_licenses_of_a_block_are_reported(spark):
+    """Two and three licences on neighbouring lines or in one line."""
+    three = [licenses.TEMPLATES[n] for n in ("Apache-2.0", "MIT", "GPL-2.0")]
+    docs = spark.createDataFrame([(1, "\n".join(three[:2])), (2, "\n".join(three)), (3, " ".join(three))], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["license"]) for r in licenses.scan(docs).where("confirmed").collect())
+    assert got == [(1, "Apache-2.0"), (1, "MIT"), *((i, n) for i in (2, 3) for n in ("Apache-2.0", "GPL-2.0", "MIT"))]
