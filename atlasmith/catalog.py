@@ -227,7 +227,7 @@ add("check_score_bounds", lambda s: quality.check_score_bounds(s.repo_scores, C.
 add("check_rankings", lambda s: quality.check_rankings(s.rankings, A.SAMPLES).unionByName(quality.check_rank_order(s.rankings)).unionByName(quality.check_evidence_present(s.classified)).unionByName(quality.check_event_ids(table(s, "events"), "event_id")).select("check_name", "failing_rows", "status"))
 add("check_schema_contract", lambda s: quality.check_schema_contract(s.rankings, {"geo_level": {"values": ["country", "city"]}, "opportunity_score": {"type": "double", "min": 0, "max": 100, "nullable": False}, "rank": {"min": 1}}).select("check_name", "failing_rows", "status"))
 _privacy_sql = " UNION ALL ".join(f"SELECT file, {Q.quoted(n)} AS pattern, trim(line, ' ' || chr(9) || chr(11) || chr(12)) AS t FROM lines WHERE regexp_matches(line, {Q.quoted(p)})" for n, p in C.PRIVACY if "(?!" not in p)
-add("privacy_scan", lambda s: quality.privacy_scan(A.text_lines(s.spark, s.sf_dir)).where("pattern <> 'github profile URL'").groupBy("file", "pattern").agg(F.count("*").alias("n"), F.min("excerpt").alias("excerpt")),
+add("privacy_scan", lambda s: quality.privacy_scan(A.text_lines(s.spark, s.sf_dir)).groupBy("file", "pattern").agg(F.count("*").alias("n"), F.min("excerpt").alias("excerpt")),
     f"WITH lines AS (SELECT file, unnest(regexp_split_to_array(text, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e]')) AS line FROM text_lines) SELECT file, pattern, count(*) AS n, min(CASE WHEN length(t) <= 120 THEN t ELSE t[1:120] || '…' END) AS excerpt FROM ({_privacy_sql}) GROUP BY 1, 2")
 add("precision_metrics", lambda s: quality.precision_metrics(table(s, "documents").select("doc_id", (F.col("n_chars") > 500).alias("predicted")), table(s, "labels").select("doc_id", (F.col("quality") == 1).alias("label")), "doc_id"),
     "SELECT count(*) AS reviewed, avg(CASE WHEN quality = 1 THEN 1.0 ELSE 0.0 END) AS precision, avg(CASE WHEN quality = 1 THEN 0.0 ELSE 1.0 END) AS false_inclusion_rate FROM documents JOIN labels USING (doc_id) WHERE n_chars > 500", "precision false_inclusion_rate")

@@ -95,3 +95,11 @@ def test_months_are_written_once(spark, tmp_path):
     assert T.materialize_months(grid, str(tmp_path / "g")).count() == 2
     assert [r["month"] for r in T.materialize_months(grid.unionByName(spark.createDataFrame([(202607, "r")], "month int, repo string")), str(tmp_path / "g")).collect()] == [202607]
     assert spark.read.parquet(str(tmp_path / "g")).count() == 3
+
+
+def test_privacy_query_reports_profile_urls(spark, tmp_path):
+    texts = [(1, "see https://github.com/octocat\nand https://github.com/octo/repo"), (2, "http://www.github.com/some-one/ wrote"), (3, "nothing")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "<a href='https://github.com/octocat'>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = catalog.QUERIES["privacy_scan"](spark, str(tmp_path)).where("pattern = 'github profile URL'")
+    assert sorted((r["file"], r["n"]) for r in got.collect()) == [("documents/1", 1), ("documents/2", 1), ("pages/7", 1)]
