@@ -1,22 +1,33 @@
 """Packing: fill training sequences with lexical neighbours from a sharded BM25 index.
 
-Texts are turned into token ids once and staged. Whole windows of long documents are sequences of
-their own; what is left of each document (less than a window) is dealt into shards of about
-SHARD_TOKENS tokens. A shard's task builds an inverted index of its documents with corpus-wide
-document frequencies, takes the longest unused document as seed, and fills the seed's window with
-unused neighbours by descending BM25 score: those that fit whole first, then the best one, cut at the
-window's end; the rest of a cut document seeds the next window. So every window is full, and a
-shard's last, partial window is cut into lengths that are powers of two: no padding at all.
+Texts are turned into token ids once and staged (word_pieces.py). Whole windows of long documents are
+sequences of their own; what is left of each document (less than a window), its tail, is dealt into
+shards of about SHARD_TOKENS tokens by what it says, so that neighbours meet:
+
+* a map of the tokens is fitted on a bounded sample (FIT_DOCS documents, lowest by hash): weighted token
+  vectors are halved again and again at the median of their main direction, CELL_BITS times;
+* each tail has the cell of the map that it falls into and, within it, the least hash of its tokens;
+  this code has CODE_BITS bits. Neighbouring codes fill a shard together; a code with more tokens than
+  a shard is dealt into several by hash.
+
+A shard's task builds an inverted index of its tails with document frequencies of all whole
+documents, takes the longest unused tail as seed, and fills the seed's window with unused neighbours
+by descending BM25 score: those that fit whole first, then the best one, cut at the window's end; the
+rest of a cut tail seeds the next window. So every window is full, and a shard's last, partial window
+is cut into lengths that are powers of two: no padding at all. With shard_tokens of the whole corpus
+there is one shard, and neighbours are exact; README gives the share that smaller shards hold.
 
 Defined cases. A null text is empty: one end token. A null doc_id is carried through. Repeated rows
-are packed once each. An empty table gives no pieces. Other columns of docs are not read.
+are packed once each. An empty table gives no pieces. Other columns of docs are not read. The result
+does not depend on how files split the rows, but for rows that repeat both doc_id and text.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +35,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasmith.llm import _shared as S
+from atlasmith.llm.word_pieces import Encoder
 
 WINDOW = 4096
-END = 2
 SHARD_TOKENS = 1 << 19
 K1, B = 1.2, 0.75
-CACHE_WORDS, CACHE_BYTES = 1_200_000, 64
-#: A word that no text has: its end.
-_STOP = b"\n"
-_MARKS = b".,;:!?"
-_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+FIT_DOCS, DIMENSIONS, CELL_BITS, CODE_BITS = 2048, 256, 8, 16
+SLICE_BYTES = 8 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -43,131 +51,157 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
-    """Token ids of whole texts; white space separates words, so each distinct word is encoded once.
+def crc(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
 
-    That holds for tokenizers that drop white space and put trailing marks into tokens of their own
-    (as word_bpe_49k.json does), not for others. New words of letters alone are one pre-token each;
-    they are encoded many at a time and told apart by the tokens that end a word.
-    """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        size = self.tokenizer.get_vocab_size()
-        self.kind = "<u2" if size <= 1 << 16 else "<u4"
-        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known = {_STOP: np.array([END], self.kind).tobytes()}
-
-    def _each(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
-
-    def _letters(self, words: list[bytes]) -> list[bytes]:
-        """The same for words of letters alone."""
-        out: list[bytes] = []
-        for i in range(0, len(words), 1000):
-            some = words[i : i + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, self.kind)
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()
-            data = ids.tobytes()
-            out += [data[s:e] for s, e in zip([0, *stops], stops, strict=False)] if len(stops) == len(some) else self._each(some)
-        return out
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Marks after a letter or digit are a pre-token of their own, so that the word before them is encoded once."""
-        known, whole, halves = self.known, set(), []
-        for w in words:
-            core = w.rstrip(_MARKS)
-            if len(core) == len(w) or not core[-1:].isalnum():
-                whole.add(w)
-            else:
-                halves.append((w, core, w[len(core) :]))
-        whole.update(x for _, *half in halves for x in half if x not in known)
-        letters = [x for x in whole if x.isalpha() or _LETTERS.fullmatch(x.decode())]
-        others = list(whole.difference(letters))
-        known.update(zip(letters, self._letters(letters), strict=True))
-        known.update(zip(others, self._each(others), strict=True))
-        known.update([(w, known[core] + known[marks]) for w, core, marks in halves])
-
-    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        known, split = self.known, []
-        for text in texts:
-            data = (text or "").encode()
-            # The tokenizer lower-cases too; only its special tokens are told from capitals.
-            split.append((data if b"<|" in data else data.lower()).split())
-            split[-1].append(_STOP)
-        words = [w for x in split for w in x]
-        if new := set(words).difference(known):
-            self._learn(new)
-        parts, out, at = list(map(known.__getitem__, words)), [], 0
-        for x in split:
-            out.append(np.frombuffer(b"".join(parts[at : at + len(x)]), self.kind))
-            at += len(x)
-        for w in [w for w in new if len(w) > CACHE_BYTES]:
-            known.pop(w, None), known.pop(w.rstrip(_MARKS), None)
-        if len(known) > CACHE_WORDS:
-            self.known = {_STOP: known[_STOP]}
-        return out
-
-
-def worker_encoder(path: str) -> Encoder:
-    """One encoder for each Python worker: its words stay known from task to task."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about SLICE_BYTES of text, a row at least."""
+    before = np.concatenate(([0], np.cumsum(np.array([len(x.as_py() or "") for x in batch.column("text")]))))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(before, before[at] + SLICE_BYTES, "right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
 
 
-def crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+def _tail(ids: np.ndarray) -> np.ndarray:
+    return ids[len(ids) // WINDOW * WINDOW :]
+
+
+@dataclass
+class Map:
+    """Cells of lexically near texts: a tree of directions and cuts, over weighted and hashed token vectors."""
+
+    weight: np.ndarray
+    directions: np.ndarray
+    cuts: np.ndarray
+
+    @staticmethod
+    def hashed(token: np.ndarray) -> np.ndarray:
+        return (token.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+
+    def vectors(self, distinct: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """One row of length 1 for each text's distinct tokens and their counts."""
+        row = np.repeat(np.arange(len(distinct)), [len(t) for t, _ in distinct])
+        token = np.concatenate([np.empty(0, np.int64), *(t for t, _ in distinct)]).astype(np.int64)
+        count = np.concatenate([np.empty(0), *(c for _, c in distinct)])
+        h = self.hashed(token)
+        place = row * DIMENSIONS + (h >> np.uint64(40)).astype(np.int64) % DIMENSIONS
+        known = self.weight[np.minimum(token, len(self.weight) - 1)]
+        value = known * count / (count + K1) * np.where(h >> np.uint64(63), 1.0, -1.0)
+        found = np.bincount(place, value, minlength=len(distinct) * DIMENSIONS).reshape(len(distinct), DIMENSIONS)
+        return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-9)
 
+    def cells(self, vectors: np.ndarray) -> np.ndarray:
+        node = np.ones(len(vectors), np.int64)
+        for _ in range(CELL_BITS):
+            node = 2 * node + (np.einsum("ij,ij->i", vectors, self.directions[node]) > self.cuts[node])
+        return node - (1 << CELL_BITS)
 
-def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, doc_tokens, crcs of whole windows, tail: ids after them as little-endian bytes)."""
+    def codes(self, distinct: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        least = np.array([int(self.hashed(t).min() >> np.uint64(64 - CODE_BITS + CELL_BITS)) if len(t) else 0 for t, _ in distinct], np.int64)
+        return (self.cells(self.vectors(distinct)) << (CODE_BITS - CELL_BITS)) + least
+
+
+def fit_map(docs: DataFrame, tokenizer: str) -> Map:
+    """The map of a sample of FIT_DOCS documents; their distinct tail tokens are all that reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(tokenizer)
+        encoder = Encoder(tokenizer)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                ids = encoder.batch(part.column("text").to_pylist())
-                whole = [len(x) // WINDOW * WINDOW for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([[crc(x[s : s + WINDOW]) for s in range(0, n, WINDOW)] for x, n in zip(ids, whole, strict=True)], pa.list_(pa.int64())),
-                        pa.array([x[n:].astype("<u4" if encoder.kind == "<u4" else "<u2").tobytes() for x, n in zip(ids, whole, strict=True)], pa.binary()),
-                        pa.array([int(encoder.kind[-1])] * part.num_rows, pa.int32()),
-                    ],
-                    ["doc_id", "doc_tokens", "crcs", "tail", "wide"],
-                )
-
-    text = docs.select(F.col("doc_id").cast("long"), S.text_or_empty().alias("text"))
-    return text.mapInArrow(run, "doc_id long, doc_tokens long, crcs array<long>, tail binary, wide int")
+            for part in slices(batch):
+                ids, starts = encoder.batch(part.column("text"))
+                found = [np.unique(_tail(ids[s:e]), return_counts=True) for s, e in zip(starts[:-1], starts[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i].tolist() for x in found], pa.list_(pa.int32())) for i in (0, 1)], ["token", "count"])
+
+    order = [F.xxhash64("doc_id", "text"), F.col("doc_id"), F.col("text")]
+    rows = docs.orderBy(*order).limit(FIT_DOCS).select("text").mapInArrow(run, "token array<int>, count array<int>").toArrow().to_pylist()
+    distinct = sorted((r["token"], r["count"]) for r in rows)
+    distinct = [(np.array(t, np.int64), np.array(c, np.float64)) for t, c in distinct]
+    seen = np.bincount(np.concatenate([np.zeros(1, np.int64), *(t for t, _ in distinct)]))
+    # A token that the sample lacks weighs as one that a single document has; they come last.
+    weight = np.append(np.log(1 + (len(distinct) + 0.5) / (seen + 0.5)), np.log(1 + (len(distinct) + 0.5) / 1.5))
+    found = Map(weight, np.zeros((1 << CELL_BITS, DIMENSIONS)), np.zeros(1 << CELL_BITS))
+    vectors, random = found.vectors(distinct), np.random.default_rng(11)
+    node = np.ones(len(vectors), np.int64)
+    for depth in range(CELL_BITS):
+        for k in range(1 << depth, 2 << depth):
+            own = vectors[node == k]
+            if len(own) < 4:
+                continue
+            own = own - own.mean(axis=0)
+            direction = random.normal(size=DIMENSIONS)
+            for _ in range(10):
+                direction = own.T @ (own @ direction)
+                direction /= max(float(np.linalg.norm(direction)), 1e-12)
+            found.directions[k], found.cuts[k] = direction, np.median(vectors[node == k] @ direction)
+        node = 2 * node + (np.einsum("ij,ij->i", vectors, found.directions[node]) > found.cuts[node])
+    return found
+
+
+def encoded(docs: DataFrame, tokenizer: str, lexical: Map) -> DataFrame:
+    """A row per document: ids and place; and a row per task: in how many of its documents each token is (df).
+
+    (doc_id, doc_tokens, crcs of whole windows, tail: ids after them as little-endian bytes of width
+    wide, code of the map, copy: which of the task's equal rows it is, df).
+    """
+    schema = "doc_id long, doc_tokens long, crcs array<long>, tail binary, wide int, code int, copy long, df binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, equal = Encoder(tokenizer), Counter()
+        df = np.zeros(encoder.tokenizer.get_vocab_size(), np.int64)
+        names = [x.split()[0] for x in schema.split(", ")]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        for batch in batches:
+            for part in slices(batch):
+                flat, starts = encoder.batch(part.column("text"))
+                ids = [flat[s:e] for s, e in zip(starts[:-1], starts[1:], strict=True)]
+                tails = [_tail(x) for x in ids]
+                distinct = [np.unique(x, return_counts=True) for x in tails]
+                for x, tail, (token, _) in zip(ids, tails, distinct, strict=True):
+                    df[token if len(tail) == len(x) else np.unique(x)] += 1
+                crcs = [[crc(x[s : s + WINDOW]) for s in range(0, len(x) - len(tail), WINDOW)] for x, tail in zip(ids, tails, strict=True)]
+                copies = []
+                for key in zip(part.column("doc_id").to_pylist(), map(crc, ids), strict=True):
+                    copies.append(equal[key])
+                    equal[key] += 1
+                columns = [part.column("doc_id"), list(map(len, ids)), crcs, [x.tobytes() for x in tails], [int(encoder.kind[-1])] * len(ids), lexical.codes(distinct), copies, [None] * len(ids)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) if not isinstance(c, pa.Array) else c for c, k in zip(columns, kinds, strict=True)], names)
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip([None] * 7 + [df.astype("<i8").tobytes()], kinds, strict=True)], names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def document_frequencies(staged: DataFrame) -> dict[int, int]:
-    """In how many tails each token is; as many entries as the vocabulary has tokens at most."""
+    """In how many documents each token is; as many entries as the vocabulary has tokens at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            for tail, wide in zip(batch.column("tail"), batch.column("wide"), strict=True):
-                ids = np.unique(np.frombuffer(tail.as_py(), f"<u{wide.as_py()}"))
-                if len(ids) and ids[-1] >= len(seen):
-                    seen = np.concatenate([seen, np.zeros(int(ids[-1]) + 1 - len(seen), np.int64)])
-                seen[ids] += 1
-        token = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(seen[token])], ["token", "n"])
-
-    counts = staged.select("tail", "wide").mapInArrow(run, "token long, n long")
+            for x in batch.column("df"):
+                one = np.frombuffer(x.as_py(), "<i8")
+                total = one + total if len(total) else one
+        token = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(total[token])], ["token", "n"])
+
+    counts = staged.where("df is not null").select("df").mapInArrow(run, "token long, n long")
     return {r["token"]: r["n"] for r in counts.groupBy("token").agg(F.sum("n").alias("n")).collect()}
 
 
+def shard_plan(tokens: np.ndarray, shard_tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, parts) for each code: its first shard, and over how many its rows are dealt."""
+    first, parts = np.zeros(len(tokens), np.int64), np.ones(len(tokens), np.int64)
+    shard, held = 0, 0
+    for code in np.flatnonzero(tokens).tolist():
+        n = int(tokens[code])
+        if held and held + n > shard_tokens:
+            shard, held = shard + 1, 0
+        first[code], parts[code] = shard, -(-n // shard_tokens)
+        shard, held = (shard, held + n) if parts[code] == 1 else (shard + parts[code], 0)
+    return first, parts
+
+
 class ShardIndex:
     """BM25 postings of one shard's documents, by token."""
 
@@ -275,18 +309,25 @@ def pack_shard(rows: pa.Table, idf: np.ndarray, mean_length: float) -> pa.Table:
 
 def pack(docs: DataFrame, tokenizer: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per piece; see PIECES."""
-    staged = S.stage_table(encoded(docs, tokenizer or default_tokenizer()), "token-ids")
-    tail_tokens = F.length("tail") / F.col("wide")
-    totals = staged.agg(F.count("*").alias("n"), F.coalesce(F.sum(tail_tokens), F.lit(0)).cast("long").alias("tokens")).first()
-    frequency = document_frequencies(staged)
+    tokenizer = tokenizer or default_tokenizer()
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), S.text_or_empty(docs["text"]).alias("text"))
+    staged = S.stage_table(encoded(texts, tokenizer, fit_map(texts, tokenizer)), "token-ids")
+    rows = staged.where("df is null")
+    # At most 2 ** CODE_BITS rows reach the driver, and go to all tasks again as a plan.
+    sizes = rows.groupBy("code").agg(F.count("*").alias("n"), F.sum(F.length("tail") / F.col("wide")).cast("long").alias("tokens")).toArrow()
+    tokens = np.zeros(1 << CODE_BITS, np.int64)
+    tokens[sizes["code"].to_numpy()] = sizes["tokens"].to_numpy()
+    first, parts = shard_plan(tokens, shard_tokens)
+    n, frequency = int(sizes["n"].to_numpy().sum()), document_frequencies(staged)
     seen = np.zeros(max(frequency, default=0) + 1)
     seen[list(frequency)] = list(frequency.values())
-    idf = np.log(1 + (totals["n"] - seen + 0.5) / (seen + 0.5)).astype(np.float32)
-    mean_length = totals["tokens"] / max(1, totals["n"])
-    shards = max(1, -(-totals["tokens"] // shard_tokens))
-    # The row's place in the stage table is part of the hash: equal rows don't meet in one shard.
-    dealt = staged.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(lambda rows: pack_shard(rows, idf, mean_length), PIECES)
+    idf = np.log(1 + (n - seen + 0.5) / (seen + 0.5)).astype(np.float32)
+    mean_length = int(tokens.sum()) / max(1, n)
+    used = np.unique(sizes["code"].to_numpy())
+    plan = docs.sparkSession.createDataFrame(pa.table({"code": pa.array(used, pa.int32()), "first": pa.array(first[used]), "parts": pa.array(parts[used])}))
+    part = F.pmod(F.xxhash64("doc_id", "doc_tokens", F.crc32("tail"), "copy"), F.col("parts"))
+    dealt = rows.join(F.broadcast(plan), "code").withColumn("shard", F.col("first") + part)
+    return dealt.select("shard", "doc_id", "doc_tokens", "crcs", "tail", "wide").groupBy("shard").applyInArrow(lambda group: pack_shard(group, idf, mean_length), PIECES)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
