@@ -14,6 +14,8 @@ SPACE = " \t\n\x0b\x0c\r"
 #: A word, for regular expressions that Java and RE2 both read.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Up to these sizes join_small sends a table to every executor; beyond, rows of a key are spread over SALTS tasks.
+SMALL_ROWS, SMALL_BYTES, SALTS = 100_000, 16 << 20, 16
 
 
 def by_value(name: str) -> None:
@@ -67,5 +69,22 @@ def drop_stage(df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def join_small(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", spread: tuple[str, ...] = ()) -> DataFrame:
+    """large joined with a table that has one row per key.
+
+    small is counted first, in rows and bytes (it should be a stage table, or it is computed twice).
+    Within SMALL_ROWS and SMALL_BYTES it goes whole to each executor. Beyond, both sides are shuffled;
+    a key that many rows hold is then spread over SALTS tasks, by a hash of the spread columns.
+    """
+    size = small.agg(F.count("*").alias("n"), F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    if size["n"] <= SMALL_ROWS and (size["bytes"] or 0) <= SMALL_BYTES:
+        return large.join(F.broadcast(small), keys, how)
+    if not spread:
+        return large.join(small, keys, how)
+    salted = large.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

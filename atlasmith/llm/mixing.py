@@ -8,7 +8,8 @@ pass the documents, in the pass's order, whose running token sum stays within th
 
 The running sum is found without sorting a leaf: documents fall into 4096 buckets of the order key,
 bucket sums are added up, and only the one bucket in which the budget ends is looked at row by row.
-All of it is DataFrame functions and integer arithmetic; the tree's tables have a row per node.
+All of it is DataFrame functions and integer arithmetic; the tree's tables have a row per node and
+are written as they are made. Tokens are counted as words, which needs no tokenizer outside the JVM.
 
 Defined cases. A null domain, language or source is the node ''. A null text has no tokens, and a
 leaf without tokens gets no whole pass; its documents come free, in the first pass. Rows that repeat
@@ -41,7 +42,7 @@ class Mix:
 
 
 PRODUCTION = Mix()
-#: For the pipeline: documents come once at most, nine tenths of all tokens.
+#: For the pipeline: documents come once at most; the mix takes nine tenths of all tokens, by weight.
 ONCE = Mix(budget=(9, 10), max_epochs=1)
 
 
@@ -55,12 +56,17 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(S.WORD)).cast("long")
 
 
+def _node(docs: DataFrame) -> list[Column]:
+    """doc_id, domain, lang and source of each row, with '' for null node names."""
+    return [
+        docs["doc_id"].cast("long").alias("doc_id"), domain_of(docs["source"]).alias("domain"),
+        F.coalesce(docs["lang"], F.lit("")).alias("lang"), F.coalesce(docs["source"], F.lit("")).alias("source"),
+    ]
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """(doc_id, domain, lang, source, tokens), with '' for null node names."""
-    return docs.select(
-        F.col("doc_id").cast("long"), domain_of(F.col("source")).alias("domain"),
-        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), word_count(F.col("text")).alias("tokens"),
-    )
+    return docs.select(*_node(docs), word_count(docs["text"]).alias("tokens"))
 
 
 def _weight(level: str, mix: Mix) -> Column:
@@ -100,7 +106,7 @@ def share_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 def leaf_budgets(sizes: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     """(domain, lang, source, tokens, granted) of each leaf."""
-    leaves = sizes.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
+    leaves = S.stage_table(sizes.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")), "mix-leaves")
     top, bottom = mix.budget
     budget = leaves.agg(F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * top / bottom).cast("long").alias("budget"))
     above: DataFrame | None = None
@@ -112,37 +118,67 @@ def leaf_budgets(sizes: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     return leaves.join(above.withColumnRenamed("budget", "granted"), list(LEVELS))
 
 
-def selected(sizes: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
-    """(doc_id, domain, lang, source, tokens, epochs): how often each document is taken, if at all."""
+def _placed(rows: DataFrame, mix: Mix) -> DataFrame:
+    """rows (doc_id, passes, ...) with their place in the next pass: order key and bucket."""
+    key = F.md5(F.encode(F.concat_ws(":", F.lit(mix.seed), F.col("passes"), F.col("doc_id")), "UTF-8"))
+    return rows.withColumn("key", F.when(F.col("doc_id").isNull(), F.lit("g")).otherwise(key)).withColumn("bucket", F.substring("key", 1, 3))
+
+
+def leaf_limits(sizes: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
+    """(domain, lang, source, passes, end, cut): whole passes, and where the next one ends.
+
+    Documents in a bucket before end are in the next pass too, and those of the bucket end up to cut;
+    without an end all are. A row per leaf, in a stage table, as are the steps before it: each is
+    computed once and the plan of each stays short.
+    """
     leaf = list(LEVELS)
-    plan = leaf_budgets(sizes, mix).select(
-        *leaf, F.expr("case when tokens > 0 then granted div tokens else 0 end").alias("passes"),
-        F.expr("case when tokens > 0 then granted % tokens else 0 end").alias("rest"),
+    plan = S.stage_table(
+        leaf_budgets(sizes, mix).select(
+            *leaf, F.expr("case when tokens > 0 then granted div tokens else 0 end").alias("passes"),
+            F.expr("case when tokens > 0 then granted % tokens else 0 end").alias("rest"),
+        ), "mix-plan",
     )
-    key = F.md5(F.encode(F.concat_ws(":", F.lit(mix.seed), F.col("passes"), F.col("doc_id")), "UTF-8"))
-    keyed = sizes.join(plan, leaf).withColumn("last", F.col("doc_id").isNull()).withColumn("key", F.when(F.col("last"), F.lit("g")).otherwise(key)).withColumn("bucket", F.substring("key", 1, 3))
-    buckets = keyed.groupBy(*leaf, "rest", "bucket").agg(F.sum("tokens").alias("sum"))
+    keyed = _placed(S.join_small(sizes, plan, leaf, spread=("doc_id",)), mix)
+    buckets = S.stage_table(keyed.groupBy(*leaf, "rest", "bucket").agg(F.sum("tokens").alias("sum")), "mix-buckets")
     running = F.sum("sum").over(Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    end = buckets.withColumn("upto", running).where("upto > rest").groupBy(*leaf).agg(F.min("bucket").alias("end"), F.min_by(F.col("upto") - F.col("sum"), "bucket").alias("before"))
+    end = S.stage_table(
+        buckets.withColumn("upto", running).where("upto > rest")
+        .groupBy(*leaf).agg(F.min("bucket").alias("end"), F.min_by(F.col("upto") - F.col("sum"), "bucket").alias("before")), "mix-ends",
+    )
     within = (
-        keyed.join(end, leaf).where("bucket = end").groupBy(*leaf, "rest", "before", "key", "doc_id").agg(F.sum("tokens").alias("sum"))
+        S.join_small(keyed, end, leaf, spread=("doc_id",)).where("bucket = end").groupBy(*leaf, "rest", "before", "key", "doc_id").agg(F.sum("tokens").alias("sum"))
         .withColumn("upto", F.col("before") + F.sum("sum").over(Window.partitionBy(*leaf).orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)))
         .where("upto <= rest").groupBy(*leaf).agg(F.max(F.struct("key", "doc_id")).alias("cut"))
     )
-    limits = plan.select(*leaf).join(end.select(*leaf, "end"), leaf, "left").join(within, leaf, "left")
+    limits = S.stage_table(plan.select(*leaf, "passes").join(end.select(*leaf, "end"), leaf, "left").join(within, leaf, "left"), "mix-limits")
+    for done in (plan, buckets, end):
+        S.drop_stage(done)
+    return limits
+
+
+def _epochs(rows: DataFrame, limits: DataFrame, mix: Mix) -> DataFrame:
+    """rows (doc_id, domain, lang, source, ...) that are taken, with epochs: how often."""
+    placed = _placed(S.join_small(rows, limits, list(LEVELS), spread=("doc_id",)), mix)
     taken = F.col("end").isNull() | (F.col("bucket") < F.col("end")) | F.coalesce(F.struct("key", "doc_id") <= F.col("cut"), F.lit(False))
-    return (
-        keyed.join(limits, leaf).withColumn("epochs", (F.col("passes") + taken.cast("int")).cast("long"))
-        .where("epochs > 0").select("doc_id", *leaf, "tokens", "epochs")
-    )
+    return placed.withColumn("epochs", (F.col("passes") + taken.cast("int")).cast("long")).where("epochs > 0")
+
+
+def selected(sizes: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
+    """(doc_id, domain, lang, source, tokens, epochs): how often each document is taken, if at all."""
+    return _epochs(sizes, leaf_limits(sizes, mix), mix).select("doc_id", *LEVELS, "tokens", "epochs")
 
 
 def select_docs(docs: DataFrame, mix: Mix = ONCE) -> DataFrame:
-    """The rows of docs that the mix takes, each as often as it has epochs."""
+    """The rows of docs that the mix takes, each as often as it has epochs.
+
+    A document's place follows from its own doc_id and leaf, so texts are not shuffled.
+    """
     sizes = S.stage_table(measured(docs), "sizes")
-    taken = selected(sizes, mix).groupBy("doc_id", "lang", "source").agg(F.max("epochs").alias("epochs"))
-    same = docs["doc_id"].eqNullSafe(taken["doc_id"]) & (F.coalesce(docs["lang"], F.lit("")) == taken["lang"]) & (F.coalesce(docs["source"], F.lit("")) == taken["source"])
-    return docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), taken["epochs"]))).select(*(docs[c] for c in docs.columns))
+    limits = leaf_limits(sizes, mix)
+    S.drop_stage(sizes)
+    rows = docs.select(F.struct("*").alias("doc"), *_node(docs))
+    found = _epochs(rows, limits, mix).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("epochs").cast("int"))))
+    return found.select(*(F.col("doc")[c].alias(c) for c in docs.columns))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
