@@ -47,17 +47,20 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
         F.col("doc_id").alias("_id"), *(h.alias(n) for h, n in zip(S.hash_pair(text), ("_h1", "_h2"), strict=True)),
         F.posexplode(F.split(text, "\n")).alias("_pos", "_line"),
     ).select("_id", "_h1", "_h2", "_pos", line_key(F.col("_line")).alias("_key"))
-    keyed = lines.where(F.char_length("_key") >= min_chars).select(
-        "_id", "_h1", "_h2", "_pos", *(h.alias(n) for h, n in zip(S.hash_pair(F.col("_key")), ("_k1", "_k2"), strict=True))
-    )
+    # Written once, as it is read twice: lines are exploded and hashed in one pass over the texts.
+    keyed = S.stage_table(
+        lines.where(F.char_length("_key") >= min_chars).select(
+            "_id", "_h1", "_h2", "_pos", *(h.alias(n) for h, n in zip(S.hash_pair(F.col("_key")), ("_k1", "_k2"), strict=True))
+        ), "line-keys",
+    )
     # Distinct documents first, by (key, document): a key that a third of all rows hold is spread.
-    frequent = (
+    frequent = S.stage_table(
         keyed.where(F.col("_id").isNotNull()).groupBy("_k1", "_k2", "_id").agg(F.lit(1).alias("_one"))
         .groupBy("_k1", "_k2").agg(F.count("_one").alias("_docs"), F.max("_id").alias("_keeper"))
-        .where(F.col("_docs") >= min_docs).select("_k1", "_k2", "_keeper")
+        .where(F.col("_docs") >= min_docs).select("_k1", "_k2", "_keeper"), "frequent-lines",
     )
     return (
-        keyed.join(frequent, ["_k1", "_k2"]).where(~F.col("_id").eqNullSafe(F.col("_keeper")))
+        S.join_small(keyed, frequent, ["_k1", "_k2"], spread=("_id", "_pos")).where(~F.col("_id").eqNullSafe(F.col("_keeper")))
         .groupBy("_id", "_h1", "_h2").agg(F.collect_set("_pos").alias("_positions"))
     )
 
