@@ -16,7 +16,8 @@ of its own, so a task holds two blocks at most and no link is lost.
 
 Defined cases. A null or wordless text has fingerprint zero and links like any other. Rows with a
 null doc_id get a fingerprint but make no links of their own; their component is that of the equal
-fingerprint, else null. Rows that repeat a doc_id are one document. An empty table gives no rows.
+fingerprint, else null. Rows that repeat a doc_id with another text are documents of their own that
+share the id: each has the component of its own text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -55,6 +56,11 @@ def fingerprint(text: str | None, words_each: int = SHINGLE) -> int:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
         starts = np.concatenate(([0], ends[: len(words) - words_each] + 1)).tolist()
         hashes = np.fromiter((digest(line[s:e], SEED) for s, e in zip(starts, ends[words_each - 1 :].tolist(), strict=True)), np.uint64, len(starts))
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 8192):
         part = np.ascontiguousarray(hashes[i : i + 8192], "<u8").view(np.uint8).reshape(-1, 8)
@@ -65,12 +71,18 @@ def fingerprint(text: str | None, words_each: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = np.fromiter((fingerprint(x.as_py()) for x in batch.column("text")), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "h1", "h2")), pa.array(found.view(np.int64))], ["doc_id", "h1", "h2", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): fp has the 64 bits as a signed long."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprints, "doc_id long, fp long")
+    """(doc_id, h1, h2, fp): h1 and h2 are hashes of the text, fp has the 64 bits as a signed long."""
+    return with_hashes(docs).mapInArrow(_fingerprints, "doc_id long, h1 long, h2 long, fp long")
+
+
+def with_hashes(docs: DataFrame) -> DataFrame:
+    """(doc_id, h1, h2, text): a row is known again by its doc_id and the hashes of its text."""
+    h1, h2 = S.hash_pair(S.text_or_empty(docs["text"]))
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), h1.alias("h1"), h2.alias("h2"), docs["text"].alias("text"))
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -189,23 +201,35 @@ def links(distinct: DataFrame) -> DataFrame:
     return spread.mapInArrow(_links, "a long, b long")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of docs."""
+def groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, h1, h2, fp, root) for each row of docs: root is the same for all rows of a component."""
     prints = S.stage_table(fingerprints(docs), "fingerprints")
-    distinct = prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id"))
-    roots = components(links(distinct))
-    groups = distinct.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    return prints.join(groups, "fp", "left").select("doc_id", "fp", "component_id")
+    roots = components(links(prints.where("doc_id is not null").select(F.col("fp").alias("id"), "fp").distinct()))
+    return prints.join(roots, prints["fp"] == roots["id"], "left").select("doc_id", "h1", "h2", "fp", F.coalesce("root", "fp").alias("root"))
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) for each row of docs: the smallest doc_id of its component."""
+    found = groups(docs)
+    lowest = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return found.join(lowest, "root").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = near_groups) -> DataFrame:
+def keep_one(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame] = groups) -> DataFrame:
     """docs with one document of each near-duplicate group: the smallest doc_id, once.
 
-    groups gives each row's doc_id and component_id. Rows without a doc_id stay: they can't be told apart by it.
+    grouped gives (doc_id, h1, h2, root) for each row. Documents are told apart by doc_id and text, so
+    a text is never lost because another has its id. Rows without a doc_id stay: they have no order.
     """
-    lost = groups(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("lost_id")).distinct()
-    kept = docs.join(lost, docs["doc_id"] == lost["lost_id"], "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    found = grouped(docs).where("doc_id is not null").select("root", F.struct("doc_id", "h1", "h2").alias("me")).distinct()
+    keeper = found.groupBy("root").agg(F.min("me").alias("keeper"), F.count("*").alias("n")).where("n > 1").select("root", "keeper")
+    lost = found.join(keeper, "root").where("me <> keeper").select("me.*").select(*(F.col(c).alias(f"lost_{c}") for c in ("doc_id", "h1", "h2")))
+    h1, h2 = S.hash_pair(S.text_or_empty("doc.text"))
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", F.col("doc.doc_id").cast("long").alias("doc_id"), h1.alias("h1"), h2.alias("h2"))
+    known = rows.where("doc_id is not null")
+    kept = known.join(lost, [known[c] == lost[f"lost_{c}"] for c in ("doc_id", "h1", "h2")], "left_anti").dropDuplicates(["doc_id", "h1", "h2"])
+    both = kept.select("doc").unionByName(rows.where("doc_id is null").select("doc"))
+    return both.select(*(F.col("doc")[c].alias(c) for c in docs.columns))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

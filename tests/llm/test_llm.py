@@ -131,18 +131,15 @@ def test_toxicity_held_out_and_swaps(spark):
     scored = toxicity.score(d, toxicity.train(d, lab)).join(lab, "doc_id").where(toxicity.held_out(F.col("doc_id"))).collect()
     assert np.mean([r["predicted"] == r["toxic"] for r in scored]) > 0.95
     rows = [toxicity._pack(toxicity.words_of(t)) for _, t in docs], [[toxicity._pack(x) for x in side] for side in zip(*(toxicity.twins(t) for _, t in docs), strict=True)]
-    import pandas as pd
-
-    frame = pd.DataFrame({"toxic": [t for _, t in labels], "features": rows[0], "plain": rows[1][0], "other": rows[1][1]})
+    examples = toxicity.Examples([t for _, t in labels], rows[0], *rows[1])
     a, b = "the muslim neighbours", "the jewish neighbours"
-    gap = lambda m: abs(m.logit(np.frombuffer(toxicity._pack(a.split()), np.int32)) - m.logit(np.frombuffer(toxicity._pack(b.split()), np.int32)))
-    assert gap(toxicity._fit(frame, 1 / 3, 5.0)) < 0.7 * gap(toxicity._fit(frame, 1 / 3, 0.0))
+    gap = lambda m: abs(m.logit(toxicity._unpack(toxicity._pack(a.split()))) - m.logit(toxicity._unpack(toxicity._pack(b.split()))))
+    every = np.arange(len(labels))
+    assert gap(toxicity._fit(examples, every, 1 / 3, 5.0)) < 0.7 * gap(toxicity._fit(examples, every, 1 / 3, 0.0))
 
 
 def test_counterfactual_penalty_lowers_false_positives():
     """Group mentions that come with toxic labels only: neutral ones are flagged less, at the production penalty, and order is no worse."""
-    import pandas as pd
-
     rng = np.random.default_rng(4)
     words = [f"w{i}" for i in range(400)]
 
@@ -153,14 +150,12 @@ def test_counterfactual_penalty_lowers_false_positives():
     train = [(text(t, t and rng.random() < 0.5), int(t)) for t in (i % 3 == 0 for i in range(1500))]
     pairs = [toxicity.twins(t) for t, _ in train]
     assert all(a and a != b for a, b in pairs)
-    frame = pd.DataFrame({
-        "toxic": [y for _, y in train], "features": [toxicity._pack(toxicity.words_of(t)) for t, _ in train],
-        "plain": [toxicity._pack(a) for a, _ in pairs], "other": [toxicity._pack(b) for _, b in pairs],
-    })
+    packed = [[toxicity._pack(words) for words in side] for side in ([toxicity.words_of(t) for t, _ in train], *zip(*pairs, strict=True))]
+    examples = toxicity.Examples([y for _, y in train], *packed)
     neutral, toxic = [text(False, True) for _ in range(300)], [text(True, i % 2) for i in range(300)]
     flagged, auc = {}, {}
     for penalty in (0.0, toxicity.SWAP_PENALTY):
-        model = toxicity.fit(frame, 1 / 3, penalty)
+        model = toxicity.fit(examples, 1 / 3, penalty)
         low, high = model.scores(neutral), model.scores(toxic)
         flagged[penalty], auc[penalty] = (low >= toxicity.THRESHOLD).mean(), (high[:, None] > low[None, :]).mean()
     assert flagged[toxicity.SWAP_PENALTY] < 0.6 * flagged[0.0] and auc[toxicity.SWAP_PENALTY] >= auc[0.0], (flagged, auc)
