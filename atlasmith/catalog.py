@@ -43,8 +43,10 @@ def table(s: Stages, name: str) -> DataFrame:
 # 2.1 scans, sources, sinks
 
 add("scan_events", lambda s: s.events.groupBy("type").agg(F.count("*").alias("n")), "SELECT type, count(*) AS n FROM act_events WHERE type IS NOT NULL GROUP BY 1")
-add("months_in_window", lambda s: T.months_in_window(s.spark, *A.WINDOW).join(s.grid.select("month").distinct(), "month"), "SELECT DISTINCT month FROM grid")
-add("grid_union", lambda s: T.grid_union(s.grid, [199805, 199806]).groupBy("month").agg(F.count("*").alias("n")), "SELECT month, count(*) AS n FROM grid WHERE month IN (199805, 199806) GROUP BY 1")
+add("months_in_window", lambda s: T.months_in_window(s.spark, *A.WINDOW).join(s.grid.groupBy("month").agg(F.count("*").alias("rows")), "month", "left").select("month", F.coalesce("rows", F.lit(0)).alias("rows")),
+    f"SELECT month, count(repo_name) AS rows FROM (SELECT CAST(year(m) * 100 + month(m) AS INTEGER) AS month FROM (SELECT unnest(range(date_trunc('month', DATE '{A.WINDOW[0]}'), DATE '{A.WINDOW[1]}' + INTERVAL 1 DAY, INTERVAL 1 MONTH)) AS m)) LEFT JOIN grid USING (month) GROUP BY 1")
+_window = [y * 100 + m for y in range(A.WINDOW[0].year, A.WINDOW[1].year + 1) for m in range(1, 13) if (A.WINDOW[0].year, A.WINDOW[0].month) <= (y, m) <= (A.WINDOW[1].year, A.WINDOW[1].month)]
+add("grid_union", lambda s: T.grid_union(s.grid, _window).groupBy("month").agg(F.count("*").alias("n")), f"SELECT month, count(*) AS n FROM grid WHERE month BETWEEN {_window[0]} AND {_window[-1]} GROUP BY 1")
 add("human_grid_view", lambda s: T.human_grid_view(s.grid).groupBy("repo_name").agg(F.count("*").alias("n")), "SELECT repo_name, count(*) AS n FROM grid WHERE NOT is_bot GROUP BY 1")
 add("export_contract", lambda s: T.export_contract(s.contributors, ["actor_login", "repo_name", "domain_id", "push_events", "raw_contribution_points"]), "SELECT actor_login, repo_name, domain_id, push_events, raw_contribution_points FROM contributor", "raw_contribution_points")
 add("export_candidates", lambda s: T.candidates(s.discovered).groupBy("discovery_status").agg(F.count("*").alias("n")), "SELECT discovery_status, count(*) AS n FROM discovery WHERE discovery_status IN ('accepted', 'excluded') GROUP BY 1")
@@ -88,7 +90,7 @@ def _failed(s: Stages) -> DataFrame:
     return s.metadata.where("is_fork or is_archived").select("repo_name", F.when(F.col("is_fork"), "NOT_FOUND").otherwise("TIMEOUT").alias("reason"), (F.col("release_count") % 5).alias("retries"))
 
 
-add("error_rate_gate", lambda s: T.error_rate_gate(_failed(s).crossJoin(s.metadata.agg(F.count("*").alias("all"))).drop("all"), 100), "SELECT count(*) FILTER (NOT is_fork) AS failed, CAST(100 AS BIGINT) AS attempted, count(*) FILTER (NOT is_fork) <= 1 AS ok FROM repo_meta WHERE is_fork OR is_archived")
+add("error_rate_gate", lambda s: T.error_rate_gate(_failed(s), s.metadata.count()), "SELECT count(*) FILTER (is_archived AND NOT is_fork) AS failed, count(*) AS attempted, count(*) < 100 OR count(*) FILTER (is_archived AND NOT is_fork) <= 0.01 * count(*) AS ok FROM repo_meta")
 add("retry_worklist", lambda s: T.retry_worklist(s.metadata, s.metadata.where("has_ci").select("repo_name"), _failed(s), "repo_name"),
     "SELECT DISTINCT repo_name FROM repo_meta WHERE has_ci IS DISTINCT FROM true AND NOT is_fork AND NOT (is_archived AND release_count % 5 >= 3)")
 add("exhausted_failures", lambda s: T.exhausted_failures(s.metadata, _failed(s), "repo_name"), "SELECT repo_name, 'TIMEOUT' AS reason FROM repo_meta WHERE is_archived AND NOT is_fork AND release_count % 5 >= 3")
@@ -197,7 +199,8 @@ def _located(s: Stages) -> DataFrame:
     return locations.normalize_run(gazetteer.profiles(table(s, "customer")), gazetteer.dims(s.spark))
 
 
-add("normalize_run", lambda s: _located(s).select("actor_login", "normalized_country_code", "normalized_city", "location_level", "location_confidence"), gazetteer.ORACLE)
+add("normalize_run", lambda s: _located(s).select("actor_login", "normalized_country_code", "normalized_city", "location_level", "location_confidence"),
+    f"SELECT actor_login, normalized_country_code, normalized_city, location_level, location_confidence FROM ({gazetteer.ORACLE})")
 add("normalization_summary", lambda s: locations.normalization_summary(_located(s)),
     f"SELECT count(*) AS total, count(normalized_country_code) AS located_country, count(normalized_city) AS located_city, count(*) FILTER (location_confidence = 'unusable') AS unusable, count(normalized_country_code) / count(*) AS country_rate FROM ({gazetteer.ORACLE})", "country_rate")
 add("eligible_geography", lambda s: _located(s).select("actor_login", locations.eligible_country().alias("country"), locations.eligible_city().alias("city")), f"SELECT actor_login, location_confidence IN ('high', 'medium') AS country, location_level = 'city' AND location_confidence = 'high' AS city FROM ({gazetteer.ORACLE})")
@@ -223,10 +226,15 @@ add("rank_geographies", lambda s: s.rankings.select("geo_level", "geo_id", *_ran
 
 add("quality_checks", lambda s: quality.quality_checks(s.discovered, s.grid, s.contributors, *A.WINDOW).select("check_name", "failing_rows", "status"),
     "SELECT unnest(['repo_date_bounds', 'repo_non_negative_counts', 'repo_share_bounds', 'merged_within_closed', 'meaningful_events_consistency', 'status_reason_consistency', 'contributor_non_negative_counts', 'contributor_repo_membership', 'grid_duplicate_keys', 'repo_duplicate_keys', 'contributor_duplicate_keys']) AS check_name, n AS failing_rows, 'pass' AS status FROM (SELECT count(*) FILTER (merged_pull_requests > pull_requests_closed) AS n FROM repo_activity)")
-add("check_score_bounds", lambda s: quality.check_score_bounds(s.repo_scores, C.REPOSITORY, "repository_quality_score").unionByName(quality.check_score_bounds(s.rankings, C.OPPORTUNITY, "opportunity_score")).select("check_name", "failing_rows", "status"))
+add("check_score_bounds", lambda s: quality.check_score_bounds(s.repo_scores, C.REPOSITORY, "repository_quality_score").unionByName(quality.check_score_bounds(s.rankings, C.OPPORTUNITY, "opportunity_score")).select("check_name", "failing_rows", "status"),
+    " UNION ALL ".join(f"SELECT '{final}_{check}' AS check_name, n AS failing_rows, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status FROM (SELECT count(*) FILTER ({test}) AS n FROM {source})"
+        for source, parts, final in (("repo_scores", C.REPOSITORY, "repository_quality_score"), ("rankings", C.OPPORTUNITY, "opportunity_score"))
+        for check, test in (("components", " OR ".join(f"{n}_score < 0 OR {n}_score > 100" for n in parts)), ("weighted_sum", f"abs({' + '.join(f'{w} * {n}_score' for n, w in parts.items())} - {final}) > 1e-6"))))
 add("check_rankings", lambda s: quality.check_rankings(s.rankings, A.SAMPLES).unionByName(quality.check_rank_order(s.rankings)).unionByName(quality.check_evidence_present(s.classified)).unionByName(quality.check_event_ids(table(s, "events"), "event_id")).select("check_name", "failing_rows", "status"))
 add("check_schema_contract", lambda s: quality.check_schema_contract(s.rankings, {"geo_level": {"values": ["country", "city"]}, "opportunity_score": {"type": "double", "min": 0, "max": 100, "nullable": False}, "rank": {"min": 1}}).select("check_name", "failing_rows", "status"))
-_privacy_sql = " UNION ALL ".join(f"SELECT file, {Q.quoted(n)} AS pattern, trim(line, ' ' || chr(9) || chr(11) || chr(12)) AS t FROM lines WHERE regexp_matches(line, {Q.quoted(p)})" for n, p in C.PRIVACY if "(?!" not in p)
+# RE2 has no lookahead: the character after the match is matched, or the end.
+_BEFORE, _AFTER = r"(?![\w/-])", r"(?:[^\w/-]|$)"
+_privacy_sql = " UNION ALL ".join(f"SELECT file, {Q.quoted(n)} AS pattern, trim(line, ' ' || chr(9) || chr(11) || chr(12)) AS t FROM lines WHERE regexp_matches(line, {Q.quoted(p.replace(_BEFORE, _AFTER))})" for n, p in C.PRIVACY)
 add("privacy_scan", lambda s: quality.privacy_scan(A.text_lines(s.spark, s.sf_dir)).groupBy("file", "pattern").agg(F.count("*").alias("n"), F.min("excerpt").alias("excerpt")),
     f"WITH lines AS (SELECT file, unnest(regexp_split_to_array(text, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e]')) AS line FROM text_lines) SELECT file, pattern, count(*) AS n, min(CASE WHEN length(t) <= 120 THEN t ELSE t[1:120] || '…' END) AS excerpt FROM ({_privacy_sql}) GROUP BY 1, 2")
 add("precision_metrics", lambda s: quality.precision_metrics(table(s, "documents").select("doc_id", (F.col("n_chars") > 500).alias("predicted")), table(s, "labels").select("doc_id", (F.col("quality") == 1).alias("label")), "doc_id"),

@@ -55,8 +55,15 @@ def _literal(x: str | None) -> str:
     return "NULL" if x is None else f"'{x}'"
 
 
+def _method(text: str | None, level: str) -> str:
+    """The rule that decides an example: a pair of city and place has a comma, a lone city none."""
+    if level == "city":
+        return "city_country_pair" if "," in text else "unique_city"
+    return "unresolved" if level == "unresolved" else "country_name"
+
+
 ORACLE = (
-    "SELECT 'c' || c_custkey AS actor_login, normalized_country_code, normalized_city, location_level, location_confidence FROM customer JOIN (VALUES "
-    + ", ".join(f"({i}, {_literal(code)}, {_literal(city)}, '{level}', '{sure}')" for i, (_, code, city, level, sure) in enumerate(EXAMPLES))
-    + f") e(i, normalized_country_code, normalized_city, location_level, location_confidence) ON c_custkey % {len(EXAMPLES)} = i"
+    "SELECT 'c' || c_custkey AS actor_login, raw_location, normalized_country_code, normalized_city, location_level, location_confidence, normalization_method FROM customer JOIN (VALUES "
+    + ", ".join(f"({i}, {_literal(text)}, {_literal(code)}, {_literal(city)}, '{level}', '{sure}', '{_method(text, level)}')" for i, (text, code, city, level, sure) in enumerate(EXAMPLES))
+    + f") e(i, raw_location, normalized_country_code, normalized_city, location_level, location_confidence, normalization_method) ON c_custkey % {len(EXAMPLES)} = i"
 )

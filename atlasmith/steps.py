@@ -183,20 +183,18 @@ add("license_recognized", lambda s: s.metadata.select("repo_name", classify.lice
 for _name, _column in (("classification_decision", "classification_status"), ("chosen_order", "subdomains"), ("classification_score", "classification_score")):
     add(_name, lambda s, c=_column: s.classification.select("repo_name", c), f"SELECT repo_name, {_column} FROM ({K.ORACLES['classify_run']})")
 
-# 2.9 locations: customers who write an example that the stage decides
+# 2.9 locations: all customers are resolved, then those that a stage decided are kept
 
 STAGES = {
-    "null_and_placeholder": ("", "  ", "Earth", "the internet", "127.0.0.1", "🌍", "Milky Way", None), "stage_country": ("Germany", "FR", "DE", "Deutschland", "United States of America", "Georgia"),
-    "stage_multi": ("London / Paris", "Berlin / Munich"), "stage_us_state_pair": ("Austin, TX", "Cambridge, MA", "San Francisco, CA", "Denver, CO"),
-    "stage_city_country": ("Berlin, Germany", "Toronto, Canada", "São Paulo, Brazil", "Kyiv, Ukraine", "Munich, DE", "Bangalore, IN", "Tbilisi, Georgia", "Springfield, US"),
-    "stage_region_anchor": ("Ontario, Canada", "Maryland, USA", "Nowhereville, Germany"), "stage_state_or_region_city": ("Atlanta, Georgia", "Denver, CO"), "stage_head_only": ("Paris 🌍", "Amsterdam"),
-    "stage_single_term": ("California", "Scotland", "Virginia", "Springfield", "Reykjavik", "東京", "Xyzzy"), "dim_city_join": ("Shenzhen, China", "Cambridge, MA", "Springfield, US"),
+    "null_and_placeholder": "normalization_method = 'unresolved'", "stage_country": "normalization_method = 'country_name' AND location_level = 'country'",
+    "stage_multi": "contains(raw_location, '/')", "stage_us_state_pair": "normalization_method = 'city_country_pair' AND normalized_country_code = 'US'",
+    "stage_city_country": "normalization_method = 'city_country_pair' AND location_confidence = 'high'", "stage_region_anchor": "location_level = 'region' AND location_confidence = 'medium'",
+    "stage_state_or_region_city": "normalization_method = 'city_country_pair' AND location_confidence = 'medium'", "stage_head_only": "normalization_method = 'unique_city' AND location_confidence = 'medium'",
+    "stage_single_term": "location_confidence = 'low'", "dim_city_join": "normalized_city IS NOT NULL",
 }
 _place = ["actor_login", "normalized_country_code", "normalized_city", "location_level", "location_confidence"]
-for _name, _texts in STAGES.items():
-    _at = [i for i, x in enumerate(gazetteer.EXAMPLES) if x[0] in _texts]
-    add(_name, lambda s, at=_at: locations.normalize_run(gazetteer.profiles(table(s, "customer").where((F.col("c_custkey") % len(gazetteer.EXAMPLES)).isin(*at))), gazetteer.dims(s.spark)).select(*_place),
-        f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE CAST(actor_login[2:] AS BIGINT) % {len(gazetteer.EXAMPLES)} IN ({', '.join(map(str, _at))})")
+for _name, _decided in STAGES.items():
+    add(_name, lambda s, decided=_decided: locations.normalize_run(gazetteer.profiles(table(s, "customer")), gazetteer.dims(s.spark)).where(decided).select(*_place), f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE {_decided}")
 
 
 def _curated(s: Stages) -> DataFrame:
