@@ -1,13 +1,14 @@
 """Exact top-k search: an impact-ordered index, read score-at-a-time.
 
-Vectors are dealt into blocks of about BLOCK rows, queries into blocks of QUERIES; each pair of
-blocks is one group. A block's index has, for each component, the rows in descending order of their
-value, cut into SEGMENTS posting segments; a segment's quantised impact for a query is the largest
-product that any of its rows can have. All segments of all components are read in descending order
-of what they add over their component's last segment. At any time a row's score lies between what
-it has gathered (less the quantisation error) and that plus what unread segments can still add. Reading
-stops only when these bounds prove that few rows can belong to the best k; those are rescored exactly.
-Each group gives k rows a query; the best of all groups follow from a ranking per query.
+Vectors are dealt into groups of BLOCKS blocks of about BLOCK rows, queries into parts of QUERIES; each
+pair of a group and a part is one task. A block's index has, for each component, its rows by quantised
+impact: LEVELS steps between the least and the greatest value; rows of one level are a posting segment.
+For a query, a segment adds between its least and its greatest product. Segments of all components are
+read in descending order of their quantised impact. At any time a row's score lies between what it
+has gathered and that plus, for each component it was not yet read in, the best that is unread there.
+Reading stops only when these bounds prove that few rows can belong to the best k, or none can beat the
+k-th score that earlier blocks gave; what remains possible is rescored exactly. Each task gives k rows a
+query; the best of all follow from a ranking per query.
 
 Defined cases. Vectors that are null, empty, or hold null or non-finite components take no part.
 A shorter vector counts as filled up with zeros. Rows without a vec_id take no part. A repeated
@@ -24,10 +25,10 @@ from pyspark.sql import functions as F
 
 from atlasmith.llm import _shared as S
 
-BLOCK, QUERIES, SEGMENTS = 2048, 1024, 16
+BLOCK, BLOCKS, QUERIES, LEVELS = 2048, 8, 1024, 256
 K = 10
 SCALE = 1024
-ROUND = 64  # segments read between two looks at the bounds
+ROUNDS = 32  # looks at the bounds, at most
 FEW = 16  # times k: so many possible members are rescored without further reading
 
 
@@ -38,50 +39,60 @@ class ImpactIndex:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
         n, width = self.vectors.shape
-        size = -(-n // SEGMENTS)
-        by_value = np.argsort(-self.vectors, axis=0, kind="stable").T
-        values = np.take_along_axis(self.vectors.T, by_value, axis=1).astype(np.float64)
-        short = size * SEGMENTS - n
-        # Rows that fill up the last segments point to a row that doesn't exist.
-        self.rows = np.concatenate([by_value, np.full((width, short), n)], axis=1).reshape(width, SEGMENTS, size)
-        padded = np.concatenate([values, np.repeat(values[:, -1:], short, axis=1)], axis=1).reshape(width, SEGMENTS, size)
-        self.top, self.bottom = padded[:, :, 0], padded[:, :, -1]
-
-    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the best k rows but the query's own, ties by id."""
-        n = len(self.ids)
-        q = query.astype(np.float64)[:, None]
-        impact = np.maximum(q * self.top, q * self.bottom)
-        error = float((impact - np.minimum(q * self.top, q * self.bottom)).max(axis=1).sum())
-        gain = impact - impact.min(axis=1, keepdims=True)
-        component, segment = np.unravel_index(np.argsort(-gain, axis=None, kind="stable"), gain.shape)
-        gains = gain[component, segment]
-        # What a component's unread segments can add at most: the gain of its best unread one.
-        gathered = np.zeros(n + 1)
-        own = np.flatnonzero(self.ids == query_id)
-        slack = 1e-6 * (1 + np.abs(impact).sum())
-        best_left = gain.max(axis=1)
-        possible = np.arange(n)
-        for i in range(0, len(gains), ROUND):
-            c, s = component[i : i + ROUND], segment[i : i + ROUND]
-            rows = self.rows[c, s]
-            gathered += np.bincount(rows.ravel(), np.repeat(gains[i : i + ROUND], rows.shape[1]), minlength=n + 1)
-            if i + ROUND < len(gains):
-                # Gains are read in descending order: no unread segment adds more than the last read one.
-                unread = float(np.minimum(best_left, gains[i + len(c) - 1]).sum())
-                if unread > gathered[:n].max():
-                    continue
-            else:
-                unread = 0.0
-            seen = gathered[:n].copy()
-            seen[own] = -np.inf
-            if n - len(own) <= k:
-                break
-            least = np.partition(seen, n - k)[n - k]
-            possible = np.flatnonzero(seen >= least - error - unread - slack)
+        least, most = self.vectors.min(axis=0), self.vectors.max(axis=0)
+        level = (self.vectors - least) * LEVELS // (most - least + 1)
+        rows = np.argsort(level, axis=0, kind="stable").T
+        # The segments of all components one after another: component, first and last posting, least and greatest value.
+        key = np.take_along_axis(level.T, rows, axis=1) + LEVELS * np.arange(width)[:, None]
+        self.starts = np.flatnonzero(np.concatenate(([True], np.diff(key.ravel()) > 0)))
+        self.sizes = np.diff(np.append(self.starts, n * width))
+        self.component = self.starts // n
+        self.rows = rows.ravel().astype(np.int32)
+        values = np.take_along_axis(self.vectors.T, rows, axis=1).ravel().astype(np.float64)
+        self.low, self.high = np.minimum.reduceat(values, self.starts), np.maximum.reduceat(values, self.starts)
+        #: Postings read and held, over all queries so far.
+        self.read = self.held = 0
+
+    def best(self, query_id: int, query: np.ndarray, k: int, least_score: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of the best k rows but the query's own, ties by id; rows under least_score may lack."""
+        n, width = self.vectors.shape
+        q = query.astype(np.float64)
+        a, b = q[self.component] * self.low, q[self.component] * self.high
+        under, over = np.minimum(a, b), np.maximum(a, b)
+        base = np.full(width, np.inf)
+        np.minimum.at(base, self.component, under)
+        under, over = under - base[self.component], over - base[self.component]
+        slack = 1e-9 * (1 + np.abs(base).sum() + over.sum())
+        order = np.argsort(-over, kind="stable")
+        component, sizes = self.component[order], self.sizes[order]
+        ends = np.cumsum(sizes)
+        gathered, doubt = np.zeros(n), np.zeros(n)
+        unread = np.ones((n, width), np.float32)
+        others = self.ids != query_id
+        left = int(others.sum())
+        wanted = least_score - base.sum()
+        possible, at, looked = np.flatnonzero(others), 0, 0
+        self.held += n * width
+        while at < len(order) and left > k:
+            looked += 1
+            upto = max(at + 1, int(np.searchsorted(ends, looked * n * width / ROUNDS, "right")))
+            some = order[at:upto]
+            size = self.sizes[some]
+            posting = np.repeat(self.starts[some] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            rows, columns = self.rows[posting], np.repeat(component[at:upto], size)
+            gathered += np.bincount(rows, np.repeat(under[some], size), minlength=n)
+            doubt += np.bincount(rows, np.repeat(over[some] - under[some], size), minlength=n)
+            unread[rows, columns] = 0
+            self.read += len(rows)
+            at = upto
+            # Segments come in descending order, so a component's next one is the best that is unread there.
+            top = np.zeros(width)
+            top[component[at:][::-1]] = over[order[at:]][::-1]
+            best_case = gathered + doubt + unread @ top.astype(np.float32) * (1 + 1e-5)
+            bound = max(wanted, np.partition(gathered[others], left - k)[left - k])
+            possible = np.flatnonzero(others & (best_case >= bound - slack))
             if len(possible) <= FEW * k:
                 break
-        possible = possible[self.ids[possible] != query_id]
         scores = self.vectors[possible] @ query
         first = np.lexsort((self.ids[possible], -scores))[:k]
         return self.ids[possible][first], scores[first]
@@ -95,12 +106,20 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def _search(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
+    """The k best rows of a group for each query, block by block with the k-th score carried on."""
     found: list[tuple] = []
     if len(vectors) and len(queries):
         width = max(max(map(len, t["v"].to_pylist())) for t in (vectors, queries))
-        index = ImpactIndex(vectors["vec_id"].to_numpy(), _matrix(vectors["v"], width))
+        ids, matrix = vectors["vec_id"].to_numpy(), _matrix(vectors["v"], width)
+        blocks = [ImpactIndex(ids[i : i + BLOCK], matrix[i : i + BLOCK]) for i in range(0, len(ids), BLOCK)]
         for query_id, query in zip(queries["vec_id"].to_pylist(), _matrix(queries["v"], width), strict=True):
-            found += [(query_id, int(i), int(s)) for i, s in zip(*index.best(query_id, query, k), strict=True)]
+            best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
+            for index in blocks:
+                more_ids, more = index.best(query_id, query, k, best[-1] if len(best) == k else -np.inf)
+                best_ids, best = np.concatenate([best_ids, more_ids]), np.concatenate([best, more])
+                first = np.lexsort((best_ids, -best))[:k]
+                best_ids, best = best_ids[first], best[first]
+            found += [(query_id, int(i), int(s)) for i, s in zip(best_ids, best, strict=True)]
     return pa.table({name: pa.array([x[i] for x in found], pa.int64()) for i, name in enumerate(("query_id", "vec_id", "score"))})
 
 
@@ -115,9 +134,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best vectors for each query; both have (vec_id, v)."""
     queries = queries.dropDuplicates(["vec_id"])
     n, asked = vectors.count(), queries.count()
-    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-asked // QUERIES))
+    blocks, query_blocks = max(1, -(-n // (BLOCK * BLOCKS))), max(1, -(-asked // QUERIES))
     every = lambda count, name: F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
-    # A block is dealt by row, so that a vector that many rows repeat fills no single block.
+    # Groups are dealt by row, so that a vector that many rows repeat fills no single one.
     left = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")).select("*", every(query_blocks, "part"))
     right = queries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).select("*", every(blocks, "block"))
     found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(
