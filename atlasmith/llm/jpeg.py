@@ -1,7 +1,8 @@
 """Luminance of baseline JPEG frames (SOF0, one interleaved scan), as motion-JPEG writers make them.
 
 Colour components are read past; only the first one is turned into samples. Frames that bring no
-Huffman tables of their own, progressive ones and broken ones give none.
+Huffman tables of their own, as most of motion-JPEG, use those of the standard. Progressive and broken
+ones give none.
 """
 
 from __future__ import annotations
@@ -18,6 +19,22 @@ _k = np.arange(8)
 COSINES = np.sqrt(np.where(_k == 0, 1, 2) / 8)[:, None] * np.cos((2 * _k[None, :] + 1) * _k[:, None] * np.pi / 16)
 
 
+def _standard(counts: list[int], first: str) -> bytes:
+    """Counts of codes by length, and symbols: those given in hexadecimal, then all other runs and sizes in order."""
+    symbols = bytes.fromhex(first)
+    rest = bytes(r << 4 | s for r in range(16) for s in range(1, 11) if r << 4 | s not in symbols) if len(symbols) > 12 else b""
+    return bytes(counts) + symbols + rest
+
+
+#: The Huffman tables of ITU-T T.81, annex K.3, by class and number (0: luminance, 1: colour; from 16 on: AC).
+STANDARD = {
+    0: _standard([0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0], "00 01 02 03 04 05 06 07 08 09 0a 0b"),
+    1: _standard([0, 3, 1, 1, 1, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0], "00 01 02 03 04 05 06 07 08 09 0a 0b"),
+    16: _standard([0, 2, 1, 3, 3, 2, 4, 3, 5, 5, 4, 4, 0, 0, 1, 125], "01 02 03 00 04 11 05 12 21 31 41 06 13 51 61 07 22 71 14 32 81 91 a1 08 23 42 b1 c1 15 52 d1 f0 24 33 62 72 82"),
+    17: _standard([0, 2, 1, 2, 4, 4, 3, 4, 7, 5, 4, 4, 0, 1, 2, 119], "00 01 02 03 11 04 05 21 31 06 12 41 51 07 61 71 13 22 32 81 08 14 42 91 a1 b1 c1 09 23 33 52 f0 15 62 72 d1 0a 16 24 34 e1 25 f1"),
+}
+
+
 def lookup(table: bytes) -> list[tuple[int, int]]:
     """Length and symbol of the code at the front of each 16 bits; length 0 where there is none."""
     out, code, at = [(0, 0)] * (1 << 16), 0, 16
@@ -141,6 +158,11 @@ def _luminance(frame: bytes, known: dict[bytes, list]) -> np.ndarray | None:
         return None
     if not parts or body[0] != len(parts):
         return None
+    for number in {x for i in range(1, 1 + 2 * body[0], 2) for x in (body[i + 1] >> 4, 16 | body[i + 1] & 15)} - set(codes):
+        table = STANDARD[number]
+        if table not in known:
+            known[table] = lookup(table)
+        codes[number] = known[table]
     first = next(iter(parts))
     scan = [(body[i], codes[body[i + 1] >> 4], codes[16 | body[i + 1] & 15]) for i in range(1, 1 + 2 * body[0], 2)]
     # A scan of one component has a block for each unit, whatever its sampling.

@@ -3,8 +3,8 @@
 The codec is lossless sequential JPEG (SOF3, predictor 1) in an AVI container with an idx1 index: every
 frame is intra-coded. The Huffman table gives a category s a code of 16 - s bits, so that each
 sample takes 16 bits with its s extra bits; all frames of a file are then coded and decoded as arrays.
-The reader walks the RIFF chunks, takes frames from the index (from the movi list if there is none),
-and reads each frame's markers. Frames of other writers are read too if they are baseline JPEG (see
+The reader walks the RIFF chunks of all parts, takes frames from idx1 or the OpenDML indexes (from the
+movi lists and their rec groups if there is none), and reads each frame's markers. Frames of other writers are read too if they are baseline JPEG (see
 jpeg.py; their luminance counts). Frames that can't be read get no histogram and start a clip of their own.
 
 A shot ends where the histogram difference of neighbouring frames exceeds an adaptive threshold: the
@@ -152,26 +152,67 @@ def _chunks(data: bytes, start: int, stop: int) -> Iterator[tuple[bytes, int, in
         start += 8 + size + size % 2
 
 
+def _is_video(name: bytes) -> bool:
+    return name[2:] in (b"dc", b"db")
+
+
+def _media_chunks(data: bytes, start: int, stop: int) -> Iterator[tuple[bytes, int, int]]:
+    """The chunks of a movi list, those of its rec groups among them."""
+    for name, at, size in _chunks(data, start, stop):
+        if name == b"LIST" and data[at : at + 4] == b"rec ":
+            yield from _chunks(data, at + 4, at + size)
+        else:
+            yield name, at, size
+
+
+def _old_index(data: bytes, index: np.ndarray, movi: int) -> list[tuple[int, int]] | None:
+    """Where the frames of an idx1 are. Offsets count from the movi list or from the start of the file: the chunks' names tell."""
+    entries = [(int(name).to_bytes(4, "little"), offset, size) for name, _, offset, size in index.tolist()]
+    entries = [x for x in entries if _is_video(x[0])]
+    for base in (movi, 0):
+        if entries and all(data[base + offset : base + offset + 4] == name for name, offset, _ in entries):
+            return [(base + offset + 8, size) for _, offset, size in entries]
+    return None
+
+
+def _new_index(data: bytes, at: int, size: int) -> list[tuple[int, int]]:
+    """Where the frames of an OpenDML index chunk (ix00) are."""
+    if size < 24 or data[at : at + 4] != b"\x02\x00\x00\x01" or not _is_video(data[at + 8 : at + 12]):
+        return []
+    n, base = int.from_bytes(data[at + 4 : at + 8], "little"), int.from_bytes(data[at + 12 : at + 20], "little")
+    entries = np.frombuffer(data[at + 24 : at + 24 + min(n, (size - 24) // 8) * 8], "<u4").reshape(-1, 2)
+    return [(base + offset, length & 0x7FFFFFFF) for offset, length in entries.tolist()]
+
+
 def read_avi(data: bytes | None) -> tuple[float, list[bytes]]:
-    """Seconds per frame, and the video stream's frames by the index."""
+    """Seconds per frame, and the video stream's frames by the index.
+
+    That is idx1 if the file has one RIFF part; in files of several parts, or without idx1, the OpenDML
+    indexes; where an index is missing or doesn't point to frames, the frames are those of the movi lists.
+    """
     if not data or data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         return 0.0, []
-    seconds, movi, index = 1 / FPS, None, None
-    for name, at, size in _chunks(data, 12, len(data)):
-        if name == b"LIST" and data[at : at + 4] == b"hdrl":
-            for inner, start, _ in _chunks(data, at + 4, at + size):
-                if inner == b"avih":
-                    seconds = int.from_bytes(data[start : start + 4], "little") / 1e6 or seconds
-        elif name == b"LIST" and data[at : at + 4] == b"movi":
-            movi = at, size
-        elif name == b"idx1":
-            index = np.frombuffer(data[at : at + size // 16 * 16], "<u4").reshape(-1, 4)
-    if movi is None:
-        return seconds, []
-    if index is None:
-        return seconds, [data[s : s + n] for name, s, n in _chunks(data, movi[0] + 4, sum(movi)) if name[2:] in (b"dc", b"db")]
-    video = index[(index[:, 0] >> 16) == int.from_bytes(b"dc", "little")].tolist()
-    return seconds, [data[movi[0] + offset + 8 : movi[0] + offset + 8 + size] for _, _, offset, size in video]
+    seconds, lists, index = 1 / FPS, [], None
+    for riff, begin, length in _chunks(data, 0, len(data)):
+        if riff != b"RIFF" or data[begin : begin + 4] not in (b"AVI ", b"AVIX"):
+            continue
+        for name, at, size in _chunks(data, begin + 4, begin + length):
+            if name == b"LIST" and data[at : at + 4] == b"hdrl":
+                for inner, start, _ in _chunks(data, at + 4, at + size):
+                    if inner == b"avih":
+                        seconds = int.from_bytes(data[start : start + 4], "little") / 1e6 or seconds
+            elif name == b"LIST" and data[at : at + 4] == b"movi":
+                lists.append((at, size))
+            elif name == b"idx1":
+                index = np.frombuffer(data[at : at + size // 16 * 16], "<u4").reshape(-1, 4)
+    if index is not None and len(lists) == 1 and (frames := _old_index(data, index, lists[0][0])):
+        return seconds, [data[s : s + n] for s, n in frames]
+    chunks = [x for at, size in lists for x in _media_chunks(data, at + 4, at + size)]
+    frames = [(s, n) for name, s, n in chunks if _is_video(name)]
+    indexed = [x for name, s, n in chunks if name[:2] == b"ix" for x in _new_index(data, s, n)]
+    if set(indexed) <= set(frames) and indexed:
+        frames = indexed
+    return seconds, [data[s : s + n] for s, n in frames]
 
 
 @dataclass

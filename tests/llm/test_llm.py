@@ -375,15 +375,27 @@ def test_token_counts_query_equals_greedy_matching(spark):
     assert not got
 
 
-def baseline_frame(grey, colour=False, restart=0):
-    """A baseline JPEG file of an image, all quantisers 1; with colour, two flat components of half the size."""
+def canonical(table):
+    """Code and length of each symbol of a Huffman table, counted up length by length."""
+    codes, code, at = {}, 0, 16
+    for length in range(1, 17):
+        for symbol in table[at : at + table[length - 1]]:
+            codes[symbol] = code, length
+            code += 1
+        at += table[length - 1]
+        code <<= 1
+    return codes
+
+
+def baseline_frame(grey, colour=False, restart=0, standard=False):
+    """A baseline JPEG file of an image, all quantisers 1; with colour, two flat components of half the size; standard: without tables."""
     from atlasmith.llm import jpeg
 
     step = 16 if colour else 8
     height, width = grey.shape
     image = np.pad(grey, ((0, -height % step), (0, -width % step)), mode="edge").astype(float) - 128
     tables = {0: bytes([0, 0, 0, 12] + [0] * 12) + bytes(range(12)), 16: bytes([0] * 7 + [176] + [0] * 8) + bytes(r << 4 | s for r in range(16) for s in range(11))}
-    codes = {k: {s: (i, 4 if k == 0 else 8) for i, s in enumerate(t[16:])} for k, t in tables.items()}
+    codes = {k: canonical(jpeg.STANDARD[k]) if standard else {s: (i, 4 if k == 0 else 8) for i, s in enumerate(t[16:])} for k, t in tables.items()}
     segments, bits, last = [], "", 0
 
     def value(x):
@@ -429,7 +441,7 @@ def baseline_frame(grey, colour=False, restart=0):
     part = lambda mark, body: bytes([0xFF, mark]) + (len(body) + 2).to_bytes(2, "big") + body
     ids = (1, 2, 3) if colour else (1,)
     head = part(0xDB, b"\x00" + b"\x01" * 64) + part(0xC0, b"\x08" + height.to_bytes(2, "big") + width.to_bytes(2, "big") + bytes([len(ids)]) + b"".join(bytes([c, 0x22 if colour and c == 1 else 0x11, 0]) for c in ids))
-    head += part(0xC4, b"\x00" + tables[0] + b"\x10" + tables[16]) + (part(0xDD, restart.to_bytes(2, "big")) if restart else b"")
+    head += (b"" if standard else part(0xC4, b"\x00" + tables[0] + b"\x10" + tables[16])) + (part(0xDD, restart.to_bytes(2, "big")) if restart else b"")
     head += part(0xDA, bytes([len(ids)]) + b"".join(bytes([c, 0]) for c in ids) + bytes([0, 63, 0]))
     scan = segments[0] + b"".join(bytes([0xFF, 0xD0 + k % 8]) + x for k, x in enumerate(segments[1:]))
     return b"\xff\xd8" + head + scan + b"\xff\xd9"
@@ -444,6 +456,43 @@ def test_baseline_frames_are_decoded(colour, restart):
     assert np.abs(found[0].astype(int) - grey).max() <= 2 and found[1:] == [None, None, None]
 
 
+def test_frames_without_tables_use_the_standard_ones():
+    from atlasmith.llm import jpeg
+
+    for table in jpeg.STANDARD.values():
+        assert sum(table[:16]) == len(table) - 16 == len(set(table[16:])) and max(c >> (n - 1) for c, n in canonical(table).values()) == 1
+    rng = np.random.default_rng(8)
+    grey = np.clip(np.add.outer(np.arange(24) * 4, np.arange(40) * 3) + rng.integers(-60, 60, (24, 40)), 0, 255).astype(np.uint8)
+    assert np.abs(media.decode_frames([baseline_frame(grey, standard=True)])[0].astype(int) - grey).max() <= 2
+
+
+def test_indexes_of_other_writers():
+    """Absolute idx1 offsets, wrong ones, rec groups, and OpenDML indexes over two RIFF parts give the same clips."""
+    levels = np.repeat(np.array([10, 200, 90], np.uint8), 12)[:, None, None] * np.ones((1, 12, 16), np.uint8)
+    frames = media.encode_frames(levels)
+    file = media.write_avi(frames)
+    want = media.clips_of(file)
+    assert [(c.first_frame, c.n_frames) for c in want] == [(0, 12), (12, 12), (24, 12)]
+    movi, at = file.index(b"movi"), file.index(b"idx1") + 8
+    index = np.frombuffer(file[at:], "<u4").reshape(-1, 4)
+    for shift in (movi, 3):
+        other = index.copy()
+        other[:, 2] += shift
+        assert media.clips_of(file[:at] + other.tobytes()) == want
+    chunk = media._chunk
+    head = file[12 : movi - 8]
+    groups = b"".join(chunk(b"LIST", b"rec " + b"".join(chunk(b"00dc", x) for x in frames[i : i + 5])) for i in range(0, len(frames), 5))
+    assert media.clips_of(chunk(b"RIFF", b"AVI " + head + chunk(b"LIST", b"movi" + groups))) == want
+    out = b""
+    for kind, some, inside in ((b"AVI ", frames[:20], head), (b"AVIX", frames[20:], b"")):
+        base = len(out) + 12 + len(inside) + 12
+        offsets = base + 8 + np.concatenate(([0], np.cumsum([8 + len(x) + len(x) % 2 for x in some])[:-1]))
+        entries = np.stack([offsets - base, [len(x) for x in some]], axis=1).astype("<u4").tobytes()
+        ix = b"\x02\x00\x00\x01" + len(some).to_bytes(4, "little") + b"00dc" + base.to_bytes(8, "little") + bytes(4) + entries
+        out += chunk(b"RIFF", kind + inside + chunk(b"LIST", b"movi" + b"".join(chunk(b"00dc", x) for x in some) + chunk(b"ix00", ix)))
+    assert media.clips_of(out) == want and len(media._new_index(out, out.index(b"ix00") + 8, 24 + 8 * 20)) == 20
+
+
 def test_shots_of_baseline_files():
     frames = [baseline_frame(np.full((16, 16), level, np.uint8)) for level in (20, 220, 90) for _ in range(12)]
     assert [(c.first_frame, c.n_frames) for c in media.clips_of(media.write_avi(frames, 16, 16))] == [(0, 12), (12, 12), (24, 12)]
