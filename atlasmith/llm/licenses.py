@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from atlasmith.llm import _shared as S
 
-MENTION = r"(?i)licen[sc]|copyright|\bpermission is hereby\b|redistribut|warrant|spdx|\bgpl\b|creative commons|\bcc.by\b"
+MENTION = r"(?i)licen[sc]|copyright|\bpermission is hereby\b|redistribut|warrant|spdx|\bgpl\b|creative commons|\bcc.by\b|\bcc0\b|public domain"
 TRIED, TIE = 3, 0.02
 LEAST_GAIN = 0.2
 MAX_CHANGED = 0.15
