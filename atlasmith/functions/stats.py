@@ -1,4 +1,4 @@
-"""Robust statistics over groups, as joins of small aggregates: no window ever spans an unkeyed table."""
+"""Robust statistics over groups, exact, from counts per distinct value in buckets: no task holds a whole group's values."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from atlasmith import settings as C
 
+#: Parts into which the distinct values of a group are cut.
+BUCKETS = 128
+
 
 def _with_groups(df: DataFrame, groups: list[str], stats: DataFrame) -> DataFrame:
     """Join one row of statistics per group; Spark broadcasts it if it is small."""
@@ -20,10 +23,42 @@ def _with_groups(df: DataFrame, groups: list[str], stats: DataFrame) -> DataFram
     return df.join(renamed, on, "left").drop(*(f"__{g}" for g in groups))
 
 
+def _running(counted: DataFrame, groups: list[str], value: str, weight: str, kind: str) -> DataFrame:
+    """counted, a row per group and distinct value, with __upto, the weight up to and with the value, and __total of the group.
+
+    A group's values are cut into BUCKETS of about as many rows each at approximate quantiles. Any cut
+    gives the same sums, so the result is exact; windows span one bucket's rows, or one group's buckets.
+    """
+    cuts = counted.groupBy(*groups).agg(F.percentile_approx(value, [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS).alias("__cuts"))
+    below = F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col(value))), F.lit(0))
+    dealt = _with_groups(counted, groups, cuts).withColumn("__bucket", below).drop("__cuts")
+    whole = Window.partitionBy(*(groups or [F.lit(0)]))
+    sums = dealt.groupBy(*groups, "__bucket").agg(F.sum(weight).cast(kind).alias("__sum"))
+    before = F.sum("__sum").over(whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(*groups, "__bucket", F.coalesce(before.cast(kind), F.lit(0).cast(kind)).alias("__before"), F.sum("__sum").over(whole).cast(kind).alias("__total"))
+    inside = F.sum(weight).over(Window.partitionBy(*groups, "__bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)).cast(kind)
+    return _with_groups(dealt, [*groups, "__bucket"], sums).withColumn("__upto", F.col("__before") + inside).drop("__bucket", "__before")
+
+
+def percentiles(df: DataFrame, groups: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """Per group, linear interpolation at p * (n - 1) for each {name: p}; nulls are left out."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("__n"))
+    ran = _running(counted, groups, value, "__n", "bigint")
+    ends = {}
+    for name, p in wanted.items():
+        at = F.lit(float(p)) * (F.col("__total") - 1)
+        for end, k in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            ends[f"__{end}_{name}"] = F.min(F.when(F.col("__upto") > k, F.col(value)))
+    found = ran.groupBy(*groups).agg(F.max("__total").alias("__total"), *(c.alias(n) for n, c in ends.items()))
+    out = []
+    for name, p in wanted.items():
+        at, lo, hi = F.lit(float(p)) * (F.col("__total") - 1), F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
+        out.append(F.when(lo == hi, lo.cast("double")).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).alias(name))
+    return found.select(*groups, *out)
+
+
 def percentile_value(df: DataFrame, groups: list[str], value: str, p: float, name: str = "percentile") -> DataFrame:
-    """Linear interpolation at p * (n - 1), per group, from counts per distinct value."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("n"))
-    return counted.groupBy(*groups).agg(F.percentile(value, F.lit(p), F.col("n")).alias(name))
+    return percentiles(df, groups, value, {name: p})
 
 
 def winsorize(df: DataFrame, groups: list[str], value: str, p: float = C.WINSOR) -> DataFrame:
@@ -34,10 +69,8 @@ def winsorize(df: DataFrame, groups: list[str], value: str, p: float = C.WINSOR)
 
 def percentile_rank(df: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
     """0-1 average rank; (cumulative count - half the ties) / n, from counts per distinct value."""
-    counted = df.groupBy(*groups, value).agg(F.count("*").alias("__n"))
-    by = Window.partitionBy(*(groups or [F.lit(0)]))
-    upto = F.sum("__n").over(by.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    share = counted.withColumn(name, (upto - F.col("__n") / 2) / F.sum("__n").over(by)).drop("__n")
+    ran = _running(df.groupBy(*groups, value).agg(F.count("*").alias("__n")), groups, value, "__n", "bigint")
+    share = ran.select(*groups, value, ((F.col("__upto") - F.col("__n") / 2) / F.col("__total")).alias(name))
     return _with_groups(df, [*groups, value], share)
 
 
@@ -54,11 +87,11 @@ def minmax_to_100(df: DataFrame, groups: list[str], value: str, name: str) -> Da
 
 def scale_counts(df: DataFrame, groups: list[str], columns: dict[str, str], p: float = C.WINSOR) -> DataFrame:
     """min-max of log1p of the winsorised value, 0-100, for several columns {new: old} in one aggregation."""
-    aggs = []
-    for new, old in columns.items():
-        c = F.col(old).cast("double")
-        aggs += [F.percentile(c, p).alias(f"__c_{new}"), F.min(c).alias(f"__a_{new}"), F.max(c).alias(f"__b_{new}")]
-    out = _with_groups(df, groups, df.groupBy(*groups).agg(*aggs))
+    cell = (F.struct(F.lit(new).alias("__column"), F.col(old).cast("double").alias("__value")) for new, old in columns.items())
+    cells = df.select(*groups, F.explode(F.array(*cell)).alias("__cell")).select(*groups, "__cell.*")
+    limits = percentiles(cells, [*groups, "__column"], "__value", {"__a": 0, "__b": 1, "__c": p})
+    wide = limits.groupBy(*groups).agg(*(F.max(F.when(F.col("__column") == new, F.col(f"__{k}"))).alias(f"__{k}_{new}") for new in columns for k in "abc"))
+    out = _with_groups(df, groups, wide)
     for new, old in columns.items():
         ceiling = F.col(f"__c_{new}")
         lo, hi = F.log1p(F.least(F.col(f"__a_{new}"), ceiling)), F.log1p(F.least(F.col(f"__b_{new}"), ceiling))
@@ -73,8 +106,6 @@ def scale_rank(df: DataFrame, groups: list[str], value: str, name: str) -> DataF
 
 def weighted_median(df: DataFrame, groups: list[str], value: str, weight: str, name: str = "weighted_median") -> DataFrame:
     """Per group the first value at which the cumulative weight reaches half; weights as exact decimals."""
-    summed = df.groupBy(*groups, value).agg(F.sum(F.col(weight).cast("decimal(38,12)")).alias("w"))
-    by = Window.partitionBy(*(groups or [F.lit(0)]))
-    upto = F.sum("w").over(by.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    marked = summed.withColumn("upto", upto).withColumn("total", F.sum("w").over(by))
-    return marked.groupBy(*groups).agg(F.min(F.when(F.col("upto") * 2 >= F.col("total"), F.col(value))).alias(name))
+    summed = df.groupBy(*groups, value).agg(F.sum(F.col(weight).cast("decimal(30,12)")).alias("__w"))
+    ran = _running(summed, groups, value, "__w", "decimal(36,12)")
+    return ran.groupBy(*groups).agg(F.min(F.when(F.col("__upto") >= F.col("__total") - F.col("__upto"), F.col(value))).alias(name))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atlasmith.functions import expressions as X
+from atlasmith.functions import stats
 from atlasmith.sources import tables as T
 
 COMPONENTS = ("expert_supply", "expert_quality", "collaboration_depth", "ecosystem_breadth")
@@ -57,7 +58,8 @@ def confidence_distribution(locations: DataFrame) -> DataFrame:
 
 
 def score_summary(scores: DataFrame, column: str) -> DataFrame:
-    return scores.agg(F.count("*").alias("n_rows"), F.min(column).alias("lowest"), F.median(column).alias("middle"), F.max(column).alias("highest"))
+    ends = scores.agg(F.count("*").alias("n_rows"), F.min(column).alias("lowest"), F.max(column).alias("highest"))
+    return ends.crossJoin(stats.percentile_value(scores, [], column, 0.5, "middle"))  # one row each
 
 
 def funnel(stages: dict[str, DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from atlasmith import settings as C
 from atlasmith.functions import expressions as X
+from atlasmith.functions import stats as S
 from atlasmith.operators import discovery as D
 from atlasmith.operators import scores as G
 from atlasmith.sources import tables as T
@@ -32,25 +33,44 @@ def check_duplicates(df: DataFrame, keys: list[str], name: str, why: str) -> Dat
     return check_rows(D.dup_keys(df, keys), {name: (F.lit(True), why)})
 
 
-def quality_checks(repos: DataFrame, grid: DataFrame, contributors: DataFrame, start: datetime.date, end: datetime.date) -> DataFrame:
-    """The eleven discovery checks."""
+def repo_tests(start: datetime.date, end: datetime.date) -> dict[str, tuple[Column, str]]:
+    """Tests on the rows of repositories, by the check's name."""
     counts = ["unique_human_contributors", "active_days", "active_months", "push_events", "push_commit_count", "pull_requests_opened", "pull_requests_closed", "merged_pull_requests",
               "reviews_submitted", "issues_opened", "issue_comments", "releases", "weighted_activity_score"]
-    own = ["push_events", "pull_requests_opened", "merged_pull_requests_authored", "reviews_submitted", "issues_opened", "issue_comments", "active_days", "active_months", "raw_contribution_points"]
     total = sum((F.col(c) for c in ("pull_requests_opened", "pull_requests_closed", "reviews_submitted", "issues_opened", "issue_comments", "releases")), F.col("push_events"))
     accepted = F.col("discovery_status") == "accepted"
-    out = check_rows(repos, {
+    return {
         "repo_date_bounds": ((F.col("first_seen") < F.lit(start)) | (F.col("last_seen") > F.lit(end)) | (F.col("first_seen") > F.col("last_seen")), "first_seen and last_seen within the window and ordered"),
         "repo_non_negative_counts": (_any(counts, lambda c: c < 0), "every repository counter and score non-negative"),
         "repo_share_bounds": (_any(["automation_event_share", "single_actor_event_share"], lambda c: (c < 0) | (c > 1)), "shares within [0, 1]"),
         "merged_within_closed": (F.col("merged_pull_requests") > F.col("pull_requests_closed"), "merged pull requests never exceed closed ones"),
         "meaningful_events_consistency": (F.col("meaningful_events") != total, "meaningful_events equals the sum of counted human events"),
         "status_reason_consistency": (accepted == F.col("exclusion_reason").isNotNull(), "accepted rows carry no reason, all others one"),
-    })
-    out = out.unionByName(check_rows(contributors, {"contributor_non_negative_counts": (_any(own, lambda c: c < 0), "every contributor counter and score non-negative")}))
-    out = out.unionByName(check_rows(D.anti_membership(contributors, repos), {"contributor_repo_membership": (F.lit(True), "every contributor row belongs to an accepted repository")}))
-    for df, keys, name in ((grid, ["month", "repo_name", "actor_login"], "grid"), (repos, ["repo_name"], "repo"), (contributors, ["actor_login", "repo_name"], "contributor")):
-        out = out.unionByName(check_duplicates(df, keys, f"{name}_duplicate_keys", f"{', '.join(keys)} unique"))
+    }
+
+
+def check_contributor_non_negative(contributors: DataFrame) -> DataFrame:
+    own = ["push_events", "pull_requests_opened", "merged_pull_requests_authored", "reviews_submitted", "issues_opened", "issue_comments", "active_days", "active_months", "raw_contribution_points"]
+    return check_rows(contributors, {"contributor_non_negative_counts": (_any(own, lambda c: c < 0), "every contributor counter and score non-negative")})
+
+
+def check_contributor_membership(contributors: DataFrame, repos: DataFrame) -> DataFrame:
+    return check_rows(D.anti_membership(contributors, repos), {"contributor_repo_membership": (F.lit(True), "every contributor row belongs to an accepted repository")})
+
+
+#: Keys that are unique in the grid, and in rows of repositories and contributors.
+KEYS = {"grid": ["month", "repo_name", "actor_login"], "repo": ["repo_name"], "contributor": ["actor_login", "repo_name"]}
+
+
+def check_keys(df: DataFrame, name: str) -> DataFrame:
+    return check_duplicates(df, KEYS[name], f"{name}_duplicate_keys", f"{', '.join(KEYS[name])} unique")
+
+
+def quality_checks(repos: DataFrame, grid: DataFrame, contributors: DataFrame, start: datetime.date, end: datetime.date) -> DataFrame:
+    """The eleven discovery checks."""
+    out = check_rows(repos, repo_tests(start, end)).unionByName(check_contributor_non_negative(contributors)).unionByName(check_contributor_membership(contributors, repos))
+    for name, df in (("grid", grid), ("repo", repos), ("contributor", contributors)):
+        out = out.unionByName(check_keys(df, name))
     return out
 
 
@@ -144,8 +164,9 @@ def coverage_bias(rows: DataFrame, dimensions: list[str]) -> DataFrame:
 
 def activity_decile(df: DataFrame, value: str, name: str = "activity_decile") -> DataFrame:
     """1 to 10 by exact cut points from counts per distinct value, without sorting all rows."""
-    cuts = df.groupBy(value).agg(F.count("*").alias("n")).agg(F.percentile(value, F.array(*(F.lit(i / 10) for i in range(1, 10))), F.col("n")).alias("cuts"))
-    return df.crossJoin(F.broadcast(cuts)).withColumn(name, F.size(F.filter("cuts", lambda c: F.col(value) > c)) + 1).drop("cuts")
+    cuts = S.percentiles(df, [], value, {f"__d{i}": i / 10 for i in range(1, 10)})
+    above = sum((F.coalesce((F.col(value) > F.col(c)).cast("int"), F.lit(0)) for c in cuts.columns), F.lit(1))
+    return df.crossJoin(F.broadcast(cuts)).withColumn(name, above).drop(*cuts.columns)
 
 
 def scenario_weights(weights: dict[str, float], name: str, change: float) -> dict[str, float]:
@@ -161,7 +182,7 @@ def scenario_shift(ranks: DataFrame, baseline: str = "baseline") -> DataFrame:
 
 def sensitivity(scores: DataFrame, activity: DataFrame, classification: DataFrame, locations: DataFrame, repo_scores: DataFrame, window_end: datetime.date, minimums: dict = C.MIN_SAMPLES) -> DataFrame:
     """Ranks under other supply weights, without the top 1 % of repositories, and without the largest owner; with shifts."""
-    limit = repo_scores.agg(F.percentile("repository_quality_score", F.lit(0.99)).alias("limit"))
+    limit = S.percentile_value(repo_scores, [], "repository_quality_score", 0.99, "limit")
     top = repo_scores.crossJoin(limit).where("repository_quality_score >= limit").select("repo_name")
     owners = activity.groupBy(X.owner_of("repo_name").alias("owner")).agg(F.count("*").alias("n"))
     largest = owners.orderBy(F.desc("n"), "owner").limit(1)

@@ -58,12 +58,16 @@ def repo_maturity() -> Column:
 
 
 def score_repositories(activity: DataFrame, metadata: DataFrame, classification: DataFrame, window_end: datetime.date) -> DataFrame:
-    df = repo_signals(join_score_inputs(classification, activity, metadata), window_end)
+    return finish_repositories(repo_signals(join_score_inputs(classification, activity, metadata), window_end))
+
+
+def finish_repositories(signals: DataFrame) -> DataFrame:
+    """Signals (staged, in long plans) to the table of scores."""
     parts = {
         "recent_activity": repo_recent_activity(), "contributor_diversity": repo_diversity(), "collaboration_quality": repo_collaboration(),
         "technical_relevance": repo_relevance(), "repository_maturity": repo_maturity(),
     }
-    scored = df.select("repo_name", *(c.alias(f"{n}_score") for n, c in parts.items()))
+    scored = signals.select("repo_name", *(c.alias(f"{n}_score") for n, c in parts.items()))
     return scored.withColumn("repository_quality_score", X.weighted_blend({n: f"{n}_score" for n in parts}, C.REPOSITORY))
 
 
@@ -95,24 +99,40 @@ def join_quality(activity: DataFrame, scores: DataFrame) -> DataFrame:
     return activity.join(scores.select("repo_name", F.col("repository_quality_score").alias("quality")), "repo_name")
 
 
+CONTRIBUTOR_KEY = ["domain_id", "actor_login"]
+
+
+def evidence_rows(activity: DataFrame, classification: DataFrame, scores: DataFrame) -> DataFrame:
+    """Rows of qualified repositories with points, capped points and the repository's quality."""
+    return capped_points(join_quality(semi_qualified_activity(activity, classification, scores), scores))
+
+
+def active_time_bounds(rows: DataFrame) -> DataFrame:
+    """Lower bounds of an actor's active days and months: the most in one repository, or the dates known from all."""
+    seen = F.explode(F.array("first_seen", "last_seen"))
+    dates = rows.select(*CONTRIBUTOR_KEY, seen.alias("d")).groupBy(*CONTRIBUTOR_KEY).agg(F.count_distinct("d").alias("dates"), F.count_distinct(F.trunc("d", "MM")).alias("date_months"))
+    most = rows.groupBy(*CONTRIBUTOR_KEY).agg(F.max("active_days").alias("max_days"), F.max("active_months").alias("max_months"))
+    return most.join(dates, CONTRIBUTOR_KEY).select(*CONTRIBUTOR_KEY, F.greatest("max_days", "dates").alias("days"), F.greatest("max_months", "date_months").alias("months"))
+
+
+def quality_exposure() -> Column:
+    """An aggregate of evidence rows: their quality by capped points."""
+    return F.when(F.sum("capped") > 0, F.try_divide(F.sum(F.col("capped") * F.col("quality")), F.sum("capped"))).otherwise(F.avg("quality"))
+
+
 def contributor_evidence(activity: DataFrame, classification: DataFrame, scores: DataFrame) -> DataFrame:
     """One row per (domain, actor) with enough active days."""
-    rows = capped_points(join_quality(semi_qualified_activity(activity, classification, scores), scores))
-    key = ["domain_id", "actor_login"]
-    seen = F.explode(F.array("first_seen", "last_seen"))
-    dates = rows.select(*key, seen.alias("d")).groupBy(*key).agg(F.count_distinct("d").alias("dates"), F.count_distinct(F.trunc("d", "MM")).alias("date_months"))
+    rows, key = evidence_rows(activity, classification, scores), CONTRIBUTOR_KEY
     subdomains = rows.select(*key, "repo_name").join(classification.select("repo_name", F.explode("subdomains").alias("s")), "repo_name").groupBy(*key).agg(F.count_distinct("s").alias("subdomain_count"))
     raw = sum((F.col(c) for c in ("pull_requests_opened", "merged_pull_requests_authored", "reviews_submitted", "issues_opened", "issue_comments")), F.col("push_events"))
     folded = rows.groupBy(*key).agg(
         F.count("*").alias("qualified_repo_count"), F.sum("capped").alias("weighted_event_points"), F.sum(raw).alias("raw_event_count"),
         F.sum("reviews_submitted").alias("reviews_total"), F.sum(F.col("pull_requests_opened") + F.col("merged_pull_requests_authored")).alias("pr_participation"),
-        F.count_distinct(X.owner_of("repo_name")).alias("org_count"), F.max("active_days").alias("max_days"), F.max("active_months").alias("max_months"),
-        F.max("last_seen").alias("latest"), F.datediff(F.max("last_seen"), F.min("first_seen")).alias("span_days"),
-        F.when(F.sum("capped") > 0, F.try_divide(F.sum(F.col("capped") * F.col("quality")), F.sum("capped"))).otherwise(F.avg("quality")).alias("exposure"),
+        F.count_distinct(X.owner_of("repo_name")).alias("org_count"),
+        F.max("last_seen").alias("latest"), F.datediff(F.max("last_seen"), F.min("first_seen")).alias("span_days"), quality_exposure().alias("exposure"),
     )
-    whole = folded.join(dates, key).join(subdomains, key, "left").withColumn("subdomain_count", F.coalesce("subdomain_count", F.lit(0)))
-    whole = whole.withColumns({"days": F.greatest("max_days", "dates"), "months": F.greatest("max_months", "date_months")})
-    return whole.where(F.col("days") >= C.MIN_ACTIVE_DAYS).drop("max_days", "max_months", "dates", "date_months")
+    whole = folded.join(active_time_bounds(rows), key).join(subdomains, key, "left").withColumn("subdomain_count", F.coalesce("subdomain_count", F.lit(0)))
+    return whole.where(F.col("days") >= C.MIN_ACTIVE_DAYS)
 
 
 def join_location_default(contributors: DataFrame, locations: DataFrame) -> DataFrame:
@@ -120,28 +140,49 @@ def join_location_default(contributors: DataFrame, locations: DataFrame) -> Data
     return contributors.join(cols, "actor_login", "left").withColumn("location_confidence", F.coalesce("location_confidence", F.lit("unusable")))
 
 
-def contributor_components(evidence: DataFrame, window_end: datetime.date) -> DataFrame:
+def contributor_signals(evidence: DataFrame, window_end: datetime.date) -> DataFrame:
+    """evidence with every signal of the five components, 0-100, in its domain."""
     by = ["domain_id"]
     df = evidence.withColumns({"breadth": F.col("qualified_repo_count") + F.col("org_count"), "s_age": -X.days_since(F.lit(window_end), "latest").cast("double")})
     df = S.scale_counts(df, by, {"x_points": "weighted_event_points", "x_repos": "qualified_repo_count", "x_subdomains": "subdomain_count", "x_months": "months", "x_span": "span_days", "x_reviews": "reviews_total", "x_pr": "pr_participation", "x_breadth": "breadth"})
-    df = S.scale_rank(df, by, "s_age", "x_recency")
-    w = C.CONTRIBUTOR_SIGNALS
-    df = df.withColumns({
-        "domain_activity_score": X.weighted_blend({"event_points": "x_points", "qualified_repo_count": "x_repos", "subdomain_breadth": "x_subdomains"}, w["domain_activity"]),
-        "contribution_quality_score": F.col("x_points"), "repository_quality_exposure_score": F.col("exposure"),
-        "continuity_score": X.weighted_blend({"active_months": "x_months", "recency": "x_recency", "activity_span": "x_span"}, w["continuity"]),
-        "collaboration_score": X.weighted_blend({"reviews": "x_reviews", "pull_request_participation": "x_pr", "repo_org_breadth": "x_breadth"}, w["collaboration"]),
+    return S.scale_rank(df, by, "s_age", "x_recency")
+
+
+def contrib_domain_activity() -> Column:
+    return X.weighted_blend({"event_points": "x_points", "qualified_repo_count": "x_repos", "subdomain_breadth": "x_subdomains"}, C.CONTRIBUTOR_SIGNALS["domain_activity"])
+
+
+def contrib_quality() -> Column:
+    return F.col("x_points")
+
+
+def contrib_exposure() -> Column:
+    return F.col("exposure")
+
+
+def contrib_continuity() -> Column:
+    return X.weighted_blend({"active_months": "x_months", "recency": "x_recency", "activity_span": "x_span"}, C.CONTRIBUTOR_SIGNALS["continuity"])
+
+
+def contrib_collaboration() -> Column:
+    return X.weighted_blend({"reviews": "x_reviews", "pull_request_participation": "x_pr", "repo_org_breadth": "x_breadth"}, C.CONTRIBUTOR_SIGNALS["collaboration"])
+
+
+def contributor_components(signals: DataFrame) -> DataFrame:
+    df = signals.withColumns({
+        "domain_activity_score": contrib_domain_activity(), "contribution_quality_score": contrib_quality(), "repository_quality_exposure_score": contrib_exposure(),
+        "continuity_score": contrib_continuity(), "collaboration_score": contrib_collaboration(),
     })
     return df.withColumn("expert_score", X.weighted_blend({n: f"{n}_score" for n in C.CONTRIBUTOR}, C.CONTRIBUTOR))
 
 
 def score_contributors(activity: DataFrame, classification: DataFrame, scores: DataFrame, locations: DataFrame, window_end: datetime.date) -> DataFrame:
-    return finish_contributors(contributor_evidence(activity, classification, scores), locations, window_end)
+    return finish_contributors(contributor_signals(contributor_evidence(activity, classification, scores), window_end), locations)
 
 
-def finish_contributors(evidence: DataFrame, locations: DataFrame, window_end: datetime.date) -> DataFrame:
-    """Evidence (staged, in long plans) to the table of scores."""
-    df = join_location_default(contributor_components(evidence, window_end), locations)
+def finish_contributors(signals: DataFrame, locations: DataFrame) -> DataFrame:
+    """Signals (staged, in long plans) to the table of scores."""
+    df = join_location_default(contributor_components(signals), locations)
     return df.select(
         "actor_login", "domain_id", "expert_score", "domain_activity_score", "contribution_quality_score", "repository_quality_exposure_score", "continuity_score", "collaboration_score",
         "qualified_repo_count", F.col("months").alias("active_months"), "country_code", "city", "location_confidence", (F.col("qualified_repo_count") == 1).alias("one_repo"), "raw_event_count", "weighted_event_points",
@@ -282,29 +323,66 @@ def geo_evidence(scores: DataFrame, activity: DataFrame, classification: DataFra
     return out.withColumns(zero).withColumn("top_subdomains", F.coalesce("top_subdomains", F.array().cast("array<string>"))).join(located_coverage(scores, locations), "domain_id")
 
 
+def geo_signals(evidence: DataFrame) -> DataFrame:
+    """evidence with its counts scaled among the geographies of a domain and level."""
+    df = S.scale_counts(evidence, POPULATION, {"x_supply": "capped_supply", "x_repos": "qualified_repo_count", "x_orgs": "organization_count", "x_subs": "subdomain_count"})
+    return df.withColumn("high_confidence_location_share", F.col("high_confidence_count") / F.col("observable_expert_count"))
+
+
+def geo_supply() -> Column:
+    return F.col("x_supply")
+
+
+def geo_quality() -> Column:
+    return X.weighted_blend({"weighted_median": F.coalesce("weighted_median", F.lit(0.0)), "top_quartile_share": "top_quartile_share"}, C.GEO_SIGNALS["expert_quality"])
+
+
+def geo_collaboration() -> Column:
+    return X.weighted_blend({n: n for n in C.GEO_SIGNALS["collaboration_depth"]}, C.GEO_SIGNALS["collaboration_depth"])
+
+
+def geo_breadth() -> Column:
+    parts = {"qualified_repos": "x_repos", "organizations": "x_orgs", "subdomain_breadth": "x_subs", "low_concentration": (1 - F.col("max_org_share")) * 100}
+    return X.weighted_blend(parts, C.GEO_SIGNALS["ecosystem_breadth"])
+
+
+def geo_confidence(minimums: dict = C.MIN_SAMPLES) -> Column:
+    return X.weighted_blend({
+        "located_profile_coverage": F.col("coverage") * 100, "location_certainty": F.col("high_confidence_location_share") * 100, "sample_size_adequacy": sample_adequacy(minimums) * 100,
+        "repository_diversity": (1 - F.col("max_repo_share")) * 100, "organization_diversity": (1 - F.col("max_org_share")) * 100,
+    }, C.CONFIDENCE)
+
+
+def geo_opportunity(weights: dict[str, float] = C.OPPORTUNITY) -> Column:
+    """From the five components."""
+    return X.weighted_blend({n: f"{n}_score" for n in C.OPPORTUNITY}, weights)
+
+
+def org_concentration_flag() -> Column:
+    return F.col("max_org_share") > C.ORG_SHARE_FLAG
+
+
+def geo_components(signals: DataFrame, minimums: dict = C.MIN_SAMPLES) -> DataFrame:
+    return signals.withColumns({
+        "expert_supply_score": geo_supply(), "expert_quality_score": geo_quality(), "collaboration_depth_score": geo_collaboration(), "momentum_score": momentum_direction(),
+        "ecosystem_breadth_score": geo_breadth(), "samples_ok": sample_gate(minimums), "confidence_score": geo_confidence(minimums),
+    })
+
+
+def geo_id() -> Column:
+    return F.when(F.col("geo_level") == "country", F.col("country_code")).otherwise(X.city_geo_id("country_code", "city"))
+
+
 def score_geographies(evidence: DataFrame, opportunity: dict[str, float] = C.OPPORTUNITY, minimums: dict = C.MIN_SAMPLES) -> DataFrame:
     """Evidence scaled among the geographies of a domain and level, tiered and ranked."""
-    g = C.GEO_SIGNALS
-    df = S.scale_counts(evidence, POPULATION, {"expert_supply_score": "capped_supply", "x_repos": "qualified_repo_count", "x_orgs": "organization_count", "x_subs": "subdomain_count"})
-    high = F.col("high_confidence_count") / F.col("observable_expert_count")
-    df = df.withColumns({
-        "expert_quality_score": X.weighted_blend({"weighted_median": F.coalesce("weighted_median", F.lit(0.0)), "top_quartile_share": "top_quartile_share"}, g["expert_quality"]),
-        "collaboration_depth_score": X.weighted_blend({n: n for n in g["collaboration_depth"]}, g["collaboration_depth"]), "momentum_score": momentum_direction(),
-        "ecosystem_breadth_score": X.weighted_blend({"qualified_repos": "x_repos", "organizations": "x_orgs", "subdomain_breadth": "x_subs", "low_concentration": (1 - F.col("max_org_share")) * 100}, g["ecosystem_breadth"]),
-        "samples_ok": sample_gate(minimums), "high_confidence_location_share": high,
-        "confidence_score": X.weighted_blend({
-            "located_profile_coverage": F.col("coverage") * 100, "location_certainty": high * 100, "sample_size_adequacy": sample_adequacy(minimums) * 100,
-            "repository_diversity": (1 - F.col("max_repo_share")) * 100, "organization_diversity": (1 - F.col("max_org_share")) * 100,
-        }, C.CONFIDENCE),
-    })
-    df = df.withColumn("opportunity_score", X.weighted_blend({n: f"{n}_score" for n in C.OPPORTUNITY}, opportunity))
-    df = df.withColumn("geo_id", F.when(F.col("geo_level") == "country", F.col("country_code")).otherwise(X.city_geo_id("country_code", "city")))
+    df = geo_components(geo_signals(evidence), minimums).withColumn("opportunity_score", geo_opportunity(opportunity))
+    df = df.withColumn("geo_id", geo_id())
     df = df.withColumn("recommendation_tier", X.assign_tier("opportunity_score", "confidence_score", "samples_ok"))
     return geo_rank(df).select(
         "geo_level", "geo_id", "country_code", "city", "domain_id", "opportunity_score", "confidence_score", "expert_supply_score", "expert_quality_score", "collaboration_depth_score", "momentum_score",
         "ecosystem_breadth_score", "observable_expert_count", "weighted_expert_count", "qualified_repo_count", "organization_count", (F.col("multi_repo_share") / 100).alias("multi_repo_expert_share"),
         F.col("coverage").alias("located_profile_coverage"), "high_confidence_location_share", "top_subdomains", "rank", "recommendation_tier",
-        F.col("max_org_share").alias("org_concentration_share"), (F.col("max_org_share") > C.ORG_SHARE_FLAG).alias("org_concentration_flag"),
+        F.col("max_org_share").alias("org_concentration_share"), org_concentration_flag().alias("org_concentration_flag"),
     )
 
 

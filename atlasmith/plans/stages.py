@@ -64,17 +64,25 @@ class Stages:
     def countries(self) -> DataFrame:
         return A.country_names(self.spark, self.sf_dir)
 
+    @cached_property
+    def repo_signals(self) -> DataFrame:
+        return self._kept(scores.repo_signals(scores.join_score_inputs(self.classified, self.activity, self.metadata), A.WINDOW[1]))
+
     @cached_property
     def repo_scores(self) -> DataFrame:
-        return self._kept(scores.score_repositories(self.activity, self.metadata, self.classified, A.WINDOW[1]))
+        return self._kept(scores.finish_repositories(self.repo_signals))
 
     @cached_property
     def contributor_evidence(self) -> DataFrame:
         return self._kept(scores.contributor_evidence(self.contributors, self.classified, self.repo_scores))
 
+    @cached_property
+    def contributor_signals(self) -> DataFrame:
+        return self._kept(scores.contributor_signals(self.contributor_evidence, A.WINDOW[1]))
+
     @cached_property
     def contributor_scores(self) -> DataFrame:
-        return self._kept(scores.finish_contributors(self.contributor_evidence, self.locations, A.WINDOW[1]))
+        return self._kept(scores.finish_contributors(self.contributor_signals, self.locations))
 
     @cached_property
     def geo_evidence(self) -> DataFrame:

@@ -93,8 +93,10 @@ add("month_day_mask", lambda s: discovery.month_day_mask(s.grid), "SELECT * FROM
 add("per_repo_rollup", lambda s: _whole(s).select("repo_name", "unique_human_contributors", "push_events", "human_counted_events", "bot_counted_events", "top_human_actor_events", "first_seen", "last_seen"),
     "SELECT repo_name, count(*) FILTER (NOT is_bot AND counted_events > 0) AS unique_human_contributors, CAST(coalesce(sum(push_events) FILTER (NOT is_bot), 0) AS BIGINT) AS push_events, CAST(coalesce(sum(counted_events) FILTER (NOT is_bot), 0) AS BIGINT) AS human_counted_events, CAST(coalesce(sum(counted_events) FILTER (is_bot), 0) AS BIGINT) AS bot_counted_events, max(counted_events) FILTER (NOT is_bot) AS top_human_actor_events, min(first_seen) FILTER (NOT is_bot) AS first_seen, max(last_seen) FILTER (NOT is_bot) AS last_seen FROM per_actor GROUP BY 1")
 add("event_points", lambda s: s.contributors.select(*_actor_repo, scores.event_points().alias("points")), f"SELECT actor_login, repo_name, {Q._points} AS points FROM contributor", "points")
-for _name, _column, _doubles in (("days_lower_bound", "days", ""), ("months_lower_bound", "months", ""), ("quality_exposure", "exposure", "exposure")):
-    add(_name, lambda s, c=_column: s.contributor_evidence.select("domain_id", "actor_login", c), f"SELECT domain_id, actor_login, {_column} FROM evidence", _doubles)
+_evidence_rows = lambda s: scores.evidence_rows(s.contributors, s.classified, s.repo_scores)
+for _name, _column in (("days_lower_bound", "days"), ("months_lower_bound", "months")):
+    add(_name, lambda s, c=_column: scores.active_time_bounds(_evidence_rows(s)).where(F.col("days") >= C.MIN_ACTIVE_DAYS).select("domain_id", "actor_login", c), f"SELECT domain_id, actor_login, {_column} FROM evidence")
+add("quality_exposure", lambda s: _evidence_rows(s).join(s.contributor_evidence, scores.CONTRIBUTOR_KEY, "left_semi").groupBy(*scores.CONTRIBUTOR_KEY).agg(scores.quality_exposure().alias("exposure")), "SELECT domain_id, actor_login, exposure FROM evidence", "exposure")
 
 _members = lambda s: scores.geo_membership(s.contributor_scores, s.locations)
 _known = lambda s: scores.join_scored_actors(scores.semi_accepted_activity(s.contributors, s.classified), s.contributor_scores)
@@ -238,17 +240,22 @@ add("city_key_dim", lambda s: locations.city_key_dim(_cities(s).drop("key").with
 for _name, _make, _sql in (("eligible_country", locations.eligible_country, "location_confidence IN ('high', 'medium')"), ("eligible_city", locations.eligible_city, "location_level = 'city' AND location_confidence = 'high'")):
     add(_name, lambda s, make=_make: s.locations.select("actor_login", make().alias("ok")), f"SELECT actor_login, {_sql} AS ok FROM actor_geo")
 
-# 2.10 components of the scores
+# 2.10 components of the scores, each from its table of signals
 
-for _source, _keys, _columns in (
-    ("repo_scores", "repo_name", {"repo_recent_activity": "recent_activity_score", "repo_diversity": "contributor_diversity_score", "repo_collaboration": "collaboration_quality_score", "repo_relevance": "technical_relevance_score", "repo_maturity": "repository_maturity_score"}),
-    ("contributor_scores", "actor_login, domain_id", {"contrib_domain_activity": "domain_activity_score", "contrib_quality": "contribution_quality_score", "contrib_exposure": "repository_quality_exposure_score", "contrib_continuity": "continuity_score", "contrib_collaboration": "collaboration_score"}),
-    ("rankings", "geo_level, geo_id", {"geo_supply": "expert_supply_score", "geo_quality": "expert_quality_score", "geo_collaboration": "collaboration_depth_score", "geo_breadth": "ecosystem_breadth_score", "geo_opportunity": "opportunity_score", "geo_confidence": "confidence_score"}),
+_repo_signals, _contrib_signals = lambda s: s.repo_signals, lambda s: s.contributor_signals
+_geo_signals = lambda s: scores.geo_signals(s.geo_evidence).withColumn("geo_id", scores.geo_id())
+_confidence = lambda: scores.geo_confidence(A.SAMPLES)
+for _signals, _source, _keys, _made in (
+    (_repo_signals, "repo_scores", "repo_name", {"repo_recent_activity": (scores.repo_recent_activity, "recent_activity_score"), "repo_diversity": (scores.repo_diversity, "contributor_diversity_score"), "repo_collaboration": (scores.repo_collaboration, "collaboration_quality_score"), "repo_relevance": (scores.repo_relevance, "technical_relevance_score"), "repo_maturity": (scores.repo_maturity, "repository_maturity_score")}),
+    (_contrib_signals, "contributor_scores", "actor_login, domain_id", {"contrib_domain_activity": (scores.contrib_domain_activity, "domain_activity_score"), "contrib_quality": (scores.contrib_quality, "contribution_quality_score"), "contrib_exposure": (scores.contrib_exposure, "repository_quality_exposure_score"), "contrib_continuity": (scores.contrib_continuity, "continuity_score"), "contrib_collaboration": (scores.contrib_collaboration, "collaboration_score")}),
+    (_geo_signals, "rankings", "geo_level, geo_id", {"geo_supply": (scores.geo_supply, "expert_supply_score"), "geo_quality": (scores.geo_quality, "expert_quality_score"), "geo_collaboration": (scores.geo_collaboration, "collaboration_depth_score"), "geo_breadth": (scores.geo_breadth, "ecosystem_breadth_score"), "geo_confidence": (_confidence, "confidence_score")}),
 ):
-    for _name, _column in _columns.items():
-        add(_name, lambda s, source=_source, keys=_keys, c=_column: getattr(s, source).select(*keys.split(", "), c), f"SELECT {_keys}, {_column} FROM {_source}", _column)
-add("assign_tier", lambda s: s.rankings.select("geo_level", "geo_id", "recommendation_tier"), "SELECT geo_level, geo_id, recommendation_tier FROM rankings")
-add("org_concentration_flag", lambda s: s.rankings.select("geo_level", "geo_id", "org_concentration_flag"), f"SELECT geo_level, geo_id, max_org_share > {C.ORG_SHARE_FLAG} AS org_concentration_flag FROM rankings")
+    for _name, (_component, _column) in _made.items():
+        add(_name, lambda s, signals=_signals, keys=_keys, component=_component, c=_column: signals(s).select(*keys.split(", "), component().alias(c)), f"SELECT {_keys}, {_column} FROM {_source}", _column)
+_opportunity = lambda s: scores.geo_components(_geo_signals(s), A.SAMPLES).withColumn("opportunity_score", scores.geo_opportunity())
+add("geo_opportunity", lambda s: _opportunity(s).select("geo_level", "geo_id", "opportunity_score"), "SELECT geo_level, geo_id, opportunity_score FROM rankings", "opportunity_score")
+add("assign_tier", lambda s: _opportunity(s).select("geo_level", "geo_id", X.assign_tier("opportunity_score", "confidence_score", "samples_ok").alias("recommendation_tier")), "SELECT geo_level, geo_id, recommendation_tier FROM rankings")
+add("org_concentration_flag", lambda s: s.geo_evidence.select("geo_level", scores.geo_id().alias("geo_id"), scores.org_concentration_flag().alias("org_concentration_flag")), f"SELECT geo_level, geo_id, max_org_share > {C.ORG_SHARE_FLAG} AS org_concentration_flag FROM rankings")
 
 # 2.11 checks, each counted by its own SQL
 
@@ -269,8 +276,13 @@ CHECKS = {
 }
 _row = lambda name, body: f"SELECT '{name}' AS check_name, n AS failing_rows, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})"
 _checked = lambda s: quality.quality_checks(s.discovered, s.grid, s.contributors, *A.WINDOW).select("check_name", "failing_rows", "status")
+_own_check = {
+    "check_contributor_non_negative": lambda s: quality.check_contributor_non_negative(s.contributors), "check_contributor_membership": lambda s: quality.check_contributor_membership(s.contributors, s.discovered),
+    "check_grid_duplicate_keys": lambda s: quality.check_keys(s.grid, "grid"), "check_repo_duplicate_keys": lambda s: quality.check_keys(s.discovered, "repo"), "check_contributor_duplicate_keys": lambda s: quality.check_keys(s.contributors, "contributor"),
+}
 for _name, (_check, _body) in CHECKS.items():
-    add(_name, lambda s, check=_check: _checked(s).where(F.col("check_name") == check), _row(_check, _body))
+    _make = _own_check.get(_name) or (lambda s, check=_check: quality.check_rows(s.discovered, {check: quality.repo_tests(*A.WINDOW)[check]}))
+    add(_name, lambda s, make=_make: make(s).select("check_name", "failing_rows", "status"), _row(_check, _body))
 _every = " UNION ALL ".join(_row(*x) for x in CHECKS.values())
 add("quality_checks", _checked, _every)
 add("quality_gate", lambda s: quality.quality_gate(_checked(s)), _every)

@@ -1,6 +1,7 @@
 """Known cases of the analytics part, and all queries against DuckDB on the smallest tables."""
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,30 @@ def test_statistics_edge_cases(spark):
     assert stats.percentile_rank(df.limit(0), ["g"], "v", "pr").count() == 0
 
 
+def test_statistics_in_buckets_equal_brute_force(spark):
+    """A group with nearly all rows, more distinct values than buckets, ties, nulls, a group of nulls and one of one value."""
+    rng = np.random.default_rng(5)
+    rows = [("hot", float(x)) for x in np.exp(rng.normal(0, 4, 3000))] + [("hot", 1.5)] * 400 + [("hot", None)] * 7 + [("one", -2.0)] * 3 + [("none", None)] * 2
+    df = spark.createDataFrame(rows, "g string, v double").withColumn("w", F.coalesce(F.abs(F.hash("v")) % 7, F.lit(1)).cast("double") / 8)
+    for groups in (["g"], []):
+        found = {tuple(r[g] for g in groups): r for r in stats.percentiles(df, groups, "v", {"a": 0, "m": 0.5, "p": 0.973, "z": 1}).collect()}
+        ranks = stats.percentile_rank(df, groups, "v", "pr").collect()
+        medians = {tuple(r[g] for g in groups): r["m"] for r in stats.weighted_median(df.where("v is not null"), groups, "v", "w", "m").collect()}
+        weights = df.where("v is not null").collect()
+        for key in found:
+            mine = [r for r in ranks if tuple(r[g] for g in groups) == key]
+            values = np.array([r["v"] for r in mine if r["v"] is not None])
+            assert np.allclose([found[key][n] for n in "ampz"], np.quantile(values, [0, 0.5, 0.973, 1]), rtol=1e-12)
+            plain_values = np.array([-np.inf if r["v"] is None else r["v"] for r in mine])
+            want = [((plain_values < x).sum() + (plain_values == x).sum() / 2) / len(mine) for x in plain_values]
+            assert np.allclose([r["pr"] for r in mine], want, rtol=1e-12)
+            pairs = sorted((r["v"], r["w"]) for r in weights if tuple(r[g] for g in groups) == key)
+            upto = np.cumsum([w for _, w in pairs])
+            assert medians[key] == next(v for (v, _), u in zip(pairs, upto, strict=True) if u * 2 >= upto[-1])
+    assert stats.percentiles(df.limit(0), ["g"], "v", {"m": 0.5}).count() == 0
+    assert stats.percentiles(df.limit(0), [], "v", {"m": 0.5}).first()["m"] is None
+
+
 def test_phrases_need_word_bounds(spark):
     meta = spark.createDataFrame([("o/a", "a maniac of basalt", []), ("o/b", "IaC with salt", []), ("o/c", None, None)], "repo_name string, description string, topics array<string>")
     terms = spark.createDataFrame([("d", "s", "term", "iac"), ("d", "s", "term", "salt")], "domain_id string, subdomain_id string, kind string, item string")
