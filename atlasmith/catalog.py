@@ -182,14 +182,21 @@ _scored = f"""SELECT repo_name, subdomain_id, CAST(3.0 * count(*) FILTER (kind =
   count(DISTINCT kind) FILTER (kind <> 'negative') AS kinds FROM ({_matches}) GROUP BY 1, 2"""
 add("taxonomy_matches", lambda s: classify.all_matches(s.metadata, s.taxonomy).select("repo_name", "subdomain_id", "kind", "item"), _matches)
 add("subdomain_score", lambda s: classify.subdomain_score(classify.all_matches(s.metadata, s.taxonomy)).select("repo_name", "subdomain_id", "score", "kinds"), _scored, "score")
-add("hard_exclusions", lambda s: classify.join_single_actor_share(s.metadata, s.activity).select("repo_name", classify.hard_exclusions().alias("reasons")),
-    "SELECT repo_name, concat_ws('|', CASE WHEN is_fork THEN 'fork' END, CASE WHEN is_archived THEN 'archived' END, CASE WHEN license_spdx_id IS NULL THEN 'license' END, CASE WHEN single_actor_event_share > 0.9 THEN 'single_actor' END) AS reasons FROM repo_meta LEFT JOIN repo_activity USING (repo_name)")
-add("classify_run", lambda s: s.classification.select("repo_name", "subdomains", "classification_score", "classification_status"),
-    f"""WITH scored AS ({_scored}), best AS (SELECT repo_name, max(CASE WHEN score >= 4 AND kinds >= 2 THEN 2 WHEN score >= 2 THEN 1 ELSE 0 END) AS grade, max(score) AS best FROM scored GROUP BY 1),
+_excluded = "SELECT repo_name, concat_ws('|', CASE WHEN is_fork THEN 'fork' END, CASE WHEN is_archived THEN 'archived' END, CASE WHEN license_spdx_id IS NULL THEN 'license' END, CASE WHEN single_actor_event_share > 0.9 THEN 'single_actor' END) AS reasons FROM repo_meta LEFT JOIN repo_activity USING (repo_name)"
+_classified = f"""WITH scored AS ({_scored}), best AS (SELECT repo_name, max(CASE WHEN score >= 4 AND kinds >= 2 THEN 2 WHEN score >= 2 THEN 1 ELSE 0 END) AS grade, max(score) AS best FROM scored GROUP BY 1),
   judged AS (SELECT m.repo_name, b.best, CASE WHEN is_fork OR is_archived OR license_spdx_id IS NULL OR coalesce(single_actor_event_share > 0.9, false) THEN -1 ELSE coalesce(grade, 0) END AS grade FROM repo_meta m LEFT JOIN repo_activity a USING (repo_name) LEFT JOIN best b USING (repo_name)),
   listed AS (SELECT j.repo_name, string_agg(subdomain_id, '|' ORDER BY score DESC, subdomain_id) AS subdomains, max(score) AS top FROM judged j JOIN scored s ON s.repo_name = j.repo_name AND j.grade > 0 AND j.grade = CASE WHEN score >= 4 AND kinds >= 2 THEN 2 WHEN score >= 2 THEN 1 ELSE 0 END GROUP BY 1)
-  SELECT repo_name, coalesce(subdomains, '') AS subdomains, CASE WHEN grade < 0 THEN 0.0 ELSE greatest(0.0, least(100.0, coalesce(top, best, 0))) END AS classification_score, CASE grade WHEN 2 THEN 'accepted' WHEN 1 THEN 'borderline' ELSE 'rejected' END AS classification_status FROM judged LEFT JOIN listed USING (repo_name)""", "classification_score")
-add("merge_evidence", lambda s: s.classification.select("repo_name", "evidence_topics", "evidence_terms", "evidence_files", "negative_evidence"))
+  SELECT repo_name, coalesce(subdomains, '') AS subdomains, CASE WHEN grade < 0 THEN 0.0 ELSE greatest(0.0, least(100.0, coalesce(top, best, 0))) END AS classification_score, CASE grade WHEN 2 THEN 'accepted' WHEN 1 THEN 'borderline' ELSE 'rejected' END AS classification_status FROM judged LEFT JOIN listed USING (repo_name)"""
+add("hard_exclusions", lambda s: classify.join_single_actor_share(s.metadata, s.activity).select("repo_name", classify.hard_exclusions().alias("reasons")),
+    _excluded)
+add("classify_run", lambda s: s.classification.select("repo_name", "subdomains", "classification_score", "classification_status"),
+    _classified, "classification_score")
+_items = lambda name, *kinds: f"coalesce(string_agg(DISTINCT item, '|' ORDER BY item) FILTER (kind IN ({', '.join(map(Q.quoted, kinds))})), '') AS {name}"
+add("merge_evidence", lambda s: s.classification.select("repo_name", "evidence_topics", "evidence_terms", "evidence_files", "negative_evidence"),
+    f"""WITH judged AS ({_classified}), excluded AS ({_excluded}),
+  items AS (SELECT repo_name, kind, CASE kind WHEN 'name' THEN 'name:' WHEN 'language' THEN 'language:' WHEN 'negative' THEN 'negative_term:' ELSE '' END || item AS item FROM ({_matches}) JOIN judged USING (repo_name) WHERE subdomains = '' OR list_contains(string_split(subdomains, '|'), subdomain_id)),
+  merged AS (SELECT repo_name, {_items('evidence_topics', 'topic')}, {_items('evidence_terms', 'term', 'name')}, {_items('evidence_files', 'file', 'language')}, {_items('negatives', 'negative')} FROM judged LEFT JOIN items USING (repo_name) GROUP BY 1)
+  SELECT repo_name, evidence_topics, evidence_terms, evidence_files, concat_ws('|', nullif(reasons, ''), nullif(negatives, '')) AS negative_evidence FROM merged JOIN excluded USING (repo_name)""")
 add("classification_counts", lambda s: classify.classification_counts(s.classified), "SELECT count(*) AS total, count(*) FILTER (classification_status = 'accepted') AS accepted, count(*) FILTER (classification_status = 'rejected') AS rejected, count(*) FILTER (classification_status = 'borderline') AS borderline FROM classified")
 
 # 2.9 locations: customers write the gazetteer's examples; the expected answers are a table of the oracle
@@ -231,7 +238,9 @@ add("check_score_bounds", lambda s: quality.check_score_bounds(s.repo_scores, C.
         for source, parts, final in (("repo_scores", C.REPOSITORY, "repository_quality_score"), ("rankings", C.OPPORTUNITY, "opportunity_score"))
         for check, test in (("components", " OR ".join(f"{n}_score < 0 OR {n}_score > 100" for n in parts)), ("weighted_sum", f"abs({' + '.join(f'{w} * {n}_score' for n, w in parts.items())} - {final}) > 1e-6"))))
 add("check_rankings", lambda s: quality.check_rankings(s.rankings, A.SAMPLES).unionByName(quality.check_rank_order(s.rankings)).unionByName(quality.check_evidence_present(s.classified)).unionByName(quality.check_event_ids(table(s, "events"), "event_id")).select("check_name", "failing_rows", "status"))
-add("check_schema_contract", lambda s: quality.check_schema_contract(s.rankings, {"geo_level": {"values": ["country", "city"]}, "opportunity_score": {"type": "double", "min": 0, "max": 100, "nullable": False}, "rank": {"min": 1}}).select("check_name", "failing_rows", "status"))
+add("check_schema_contract", lambda s: quality.check_schema_contract(s.rankings, {"geo_level": {"values": ["country", "city"]}, "opportunity_score": {"type": "double", "min": 0, "max": 100, "nullable": False}, "rank": {"min": 1}}).select("check_name", "failing_rows", "status"),
+    " UNION ALL ".join(f"SELECT '{c}' AS check_name, n AS failing_rows, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status FROM (SELECT count(*) FILTER ({bad}) AS n FROM rankings)"
+        for c, bad in (("geo_level", "geo_level NOT IN ('country', 'city')"), ("opportunity_score", "opportunity_score IS NULL OR opportunity_score NOT BETWEEN 0 AND 100"), ("rank", "rank < 1"))))
 # RE2 has no lookahead: the character after the match is matched, or the end.
 _BEFORE, _AFTER = r"(?![\w/-])", r"(?:[^\w/-]|$)"
 _privacy_sql = " UNION ALL ".join(f"SELECT file, {Q.quoted(n)} AS pattern, trim(line, ' ' || chr(9) || chr(11) || chr(12)) AS t FROM lines WHERE regexp_matches(line, {Q.quoted(p.replace(_BEFORE, _AFTER))})" for n, p in C.PRIVACY)
@@ -242,7 +251,8 @@ add("precision_metrics", lambda s: quality.precision_metrics(table(s, "documents
 add("coverage_bias", lambda s: quality.coverage_bias(quality.activity_decile(s.contributor_scores, "raw_event_count").withColumn("located", F.col("country_code").isNotNull()), ["activity_decile", "one_repo"]),
     """WITH cuts AS (SELECT quantile_cont(raw_event_count, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM contributor_scores), rows AS (SELECT 1 + len(list_filter(cuts, lambda c: raw_event_count > c)) AS decile, qualified_repo_count = 1 AS one_repo, normalized_country_code IS NOT NULL AS located FROM contributor_scores LEFT JOIN actor_geo USING (actor_login) CROSS JOIN cuts)
   SELECT 'activity_decile' AS dimension, CAST(decile AS VARCHAR) AS bucket, count(*) AS n, avg(CASE WHEN located THEN 1.0 ELSE 0.0 END) AS located_share FROM rows GROUP BY 2 UNION ALL SELECT 'one_repo', CAST(one_repo AS VARCHAR), count(*), avg(CASE WHEN located THEN 1.0 ELSE 0.0 END) FROM rows GROUP BY 2""", "located_share")
-add("sensitivity", lambda s: quality.sensitivity(s.contributor_scores, s.contributors, s.classified, s.locations, s.repo_scores, A.WINDOW[1], A.SAMPLES).select("scenario", "geo_level", "geo_id", F.col("rank").cast("long").alias("rank"), F.col("shift").cast("long").alias("shift")))
+add("sensitivity", lambda s: quality.sensitivity(s.contributor_scores, s.contributors, s.classified, s.locations, s.repo_scores, A.WINDOW[1], A.SAMPLES).select("scenario", "geo_level", "geo_id", F.col("rank").cast("long").alias("rank"), F.col("shift").cast("long").alias("shift")),
+    " UNION ALL ".join(f"SELECT '{n}' AS scenario, x.geo_level, x.geo_id, x.rank, x.rank - b.rank AS shift FROM rankings{v} x JOIN rankings b ON x.domain_id = b.domain_id AND x.geo_level = b.geo_level AND x.geo_id = b.geo_id" for n, v in Q.SCENARIOS.items()))
 add("raw_vs_weighted", lambda s: quality.raw_vs_weighted(s.rankings).select("geo_level", "geo_id", F.col("raw_rank").cast("long").alias("raw_rank"), F.col("weighted_rank").cast("long").alias("weighted_rank")),
     "SELECT geo_level, geo_id, row_number() OVER (PARTITION BY geo_level ORDER BY observable_expert_count DESC, geo_id) AS raw_rank, row_number() OVER (PARTITION BY geo_level ORDER BY weighted_expert_count DESC, geo_id) AS weighted_rank FROM rankings")
 add("window_comparison", lambda s: quality.window_comparison(s.grid, _months[-3:], _months, A.actor_country(s.spark, s.sf_dir)).select("country_code", "short_n", "long_n", F.col("short_rank").cast("long").alias("short_rank"), F.col("long_rank").cast("long").alias("long_rank")),
@@ -269,12 +279,52 @@ _all = {n: f"{n}_score" for n in publish.ALL_COMPONENTS}
 add("why_statements", lambda s: publish.why_statements(s.rankings, s.countries), f"SELECT geo_level, geo_id, {_named} || ' does best in ' || replace({_most(_all, 'greatest')}, '_', ' ') || '.|' || {_named} || ' does worst in ' || replace({_most(_all, 'least')}, '_', ' ') || '.' AS statements FROM rankings LEFT JOIN country_names USING (country_code)")
 add("caveats", lambda s: s.rankings.select("geo_level", "geo_id", publish.caveats().alias("caveats")).withColumn("n", F.size("caveats").cast("long")).select("geo_level", "geo_id", "n"), f"SELECT geo_level, geo_id, CAST(1 + CASE WHEN located_profile_coverage < 0.4 THEN 1 ELSE 0 END + CASE WHEN max_org_share > {C.ORG_SHARE_FLAG} THEN 1 ELSE 0 END AS BIGINT) AS n FROM rankings")
 add("explorer_filter", lambda s: publish.explorer_filter(s.rankings, min_confidence=30, text="building").select("geo_id", "confidence_score"), "SELECT geo_id, confidence_score FROM rankings WHERE confidence_score >= 30 AND contains(lower(concat_ws(' ', city, country_code)), 'building')", "confidence_score")
-add("subdomain_options", lambda s: publish.subdomain_options(s.rankings))
-add("comparison_summary", lambda s: publish.comparison_summary(s.rankings, s.countries, ["N1", "N2", "N3"]))
+_metrics = ("opportunity_score", "confidence_score", "observable_expert_count")
+add("subdomain_options", lambda s: publish.subdomain_options(s.rankings),
+    f"SELECT DISTINCT s AS subdomain FROM geo_top WHERE r <= {C.TOP_SUBDOMAINS}")
+add("comparison_summary", lambda s: publish.comparison_summary(s.rankings, s.countries, ["N1", "N2", "N3"]),
+    f"""WITH long AS (SELECT {_named} AS name, unnest([{', '.join(map(Q.quoted, _metrics))}]) AS metric, unnest([{', '.join(f'CAST({m} AS DOUBLE)' for m in _metrics)}]) AS value FROM rankings LEFT JOIN country_names USING (country_code) WHERE geo_id IN ('N1', 'N2', 'N3'))
+  SELECT *, printf('%s: %s leads with %.1f.', replace(metric, '_', ' '), leaders, best) AS text FROM (SELECT metric, value AS best, string_agg(name, ' and ' ORDER BY name) AS leaders FROM (SELECT *, max(value) OVER (PARTITION BY metric) AS top FROM long) WHERE value = top GROUP BY 1, 2)""", "best")
 add("rankings_payload", lambda s: publish.rankings_payload(s.rankings, s.countries).select("geo_level", "geo_id", F.get_json_object("payload", "$.name").alias("name"), F.get_json_object("payload", "$.rank").cast("long").alias("rank")), f"SELECT geo_level, geo_id, {_named} AS name, rank FROM rankings LEFT JOIN country_names USING (country_code)")
-add("compare_payload", lambda s: publish.compare_payload(s.rankings, s.countries))
-add("country_detail", lambda s: publish.country_detail(s.rankings, s.countries, publish.subdomain_mix(_counts(s)), discovery.geo_monthly_trend(s.grid, A.actor_country(s.spark, s.sf_dir))))
+_read = lambda df, *keep, **kinds: df.select(*keep, F.from_json("payload", ", ".join(f"{k} {t}" for k, t in kinds.items())).alias("x")).select(*keep, "x.*")
+add("compare_payload", lambda s: _read(publish.compare_payload(s.rankings, s.countries), "geo_level", "geo_id", name="string", rank="long", opportunityScore="double", confidenceScore="double", recommendationTier="string", topSubdomains="array<string>", momentumProvisional="boolean"),
+    f"""WITH best AS (SELECT geo_level, country_code, city, string_agg(s, '|' ORDER BY r) AS subs FROM geo_top WHERE r <= {C.TOP_SUBDOMAINS} GROUP BY ALL)
+  SELECT r.geo_level, r.geo_id, coalesce(r.city, country_name, r.country_code) AS name, rank, opportunity_score AS "opportunityScore", confidence_score AS "confidenceScore", recommendation_tier AS "recommendationTier", coalesce(subs, '') AS "topSubdomains", true AS "momentumProvisional"
+  FROM rankings r LEFT JOIN country_names n ON n.country_code = r.country_code LEFT JOIN best b ON b.geo_level = r.geo_level AND b.country_code = r.country_code AND b.city IS NOT DISTINCT FROM r.city""", '"opportunityScore" "confidenceScore"')
+_details = lambda s: publish.country_detail(s.rankings, s.countries, publish.subdomain_mix(_counts(s)), discovery.geo_monthly_trend(s.grid, A.actor_country(s.spark, s.sf_dir)))
+_detail = {"name": "string", "rank": "long", "caveats": "array<string>", "subdomainMix": "array<struct<subdomain: string, experts: long, share: double>>", "trend": "array<struct<month: int, events: long, active_contributors: long>>"}
+add("country_detail", lambda s: _read(_details(s), "geo_id", "file", **_detail).select("geo_id", "file", "name", "rank", F.size("caveats").cast("long").alias("n_caveats"), F.array_join(F.transform("subdomainMix", lambda x: F.concat_ws(":", x["subdomain"], x["experts"])), "|").alias("mix"), F.array_join(F.transform("trend", lambda x: F.concat_ws(":", x["month"], x["events"], x["active_contributors"])), "|").alias("trend")),
+    f"""SELECT geo_id, replace(lower(geo_id), ' ', '-') AS file, {_named} AS name, rank, CAST(1 + CASE WHEN located_profile_coverage < 0.4 THEN 1 ELSE 0 END + CASE WHEN max_org_share > {C.ORG_SHARE_FLAG} THEN 1 ELSE 0 END AS BIGINT) AS n_caveats, mix, trend
+  FROM rankings LEFT JOIN country_names USING (country_code) LEFT JOIN (SELECT country_code, string_agg(subdomain || ':' || experts, '|' ORDER BY subdomain) AS mix FROM subdomain_counts GROUP BY 1) USING (country_code)
+  LEFT JOIN (SELECT country_code, string_agg(month || ':' || events || ':' || active_contributors, '|' ORDER BY month) AS trend FROM trend GROUP BY 1) USING (country_code) WHERE geo_level = 'country'""")
 add("city_detail", lambda s: publish.city_detail(s.rankings, s.countries).select("geo_id", "file"), "SELECT geo_id, replace(replace(lower(geo_id), '/', '-'), ' ', '-') AS file FROM rankings WHERE geo_level = 'city'")
-add("coverage_payload", lambda s: publish.coverage_payload(s.locations))
-add("summary_payload", lambda s: publish.summary_payload(publish.kpis(s.classified, s.contributor_scores, s.locations, s.rankings), s.rankings, publish.subdomain_hubs(_counts(s))))
+_rows = lambda df, column, *fields: df.select(F.explode(F.from_json(column, f"array<struct<{', '.join(fields)}>>")).alias("x")).select("x.*")
+
+
+def _coverage(s: Stages) -> DataFrame:
+    """Both lists of the payload, read back as rows."""
+    payload = publish.coverage_payload(s.locations)
+    countries = _rows(payload, "coverage_by_country", "country_code: string", "located: long", "share: double").select(F.lit("country").alias("list"), F.col("country_code").alias("key"), F.col("located").alias("n"), "share")
+    levels = _rows(payload, "confidence_distribution", "location_confidence: string", "n: long")
+    return countries.unionByName(levels.select(F.lit("confidence").alias("list"), F.col("location_confidence").alias("key"), "n"), allowMissingColumns=True)
+
+
+add("coverage_payload", _coverage,
+    """SELECT * FROM (SELECT 'country' AS list, normalized_country_code AS key, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM actor_geo WHERE normalized_country_code IS NOT NULL GROUP BY 2 ORDER BY n DESC, key LIMIT 40)
+  UNION ALL SELECT 'confidence', location_confidence, count(*), NULL FROM actor_geo GROUP BY 2""", "share")
+
+
+def _summary(s: Stages) -> DataFrame:
+    """Measures and both lists of the payload, read back as rows."""
+    payload = publish.summary_payload(publish.kpis(s.classified, s.contributor_scores, s.locations, s.rankings), s.rankings, publish.subdomain_hubs(_counts(s)))
+    measures = payload.select(F.explode(F.array(*(F.struct(F.lit("kpi").alias("list"), F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in ("qualified_repos", "experts", "located_coverage", "sufficient_countries")))).alias("x")).select("x.*")
+    top = _rows(payload, "top", "rank: int", "geo_id: string", "opportunity_score: double").select(F.lit("top").alias("list"), F.col("geo_id").alias("key"), F.col("opportunity_score").alias("value"))
+    hubs = _rows(payload, "hubs", "subdomain: string", "country_code: string", "experts: long").select(F.lit("hub").alias("list"), F.concat_ws(":", "subdomain", "country_code").alias("key"), F.col("experts").cast("double").alias("value"))
+    return measures.unionByName(top).unionByName(hubs)
+
+
+add("summary_payload", _summary,
+    """SELECT 'kpi' AS list, unnest(['qualified_repos', 'experts', 'located_coverage', 'sufficient_countries']) AS key, unnest([(SELECT CAST(count(*) AS DOUBLE) FROM classified WHERE classification_status = 'accepted'), (SELECT count(DISTINCT actor_login) FROM contributor_scores), (SELECT count(normalized_country_code) / count(*) FROM actor_geo), (SELECT count(*) FROM rankings WHERE geo_level = 'country' AND recommendation_tier <> 'insufficient_data')]) AS value
+  UNION ALL SELECT * FROM (SELECT 'top', geo_id, opportunity_score FROM rankings WHERE geo_level = 'country' AND recommendation_tier <> 'insufficient_data' ORDER BY rank LIMIT 5)
+  UNION ALL SELECT 'hub', subdomain || ':' || country_code, experts FROM (SELECT * FROM subdomain_counts QUALIFY row_number() OVER (PARTITION BY subdomain ORDER BY experts DESC, country_code) = 1)""", "value")
 add("table_sort", lambda s: publish.table_sort(s.rankings.where("geo_level = 'country'").select("geo_id", "observable_expert_count"), "observable_expert_count", ascending=False), "SELECT geo_id, observable_expert_count FROM rankings WHERE geo_level = 'country'")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from atlasmith import settings as C
 from atlasmith.functions.expressions import terms_pattern
 from atlasmith.plans import adapters as A
@@ -134,6 +136,7 @@ VIEWS = {
   WHERE location_level = 'city' AND location_confidence = 'high' AND normalized_country_code IS NOT NULL AND normalized_city IS NOT NULL""",
     "supplied": f"""SELECT {', '.join('m.' + c for c in _GEO.split(', '))}, m.actor_login, c.repo_name, c.capped, least(m.expert_score, 85.0) / 100 * c.capped / nullif(sum(c.capped) OVER (PARTITION BY m.domain_id, m.geo_level, m.actor_login), 0) AS given FROM members m JOIN capped c USING (domain_id, actor_login)""",
     "geo_repos": f"SELECT {_GEO}, repo_name, sum(capped) AS points, sum(given) AS given FROM supplied GROUP BY ALL",
+    "geo_top": f"SELECT *, row_number() OVER (PARTITION BY {_GEO} ORDER BY p DESC, s) AS r FROM (SELECT {_GEO}, s, sum(points) AS p FROM geo_repos JOIN subdomain_rows USING (repo_name) GROUP BY ALL)",
     "geo_owners": f"SELECT {_GEO}, split_part(repo_name, '/', 1) AS owner, sum(points) AS points FROM geo_repos GROUP BY ALL",
     "geo_members": f"""SELECT {_GEO}, count(*) AS observable_expert_count, count(*) FILTER (location_confidence = 'high') AS high_confidence_count, avg(CASE WHEN qualified_repo_count >= 2 THEN 1.0 ELSE 0.0 END) * 100 AS multi_repo_share,
   avg(CASE WHEN reviews > 0 THEN 1.0 ELSE 0.0 END) * 100 AS review_participation, avg(CASE WHEN active_months >= 2 THEN 1.0 ELSE 0.0 END) * 100 AS recurring_share, count(*) FILTER (is_now) AS latest_active, count(*) FILTER (is_before) AS previous_active,
@@ -161,10 +164,30 @@ VIEWS = {
 }
 
 
+def _scenario(suffix: str, changed: dict[str, str]) -> None:
+    """Views of a scenario: those that are changed, and those that read them, under names with the suffix."""
+    chain = ["capped", "supplied", "geo_repos", "geo_owners", "geo_members", "geo_evidence", "geo_scaled", "geo_tiered", "rankings"]
+    chain = chain[chain.index(next(iter(changed))) :]
+    for name in chain:
+        VIEWS[f"{name}{suffix}"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(chain)})\b", rf"\1 \2{suffix}", changed.get(name, VIEWS[name]))
+
+
+def _weighted(change: float) -> str:
+    raised = {k: v * (1 + change) if k == "expert_supply" else v for k, v in C.OPPORTUNITY.items()}
+    parts, total = {n: f"{n}_score" for n in C.OPPORTUNITY}, sum(raised.values())
+    return VIEWS["geo_tiered"].replace(blend(parts, C.OPPORTUNITY), blend(parts, {k: v / total for k, v in raised.items()}))
+
+
+#: Scenarios of the sensitivity report and the suffix of their views.
+SCENARIOS = {"baseline": "", "supply_plus_20": "_plus", "supply_minus_20": "_minus", "top_1pct_repos_removed": "_top", "largest_org_removed": "_org"}
+_scenario("_plus", {"geo_tiered": _weighted(0.2)})
+_scenario("_minus", {"geo_tiered": _weighted(-0.2)})
+_scenario("_top", {"capped": VIEWS["capped"].replace("FROM contributor WHERE", "FROM contributor WHERE repo_name NOT IN (SELECT repo_name FROM repo_scores WHERE repository_quality_score >= (SELECT quantile_cont(repository_quality_score, 0.99) FROM repo_scores)) AND")})
+_scenario("_org", {"capped": VIEWS["capped"].replace("FROM contributor WHERE", "FROM contributor WHERE split_part(repo_name, '/', 1) <> (SELECT split_part(repo_name, '/', 1) AS owner FROM contributor GROUP BY 1 ORDER BY count(*) DESC, owner LIMIT 1) AND")})
+
+
 def query(select: str) -> str:
     """A select over the views that it needs."""
-    import re
-
     needed: set[str] = set()
 
     def add(text: str) -> None:

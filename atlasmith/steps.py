@@ -298,5 +298,6 @@ add("check_rank_order", lambda s: quality.check_rank_order(s.rankings).select(*_
     " UNION ALL ".join(_row(name, f"SELECT count(*) FILTER ({test}) AS n FROM (SELECT *, lag(rank) OVER w AS above, lag(opportunity_score) OVER w AS higher FROM rankings WINDOW w AS (PARTITION BY domain_id, geo_level ORDER BY rank))") for name, test in (("rank_dense", "rank - coalesce(above, 0) <> 1"), ("rank_order", "recommendation_tier <> 'insufficient_data' AND opportunity_score > higher"))))
 add("check_evidence_present", lambda s: quality.check_evidence_present(s.classified).select(*_shown), _row("evidence_present", _count("classified", "classification_status = 'accepted' AND n_evidence = 0")))
 add("check_event_ids", lambda s: quality.check_event_ids(table(s, "events"), "event_id").select(*_shown), _row("event_ids", _duplicates("event_id", "events")))
+ORACLES["check_rankings"] = " UNION ALL ".join(f"SELECT * FROM ({ORACLES[n]})" for n in ("check_country_code", "check_geo_ids", "check_tier_threshold", "check_min_samples", "check_rank_order", "check_evidence_present", "check_event_ids"))
 _published = lambda s: publish.rankings_payload(s.rankings, s.countries).select(F.concat_ws("/", "geo_level", "geo_id").alias("file"), F.col("payload").alias("text"))
 add("privacy_gate", lambda s: quality.privacy_gate(quality.privacy_scan(_published(s))), "SELECT count(*) FILTER (contains(geo_id, '@')) AS violations FROM rankings")

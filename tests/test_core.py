@@ -39,7 +39,7 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(repr([plain(r[c]) for c in columns]) for r in df.collect()) == sorted(repr([plain(r[i]) for i in at]) for r in want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["read_dim_csv", "materialize_months", "pr_era_logic", "failed_minimums", "join_location_default", "semi_qualified_activity", "capped_supply", "momentum_direction", "top_quartile_share", "scenario_shift", "normalize_key", "clean_text", "match_name_terms", "stage_override", "dominant_city", "country_key_dim", "repo_maturity", "quality_gate", "check_rank_order"])
+@pytest.mark.parametrize("name", ["read_dim_csv", "materialize_months", "pr_era_logic", "failed_minimums", "join_location_default", "semi_qualified_activity", "capped_supply", "momentum_direction", "top_quartile_share", "scenario_shift", "normalize_key", "clean_text", "match_name_terms", "stage_override", "dominant_city", "country_key_dim", "repo_maturity", "quality_gate", "check_rank_order", "merge_evidence", "check_rankings", "check_schema_contract", "comparison_summary", "country_detail", "summary_payload", "compare_payload", "coverage_payload", "subdomain_options", "geo_opportunity", "quality_exposure"])
 def test_step_equals_sql(spark, duck, name):
     test_query_equals_sql(spark, duck, name)
 
