@@ -199,13 +199,9 @@ add("merge_evidence", lambda s: s.classification.select("repo_name", "evidence_t
   SELECT repo_name, evidence_topics, evidence_terms, evidence_files, concat_ws('|', nullif(reasons, ''), nullif(negatives, '')) AS negative_evidence FROM merged JOIN excluded USING (repo_name)""")
 add("classification_counts", lambda s: classify.classification_counts(s.classified), "SELECT count(*) AS total, count(*) FILTER (classification_status = 'accepted') AS accepted, count(*) FILTER (classification_status = 'rejected') AS rejected, count(*) FILTER (classification_status = 'borderline') AS borderline FROM classified")
 
-# 2.9 locations: customers write the gazetteer's examples; the expected answers are a table of the oracle
-
-
-def _located(s: Stages) -> DataFrame:
-    return locations.normalize_run(gazetteer.profiles(table(s, "customer")), gazetteer.dims(s.spark))
-
+# 2.9 locations: texts and dimensions from the tables; the SQL says what a form of text means
 
+_located = lambda s: s.normalized
 add("normalize_run", lambda s: _located(s).select("actor_login", "normalized_country_code", "normalized_city", "location_level", "location_confidence"),
     f"SELECT actor_login, normalized_country_code, normalized_city, location_level, location_confidence FROM ({gazetteer.ORACLE})")
 add("normalization_summary", lambda s: locations.normalization_summary(_located(s)),

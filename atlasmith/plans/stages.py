@@ -6,8 +6,9 @@ from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlasmith.operators import classify, discovery, scores
+from atlasmith.operators import classify, discovery, locations, scores
 from atlasmith.plans import adapters as A
+from atlasmith.plans import gazetteer
 from atlasmith.sources import tables as T
 
 
@@ -60,6 +61,11 @@ class Stages:
     def locations(self) -> DataFrame:
         return A.actor_geo(self.spark, self.sf_dir)
 
+    @cached_property
+    def normalized(self) -> DataFrame:
+        tables = [T.read_table(self.spark, self.sf_dir, t) for t in ("customer", "nation", "region")]
+        return self._kept(locations.normalize_run(gazetteer.profiles(*tables), gazetteer.star_dims(*tables)))
+
     @cached_property
     def countries(self) -> DataFrame:
         return A.country_names(self.spark, self.sf_dir)

@@ -196,7 +196,7 @@ STAGES = {
 }
 _place = ["actor_login", "normalized_country_code", "normalized_city", "location_level", "location_confidence"]
 for _name, _decided in STAGES.items():
-    add(_name, lambda s, decided=_decided: locations.normalize_run(gazetteer.profiles(table(s, "customer")), gazetteer.dims(s.spark)).where(decided).select(*_place), f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE {_decided}")
+    add(_name, lambda s, decided=_decided: s.normalized.where(decided).select(*_place), f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE {_decided}")
 
 
 def _curated(s: Stages) -> DataFrame:

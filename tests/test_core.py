@@ -16,6 +16,20 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+# Free text, country, city, level, confidence.
+EXAMPLES = [
+    ("Germany", "DE", None, "country", "high"), ("FR", "FR", None, "country", "high"), ("DE", "DE", None, "country", "low"), ("Deutschland", "DE", None, "country", "high"), ("United States of America", "US", None, "country", "high"),
+    ("Berlin, Germany", "DE", "Berlin", "city", "high"), ("Toronto, Canada", "CA", "Toronto", "city", "high"), ("São Paulo, Brazil", "BR", "São Paulo", "city", "high"), ("Kyiv, Ukraine", "UA", "Kyiv", "city", "high"),
+    ("Shenzhen, China", "CN", "Shenzhen", "city", "high"), ("Munich, DE", "DE", "Munich", "city", "high"), ("Bangalore, IN", "IN", "Bengaluru", "city", "high"), ("Tbilisi, Georgia", "GE", "Tbilisi", "city", "high"),
+    ("Austin, TX", "US", "Austin", "city", "medium"), ("Cambridge, MA", "US", "Cambridge", "city", "medium"), ("San Francisco, CA", "US", "San Francisco", "city", "medium"), ("Atlanta, Georgia", "US", "Atlanta", "city", "medium"),
+    ("Denver, CO", "US", "Denver", "city", "medium"), ("Ontario, Canada", "CA", None, "region", "medium"), ("Reykjavik", "IS", "Reykjavík", "city", "medium"), ("Amsterdam", "NL", "Amsterdam", "city", "medium"), ("東京", "JP", "Tokyo", "city", "medium"),
+    ("Springfield", "US", "Springfield", "city", "low"), ("Georgia", "GE", None, "country", "low"), ("California", "US", None, "region", "low"), ("Scotland", "GB", None, "region", "low"), ("Virginia", "US", None, "region", "low"),
+    ("Maryland, USA", "US", None, "region", "medium"), ("London / Paris", None, None, "unresolved", "unusable"), ("Berlin / Munich", "DE", "Berlin", "city", "medium"), ("Nowhereville, Germany", "DE", None, "country", "high"), ("Springfield, US", "US", "Springfield", "city", "medium"),
+    ("Paris 🌍", "FR", "Paris", "city", "medium"), ("", None, None, "unresolved", "unusable"), ("  ", None, None, "unresolved", "unusable"), ("Earth", None, None, "unresolved", "unusable"), ("the internet", None, None, "unresolved", "unusable"),
+    ("127.0.0.1", None, None, "unresolved", "unusable"), ("🌍", None, None, "unresolved", "unusable"), ("Milky Way", None, None, "unresolved", "unusable"), ("Xyzzy", None, None, "unresolved", "unusable"), (None, None, None, "unresolved", "unusable"),
+]
+
+
 def plain(x):
     if isinstance(x, float):
         return round(x, 3) + 0.0
@@ -39,7 +53,7 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(repr([plain(r[c]) for c in columns]) for r in df.collect()) == sorted(repr([plain(r[i]) for i in at]) for r in want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["read_dim_csv", "materialize_months", "pr_era_logic", "failed_minimums", "join_location_default", "semi_qualified_activity", "capped_supply", "momentum_direction", "top_quartile_share", "scenario_shift", "normalize_key", "clean_text", "match_name_terms", "stage_override", "dominant_city", "country_key_dim", "repo_maturity", "quality_gate", "check_rank_order", "merge_evidence", "check_rankings", "check_schema_contract", "comparison_summary", "country_detail", "summary_payload", "compare_payload", "coverage_payload", "subdomain_options", "geo_opportunity", "quality_exposure"])
+@pytest.mark.parametrize("name", ["normalization_summary", "stage_us_state_pair", "stage_multi", "read_dim_csv", "materialize_months", "pr_era_logic", "failed_minimums", "join_location_default", "semi_qualified_activity", "capped_supply", "momentum_direction", "top_quartile_share", "scenario_shift", "normalize_key", "clean_text", "match_name_terms", "stage_override", "dominant_city", "country_key_dim", "repo_maturity", "quality_gate", "check_rank_order", "merge_evidence", "check_rankings", "check_schema_contract", "comparison_summary", "country_detail", "summary_payload", "compare_payload", "coverage_payload", "subdomain_options", "geo_opportunity", "quality_exposure"])
 def test_step_equals_sql(spark, duck, name):
     test_query_equals_sql(spark, duck, name)
 
@@ -55,10 +69,10 @@ def test_tiers(spark, opportunity, confidence, ok, tier):
 
 
 def test_locations_answer_the_examples(spark):
-    rows = [(str(i), "success", x[0]) for i, x in enumerate(gazetteer.EXAMPLES)]
+    rows = [(str(i), "success", x[0]) for i, x in enumerate(EXAMPLES)]
     got = locations.normalize_run(spark.createDataFrame(rows, "actor_login string, fetch_status string, public_location_raw string"), gazetteer.dims(spark)).collect()
     found = {int(r["actor_login"]): (r["normalized_country_code"], r["normalized_city"], r["location_level"], r["location_confidence"]) for r in got}
-    assert found == {i: x[1:] for i, x in enumerate(gazetteer.EXAMPLES)}
+    assert found == {i: x[1:] for i, x in enumerate(EXAMPLES)}
 
 
 def test_statistics_edge_cases(spark):
