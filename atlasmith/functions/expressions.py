@@ -136,6 +136,10 @@ def city_slug(geo_id: str | Column) -> Column:
     return F.translate(F.lower(_col(geo_id)), "/ ", "--")
 
 
+def prs_or_reviews() -> Column:
+    return F.col("pull_requests_opened") + F.col("reviews_submitted")
+
+
 def camel_case(name: str) -> str:
     head, *rest = name.split("_")
     return head + "".join(x.title() for x in rest)

@@ -96,33 +96,55 @@ def join_single_actor_share(metadata: DataFrame, activity: DataFrame) -> DataFra
     return metadata.join(activity.select("repo_name", "single_actor_event_share"), "repo_name", "left")
 
 
-def classify_run(metadata: DataFrame, activity: DataFrame, taxonomy: DataFrame, domain: str, weights: dict = C.CLASSIFICATION, flags: frozenset[str] = C.EXCLUSION_FLAGS) -> DataFrame:
-    """The whole classification, one row per repository."""
-    matches = all_matches(metadata, taxonomy.where(F.col("domain_id") == domain))
-    scores = subdomain_score(matches, weights)
-    chosen = F.when((F.col("score") >= weights["accept"]) & (F.col("kinds") >= weights["kinds"]), 2).when(F.col("score") >= weights["borderline"], 1).otherwise(0)
-    ranked = scores.withColumn("grade", chosen)
-    best = ranked.groupBy("repo_name").agg(
+def subdomain_grade(weights: dict = C.CLASSIFICATION) -> Column:
+    """2 accepted, 1 borderline, 0 neither, of a scored subdomain."""
+    return F.when((F.col("score") >= weights["accept"]) & (F.col("kinds") >= weights["kinds"]), 2).when(F.col("score") >= weights["borderline"], 1).otherwise(0)
+
+
+def best_subdomains(scores: DataFrame, weights: dict = C.CLASSIFICATION) -> DataFrame:
+    """Per repository the best grade and score, and all its subdomains (a few at most) by falling score."""
+    return scores.withColumn("grade", subdomain_grade(weights)).groupBy("repo_name").agg(
         F.max("grade").alias("grade"), F.max("score").alias("best"),
         F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("order"), "subdomain_id", "score", "grade"))).alias("all"),
     )
+
+
+def judged(metadata: DataFrame, activity: DataFrame, best: DataFrame, flags: frozenset[str] = C.EXCLUSION_FLAGS) -> DataFrame:
+    """Every repository with its exclusions and grade; an excluded one has grade 0."""
+    df = join_single_actor_share(metadata, activity).withColumn("exclusions", hard_exclusions(flags=flags)).join(best, "repo_name", "left")
+    return df.withColumn("grade", F.when(F.size("exclusions") > 0, 0).otherwise(F.coalesce("grade", F.lit(0))))
+
+
+def classification_decision() -> Column:
+    return F.when(F.col("grade") == 2, "accepted").when(F.col("grade") == 1, "borderline").otherwise("rejected")
+
+
+def chosen_order() -> Column:
+    """The subdomains of the repository's own grade, by falling score."""
+    own = F.transform(F.filter("all", lambda x: x["grade"] == F.col("grade")), lambda x: x["subdomain_id"])
+    return F.when(F.col("grade") > 0, own).otherwise(F.array().cast("array<string>"))
+
+
+def classification_score() -> Column:
+    """The highest score among the chosen subdomains (of all, if none is), 0-100; 0 if excluded."""
+    chosen = F.transform(F.filter("all", lambda x: (F.col("grade") > 0) & (x["grade"] == F.col("grade"))), lambda x: x["score"])
+    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.when(F.size("exclusions") > 0, 0.0).otherwise(F.coalesce(F.array_max(chosen), "best", F.lit(0.0)))))
+
+
+def classify_run(metadata: DataFrame, activity: DataFrame, taxonomy: DataFrame, domain: str, weights: dict = C.CLASSIFICATION, flags: frozenset[str] = C.EXCLUSION_FLAGS) -> DataFrame:
+    """The whole classification, one row per repository."""
+    matches = all_matches(metadata, taxonomy.where(F.col("domain_id") == domain))
     # A repository has a few subdomains at most: their evidence is one small array.
     prefixed = F.when(F.col("kind") == "name", F.concat(F.lit("name:"), "item")).when(F.col("kind") == "language", F.concat(F.lit("language:"), "item")).when(F.col("kind") == "negative", F.concat(F.lit("negative_term:"), "item")).otherwise(F.col("item"))
     evidence = matches.groupBy("repo_name").agg(F.collect_set(F.struct("subdomain_id", "kind", prefixed.alias("item"))).alias("evidence"))
-    judged = (
-        join_single_actor_share(metadata, activity).withColumn("exclusions", hard_exclusions(flags=flags)).join(best, "repo_name", "left").join(evidence, "repo_name", "left")
-        .withColumn("grade", F.when(F.size("exclusions") > 0, 0).otherwise(F.coalesce("grade", F.lit(0))))
-        .withColumn("listed", F.when(F.col("grade") > 0, F.transform(F.filter("all", lambda x: x["grade"] == F.col("grade")), lambda x: x["subdomain_id"])).otherwise(F.array().cast("array<string>")))
-    )
-    top = F.when(F.size("exclusions") > 0, 0.0).otherwise(F.coalesce(F.array_max(F.transform(F.filter("all", lambda x: F.array_contains("listed", x["subdomain_id"])), lambda x: x["score"])), "best", F.lit(0.0)))
+    rows = judged(metadata, activity, best_subdomains(subdomain_score(matches, weights), weights), flags).withColumn("listed", chosen_order()).join(evidence, "repo_name", "left")
 
     def listed(*kinds: str) -> Column:
         wanted = F.filter(F.coalesce("evidence", F.array()), lambda x: x["kind"].isin(*kinds) & ((F.size("listed") == 0) | F.array_contains("listed", x["subdomain_id"])))
         return F.array_sort(F.array_distinct(F.transform(wanted, lambda x: x["item"])))
 
-    return judged.select(
-        "repo_name", F.lit(domain).alias("domain_id"), F.col("listed").alias("subdomains"), F.greatest(F.lit(0.0), F.least(F.lit(100.0), top)).alias("classification_score"),
-        F.when(F.col("grade") == 2, "accepted").when(F.col("grade") == 1, "borderline").otherwise("rejected").alias("classification_status"),
+    return rows.select(
+        "repo_name", F.lit(domain).alias("domain_id"), F.col("listed").alias("subdomains"), classification_score().alias("classification_score"), classification_decision().alias("classification_status"),
         listed("topic").alias("evidence_topics"), listed("term", "name").alias("evidence_terms"), listed("file", "language").alias("evidence_files"),
         F.array_union("exclusions", listed("negative")).alias("negative_evidence"),
     )

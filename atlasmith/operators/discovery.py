@@ -103,7 +103,7 @@ def summary_bound() -> Column:
 
 def repo_discovery(activity: DataFrame, minimums: dict[str, int] = C.MINIMUMS) -> DataFrame:
     """The funnel: status and reason of each repository."""
-    judged = activity.withColumn("pull_requests_or_reviews", F.col("pull_requests_opened") + F.col("reviews_submitted")).withColumn("failed_minimums", X.failed_minimums(minimums))
+    judged = activity.withColumn("pull_requests_or_reviews", X.prs_or_reviews()).withColumn("failed_minimums", X.failed_minimums(minimums))
     parts = F.col("failed_minimums"), F.col("is_taxonomy_candidate"), X.candidate_floor()
     return judged.withColumn("discovery_status", X.discovery_status(*parts)).withColumn("exclusion_reason", X.exclusion_reason(*parts)).drop("failed_minimums")
 

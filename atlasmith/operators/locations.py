@@ -118,6 +118,22 @@ def _city_join(df: DataFrame, city: DataFrame, key: str, country: Column, admin:
     return df.join(best.select("text", found.alias(name)), "text", "left")
 
 
+def look(df: DataFrame, dim: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """df with the dimension's value of its key, a null where it has none."""
+    one = dim.groupBy("key").agg(F.first(value, ignorenulls=True).alias(name)).withColumnRenamed("key", key)
+    return df.join(one, key, "left")
+
+
+def dim_override_join(df: DataFrame, dims: Dims) -> DataFrame:
+    """df with over, the curated answer for whole_key."""
+    return look(df, dims.override.select(normalize_key("raw_location").alias("key"), F.struct("code", "city", "level").alias("v")), "whole_key", "v", "over")
+
+
+def dim_alias_join(df: DataFrame, dims: Dims) -> DataFrame:
+    """df with also, the answer of the alias that equals whole_key."""
+    return look(df, dims.alias.select(normalize_key("alias").alias("key"), F.struct("code", "city", "level").alias("v")), "whole_key", "v", "also")
+
+
 def _resolve_parts(texts: DataFrame, dims: Dims) -> DataFrame:
     """(text, answer) for cleaned strings without list separators; answer is null if unresolved."""
     seg = F.col("segments")
@@ -128,14 +144,8 @@ def _resolve_parts(texts: DataFrame, dims: Dims) -> DataFrame:
         .withColumn("middle_key", normalize_key(F.when(F.size(seg) >= 3, F.element_at(seg, -2))))
     )
 
-    def look(df: DataFrame, dim: DataFrame, key: str, value: str, name: str) -> DataFrame:
-        one = dim.groupBy("key").agg(F.first(value, ignorenulls=True).alias(name)).withColumnRenamed("key", key)
-        return df.join(one, key, "left")
-
     regions = region_country(dims)
-    over = dims.override.select(normalize_key("raw_location").alias("key"), F.struct("code", "city", "level").alias("v"))
-    also = dims.alias.select(normalize_key("alias").alias("key"), F.struct("code", "city", "level").alias("v"))
-    df = look(look(df, over, "whole_key", "v", "over"), also, "whole_key", "v", "also")
+    df = dim_alias_join(dim_override_join(df, dims), dims)
     df = look(look(df, dims.country, "whole_key", "code", "whole_country"), dims.us_state, "whole_key", "code", "whole_state")
     df = look(look(look(df, dims.us_state, "last_key", "code", "last_state"), dims.country, "last_key", "code", "last_country"), regions, "last_key", "country", "last_region")
     df = look(look(df, dims.us_state, "head_key", "code", "head_state"), regions, "head_key", "country", "head_region")

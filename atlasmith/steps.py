@@ -67,7 +67,7 @@ add("weighted_activity", lambda s: s.activity.select("repo_name", X.weighted_act
 add("safe_share", lambda s: _whole(s).select("repo_name", X.safe_share("bot_counted_events", F.col("bot_counted_events") + F.col("human_counted_events")).alias("share")),
     "SELECT repo_name, coalesce(coalesce(sum(counted_events) FILTER (is_bot), 0) / nullif(sum(counted_events), 0), 0) AS share FROM per_actor GROUP BY 1", "share")
 add("summary_bound", lambda s: _whole(s).withColumn("is_taxonomy_candidate", X.taxonomy_name_match("repo_name", A.TERMS)).where(discovery.summary_bound()).select("repo_name", "unique_human_contributors"), "SELECT repo_name, unique_human_contributors FROM repo_activity")
-add("prs_or_reviews", lambda s: s.discovered.select("repo_name", "pull_requests_or_reviews"), "SELECT repo_name, pull_requests_opened + reviews_submitted AS pull_requests_or_reviews FROM repo_activity")
+add("prs_or_reviews", lambda s: s.activity.select("repo_name", X.prs_or_reviews().alias("pull_requests_or_reviews")), "SELECT repo_name, pull_requests_opened + reviews_submitted AS pull_requests_or_reviews FROM repo_activity")
 add("candidate_floor", lambda s: s.activity.select("repo_name", X.candidate_floor().alias("is_floor")), "SELECT repo_name, is_floor FROM discovery")
 add("failed_minimums", lambda s: s.discovered.select("repo_name", X.failed_minimums(A.MINIMUMS).alias("failed")), "SELECT repo_name, failed FROM discovery")
 add("exclusion_reason", lambda s: s.discovered.groupBy("exclusion_reason").agg(F.count("*").alias("n")), "SELECT exclusion_reason, count(*) AS n FROM discovery GROUP BY 1")
@@ -182,8 +182,9 @@ _named = lambda s: s.metadata.withColumn("repo_name", F.concat_ws("/", F.split("
 add("match_name_terms", lambda s: classify.match_name_terms(_named(s), s.taxonomy).select("repo_name", "subdomain_id", "item"),
     f"SELECT split_part(repo_name, '/', 2) || '/' || replace(description, ' ', '-') AS repo_name, subdomain_id, item FROM repo_meta JOIN taxonomy ON kind = 'term' AND regexp_matches(replace(description, ' ', '-'), {K._phrase})")
 add("license_recognized", lambda s: s.metadata.select("repo_name", classify.license_recognized("license_spdx_id").alias("ok")), "SELECT repo_name, license_spdx_id IS NOT NULL AS ok FROM repo_meta")
-for _name, _column in (("classification_decision", "classification_status"), ("chosen_order", "subdomains"), ("classification_score", "classification_score")):
-    add(_name, lambda s, c=_column: s.classification.select("repo_name", c), f"SELECT repo_name, {_column} FROM ({K.ORACLES['classify_run']})")
+_judged = lambda s: classify.judged(s.metadata, s.activity, classify.best_subdomains(classify.subdomain_score(classify.all_matches(s.metadata, s.taxonomy.where(F.col("domain_id") == A.DOMAIN)))))
+for _name, _make, _column in (("classification_decision", classify.classification_decision, "classification_status"), ("chosen_order", classify.chosen_order, "subdomains"), ("classification_score", classify.classification_score, "classification_score")):
+    add(_name, lambda s, make=_make, c=_column: _judged(s).select("repo_name", make().alias(c)), f"SELECT repo_name, {_column} FROM ({K._classified})", "classification_score" if _name == "classification_score" else "")
 
 # 2.9 locations: all customers are resolved, then those that a stage decided are kept
 
@@ -199,24 +200,29 @@ for _name, _decided in STAGES.items():
     add(_name, lambda s, decided=_decided: s.normalized.where(decided).select(*_place), f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE {_decided}")
 
 
-def _curated(s: Stages) -> DataFrame:
-    """Segments as free text, half of them with a curated answer: overrides from even nations, aliases from odd ones."""
-    nation, segment = table(s, "nation"), table(s, "customer").select("c_mktsegment", "c_nationkey").distinct()
-    rows = segment.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat("c_mktsegment", F.lit(" of "), "n_name").alias("raw"), F.concat(F.lit("N"), "n_nationkey").alias("code"), "n_nationkey")
+def _curated_dims(s: Stages) -> locations.Dims:
+    """Segments of nations as curated strings: overrides for one nation in four, aliases for another."""
+    segment = table(s, "customer").select("c_mktsegment", "c_nationkey").distinct()
+    rows = segment.join(table(s, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat("c_mktsegment", F.lit(" of "), "n_name").alias("raw"), F.concat(F.lit("N"), "n_nationkey").alias("code"), "n_nationkey")
     level = F.when(F.col("n_nationkey") % 3 == 0, "region").otherwise("country")
     none = F.lit(None).cast("string").alias("city")
     dims = gazetteer.dims(s.spark)
     dims.override = rows.where("n_nationkey % 4 = 0").select(F.col("raw").alias("raw_location"), "code", none, level.alias("level"))
     dims.alias = rows.where("n_nationkey % 4 = 1").select(F.upper("raw").alias("alias"), "code", none, level.alias("level"))
-    people = table(s, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    profiles = people.select(F.concat(F.lit("c"), "c_custkey").alias("actor_login"), F.concat("c_mktsegment", F.lit("  of "), "n_name").alias("public_location_raw"), F.lit("success").alias("fetch_status"))
-    return locations.normalize_run(profiles, dims).select("actor_login", "normalized_country_code", "location_level", "location_confidence", "normalization_method")
+    return dims
 
 
-for _names, _method, _rest in ((("stage_override", "dim_override_join"), "override", 0), (("stage_alias", "dim_alias_join"), "alias", 1)):
-    for _name in _names:
-        add(_name, lambda s, m=_method: _curated(s).where(F.col("normalization_method") == m),
-            f"SELECT 'c' || c_custkey AS actor_login, 'N' || c_nationkey AS normalized_country_code, CASE WHEN c_nationkey % 3 = 0 THEN 'region' ELSE 'country' END AS location_level, CASE WHEN c_nationkey % 3 = 0 THEN 'low' ELSE 'high' END AS location_confidence, '{_method}' AS normalization_method FROM customer WHERE c_nationkey % 4 = {_rest}")
+def _curated_people(s: Stages) -> DataFrame:
+    people = table(s, "customer").join(table(s, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return people.select(F.concat(F.lit("c"), "c_custkey").alias("actor_login"), F.concat("c_mktsegment", F.lit("  of "), "n_name").alias("public_location_raw"), F.lit("success").alias("fetch_status"))
+
+
+for _name, _join, _method, _value, _rest in (("override", locations.dim_override_join, "override", "over", 0), ("alias", locations.dim_alias_join, "alias", "also", 1)):
+    _level = "CASE WHEN c_nationkey % 3 = 0 THEN 'region' ELSE 'country' END"
+    add(f"stage_{_name}", lambda s, m=_method: locations.normalize_run(_curated_people(s), _curated_dims(s)).where(F.col("normalization_method") == m).select("actor_login", "normalized_country_code", "location_level", "location_confidence", "normalization_method"),
+        f"SELECT 'c' || c_custkey AS actor_login, 'N' || c_nationkey AS normalized_country_code, {_level} AS location_level, CASE WHEN c_nationkey % 3 = 0 THEN 'low' ELSE 'high' END AS location_confidence, '{_method}' AS normalization_method FROM customer WHERE c_nationkey % 4 = {_rest}")
+    add(f"dim_{_name}_join", lambda s, join=_join, v=_value: join(_curated_people(s).select("actor_login", locations.normalize_key("public_location_raw").alias("whole_key")), _curated_dims(s)).select("actor_login", "whole_key", F.col(f"{v}.code").alias("code"), F.col(f"{v}.level").alias("level")),
+        f"SELECT 'c' || c_custkey AS actor_login, lower(c_mktsegment || ' of ' || n_name) AS whole_key, CASE WHEN c_nationkey % 4 = {_rest} THEN 'N' || c_nationkey END AS code, CASE WHEN c_nationkey % 4 = {_rest} THEN {_level} END AS level FROM customer JOIN nation ON c_nationkey = n_nationkey")
 
 _cities = lambda s: table(s, "part").select(F.lower("p_name").alias("key"), F.col("p_name").alias("name"), F.col("p_brand").alias("country_code"), F.col("p_type").alias("admin1"), (F.col("p_size").cast("long") * F.col("p_partkey")).alias("population"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"))
 add("dominant_city", lambda s: locations.dominant_city(_cities(s)).select("key", F.col("top.country_code").alias("country_code"), F.col("top.population").alias("population"), "dominant", "n"),
