@@ -57,6 +57,43 @@ def test_every_operator_takes_odd_and_empty_tables(spark, odd, empty):
     assert topk.search(spark.createDataFrame([], "vec_id long, v array<long>"), spark.createDataFrame([], "vec_id long, v array<long>")).count() == 0
 
 
+def test_odd_rows_have_defined_results(spark, odd):
+    """Nulls, empty and long texts, repeated rows and clashing columns, each with the result that the operators state."""
+    whole = "Hello World. " + LONG
+    found = sorted(((r["doc_id"] or 0, r["n_words"], r["n_removed"], r["kept"]) for r in substring.dedup(odd).collect()), key=repr)
+    want = [(0, 60, 0, LONG), (1, 62, 0, whole), (2, 62, 60, "x y"), (3, 0, 0, ""), (4, 0, 0, ""), (5, 62, 62, ""), (5, 62, 62, ""), (6, 1, 0, "a" * 300_000), (8, 4, 0, "é ü nbsp Z")]
+    assert [r for r in found if r[0] != 7] == sorted(want, key=repr)
+    assert {r["starts"][0] for r in substring.dedup(odd).collect() if "starts" in r.asDict()} <= {1}
+    parts = {(r["doc_id"], r["component_id"]) for r in simhash.near_groups(odd).where("doc_id is not null").collect()}
+    assert {(1, 1), (5, 1), (3, 3), (4, 3)} <= parts
+    kept = simhash.keep_one(odd).collect()
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] in (1, 3, 4, 5)) == [1, 3] and sum(r["doc_id"] is None for r in kept) == 1 and {r["fp"] for r in kept} == {"clash"}
+    pieces = packing.pack(odd).collect()
+    assert sorted((r["doc_id"], r["doc_tokens"], r["length"]) for r in pieces if r["doc_id"] in (3, 4)) == [(3, 1, 1), (4, 1, 1)]
+    one = {i: next(r["doc_tokens"] for r in pieces if r["doc_id"] == i) for i in (1, 5, 6)}
+    assert one[1] == one[5]
+    # Rows that repeat an id are packed each: both hold all their tokens.
+    assert {i: sum(r["length"] for r in pieces if r["doc_id"] == i) for i in one} == {1: one[1], 5: 2 * one[5], 6: one[6]}
+    assert licenses.scan(odd).where("license is not null").count() == 0
+
+
+def test_stages_take_odd_and_empty_tables(spark, odd, empty):
+    """Every filtering stage keeps the columns, clashing ones with their values, and an empty table empty."""
+    clashing = odd.withColumns({"predicted": F.lit("p"), "n_dropped": F.lit("d"), "n_lines": F.lit(None).cast("string"), "doc": F.lit("c"), "copy": F.lit(2)})
+    columns = clashing.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clashing, SF)
+        assert out.columns == columns and out.dtypes == clashing.dtypes, name
+        rows = out.collect()
+        assert rows and {(r["score"], r["predicted"], r["n_dropped"], r["n_lines"], r["doc"], r["copy"], r["fp"]) for r in rows} == {("s", "p", "d", None, "c", 2, "clash")}, name
+        assert {r["doc_id"] for r in rows} <= {r[0] for r in ODD}, name
+        nothing = stage(spark, empty, SF)
+        assert nothing.columns == empty.columns and nothing.count() == 0, name
+    assert corpus_pipeline.pack_sequences(spark, clashing, SF).count() >= len(ODD) and corpus_pipeline.pack_sequences(spark, empty, SF).count() == 0
+    lines = corpus_pipeline.drop_repeated_lines(spark, clashing, SF).collect()
+    assert sorted(r["text"] for r in lines) == sorted(x[1] or "" for x in ODD)
+
+
 def test_media_round_trip_and_shots():
     for _, text, *_ in ODD:
         n, payload = media.payload_of(text)
