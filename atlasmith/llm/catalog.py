@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from atlasmith.llm import licenses, line_dedup, media, mixing, packing, simhash, substring, token_counts, topk, toxicity
+from atlasmith.llm import alignment, licenses, line_dedup, media, mixing, packing, simhash, substring, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_media": media.op1_media,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_cross_tokenizer": alignment.op11_cross_tokenizer,
 }
 ORACLES = {
     "op2_topk": topk.ORACLE,
