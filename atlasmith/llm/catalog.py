@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from atlasmith.llm import alignment, licenses, line_dedup, media, mixing, packing, simhash, substring, token_counts, topk, toxicity
+from atlasmith.llm import alignment, licenses, line_dedup, media, mixing, packing, prefix_trie, simhash, substring, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_media": media.op1_media,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_cross_tokenizer": alignment.op11_cross_tokenizer,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLES = {
     "op2_topk": topk.ORACLE,
     "op4_substring_dedup": substring.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }

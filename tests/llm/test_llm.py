@@ -35,7 +35,7 @@ def empty(odd):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.sql(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     df, want = catalog.QUERIES[name](spark, SF), con.sql(catalog.ORACLES[name])
     columns = sorted(df.columns)
