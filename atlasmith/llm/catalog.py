@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from atlasmith.llm import alignment, licenses, line_dedup, media, mixing, packing, prefix_trie, simhash, substring, token_counts, topk, toxicity
+from atlasmith.llm import alignment, licenses, line_dedup, media, mixing, packing, phrases, prefix_trie, simhash, substring, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_media": media.op1_media,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_cross_tokenizer": alignment.op11_cross_tokenizer,
+    "op12_phrases": phrases.op12_phrases,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLES = {
