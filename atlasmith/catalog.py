@@ -49,17 +49,6 @@ _window = [y * 100 + m for y in range(A.WINDOW[0].year, A.WINDOW[1].year + 1) fo
 add("grid_union", lambda s: T.grid_union(s.grid, _window).groupBy("month").agg(F.count("*").alias("n")), f"SELECT month, count(*) AS n FROM grid WHERE month BETWEEN {_window[0]} AND {_window[-1]} GROUP BY 1")
 add("human_grid_view", lambda s: T.human_grid_view(s.grid).groupBy("repo_name").agg(F.count("*").alias("n")), "SELECT repo_name, count(*) AS n FROM grid WHERE NOT is_bot GROUP BY 1")
 add("export_contract", lambda s: T.export_contract(s.contributors, ["actor_login", "repo_name", "domain_id", "push_events", "raw_contribution_points"]), "SELECT actor_login, repo_name, domain_id, push_events, raw_contribution_points FROM contributor", "raw_contribution_points")
-add("export_candidates", lambda s: T.candidates(s.discovered).groupBy("discovery_status").agg(F.count("*").alias("n")), "SELECT discovery_status, count(*) AS n FROM discovery WHERE discovery_status IN ('accepted', 'excluded') GROUP BY 1")
-add("export_contributors", lambda s: T.with_subdomains(s.contributors).select("actor_login", "repo_name", "subdomains"), "SELECT actor_login, repo_name, '' AS subdomains FROM contributor")
-
-
-def _old_new(s: Stages) -> tuple[DataFrame, DataFrame]:
-    o = table(s, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
-    return o.where("o_orderstatus <> 'F'"), o.where("o_orderstatus = 'F'")
-
-
-add("upsert_latest", lambda s: T.upsert_latest(*(d.groupBy("o_custkey").agg(F.max("o_orderdate").alias("o_orderdate")).withColumn("source", F.lit(n)) for d, n in zip(_old_new(s), ("old", "new"), strict=True)), "o_custkey", "o_orderdate"),
-    "SELECT o_custkey, o_orderdate, source FROM (SELECT o_custkey, max(o_orderdate) AS o_orderdate, CASE WHEN o_orderstatus = 'F' THEN 'new' ELSE 'old' END AS source FROM orders GROUP BY 1, 3) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, source) = 1")
 
 
 def _landed(s: Stages) -> DataFrame:
@@ -94,7 +83,6 @@ add("error_rate_gate", lambda s: T.error_rate_gate(_failed(s), s.metadata.count(
 add("retry_worklist", lambda s: T.retry_worklist(s.metadata, s.metadata.where("has_ci").select("repo_name"), _failed(s), "repo_name"),
     "SELECT DISTINCT repo_name FROM repo_meta WHERE has_ci IS DISTINCT FROM true AND NOT is_fork AND NOT (is_archived AND release_count % 5 >= 3)")
 add("exhausted_failures", lambda s: T.exhausted_failures(s.metadata, _failed(s), "repo_name"), "SELECT repo_name, 'TIMEOUT' AS reason FROM repo_meta WHERE is_archived AND NOT is_fork AND release_count % 5 >= 3")
-add("publish_json", lambda s: s.repo_scores.select(F.get_json_object(T.json_row(s.repo_scores), "$.repoName").alias("repo_name"), F.get_json_object(T.json_row(s.repo_scores), "$.repositoryQualityScore").cast("double").alias("score")), "SELECT repo_name, round(repository_quality_score, 4) AS score FROM repo_scores")
 
 # 2.2 and 2.4 discovery
 
@@ -227,16 +215,6 @@ add("rank_geographies", lambda s: s.rankings.select("geo_level", "geo_id", *_ran
 
 # 2.11 quality
 
-add("quality_checks", lambda s: quality.quality_checks(s.discovered, s.grid, s.contributors, *A.WINDOW).select("check_name", "failing_rows", "status"),
-    "SELECT unnest(['repo_date_bounds', 'repo_non_negative_counts', 'repo_share_bounds', 'merged_within_closed', 'meaningful_events_consistency', 'status_reason_consistency', 'contributor_non_negative_counts', 'contributor_repo_membership', 'grid_duplicate_keys', 'repo_duplicate_keys', 'contributor_duplicate_keys']) AS check_name, n AS failing_rows, 'pass' AS status FROM (SELECT count(*) FILTER (merged_pull_requests > pull_requests_closed) AS n FROM repo_activity)")
-add("check_score_bounds", lambda s: quality.check_score_bounds(s.repo_scores, C.REPOSITORY, "repository_quality_score").unionByName(quality.check_score_bounds(s.rankings, C.OPPORTUNITY, "opportunity_score")).select("check_name", "failing_rows", "status"),
-    " UNION ALL ".join(f"SELECT '{final}_{check}' AS check_name, n AS failing_rows, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status FROM (SELECT count(*) FILTER ({test}) AS n FROM {source})"
-        for source, parts, final in (("repo_scores", C.REPOSITORY, "repository_quality_score"), ("rankings", C.OPPORTUNITY, "opportunity_score"))
-        for check, test in (("components", " OR ".join(f"{n}_score < 0 OR {n}_score > 100" for n in parts)), ("weighted_sum", f"abs({' + '.join(f'{w} * {n}_score' for n, w in parts.items())} - {final}) > 1e-6"))))
-add("check_rankings", lambda s: quality.check_rankings(s.rankings, A.SAMPLES).unionByName(quality.check_rank_order(s.rankings)).unionByName(quality.check_evidence_present(s.classified)).unionByName(quality.check_event_ids(table(s, "events"), "event_id")).select("check_name", "failing_rows", "status"))
-add("check_schema_contract", lambda s: quality.check_schema_contract(s.rankings, {"geo_level": {"values": ["country", "city"]}, "opportunity_score": {"type": "double", "min": 0, "max": 100, "nullable": False}, "rank": {"min": 1}}).select("check_name", "failing_rows", "status"),
-    " UNION ALL ".join(f"SELECT '{c}' AS check_name, n AS failing_rows, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status FROM (SELECT count(*) FILTER ({bad}) AS n FROM rankings)"
-        for c, bad in (("geo_level", "geo_level NOT IN ('country', 'city')"), ("opportunity_score", "opportunity_score IS NULL OR opportunity_score NOT BETWEEN 0 AND 100"), ("rank", "rank < 1"))))
 # RE2 has no lookahead: the character after the match is matched, or the end.
 _BEFORE, _AFTER = r"(?![\w/-])", r"(?:[^\w/-]|$)"
 _privacy_sql = " UNION ALL ".join(f"SELECT file, {Q.quoted(n)} AS pattern, trim(line, ' ' || chr(9) || chr(11) || chr(12)) AS t FROM lines WHERE regexp_matches(line, {Q.quoted(p.replace(_BEFORE, _AFTER))})" for n, p in C.PRIVACY)
@@ -256,10 +234,10 @@ add("window_comparison", lambda s: quality.window_comparison(s.grid, _months[-3:
 
 # 2.12 published datasets
 
-_counts = lambda s: publish.explode_subdomain_join(s.classified, s.contributors, s.contributor_scores)
-add("explode_subdomain_join", _counts, "SELECT * FROM subdomain_counts")
-add("subdomain_hubs", lambda s: publish.subdomain_hubs(_counts(s)), "SELECT * FROM subdomain_counts QUALIFY row_number() OVER (PARTITION BY subdomain ORDER BY experts DESC, country_code) = 1")
-add("subdomain_mix", lambda s: publish.subdomain_mix(_counts(s)), "SELECT *, experts / greatest(sum(experts) OVER (PARTITION BY country_code), 1) AS share FROM subdomain_counts", "share")
+counts = lambda s: publish.explode_subdomain_join(s.classified, s.contributors, s.contributor_scores)
+add("explode_subdomain_join", counts, "SELECT * FROM subdomain_counts")
+add("subdomain_hubs", lambda s: publish.subdomain_hubs(counts(s)), "SELECT * FROM subdomain_counts QUALIFY row_number() OVER (PARTITION BY subdomain ORDER BY experts DESC, country_code) = 1")
+add("subdomain_mix", lambda s: publish.subdomain_mix(counts(s)), "SELECT *, experts / greatest(sum(experts) OVER (PARTITION BY country_code), 1) AS share FROM subdomain_counts", "share")
 add("kpis", lambda s: publish.kpis(s.classified, s.contributor_scores, s.locations, s.rankings), "SELECT (SELECT count(*) FROM classified WHERE classification_status = 'accepted') AS qualified_repos, (SELECT count(DISTINCT actor_login) FROM contributor_scores) AS experts, (SELECT count(normalized_country_code) / count(*) FROM actor_geo) AS located_coverage, (SELECT count(*) FROM rankings WHERE geo_level = 'country' AND recommendation_tier <> 'insufficient_data') AS sufficient_countries", "located_coverage")
 add("coverage_by_country", lambda s: publish.coverage_by_country(s.locations), "SELECT normalized_country_code AS country_code, count(*) AS located, count(*) / sum(count(*)) OVER () AS share FROM actor_geo WHERE normalized_country_code IS NOT NULL GROUP BY 1 ORDER BY located DESC, country_code LIMIT 40", "share")
 add("confidence_distribution", lambda s: publish.confidence_distribution(s.locations), "SELECT location_confidence, count(*) AS n FROM actor_geo GROUP BY 1")
@@ -287,7 +265,7 @@ add("compare_payload", lambda s: _read(publish.compare_payload(s.rankings, s.cou
     f"""WITH best AS (SELECT geo_level, country_code, city, string_agg(s, '|' ORDER BY r) AS subs FROM geo_top WHERE r <= {C.TOP_SUBDOMAINS} GROUP BY ALL)
   SELECT r.geo_level, r.geo_id, coalesce(r.city, country_name, r.country_code) AS name, rank, opportunity_score AS "opportunityScore", confidence_score AS "confidenceScore", recommendation_tier AS "recommendationTier", coalesce(subs, '') AS "topSubdomains", true AS "momentumProvisional"
   FROM rankings r LEFT JOIN country_names n ON n.country_code = r.country_code LEFT JOIN best b ON b.geo_level = r.geo_level AND b.country_code = r.country_code AND b.city IS NOT DISTINCT FROM r.city""", '"opportunityScore" "confidenceScore"')
-_details = lambda s: publish.country_detail(s.rankings, s.countries, publish.subdomain_mix(_counts(s)), discovery.geo_monthly_trend(s.grid, A.actor_country(s.spark, s.sf_dir)))
+_details = lambda s: publish.country_detail(s.rankings, s.countries, publish.subdomain_mix(counts(s)), discovery.geo_monthly_trend(s.grid, A.actor_country(s.spark, s.sf_dir)))
 _detail = {"name": "string", "rank": "long", "caveats": "array<string>", "subdomainMix": "array<struct<subdomain: string, experts: long, share: double>>", "trend": "array<struct<month: int, events: long, active_contributors: long>>"}
 add("country_detail", lambda s: _read(_details(s), "geo_id", "file", **_detail).select("geo_id", "file", "name", "rank", F.size("caveats").cast("long").alias("n_caveats"), F.array_join(F.transform("subdomainMix", lambda x: F.concat_ws(":", x["subdomain"], x["experts"])), "|").alias("mix"), F.array_join(F.transform("trend", lambda x: F.concat_ws(":", x["month"], x["events"], x["active_contributors"])), "|").alias("trend")),
     f"""SELECT geo_id, replace(lower(geo_id), ' ', '-') AS file, {_named} AS name, rank, CAST(1 + CASE WHEN located_profile_coverage < 0.4 THEN 1 ELSE 0 END + CASE WHEN max_org_share > {C.ORG_SHARE_FLAG} THEN 1 ELSE 0 END AS BIGINT) AS n_caveats, mix, trend
@@ -312,7 +290,7 @@ add("coverage_payload", _coverage,
 
 def _summary(s: Stages) -> DataFrame:
     """Measures and both lists of the payload, read back as rows."""
-    payload = publish.summary_payload(publish.kpis(s.classified, s.contributor_scores, s.locations, s.rankings), s.rankings, publish.subdomain_hubs(_counts(s)))
+    payload = publish.summary_payload(publish.kpis(s.classified, s.contributor_scores, s.locations, s.rankings), s.rankings, publish.subdomain_hubs(counts(s)))
     measures = payload.select(F.explode(F.array(*(F.struct(F.lit("kpi").alias("list"), F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in ("qualified_repos", "experts", "located_coverage", "sufficient_countries")))).alias("x")).select("x.*")
     top = _rows(payload, "top", "rank: int", "geo_id: string", "opportunity_score: double").select(F.lit("top").alias("list"), F.col("geo_id").alias("key"), F.col("opportunity_score").alias("value"))
     hubs = _rows(payload, "hubs", "subdomain: string", "country_code: string", "experts: long").select(F.lit("hub").alias("list"), F.concat_ws(":", "subdomain", "country_code").alias("key"), F.col("experts").cast("double").alias("value"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from atlasmith import settings as C
@@ -12,6 +12,7 @@ from atlasmith.functions import expressions as X
 from atlasmith.functions import stats as S
 from atlasmith.operators import discovery as D
 from atlasmith.operators import scores as G
+from atlasmith.sources import snapshots
 from atlasmith.sources import tables as T
 
 
@@ -49,9 +50,15 @@ def repo_tests(start: datetime.date, end: datetime.date) -> dict[str, tuple[Colu
     }
 
 
+CONTRIBUTOR_COUNTS = ["push_events", "pull_requests_opened", "merged_pull_requests_authored", "reviews_submitted", "issues_opened", "issue_comments", "active_days", "active_months", "raw_contribution_points"]
+
+
+def contributor_tests() -> dict[str, tuple[Column, str]]:
+    return {"contributor_non_negative_counts": (_any(CONTRIBUTOR_COUNTS, lambda c: c < 0), "every contributor counter and score non-negative")}
+
+
 def check_contributor_non_negative(contributors: DataFrame) -> DataFrame:
-    own = ["push_events", "pull_requests_opened", "merged_pull_requests_authored", "reviews_submitted", "issues_opened", "issue_comments", "active_days", "active_months", "raw_contribution_points"]
-    return check_rows(contributors, {"contributor_non_negative_counts": (_any(own, lambda c: c < 0), "every contributor counter and score non-negative")})
+    return check_rows(contributors, contributor_tests())
 
 
 def check_contributor_membership(contributors: DataFrame, repos: DataFrame) -> DataFrame:
@@ -74,10 +81,76 @@ def quality_checks(repos: DataFrame, grid: DataFrame, contributors: DataFrame, s
     return out
 
 
-def quality_gate(checks: DataFrame) -> DataFrame:
-    """checks, or an error when it is read, if any fails."""
-    stop = F.when(F.col("status") == "fail", F.raise_error(F.concat(F.lit("check failed: "), "check_name")).cast("string"))
-    return checks.withColumn("status", F.coalesce(stop, "status"))
+class ChecksFailed(Exception):
+    """A table was not replaced, as rows fail its checks. failing: rows by check; quarantine: the folder of failing rows."""
+
+    def __init__(self, failing: dict[str, int], quarantine: str):
+        super().__init__("checks failed: " + ", ".join(f"{n} ({k} rows)" for n, k in sorted(failing.items()) if k))
+        self.failing, self.quarantine = failing, quarantine
+
+
+def key_test(keys: list[str]) -> Column:
+    """Whether a row repeats a key for the first time; one such row per key that comes more than once."""
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))) == 2
+
+
+def write_checked(df: DataFrame, tests: dict[str, tuple[Column, str]], path: str) -> tuple[DataFrame, dict[str, int]]:
+    """Replace a table if all its rows pass; the table, and failing rows by check. Otherwise ChecksFailed, and the table stays.
+
+    One pass: failing rows are counted by metrics that are observed while rows are written, those that
+    pass to one folder and the others, with the names of the checks that they fail, to a quarantine beside it.
+    """
+    marks = {f"__{n}": F.coalesce(test, F.lit(False)) for n, (test, _) in tests.items()}
+    failed = F.array_compact(F.array(*(F.when(F.col(f"__{n}"), F.lit(n)) for n in tests)))
+    marked = df.withColumns(marks)
+    watch = Observation()
+    rows = marked.observe(watch, *(F.count_if(F.col(f"__{n}")).alias(n) for n in tests)).withColumn("failed_checks", failed).drop(*marks)
+    failing: dict[str, int] = {}
+
+    def gate(quarantine: str) -> None:
+        failing.update((n, int(k)) for n, k in watch.get.items())
+        if any(failing.values()):
+            raise ChecksFailed(failing, quarantine)
+
+    return snapshots.replace_split(rows, F.size("failed_checks") == 0, path, df.columns, gate), failing
+
+
+def check_table(failing: dict[str, int], tests: dict[str, tuple[Column, str]], like: DataFrame) -> DataFrame:
+    """Counts of write_checked() as rows of checks."""
+    rows = [(n, failing[n], "fail" if failing[n] else "pass", why) for n, (_, why) in tests.items()]
+    return like.sparkSession.createDataFrame(rows, "check_name string, failing_rows long, status string, requirement string")
+
+
+def repo_write_tests(start: datetime.date, end: datetime.date) -> dict[str, tuple[Column, str]]:
+    return repo_tests(start, end) | {"repo_duplicate_keys": (key_test(KEYS["repo"]), "repo_name unique")}
+
+
+def contributor_write_tests() -> dict[str, tuple[Column, str]]:
+    """Of contributor rows with is_member: whether the repository is accepted."""
+    return contributor_tests() | {"contributor_repo_membership": (~F.col("is_member"), "every contributor row belongs to an accepted repository"), "contributor_duplicate_keys": (key_test(KEYS["contributor"]), "actor_login, repo_name unique")}
+
+
+def with_membership(contributors: DataFrame, repos: DataFrame) -> DataFrame:
+    accepted = repos.where("discovery_status = 'accepted'").select("repo_name").distinct().withColumn("__in", F.lit(True))
+    return contributors.join(accepted, "repo_name", "left").withColumn("is_member", F.coalesce("__in", F.lit(False))).drop("__in")
+
+
+def quality_gate(repos: DataFrame, grid: DataFrame, contributors: DataFrame, start: datetime.date, end: datetime.date, path: str) -> tuple[DataFrame, list[str]]:
+    """Write the three discovery tables under path, each checked at its write: all checks as rows, and the tables that were stopped."""
+    plan = {
+        "grid": (grid, {"grid_duplicate_keys": (key_test(KEYS["grid"]), "month, repo_name, actor_login unique")}), "repositories": (repos, repo_write_tests(start, end)),
+        "contributors": (with_membership(contributors, repos), contributor_write_tests()),
+    }
+    out, stopped = None, []
+    for name, (df, tests) in plan.items():
+        try:
+            _, failing = write_checked(df, tests, f"{path}/{name}")
+        except ChecksFailed as error:
+            failing = error.failing
+            stopped.append(name)
+        checks = check_table(failing, tests, df)
+        out = checks if out is None else out.unionByName(checks)
+    return out, stopped
 
 
 def check_score_bounds(scores: DataFrame, parts: dict[str, float], final: str) -> DataFrame:
@@ -89,21 +162,35 @@ def check_score_bounds(scores: DataFrame, parts: dict[str, float], final: str) -
     })
 
 
-def check_schema_contract(df: DataFrame, contract: dict[str, dict]) -> DataFrame:
-    """contract: {column: {"type": ..., "values": [...], "min": ..., "max": ..., "nullable": bool}}."""
+def check_schema_contract(df: DataFrame, contract: dict[str, str]) -> DataFrame:
+    """Failing rows by column, from one aggregate over the table. contract: {column: kind}; settings.KINDS has the kinds.
+
+    A kind has the types that a column may have, whether it may be null ("?" at its end), bounds or values. A column that
+    is missing, of another type, or not in the contract fails in every row.
+    """
     kinds, tests = dict(df.dtypes), {}
-    for c, rule in contract.items():
-        if kinds.get(c) != rule.get("type", kinds.get(c)) or c not in kinds:
-            tests[c] = (F.lit(True), f"{c} has type {rule.get('type')}")
+    for c, kind in contract.items():
+        rule = C.KINDS[kind.rstrip("?")]
+        if kinds.get(c) not in rule["types"]:
+            tests[c] = (F.lit(True), f"{c} has type {' or '.join(rule['types'])}")
             continue
-        bad = F.lit(False) if rule.get("nullable", True) else F.col(c).isNull()
+        bad = F.lit(False) if kind.endswith("?") else F.col(c).isNull()
         if "values" in rule:
             bad = bad | ~F.coalesce(F.col(c).isin(*rule["values"]), F.lit(True))
         for key, test in (("min", lambda x, v: x < v), ("max", lambda x, v: x > v)):
             if key in rule:
                 bad = bad | F.coalesce(test(F.col(c), rule[key]), F.lit(False))
         tests[c] = (bad, f"{c} within its contract")
-    return check_rows(df, tests)
+    return check_rows(df, tests | {c: (F.lit(True), f"{c} is not in the contract") for c in df.columns if c not in contract})
+
+
+def check_contracts(tables: dict[str, DataFrame], contracts: dict[str, dict[str, str]] = C.CONTRACTS) -> DataFrame:
+    """check_schema_contract of every table, with its name."""
+    out = None
+    for name, contract in contracts.items():
+        found = check_schema_contract(tables[name], contract).select(F.lit(name).alias("table_name"), F.col("check_name").alias("column_name"), "failing_rows", "status")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def check_rankings(rankings: DataFrame, minimums: dict = C.MIN_SAMPLES) -> DataFrame:

@@ -110,6 +110,57 @@ PRIVACY = (
 )
 EXCERPT = 120
 
+#: Kinds of columns in contracts: types, bounds and values.
+KINDS = {
+    "text": {"types": ("string",)}, "texts": {"types": ("array<string>",)}, "flag": {"types": ("boolean",)}, "date": {"types": ("date",)}, "time": {"types": ("timestamp", "timestamp_ntz")},
+    "count": {"types": ("int", "bigint"), "min": 0}, "share": {"types": ("double",), "min": 0, "max": 1}, "score": {"types": ("double",), "min": 0, "max": 100}, "points": {"types": ("double",), "min": 0},
+    "latitude": {"types": ("double",), "min": -90, "max": 90}, "longitude": {"types": ("double",), "min": -180, "max": 180},
+    "classification": {"types": ("string",), "values": ("accepted", "rejected", "borderline")}, "account": {"types": ("string",), "values": ("user", "bot", "organization", "unknown")},
+    "fetched": {"types": ("string",), "values": ("success", "not_found", "rate_limited", "error")}, "place": {"types": ("string",), "values": ("city", "country", "region", "unknown")},
+    "certainty": {"types": ("string",), "values": ("high", "medium", "low", "unusable")}, "geo": {"types": ("string",), "values": ("country", "city")},
+    "method": {"types": ("string",), "values": ("exact_alias", "parsed_country", "unique_city", "city_country_pair", "manual_override", "unresolved")},
+    "tier": {"types": ("string",), "values": ("priority", "promising", "monitor", "insufficient_data")},
+}
+
+
+def _contract(**columns: str) -> dict[str, str]:
+    """{column: kind} of {kind: columns}; may_be_ starts kinds that may be null."""
+    return {c: kind.removeprefix("may_be_") + "?" * kind.startswith("may_be_") for kind, names in columns.items() for c in names.split()}
+
+
+#: Columns and kinds of the eight stage tables.
+CONTRACTS = {
+    "repository_activity": _contract(
+        text="repo_name owner_login repo_short_name discovery_status", may_be_text="exclusion_reason", points="weighted_activity_score", date="first_seen last_seen", share="automation_event_share single_actor_event_share",
+        count="unique_human_contributors active_days active_months push_events push_commit_count pull_requests_opened pull_requests_closed merged_pull_requests reviews_submitted issues_opened issue_comments releases",
+    ),
+    "repository_metadata": _contract(
+        text="repo_name", may_be_text="description primary_language license_spdx_id", flag="is_fork is_archived is_disabled", texts="topics", count="stargazer_count fork_count release_count issue_count pull_request_count",
+        may_be_time="pushed_at updated_at", may_be_flag="has_readme has_contributing has_code_of_conduct has_ci has_tests_signal", time="graphql_fetched_at",
+    ),
+    "repository_classification": _contract(
+        text="repo_name domain_id", texts="subdomains evidence_topics evidence_terms evidence_files negative_evidence", score="classification_score", classification="classification_status", may_be_text="manual_label manual_notes",
+    ),
+    "contributor_activity": _contract(
+        text="actor_login repo_name domain_id", texts="subdomains", date="first_seen last_seen", points="raw_contribution_points",
+        count="push_events pull_requests_opened merged_pull_requests_authored reviews_submitted issues_opened issue_comments active_days active_months",
+    ),
+    "user_profile": _contract(text="actor_login", account="account_type", may_be_text="public_location_raw", may_be_time="created_at", may_be_count="followers_count", time="profile_fetched_at", fetched="fetch_status"),
+    "normalized_location": _contract(
+        text="actor_login", may_be_text="raw_location normalized_country_code normalized_country_name normalized_city ambiguity_reason", may_be_latitude="latitude", may_be_longitude="longitude", place="location_level",
+        certainty="location_confidence", method="normalization_method",
+    ),
+    "contributor_score": _contract(
+        text="actor_login domain_id location_confidence", score="expert_score domain_activity_score contribution_quality_score repository_quality_exposure_score continuity_score collaboration_score",
+        count="qualified_repo_count active_months", may_be_text="country_code city",
+    ),
+    "geographic_ranking": _contract(
+        geo="geo_level", text="geo_id country_code domain_id", may_be_text="city", points="weighted_expert_count", texts="top_subdomains", tier="recommendation_tier",
+        score="opportunity_score confidence_score expert_supply_score expert_quality_score collaboration_depth_score momentum_score ecosystem_breadth_score",
+        count="observable_expert_count qualified_repo_count organization_count rank", share="multi_repo_expert_share located_profile_coverage high_confidence_location_share",
+    ),
+}
+
 for _weights in (REPOSITORY, *REPOSITORY_SIGNALS.values(), CONTRIBUTOR, *CONTRIBUTOR_SIGNALS.values(), OPPORTUNITY, CONFIDENCE, *GEO_SIGNALS.values()):
     if abs(sum(_weights.values()) - 1) > 1e-9:
         raise ValueError(f"weights don't sum to 1: {_weights}")

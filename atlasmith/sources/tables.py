@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,7 +11,10 @@ from pyspark.sql import types as T
 
 from atlasmith import settings as C
 from atlasmith.functions import expressions as X
+from atlasmith.sources import snapshots
 
+#: Buckets of tables that take upserts.
+BUCKETS = 64
 EVENT_COLUMNS = ("repo_name", "actor_login", "type", "created_at", "payload")
 
 
@@ -21,11 +24,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: a table in the folder that the cluster shares (spark.checkpoint.dir), read back."""
-    spark = df.sparkSession
-    folder = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/")
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = snapshots.fresh(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scan_events(events: DataFrame) -> DataFrame:
@@ -47,31 +48,23 @@ def grid_union(grid: DataFrame, months: list[int]) -> DataFrame:
 
 def materialize_months(grid: DataFrame, path: str) -> DataFrame:
     """Append months that the table doesn't have yet; return the months written."""
-    spark = grid.sparkSession
-    try:
-        there = spark.read.parquet(path).select("month").distinct()
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        there = spark.createDataFrame([], "month int")
-    new = grid.join(there, "month", "left_anti")
-    written = new.select("month").distinct()
-    months = [r["month"] for r in written.collect()]  # a row per month
-    if months:
-        new.write.partitionBy("month").mode("append").parquet(path)
-    return spark.createDataFrame([(m,) for m in sorted(months)], "month int")
+    done = snapshots.append_months(grid, path)
+    return grid.sparkSession.createDataFrame([(m,) for m in done], "month int")
 
 
 def refresh_table(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Replace the table by df, as a whole or not at all; df may read it."""
+    return snapshots.replace_table(df, path)
 
 
 write_stage_parquet = refresh_table
 
 
 def read_stage_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """A stage table as it was last written."""
+    df = snapshots.read_snapshot(spark, path)
+    if df is None:
+        raise FileNotFoundError(path)
     return df.select(*columns) if columns else df
 
 
@@ -168,6 +161,14 @@ def upsert_latest(old: DataFrame, new: DataFrame, key: str, ts: str) -> DataFram
     return both.withColumn("__rank", first).where("__rank = 1").drop("__rank", "__new")
 
 
+def merge_latest(new: DataFrame, path: str, key: str, ts: str, buckets: int = BUCKETS) -> DataFrame:
+    """Keep the latest row per key in a bucketed table; buckets without new rows are neither read nor written.
+
+    new may have several rows of a key. The table as it is then.
+    """
+    return snapshots.merge_table(new, path, [key], buckets, lambda old, rows: upsert_latest(old, rows, key, ts))
+
+
 def quarantine_nodes(nodes: DataFrame, errors: DataFrame) -> DataFrame:
     """(key, reason) of nodes that are missing. nodes: (alias, key, node); errors: (alias, type, message)."""
     reason = F.substring(F.coalesce("type", "message", F.lit("MISSING")), 1, 200)
@@ -198,5 +199,6 @@ def json_row(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.to_json(F.struct(*(named[k].alias(k) for k in sorted(named))), {"ignoreNullFields": "false"})
 
 
-def publish_json(df: DataFrame, path: str) -> None:
-    df.select(json_row(df).alias("value")).write.mode("overwrite").text(path)
+def publish_json(rows: DataFrame, path: str, scan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Publish (geo_level, file, payload) as a file each, after scan has read the files; the published set, or PrivateData."""
+    return snapshots.publish_files(rows, path, scan)

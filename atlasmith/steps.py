@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +13,7 @@ from atlasmith.plans import adapters as A
 from atlasmith.plans import gazetteer
 from atlasmith.plans import sql as Q
 from atlasmith.plans.stages import Stages
+from atlasmith.sources import snapshots
 from atlasmith.sources import tables as T
 
 add, table = K.add, K.table
@@ -22,30 +21,11 @@ add, table = K.add, K.table
 QUERIES, ORACLES = K.QUERIES, K.ORACLES
 
 
-def fresh(s: Stages, name: str) -> str:
-    """A path of its own in the folder that the cluster shares."""
-    return f"{(s.spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-# 2.1 sinks and sources: written, then read back
-
-add("materialize_months", lambda s: T.materialize_months(s.grid, fresh(s, "months")), "SELECT DISTINCT month FROM grid")
-add("refresh_table", lambda s: T.refresh_table(s.discovered.groupBy("discovery_status").agg(F.count("*").alias("n")), fresh(s, "statuses")), "SELECT discovery_status, count(*) AS n FROM discovery GROUP BY 1")
-add("export_summary", lambda s: T.export_summary(s.discovered, fresh(s, "summary")).select("repo_name", "discovery_status", "meaningful_events"), "SELECT repo_name, discovery_status, meaningful_events FROM discovery")
-
-
-def _stage_file(s: Stages) -> str:
-    path = fresh(s, "profiles")
-    T.write_stage_parquet(table(s, "supplier"), path)
-    return path
-
-
-add("write_stage_parquet", lambda s: T.write_stage_parquet(s.locations, fresh(s, "locations")).select("actor_login", "normalized_country_code", "location_confidence"), "SELECT actor_login, normalized_country_code, location_confidence FROM actor_geo")
-add("read_stage_parquet", lambda s: T.read_stage_parquet(s.spark, _stage_file(s), ["s_suppkey", "s_name"]), "SELECT s_suppkey, s_name FROM supplier")
+# 2.1 sources
 
 
 def _dim_csv(s: Stages) -> DataFrame:
-    path = fresh(s, "dim")
+    path = snapshots.fresh(s.spark, "dim")
     table(s, "customer").select("c_name", F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")).alias("c_mktsegment"), "c_nationkey").write.option("header", True).csv(path)
     return T.read_dim_csv(s.spark, path, "c_name string, c_mktsegment string, c_nationkey long")
 
@@ -262,48 +242,3 @@ _opportunity = lambda s: scores.geo_components(_geo_signals(s), A.SAMPLES).withC
 add("geo_opportunity", lambda s: _opportunity(s).select("geo_level", "geo_id", "opportunity_score"), "SELECT geo_level, geo_id, opportunity_score FROM rankings", "opportunity_score")
 add("assign_tier", lambda s: _opportunity(s).select("geo_level", "geo_id", X.assign_tier("opportunity_score", "confidence_score", "samples_ok").alias("recommendation_tier")), "SELECT geo_level, geo_id, recommendation_tier FROM rankings")
 add("org_concentration_flag", lambda s: s.geo_evidence.select("geo_level", scores.geo_id().alias("geo_id"), scores.org_concentration_flag().alias("org_concentration_flag")), f"SELECT geo_level, geo_id, max_org_share > {C.ORG_SHARE_FLAG} AS org_concentration_flag FROM rankings")
-
-# 2.11 checks, each counted by its own SQL
-
-_negative = lambda columns: " OR ".join(f"{c} < 0" for c in columns.split())
-_duplicates = lambda keys, view: f"SELECT count(*) AS n FROM (SELECT {keys} FROM {view} GROUP BY {keys} HAVING count(*) > 1)"
-_count = lambda view, test: f"SELECT count(*) FILTER ({test}) AS n FROM {view}"
-CHECKS = {
-    "check_repo_date_bounds": ("repo_date_bounds", _count("discovery", f"first_seen < {Q.START} OR last_seen > {Q.END} OR first_seen > last_seen")),
-    "check_repo_non_negative": ("repo_non_negative_counts", _count("discovery", _negative("unique_human_contributors active_days active_months push_events push_commit_count pull_requests_opened pull_requests_closed merged_pull_requests reviews_submitted issues_opened issue_comments releases weighted_activity_score"))),
-    "check_share_bounds": ("repo_share_bounds", _count("discovery", "automation_event_share NOT BETWEEN 0 AND 1 OR single_actor_event_share NOT BETWEEN 0 AND 1")),
-    "check_merged_within_closed": ("merged_within_closed", _count("discovery", "merged_pull_requests > pull_requests_closed")),
-    "check_meaningful_events": ("meaningful_events_consistency", _count("discovery", "meaningful_events <> push_events + pull_requests_opened + pull_requests_closed + reviews_submitted + issues_opened + issue_comments + releases")),
-    "check_status_reason": ("status_reason_consistency", _count("discovery", "(discovery_status = 'accepted') <> (exclusion_reason IS NULL)")),
-    "check_contributor_non_negative": ("contributor_non_negative_counts", _count("contributor", _negative("push_events pull_requests_opened merged_pull_requests_authored reviews_submitted issues_opened issue_comments active_days active_months raw_contribution_points"))),
-    "check_contributor_membership": ("contributor_repo_membership", _count("contributor", "repo_name NOT IN (SELECT repo_name FROM discovery WHERE discovery_status = 'accepted')")),
-    "check_grid_duplicate_keys": ("grid_duplicate_keys", _duplicates("month, repo_name, actor_login", "grid")), "check_repo_duplicate_keys": ("repo_duplicate_keys", _duplicates("repo_name", "discovery")),
-    "check_contributor_duplicate_keys": ("contributor_duplicate_keys", _duplicates("actor_login, repo_name", "contributor")),
-}
-_row = lambda name, body: f"SELECT '{name}' AS check_name, n AS failing_rows, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})"
-_checked = lambda s: quality.quality_checks(s.discovered, s.grid, s.contributors, *A.WINDOW).select("check_name", "failing_rows", "status")
-_own_check = {
-    "check_contributor_non_negative": lambda s: quality.check_contributor_non_negative(s.contributors), "check_contributor_membership": lambda s: quality.check_contributor_membership(s.contributors, s.discovered),
-    "check_grid_duplicate_keys": lambda s: quality.check_keys(s.grid, "grid"), "check_repo_duplicate_keys": lambda s: quality.check_keys(s.discovered, "repo"), "check_contributor_duplicate_keys": lambda s: quality.check_keys(s.contributors, "contributor"),
-}
-for _name, (_check, _body) in CHECKS.items():
-    _make = _own_check.get(_name) or (lambda s, check=_check: quality.check_rows(s.discovered, {check: quality.repo_tests(*A.WINDOW)[check]}))
-    add(_name, lambda s, make=_make: make(s).select("check_name", "failing_rows", "status"), _row(_check, _body))
-_every = " UNION ALL ".join(_row(*x) for x in CHECKS.values())
-add("quality_checks", _checked, _every)
-add("quality_gate", lambda s: quality.quality_gate(_checked(s)), _every)
-
-_shown = ("check_name", "failing_rows", "status")
-_rank_test = "(recommendation_tier = 'priority' AND (opportunity_score < 75 OR confidence_score < 70)) OR (recommendation_tier = 'promising' AND (opportunity_score < 60 OR confidence_score < 60)) OR (recommendation_tier <> 'insufficient_data' AND confidence_score < 45)"
-for _name, _check, _test in (
-    ("check_country_code", "country_code", "country_code IS NULL"), ("check_geo_ids", "geo_ids", "CASE WHEN geo_level = 'country' THEN geo_id <> country_code ELSE geo_id <> country_code || '-' || replace(lower(city), ' ', '-') END"),
-    ("check_tier_threshold", "tier_threshold", _rank_test), ("check_min_samples", "min_samples", f"recommendation_tier <> 'insufficient_data' AND qualified_repo_count < CASE WHEN geo_level = 'country' THEN {A.SAMPLES['country'][1]} ELSE {A.SAMPLES['city'][1]} END"),
-):
-    add(_name, lambda s, check=_check: quality.check_rankings(s.rankings, A.SAMPLES).where(F.col("check_name") == check).select(*_shown), _row(_check, _count("rankings", _test)))
-add("check_rank_order", lambda s: quality.check_rank_order(s.rankings).select(*_shown),
-    " UNION ALL ".join(_row(name, f"SELECT count(*) FILTER ({test}) AS n FROM (SELECT *, lag(rank) OVER w AS above, lag(opportunity_score) OVER w AS higher FROM rankings WINDOW w AS (PARTITION BY domain_id, geo_level ORDER BY rank))") for name, test in (("rank_dense", "rank - coalesce(above, 0) <> 1"), ("rank_order", "recommendation_tier <> 'insufficient_data' AND opportunity_score > higher"))))
-add("check_evidence_present", lambda s: quality.check_evidence_present(s.classified).select(*_shown), _row("evidence_present", _count("classified", "classification_status = 'accepted' AND n_evidence = 0")))
-add("check_event_ids", lambda s: quality.check_event_ids(table(s, "events"), "event_id").select(*_shown), _row("event_ids", _duplicates("event_id", "events")))
-ORACLES["check_rankings"] = " UNION ALL ".join(f"SELECT * FROM ({ORACLES[n]})" for n in ("check_country_code", "check_geo_ids", "check_tier_threshold", "check_min_samples", "check_rank_order", "check_evidence_present", "check_event_ids"))
-_published = lambda s: publish.rankings_payload(s.rankings, s.countries).select(F.concat_ws("/", "geo_level", "geo_id").alias("file"), F.col("payload").alias("text"))
-add("privacy_gate", lambda s: quality.privacy_gate(quality.privacy_scan(_published(s))), "SELECT count(*) FILTER (contains(geo_id, '@')) AS violations FROM rankings")

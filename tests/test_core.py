@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from atlasmith import catalog, steps
+from atlasmith import catalog, writes
 from atlasmith.functions import expressions as X
 from atlasmith.functions import stats
 from atlasmith.operators import classify, locations, quality
@@ -59,7 +59,7 @@ def test_step_equals_sql(spark, duck, name):
 
 
 def test_every_query_is_registered_with_a_twin_or_not():
-    assert set(catalog.ORACLES) <= set(steps.QUERIES) and len(steps.QUERIES) > 220
+    assert set(catalog.ORACLES) <= set(writes.QUERIES) and len(writes.QUERIES) > 220
 
 
 @pytest.mark.parametrize(("opportunity", "confidence", "ok", "tier"), [(80, 75, True, "priority"), (75, 70, True, "priority"), (74.9, 90, True, "promising"), (90, 60, True, "promising"), (59, 90, True, "monitor"), (90, 44.9, True, "insufficient_data"), (90, 90, False, "insufficient_data"), (10, 45, True, "monitor")])
@@ -125,15 +125,6 @@ def test_privacy_patterns(spark):
     lines = ["a@b.org", "https://github.com/someone", "https://github.com/someone/repo", "actor_login: x", "ghp_" + "a" * 24, "clean"]
     df = spark.createDataFrame([("f", "\n".join(lines))], "file string, text string")
     assert sorted(r["pattern"] for r in quality.privacy_scan(df).collect()) == ["API token", "actor_login field", "email address", "github profile URL"]
-    with pytest.raises(Exception, match="private data"):
-        quality.privacy_gate(quality.privacy_scan(df)).collect()
-
-
-def test_months_are_written_once(spark, tmp_path):
-    grid = spark.createDataFrame([(202605, "r"), (202606, "r")], "month int, repo string")
-    assert T.materialize_months(grid, str(tmp_path / "g")).count() == 2
-    assert [r["month"] for r in T.materialize_months(grid.unionByName(spark.createDataFrame([(202607, "r")], "month int, repo string")), str(tmp_path / "g")).collect()] == [202607]
-    assert spark.read.parquet(str(tmp_path / "g")).count() == 3
 
 
 def test_privacy_query_reports_profile_urls(spark, tmp_path):
