@@ -128,10 +128,10 @@ def _gated(s: Stages) -> DataFrame:
     """Good tables are written; then tables with bad rows are stopped at their write. Each check with the rows that the tables still have."""
     path = fresh(s, "gated")
     quality.quality_gate(s.discovered, s.grid, s.contributors, *A.WINDOW, path)
-    checks, stopped = quality.quality_gate(_repos(s), _grid(s), _people(s), *A.WINDOW, path)
+    checks, _ = quality.quality_gate(_repos(s), _grid(s), _people(s), *A.WINDOW, path)
     left = {n: T.read_stage_parquet(s.spark, f"{path}/{n}").count() for n in ("grid", "repositories", "contributors")}
     kind = F.when(F.col("check_name").startswith("grid"), "grid").when(F.col("check_name").startswith("contributor"), "contributors").otherwise("repositories")
-    kept = F.when(kind.isin(stopped), F.element_at(F.create_map(*(F.lit(x) for pair in left.items() for x in pair)), kind))
+    kept = F.element_at(F.create_map(*(F.lit(x) for pair in left.items() for x in pair)), kind)
     return checks.select(*_shown, kept.cast("long").alias("rows_kept"))
 
 
