@@ -7,11 +7,15 @@ their subtrees. Equal conversations are one sequence before the first level, and
 tasks that read, so a turn that most conversations start with is a few rows where it is shuffled.
 
 A sequence is known by the exclusive-or of its turns' 128-bit hashes, each mixed with its place, so that
-stripping a turn is one more exclusive-or. A row carries the hashes of its turns (not their texts); a
-level is written before the next one reads it. There are as many levels as the longest conversation has
-turns, and rows shuffled grow with the square of a conversation's turns.
+stripping a turn is one more exclusive-or. A row carries the hashes of its turns (not their texts).
 
-Ids of conversations that end at a node are joined in pieces of CHUNK neighbouring ids and hashed in a
+Depths above a cut are peeled in tasks, so that long conversations make no level of jobs for each of their
+turns: sequences that share the turns up to the cut meet in one task in the order of their hashes, and
+as one diverges from the one before, nodes are stripped down to where they part. A task holds
+one path at a time. The cut is CUT turns, or deeper if more than CROWD sequences share those. From the cut down
+to the root each depth is a grouping of its own, written before the next one reads it.
+
+Ids of conversations that end at a node are joined in pieces of neighbouring ids and hashed in a
 stream. Children find their parent's id by a join; parents of HOT_CHILDREN and more, of which there are
 at most one per so many nodes, are sent to every task.
 
@@ -24,11 +28,11 @@ read.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from atlasmith.llm import _shared as S
@@ -36,7 +40,10 @@ from atlasmith.llm import _shared as S
 #: A conversation takes fewer than SHARED first turns from the first of its BLOCK of ids.
 BLOCK, SHARED = 100, 6
 CHUNK_BITS, HOT_CHILDREN = 10, 1 << 16
+#: Turns up to which each depth is a level of its own, and how many sequences that share them a task peels.
+CUT, CROWD = 8, 1 << 20
 _KEY = ["depth", "k1", "k2"]
+_NODE = [*_KEY, "p1", "p2", "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
 
 
 def numbered(conversations: DataFrame) -> DataFrame:
@@ -104,52 +111,128 @@ def end_hashes(pieces: DataFrame) -> DataFrame:
     return spread.mapInArrow(run, "depth int, k1 long, k2 long, ends_sha256 string")
 
 
+def _prefix_key(n: int) -> list[Column]:
+    """The key of the first n turns of a path."""
+    xor = lambda h: F.aggregate(F.slice("path", 1, n), F.lit(0).cast("long"), lambda known, x: known.bitwiseXOR(x[h]))
+    return [xor("h1"), xor("h2")]
+
+
+def cut_of(ending: DataFrame, most: int) -> int:
+    """The depth from which on sequences are peeled in tasks: no more than CROWD share their turns up to it."""
+    cut = CUT
+    while cut < most:
+        k1, k2 = _prefix_key(cut)
+        crowd = ending.where(F.col("depth") > cut).groupBy(k1.alias("k1"), k2.alias("k2")).count().agg(F.max("count")).first()[0]
+        if crowd <= CROWD:
+            break
+        cut *= 2
+    return min(cut, most)
+
+
+def deep_nodes(ending: DataFrame, cut: int) -> DataFrame:
+    """All nodes deeper than cut, peeled in one pass over sorted sequences; path up to the cut for those right below it."""
+    shown = pa.list_(pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("size", pa.int64())]))
+    kinds = dict(zip(_NODE, (pa.int32(), *[pa.int64()] * 9), strict=True)) | {"path": shown}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, base = None, []
+        #: Open nodes below the cut: hashes, size, key, then conv_id, n_convs, n_children, n_leaves, saved_tokens.
+        stack: list[list] = []
+        done: list[tuple] = []
+
+        def strip(left: int) -> None:
+            while len(stack) > left:
+                h1, h2, size, k1, k2, conv, n, children, leaves, saved = stack.pop()
+                leaves, saved = leaves or 1, saved + (n - 1) * size
+                done.append((cut + len(stack) + 1, k1, k2, k1 ^ h1, k2 ^ h2, conv, n, children, leaves, saved, None if stack else [{"h1": x[0], "h2": x[1], "size": x[2]} for x in base]))
+                if stack:
+                    parent = stack[-1]
+                    parent[5] = conv if parent[5] is None else min(parent[5], conv)
+                    parent[6] += n
+                    parent[7] += 1
+                    parent[8] += leaves
+                    parent[9] += saved
+
+        def taken() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], t) for i, t in enumerate(kinds.values())], list(kinds))
+            done.clear()
+            return out
+
+        for batch in batches:
+            paths = batch.column("path")
+            ends, turns = paths.offsets.to_pylist(), paths.flatten()
+            turns = list(zip(*(turns.field(i).to_pylist() for i in range(3)), strict=True))
+            ends = [x - ends[0] for x in ends]
+            for i, (g1, g2, conv, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("g1", "g2", "conv_id", "n")), strict=True)):
+                path = turns[ends[i] : ends[i + 1]]
+                if group != (g1, g2):
+                    strip(0)
+                    group, base = (g1, g2), path[:cut]
+                same = 0
+                while same < len(stack) and same < len(path) - cut and stack[same][0] == path[cut + same][0] and stack[same][1] == path[cut + same][1]:
+                    same += 1
+                strip(same)
+                k1, k2 = stack[-1][3:5] if stack else group
+                for h1, h2, size in path[cut + same :]:
+                    k1, k2 = k1 ^ h1, k2 ^ h2
+                    stack.append([h1, h2, size, k1, k2, None, 0, 0, 0, 0])
+                stack[-1][5:7] = conv, n
+                if len(done) > 10_000:
+                    yield taken()
+        strip(0)
+        yield taken()
+
+    g1, g2 = _prefix_key(cut)
+    rows = ending.where(F.col("depth") > cut).select(g1.alias("g1"), g2.alias("g2"), "conv_id", "n", "path")
+    spread = rows.repartition(S.partitions(ending.sparkSession), "g1", "g2").sortWithinPartitions("g1", "g2", "path")
+    return spread.mapInArrow(run, f"depth int, {', '.join(f'{c} long' for c in _NODE[1:])}, path array<struct<h1: long, h2: long, size: long>>")
+
+
 def level(depth: int, ending: DataFrame, deeper: DataFrame | None) -> DataFrame:
-    """Nodes of one depth: sequences that end there, and deeper nodes without their last turn."""
+    """Nodes of one depth: sequences that end there, and deeper nodes without their last turn; path of their own turns."""
     zero = F.lit(0).cast("long")
     live = ending.select("k1", "k2", "conv_id", F.col("n").alias("n_convs"), zero.alias("n_children"), zero.alias("n_leaves"), zero.alias("saved_tokens"), "path")
     if deeper is not None:
-        last = F.get("path", F.lit(depth))
-        stripped = deeper.select(
-            F.col("k1").bitwiseXOR(last["h1"]).alias("k1"), F.col("k2").bitwiseXOR(last["h2"]).alias("k2"), "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens",
-            F.slice("path", 1, depth).alias("path"),
-        )
+        stripped = deeper.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"), "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens", F.slice("path", 1, depth).alias("path"))
         live = live.unionByName(stripped)
     nodes = live.groupBy("k1", "k2").agg(F.min("conv_id").alias("conv_id"), *(F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")), F.any_value("path").alias("path"))
-    size = F.get("path", F.lit(depth - 1))["size"] if depth else zero
+    last = F.get("path", F.lit(depth - 1))
     leaves = F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).cast("long")
-    return nodes.withColumns({"n_leaves": leaves, "saved_tokens": F.col("saved_tokens") + (F.col("n_convs") - 1) * size})
+    named = {
+        "depth": F.lit(depth), "p1": F.col("k1").bitwiseXOR(last["h1"]), "p2": F.col("k2").bitwiseXOR(last["h2"]), "n_leaves": leaves,
+        "saved_tokens": F.col("saved_tokens") + (F.col("n_convs") - 1) * (last["size"] if depth else zero),
+    }
+    return nodes.withColumns(named).select(*_NODE, "path")
 
 
 def peeled(pieces: DataFrame) -> DataFrame | None:
-    """All nodes, level by level from the deepest; None if there is no conversation."""
-    spark = pieces.sparkSession
-    folder = f"{S.shared_dir(spark)}/trie-{uuid.uuid4().hex}"
-    pieces.groupBy(*_KEY).agg(F.min("conv_id").alias("conv_id"), F.sum("n").alias("n"), F.any_value("path").alias("path")).write.partitionBy("depth").parquet(f"{folder}/ended")
-    most = pieces.agg(F.max("depth")).first()[0]
+    """All nodes, from the deepest to the root; None if there is no conversation."""
+    whole = pieces.groupBy(*_KEY).agg(F.min("conv_id").alias("conv_id"), F.sum("n").alias("n"), F.any_value("path").alias("path"))
+    ending = S.stage_table(whole, "sequences")
+    most = ending.agg(F.max("depth")).first()[0]
     if most is None:
         return None
-    ending = spark.read.parquet(f"{folder}/ended")
-    deeper = None
-    for depth in range(most, -1, -1):
-        path = f"{folder}/nodes/depth={depth}"
-        nodes = level(depth, ending.where(F.col("depth") == depth), deeper)
-        nodes.write.parquet(path)
-        deeper = spark.read.schema(nodes.schema).parquet(path)
-    return spark.read.parquet(f"{folder}/nodes")
+    cut = cut_of(ending, most)
+    found, deeper = [], None
+    if most > cut:
+        found = [S.stage_table(deep_nodes(ending, cut), "nodes")]
+        deeper = found[0].where(F.col("depth") == cut + 1)
+    for depth in range(cut, -1, -1):
+        deeper = S.stage_table(level(depth, ending.where(F.col("depth") == depth), deeper), "nodes")
+        found.append(deeper)
+    return reduce(DataFrame.unionByName, (x.select(*_NODE) for x in found))
 
 
 def with_parents(nodes: DataFrame, hot: int = HOT_CHILDREN) -> DataFrame:
     """nodes with parent_conv_id."""
-    last = F.get("path", F.col("depth") - 1)
-    children = nodes.where("depth > 0").withColumns({"p1": F.col("k1").bitwiseXOR(last["h1"]), "p2": F.col("k2").bitwiseXOR(last["h2"])})
+    children = nodes.where("depth > 0")
     keys = ["depth", "p1", "p2"]
     parents = nodes.where("n_children > 0").select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("parent_conv_id"), F.col("n_children").alias("n"))
     is_hot = (F.col("n") >= hot) | (F.col("depth") == 1)
     crowded = F.broadcast(parents.where(is_hot).drop("n"))
     some = children.join(crowded, keys)
     rest = children.join(crowded.drop("parent_conv_id"), keys, "left_anti").join(parents.where(~is_hot).drop("n"), keys)
-    return some.unionByName(rest).drop("p1", "p2").unionByName(nodes.where("depth = 0"), allowMissingColumns=True)
+    return some.unionByName(rest).drop("p1", "p2").unionByName(nodes.where("depth = 0").drop("p1", "p2"), allowMissingColumns=True)
 
 
 def trie(found: DataFrame) -> DataFrame:

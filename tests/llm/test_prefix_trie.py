@@ -73,11 +73,23 @@ def odd(spark):
     return spark.createDataFrame([(*r, "clash", 1, 0.5) for r in ROWS], SCHEMA)
 
 
-def test_odd_rows(spark, odd):
+@pytest.mark.parametrize(("cut", "crowd"), [(8, 1 << 20), (1, 1 << 20), (0, 1 << 20), (1, 1)])
+def test_odd_rows(spark, odd, monkeypatch, cut, crowd):
+    """Peeled by levels, in tasks, and by a cut that goes deeper as many share it."""
+    monkeypatch.setattr(prefix_trie, "CUT", cut)
+    monkeypatch.setattr(prefix_trie, "CROWD", crowd)
     assert result(prefix_trie.conversation_trie(odd)) == brute(ROWS, rebuild=False)
     assert result(prefix_trie.trie(prefix_trie.sequences(prefix_trie.shared_heads(prefix_trie.numbered(odd))))) == brute(ROWS)
 
 
+def test_long_conversations(spark):
+    """Long ones that share long starts, one that is another's start, and copies."""
+    turns = lambda c, n, own: [(c, t, "user", f"own{c}x{t}" if t >= own else f"s{t}") for t in range(n)]
+    rows = [x for c, n, own in ((1, 40, 40), (2, 40, 40), (3, 30, 40), (4, 45, 25), (5, 60, 25), (6, 9, 8), (7, 3, 1), (8, 8, 40), (9, 10, 40)) for x in turns(c, n, own)]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert result(prefix_trie.conversation_trie(docs)) == brute(rows, rebuild=False)
+
+
 def test_crowded_parents_by_broadcast(spark, odd):
     nodes = prefix_trie.peeled(prefix_trie.ended(prefix_trie.sequences(prefix_trie.numbered(odd).selectExpr("*", "1 as part"))))
     rows = [sorted((r["depth"], r["conv_id"], r["parent_conv_id"]) for r in prefix_trie.with_parents(nodes, hot).where("depth > 0").collect()) for hot in (1, 2, 1 << 16)]
