@@ -1,9 +1,9 @@
 """Document fingerprints from Lempel-Ziv phrases: likeness in the sense of shared compression, without compressing.
 
 A text is parsed into dictionary phrases: the next phrase is the shortest piece that no phrase before
-equals. Texts that one dictionary would compress well share phrases. The set of phrases is hashed (XXH64,
-seed 42, of UTF-8; the upper 32 bits), and its fingerprint is the SIGNATURE smallest distinct hashes,
-ascending, eight hex digits each. Of two fingerprints the smallest hashes of both together are a random
+equals. Texts that one dictionary would compress well share phrases. The set of phrases is hashed (a
+polynomial of the code points modulo 2^64, mixed, its upper 32 bits), and its fingerprint is the SIGNATURE
+smallest distinct hashes, ascending, eight hex digits each. Of two fingerprints the smallest hashes of both together are a random
 sample of the union, and the share of them in both estimates the Jaccard similarity; sets of no more than
 SIGNATURE phrases are compared exactly.
 
@@ -26,13 +26,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlasmith.llm import _shared as S
 
-SIGNATURE, SEED = 128, 42
+SIGNATURE = 128
+#: The polynomial's base, odd, and the shifts and factors that mix its value.
+BASE, MIX = 0x9E3779B97F4A7C15, ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
 #: Where the search for a phrase's end begins at most; it goes on from there letter by letter.
 GUESS, ROWS = 8, 256
 _FIRST_ID = -(1 << 63)
@@ -61,14 +62,39 @@ def parse(text: str, start: int = 0, known: set[str] | None = None) -> list[str]
     return found
 
 
-def hashes(found: list[str]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(x.encode("utf-8", "surrogatepass"), SEED) >> 32 for x in found), np.uint32, len(found))
+class Hashes:
+    """Hashes of a text's phrases, all at once: from sums of letters times powers of BASE, a phrase's polynomial is a difference."""
+
+    def __init__(self) -> None:
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        while len(self.powers) < n:
+            size = len(self.powers)
+            self.powers, self.inverse = (np.concatenate((x, x * np.uint64(pow(base, size, 1 << 64)))) for x, base in ((self.powers, BASE), (self.inverse, pow(BASE, -1, 1 << 64))))
+
+    def of(self, text: str, found: list[str]) -> np.ndarray:
+        """text starts with the phrases found, one after another."""
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.cumsum(sizes)
+        n = int(ends[-1]) if len(ends) else 0
+        self._reach(n)
+        letters = np.frombuffer(text[:n].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(letters * self.powers[:n], dtype=np.uint64)))
+        x = (sums[ends] - sums[ends - sizes]) * self.inverse[ends - sizes]
+        for shift, by in MIX:
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+        return (x >> np.uint64(32)).astype(np.uint32)
 
 
 def signature(found: np.ndarray) -> np.ndarray:
     """The smallest distinct hashes."""
-    return np.unique(found)[:SIGNATURE]
+    some = found
+    if len(found) > 4 * SIGNATURE:
+        some = np.partition(found, 2 * SIGNATURE)[: 2 * SIGNATURE]
+    some = np.sort(some)
+    some = some[np.concatenate(([True], some[1:] != some[:-1]))] if len(some) else some
+    return some[:SIGNATURE] if len(some) >= SIGNATURE or len(found) <= 4 * SIGNATURE else np.unique(found)[:SIGNATURE]
 
 
 def shown(found: np.ndarray) -> str:
@@ -95,8 +121,9 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
     """docs with the fingerprint of each whole text."""
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Hashes()
         for texts in parts:
-            yield pd.Series([shown(signature(hashes(parse(x or "")))) for x in texts], dtype=object)
+            yield pd.Series([shown(signature(known.of(x or "", parse(x or "")))) for x in texts], dtype=object)
 
     return docs.withColumn("fingerprint", F.pandas_udf(run, "string")("text"))
 
@@ -165,26 +192,27 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
 
-    def compared(doc: int, text: str, found: list[str], hashed: np.ndarray, own: np.ndarray, other: str, next_one: np.ndarray) -> tuple:
+    def compared(known: Hashes, doc: int, text: str, found: list[str], hashed: np.ndarray, own: np.ndarray, other: str, next_one: np.ndarray) -> tuple:
         kept = len(text) - len(text) // 3
         edited = text[:kept] + other[: len(text) // 3]
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
         n = int(np.searchsorted(ends, kept, "right"))
-        more = parse(edited, int(ends[n - 1]) if n else 0, set(found[:n]))
-        changed = signature(np.concatenate((hashed[:n], hashes(more))))
+        start = int(ends[n - 1]) if n else 0
+        more = parse(edited, start, set(found[:n]))
+        changed = signature(np.concatenate((hashed[:n], known.of(edited[start:], more))))
         return doc, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), shown(own), shown(changed), likeness(own, changed), likeness(own, next_one)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending = None
+        pending, known = None, Hashes()
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 done = []
                 for part, tail, doc, text in zip(*(batch.column(c)[start : start + ROWS].to_pylist() for c in ("part", "tail", "doc_id", "text")), strict=True):
                     found = parse(text)
-                    hashed = hashes(found)
+                    hashed = known.of(text, found)
                     own = signature(hashed)
                     if pending is not None and pending[0] == part:
-                        done.append(compared(*pending[1:], text, own))
+                        done.append(compared(known, *pending[1:], text, own))
                     pending = None if tail else (part, doc, text, found, hashed, own)
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], t) for i, t in enumerate(kinds)], names)
 

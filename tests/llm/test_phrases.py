@@ -7,7 +7,6 @@ import random
 
 import numpy as np
 import pytest
-import xxhash
 
 from atlasmith.llm import phrases
 
@@ -24,8 +23,15 @@ def plain(text):
     return found
 
 
+def hashed(piece):
+    x = sum((ord(c) + 1) * pow(phrases.BASE, i, 1 << 64) for i, c in enumerate(piece)) % (1 << 64)
+    for shift, by in phrases.MIX:
+        x = (x ^ (x >> shift)) * by % (1 << 64)
+    return x >> 32
+
+
 def smallest(text):
-    return sorted({xxhash.xxh64_intdigest(x.encode(), 42) >> 32 for x in plain(text)})[:128]
+    return sorted({hashed(x) for x in plain(text)})[:128]
 
 
 def share(a, b):
@@ -58,7 +64,14 @@ def test_phrases_equal_a_letter_by_letter_parse():
     for text in texts:
         found = phrases.parse(text)
         assert set(found) == plain(text) and len(set(found)) == len(found) and text.startswith("".join(found))
-        assert phrases.signature(phrases.hashes(found)).tolist() == smallest(text)
+        assert phrases.signature(phrases.Hashes().of(text, found)).tolist() == smallest(text)
+
+
+def test_signatures_of_hashes_that_repeat():
+    rng = np.random.default_rng(5)
+    for n, high in ((0, 9), (5, 3), (700, 90), (700, 140), (5000, 10**9), (5000, 200)):
+        x = rng.integers(0, high, n).astype(np.uint32)
+        assert phrases.signature(x).tolist() == sorted(set(x.tolist()))[:128]
 
 
 def test_signatures_estimate_the_jaccard_similarity_of_phrase_sets():
@@ -69,7 +82,7 @@ def test_signatures_estimate_the_jaccard_similarity_of_phrase_sets():
         a = " ".join(rng.choices(words, k=1500))
         b = a[: len(a) * k // 40] + " ".join(rng.choices(words, k=1500))[len(a) * k // 40 :]
         x, y = plain(a), plain(b)
-        errors.append(phrases.likeness(*(phrases.signature(phrases.hashes(phrases.parse(t))) for t in (a, b))) - len(x & y) / len(x | y))
+        errors.append(phrases.likeness(*(phrases.signature(phrases.Hashes().of(t, phrases.parse(t))) for t in (a, b))) - len(x & y) / len(x | y))
     assert np.abs(errors).max() < 0.16 and abs(np.mean(errors)) < 0.03
 
 
