@@ -88,8 +88,8 @@ add("exhausted_failures", lambda s: T.exhausted_failures(s.metadata, _failed(s),
 
 _grid = "month, repo_name, actor_login, push_events, push_commit_count, prs_opened, prs_closed, prs_merged, reviews_submitted, issues_opened, issue_comments, releases, active_days, active_day_mask, first_seen, last_seen, is_bot, bot_pattern"
 add("event_grid", lambda s: s.grid.select(*_grid.split(", ")), f"SELECT {_grid} FROM grid")
-add("payload_extract", lambda s: A.act_events(s.spark, s.sf_dir).select(*(c.alias(n) for n, c in X.payload_extract().items())).groupBy("action", "pr_merged").agg(F.count("*").alias("n"), F.sum("push_distinct_size").alias("commits"), F.count("push_size").alias("sizes")),
-    "SELECT action, CASE WHEN flag THEN 'true' ELSE 'false' END AS pr_merged, count(*) AS n, CAST(sum(size) AS BIGINT) AS commits, CAST(0 AS BIGINT) AS sizes FROM act_events GROUP BY 1, 2")
+add("payload_extract", lambda s: X.payload_extract(A.act_events(s.spark, s.sf_dir)).groupBy("action", "pr_merged").agg(F.count("*").alias("n"), F.sum("push_distinct_size").alias("commits"), F.count("push_size").alias("sizes")),
+    "SELECT action, CASE WHEN flag THEN 'true' ELSE 'false' END AS pr_merged, count(*) AS n, CAST(sum(size) FILTER (NOT is_old) AS BIGINT) AS commits, count(*) FILTER (is_old) AS sizes FROM act_events GROUP BY 1, 2")
 add("stream_grid", lambda s: table(s, "events").select(F.get_json_object("props", "$.k").alias("repo_name"), "user_id", "event_type", "ts").groupBy("repo_name").agg(F.count_distinct("user_id").alias("actors"), F.bit_count(F.bit_or(F.expr("shiftleft(1L, day(ts) - 1)"))).cast("long").alias("active_days"), F.count_if(F.col("event_type") == "purchase").alias("purchases")),
     "SELECT props->>'$.k' AS repo_name, count(DISTINCT user_id) AS actors, count(DISTINCT CAST(ts AS DATE)) AS active_days, count(*) FILTER (event_type = 'purchase') AS purchases FROM events GROUP BY 1")
 add("bot_label", lambda s: s.grid.select("actor_login", "bot_pattern", "is_bot").distinct(), "SELECT DISTINCT actor_login, bot_pattern, is_bot FROM grid")
@@ -132,7 +132,7 @@ add("log1p_scale", lambda s: table(s, "part").select("p_partkey", stats.log1p_sc
 add("weighted_median", lambda s: stats.weighted_median(table(s, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", "l_quantity"),
     "SELECT l_returnflag, l_linestatus, min(l_extendedprice) FILTER (upto * 2 >= total) AS weighted_median FROM (SELECT *, sum(w) OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_extendedprice) AS upto, sum(w) OVER (PARTITION BY l_returnflag, l_linestatus) AS total FROM (SELECT l_returnflag, l_linestatus, l_extendedprice, sum(CAST(l_quantity AS DECIMAL(38,12))) AS w FROM lineitem GROUP BY 1, 2, 3)) GROUP BY 1, 2", "weighted_median")
 add("saturating_ratio", lambda s: table(s, "part").select("p_partkey", X.saturating_ratio("p_size", 10).alias("x")), "SELECT p_partkey, least(p_size / 20.0, 1.0) AS x FROM part", "x")
-add("weighted_blend", lambda s: table(s, "part").select("p_partkey", X.weighted_blend({"a": F.col("p_size").cast("double"), "b": F.col("p_size") * 3.0}, {"a": 0.4, "b": 0.6}).alias("x")), "SELECT p_partkey, greatest(0.0, least(100.0, p_size * CAST(0.4 AS DOUBLE) + p_size * 3 * CAST(0.6 AS DOUBLE))) AS x FROM part", "x")
+add("weighted_blend", lambda s: table(s, "part").select("p_partkey", X.weighted_blend({"a": F.col("p_size").cast("double"), "b": F.least(F.col("p_size") * 3.0, F.lit(100.0))}, {"a": 0.4, "b": 0.6}).alias("x")), "SELECT p_partkey, p_size * CAST(0.4 AS DOUBLE) + least(p_size * 3, 100) * CAST(0.6 AS DOUBLE) AS x FROM part", "x")
 add("sample_rows", lambda s: quality.sample_rows(table(s, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", 50, 7), "SELECT o_orderkey, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('7:' || o_orderkey), o_orderkey) <= 50")
 
 # 2.6 set operations

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlasmith import settings as C
@@ -18,17 +18,21 @@ def _col(c: str | Column) -> Column:
 # Payload and event rules
 
 
-def payload_extract(payload: str | Column = "payload") -> dict[str, Column]:
-    """action, pr_merged (strings) and sizes (longs) of a JSON payload; objects count as null."""
+#: What counts in a payload; an object in place of a scalar is read as its text.
+PAYLOAD = "action string, distinct_size string, size string, pull_request struct<merged: string>"
 
-    def scalar(path: str) -> Column:
-        value = F.get_json_object(_col(payload), path)
-        return F.when(~value.startswith("{") & ~value.startswith("["), value)
 
-    return {
-        "action": scalar("$.action"), "pr_merged": scalar("$.pull_request.merged"),
-        "push_distinct_size": scalar("$.distinct_size").try_cast("long"), "push_size": scalar("$.size").try_cast("long"),
-    }
+def payload_extract(events: DataFrame, payload: str = "payload") -> DataFrame:
+    """events with action, pr_merged (strings), push_distinct_size and push_size (longs) of a JSON payload; objects count as null.
+
+    The payload is parsed once per event: the struct is a column of its own, and its fields are taken from that.
+    """
+    scalar = lambda value: F.when(~value.startswith("{") & ~value.startswith("["), value)
+    x = F.col("__payload")
+    return events.withColumn("__payload", F.from_json(payload, PAYLOAD)).withColumns({
+        "action": scalar(x["action"]), "pr_merged": scalar(x["pull_request"]["merged"]),
+        "push_distinct_size": scalar(x["distinct_size"]).try_cast("long"), "push_size": scalar(x["size"]).try_cast("long"),
+    }).drop("__payload")
 
 
 def pr_closed() -> Column:
@@ -203,15 +207,22 @@ def null_or_positive(c: str | Column) -> Column:
 
 
 def saturating_ratio(count: str | Column, minimum: float, multiple: float = C.SATURATION) -> Column:
-    return F.least(_col(count).cast("double") / (minimum * multiple), F.lit(1.0))
+    """0-1, full at minimum times multiple; an error where it is read, if a count is negative."""
+    if minimum <= 0:
+        raise ValueError(f"minimum must be positive, is {minimum}")
+    n = _col(count).cast("double")
+    return F.when(n < 0, F.raise_error(F.lit("counts must not be negative")).cast("double")).otherwise(F.least(n / (minimum * multiple), F.lit(1.0)))
 
 
 def weighted_blend(parts: dict[str, str | Column], weights: dict[str, float]) -> Column:
-    """Weighted sum of 0-100 columns, clamped; names and weights must agree."""
+    """Weighted sum of 0-100 columns; names and weights must agree. An error where it is read, if a part is out of bounds."""
     if set(parts) != set(weights) or abs(sum(weights.values()) - 1) > 1e-9:
         raise ValueError(f"parts {sorted(parts)} don't agree with weights {weights}")
-    total = reduce(lambda a, b: a + b, (_col(c) * weights[name] for name, c in parts.items()))
-    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), total))
+    columns = {n: _col(c) for n, c in parts.items()}
+    out = reduce(lambda a, b: a | b, ((c < -1e-9) | (c > 100 + 1e-9) for c in columns.values()))
+    total = reduce(lambda a, b: a + b, (c * weights[name] for name, c in columns.items()))
+    # Clamped for what floating-point sums leave over the bounds.
+    return F.when(out, F.raise_error(F.lit("parts must be within 0 and 100")).cast("double")).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(100.0), total)))
 
 
 def assign_tier(opportunity: str | Column, confidence: str | Column, samples_ok: str | Column, tiers: dict = C.TIERS) -> Column:

@@ -26,7 +26,7 @@ def event_grid(events: DataFrame) -> DataFrame:
     # Distinct days of one month are the bits of its day mask: no distinct aggregation is needed.
     mask = F.bit_or(F.expr("shiftleft(1L, day(created_at) - 1)"))
     return (
-        events.withColumns(X.payload_extract()).withColumn("month", X.month_of("created_at")).groupBy("month", "repo_name", "actor_login").agg(
+        X.payload_extract(events).withColumn("month", X.month_of("created_at")).groupBy("month", "repo_name", "actor_login").agg(
             F.count_if(of("PushEvent")).alias("push_events"), F.sum(X.push_commits()).alias("push_commit_count"),
             F.count_if(opened("PullRequestEvent")).alias("prs_opened"), F.count_if(X.pr_closed()).alias("prs_closed"), F.count_if(X.pr_merged()).alias("prs_merged"),
             F.count_if(of("PullRequestReviewEvent")).alias("reviews_submitted"), F.count_if(opened("IssuesEvent")).alias("issues_opened"),

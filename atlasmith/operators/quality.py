@@ -274,16 +274,18 @@ def sensitivity(scores: DataFrame, activity: DataFrame, classification: DataFram
     owners = activity.groupBy(X.owner_of("repo_name").alias("owner")).agg(F.count("*").alias("n"))
     largest = owners.orderBy(F.desc("n"), "owner").limit(1)
     without = activity.withColumn("owner", X.owner_of("repo_name")).join(largest.select("owner"), "owner", "left_anti").drop("owner")
-    runs = {
-        "baseline": (activity, C.OPPORTUNITY), "supply_plus_20": (activity, scenario_weights(C.OPPORTUNITY, "expert_supply", 0.2)), "supply_minus_20": (activity, scenario_weights(C.OPPORTUNITY, "expert_supply", -0.2)),
-        "top_1pct_repos_removed": (activity.join(top, "repo_name", "left_anti"), C.OPPORTUNITY), "largest_org_removed": (without, C.OPPORTUNITY),
-    }
+    # Scenarios that differ in weights only share their evidence.
+    runs = [
+        (activity, {"baseline": C.OPPORTUNITY, "supply_plus_20": scenario_weights(C.OPPORTUNITY, "expert_supply", 0.2), "supply_minus_20": scenario_weights(C.OPPORTUNITY, "expert_supply", -0.2)}),
+        (activity.join(top, "repo_name", "left_anti"), {"top_1pct_repos_removed": C.OPPORTUNITY}), (without, {"largest_org_removed": C.OPPORTUNITY}),
+    ]
     out = None
-    for name, (rows, weights) in runs.items():
-        evidence = T.stage(G.geo_evidence(scores, rows, classification, locations, window_end), "scenario")
-        ranks = G.score_geographies(evidence, weights, minimums).select(F.lit(name).alias("scenario"), "domain_id", "geo_level", "geo_id", "rank")
-        out = ranks if out is None else out.unionByName(ranks)
-    return scenario_shift(out)
+    for rows, scenarios in runs:
+        signals = T.stage(G.geo_signals(G.geo_evidence(scores, rows, classification, locations, window_end)), "scenario")
+        for name, weights in scenarios.items():
+            ranks = G.rank_signals(signals, weights, minimums).select(F.lit(name).alias("scenario"), "domain_id", "geo_level", "geo_id", "rank")
+            out = ranks if out is None else out.unionByName(ranks)
+    return scenario_shift(T.stage(out, "scenarios"))
 
 
 def raw_vs_weighted(rankings: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from atlasmith import settings as C
 from atlasmith.functions import expressions as X
 from atlasmith.functions import stats as S
 from atlasmith.operators import locations as L
+from atlasmith.sources import tables as T
 
 
 # Repositories: one population
@@ -23,11 +24,10 @@ def join_score_inputs(classification: DataFrame, activity: DataFrame, metadata:
 def repo_signals(inputs: DataFrame, window_end: datetime.date) -> DataFrame:
     """inputs with every signal of the five components, 0-100."""
     df = inputs.withColumns({"s_age": -X.days_since(F.lit(window_end), "last_seen").cast("double"), "s_evidence": X.evidence_count("evidence_topics", "evidence_terms", "evidence_files")})
-    df = S.scale_counts(df, [], {
+    return S.scaled(df, [], {
         "x_months": "active_months", "x_days": "active_days", "x_releases": "releases", "x_activity": "weighted_activity_score", "x_humans": "unique_human_contributors",
         "x_merged": "merged_pull_requests", "x_reviews": "reviews_submitted", "x_comments": "issue_comments", "x_evidence": "s_evidence", "x_release_count": "release_count",
-    })
-    return S.scale_rank(S.scale_rank(df, [], "s_age", "x_recency"), [], "classification_score", "x_class")
+    }, {"x_recency": "s_age", "x_class": "classification_score"})
 
 
 def repo_recent_activity() -> Column:
@@ -122,7 +122,7 @@ def quality_exposure() -> Column:
 
 def contributor_evidence(activity: DataFrame, classification: DataFrame, scores: DataFrame) -> DataFrame:
     """One row per (domain, actor) with enough active days."""
-    rows, key = evidence_rows(activity, classification, scores), CONTRIBUTOR_KEY
+    rows, key = T.stage(evidence_rows(activity, classification, scores), "evidence-rows"), CONTRIBUTOR_KEY
     subdomains = rows.select(*key, "repo_name").join(classification.select("repo_name", F.explode("subdomains").alias("s")), "repo_name").groupBy(*key).agg(F.count_distinct("s").alias("subdomain_count"))
     raw = sum((F.col(c) for c in ("pull_requests_opened", "merged_pull_requests_authored", "reviews_submitted", "issues_opened", "issue_comments")), F.col("push_events"))
     folded = rows.groupBy(*key).agg(
@@ -144,8 +144,7 @@ def contributor_signals(evidence: DataFrame, window_end: datetime.date) -> DataF
     """evidence with every signal of the five components, 0-100, in its domain."""
     by = ["domain_id"]
     df = evidence.withColumns({"breadth": F.col("qualified_repo_count") + F.col("org_count"), "s_age": -X.days_since(F.lit(window_end), "latest").cast("double")})
-    df = S.scale_counts(df, by, {"x_points": "weighted_event_points", "x_repos": "qualified_repo_count", "x_subdomains": "subdomain_count", "x_months": "months", "x_span": "span_days", "x_reviews": "reviews_total", "x_pr": "pr_participation", "x_breadth": "breadth"})
-    return S.scale_rank(df, by, "s_age", "x_recency")
+    return S.scaled(df, by, {"x_points": "weighted_event_points", "x_repos": "qualified_repo_count", "x_subdomains": "subdomain_count", "x_months": "months", "x_span": "span_days", "x_reviews": "reviews_total", "x_pr": "pr_participation", "x_breadth": "breadth"}, {"x_recency": "s_age"})
 
 
 def contrib_domain_activity() -> Column:
@@ -233,7 +232,11 @@ def geo_repo_points(members: DataFrame, activity: DataFrame) -> DataFrame:
 
 def repo_org_activity(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     repos = points.groupBy(*GEO, "repo_name").agg(F.sum("capped").alias("points"), F.sum("supplied").alias("supplied"))
-    return repos, repos.groupBy(*GEO, X.owner_of("repo_name").alias("owner")).agg(F.sum("points").alias("points"))
+    return repos, owner_activity(repos)
+
+
+def owner_activity(repos: DataFrame) -> DataFrame:
+    return repos.groupBy(*GEO, X.owner_of("repo_name").alias("owner")).agg(F.sum("points").alias("points"))
 
 
 def max_share(totals: DataFrame, name: str, count: str) -> DataFrame:
@@ -308,12 +311,13 @@ def geo_rank(scored: DataFrame) -> DataFrame:
 
 def geo_evidence(scores: DataFrame, activity: DataFrame, classification: DataFrame, locations: DataFrame, window_end: datetime.date) -> DataFrame:
     """One row per geography before scaling."""
-    members = geo_membership(scores, locations)
-    known = join_scored_actors(semi_accepted_activity(activity, classification), scores)
-    repos, owners = repo_org_activity(geo_repo_points(members, known))
+    members = T.stage(geo_membership(scores, locations), "members")
+    known = T.stage(join_scored_actors(semi_accepted_activity(activity, classification), scores), "known")
+    repos = T.stage(repo_org_activity(geo_repo_points(members, known))[0], "geo-repositories")
+    owners = owner_activity(repos)
     # Seven aggregates meet here: each reads the stage tables, none the others.
     out = share_signals(actor_activity(members, known, window_end))
-    weighted = members.withColumn("w", weighted_supply())
+    weighted = members.withColumn("w", weighted_supply()).where("w > 0")
     for part in (
         capped_supply(members, repos), max_share(repos, "max_repo_share", "qualified_repo_count"), max_share(owners, "max_org_share", "organization_count"),
         S.weighted_median(weighted, GEO, "expert_score", "w"), top_quartile_share(members), top_subdomains(repos, classification),
@@ -375,7 +379,11 @@ def geo_id() -> Column:
 
 def score_geographies(evidence: DataFrame, opportunity: dict[str, float] = C.OPPORTUNITY, minimums: dict = C.MIN_SAMPLES) -> DataFrame:
     """Evidence scaled among the geographies of a domain and level, tiered and ranked."""
-    df = geo_components(geo_signals(evidence), minimums).withColumn("opportunity_score", geo_opportunity(opportunity))
+    return rank_signals(geo_signals(evidence), opportunity, minimums)
+
+
+def rank_signals(signals: DataFrame, opportunity: dict[str, float] = C.OPPORTUNITY, minimums: dict = C.MIN_SAMPLES) -> DataFrame:
+    df = geo_components(signals, minimums).withColumn("opportunity_score", geo_opportunity(opportunity))
     df = df.withColumn("geo_id", geo_id())
     df = df.withColumn("recommendation_tier", X.assign_tier("opportunity_score", "confidence_score", "samples_ok"))
     return geo_rank(df).select(

@@ -41,7 +41,7 @@ def act_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("c"), "o_custkey"))
     )
     payload = F.concat(
-        F.lit('{"action":"'), action, F.lit('","distinct_size":'), F.col("l_quantity").cast("int"), F.lit(',"pull_request":{"merged":'),
+        F.lit('{"action":"'), action, F.when(F.col("l_linenumber") % 3 == 0, '","size":').otherwise('","distinct_size":'), F.col("l_quantity").cast("int"), F.lit(',"pull_request":{"merged":'),
         F.when(F.col("l_linenumber") % 2 == 0, "true").otherwise("false"), F.lit("}}"),
     )
     joined = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))

@@ -59,7 +59,7 @@ VIEWS = {
     "act_events": """SELECT 'NATION_' || s_nationkey || '/' || s_name AS repo_name,
   CASE WHEN o_custkey % 37 = 0 THEN 'c' || o_custkey || '[bot]' WHEN o_custkey % 41 = 0 THEN 'build-bot-' || o_custkey ELSE 'c' || o_custkey END AS actor_login,
   CASE l_returnflag || l_linestatus WHEN 'NO' THEN 'PushEvent' WHEN 'RO' THEN 'PullRequestEvent' WHEN 'RF' THEN 'PullRequestReviewEvent' WHEN 'NF' THEN 'IssuesEvent' WHEN 'AF' THEN 'IssueCommentEvent' WHEN 'AO' THEN 'ReleaseEvent' END AS type,
-  l_shipdate AS created_at, CASE o_orderstatus WHEN 'F' THEN 'closed' WHEN 'O' THEN 'opened' ELSE 'merged' END AS action, CAST(l_quantity AS INTEGER) AS size, l_linenumber % 2 = 0 AS flag
+  l_shipdate AS created_at, CASE o_orderstatus WHEN 'F' THEN 'closed' WHEN 'O' THEN 'opened' ELSE 'merged' END AS action, CAST(l_quantity AS INTEGER) AS size, l_linenumber % 2 = 0 AS flag, l_linenumber % 3 = 0 AS is_old
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey""",
     "grid": f"""SELECT *, bot_pattern IS NOT NULL AS is_bot FROM (SELECT CAST(year(created_at) * 100 + month(created_at) AS INTEGER) AS month, repo_name, actor_login,
   count(*) FILTER (type = 'PushEvent') AS push_events, CAST(coalesce(sum(size) FILTER (type = 'PushEvent'), 0) AS BIGINT) AS push_commit_count,

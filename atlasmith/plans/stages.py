@@ -2,24 +2,42 @@
 
 from __future__ import annotations
 
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from atlasmith.operators import classify, discovery, locations, scores
 from atlasmith.plans import adapters as A
 from atlasmith.plans import gazetteer
+from atlasmith.sources import snapshots
 from atlasmith.sources import tables as T
 
 
 class Stages:
-    """A stage's table is written once, in the shared folder, so that later plans stay short and survive lost executors."""
+    """A stage's table is written once, in the shared folder, so that later plans stay short and survive lost executors.
+
+    All tables lie in one folder, which close() deletes; stages() closes those whose input has changed.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.folder = snapshots.fresh(spark, "stages")
+        self.input = _input(spark, sf_dir)
+        self._written = 0
 
     def _kept(self, df: DataFrame) -> DataFrame:
-        return T.stage(df, "stage")
+        self._written += 1
+        path = f"{self.folder}/{self._written:03d}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def valid(self) -> bool:
+        """Whether the input is what it was, and the tables are still there."""
+        there = set(snapshots.names(self.spark, self.folder))
+        return self.input == _input(self.spark, self.sf_dir) and all(f"{i:03d}" in there for i in range(1, self._written + 1))
+
+    def close(self) -> None:
+        snapshots.delete(self.spark, self.folder)
 
     @cached_property
     def events(self) -> DataFrame:
@@ -99,6 +117,30 @@ class Stages:
         return self._kept(scores.score_geographies(self.geo_evidence, minimums=A.SAMPLES))
 
 
-@lru_cache(maxsize=4)
+#: Tables that the adapter views read.
+INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+_open: dict[tuple[str, str], Stages] = {}
+
+
+def _input(spark: SparkSession, sf_dir: str) -> list[tuple]:
+    """Names, sizes and times of the tables' files or folders."""
+    return [(t, *snapshots.stamp(spark, f"{sf_dir}/{t}.parquet")) for t in INPUTS]
+
+
 def stages(spark: SparkSession, sf_dir: str) -> Stages:
-    return Stages(spark, sf_dir)
+    """The stages of this application and input; anew if the input has changed or their tables are gone."""
+    key = spark.sparkContext.applicationId, sf_dir
+    known = _open.get(key)
+    if known is not None and not known.valid():
+        known.close()
+        known = None
+    if known is None:
+        known = _open[key] = Stages(spark, sf_dir)
+    return known
+
+
+def close_all() -> None:
+    """Delete all stage tables that this process has open."""
+    for known in _open.values():
+        known.close()
+    _open.clear()

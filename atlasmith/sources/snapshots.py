@@ -74,6 +74,15 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(target)) if fs.exists(target) else []
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """The time of a file or folder's last change and its size, or of a folder the latest and the sum of what is in it."""
+    fs, target = _path(spark, path)
+    if not fs.exists(target):
+        return 0, 0
+    found = [fs.getFileStatus(target), *fs.listStatus(target)]
+    return max(x.getModificationTime() for x in found), sum(x.getLen() for x in found)
+
+
 def put(spark: SparkSession, path: str, text: str) -> None:
     """A small file, complete or not there: written under another name, then renamed; Conflict if the name is taken."""
     fs, part = _path(spark, f"{path}.{uuid.uuid4().hex}.part")

@@ -34,7 +34,7 @@ add("read_dim_csv", _dim_csv, "SELECT c_name, CASE WHEN c_custkey % 3 > 0 THEN c
 
 # 2.2 discovery rules
 
-_with_payload = lambda s: s.events.withColumns(X.payload_extract())
+_with_payload = lambda s: X.payload_extract(s.events)
 _repos = lambda s: s.grid.select("repo_name").distinct()
 _whole = lambda s: discovery.per_repo_rollup(discovery.per_actor_rollup(s.grid))
 add("pr_era_logic", lambda s: _with_payload(s).groupBy("repo_name").agg(F.count_if(X.pr_closed()).alias("closed"), F.count_if(X.pr_merged()).alias("merged")),
