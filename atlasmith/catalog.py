@@ -175,8 +175,25 @@ _classified = f"""WITH scored AS ({_scored}), best AS (SELECT repo_name, max(CAS
   judged AS (SELECT m.repo_name, b.best, CASE WHEN is_fork OR is_archived OR license_spdx_id IS NULL OR coalesce(single_actor_event_share > 0.9, false) THEN -1 ELSE coalesce(grade, 0) END AS grade FROM repo_meta m LEFT JOIN repo_activity a USING (repo_name) LEFT JOIN best b USING (repo_name)),
   listed AS (SELECT j.repo_name, string_agg(subdomain_id, '|' ORDER BY score DESC, subdomain_id) AS subdomains, max(score) AS top FROM judged j JOIN scored s ON s.repo_name = j.repo_name AND j.grade > 0 AND j.grade = CASE WHEN score >= 4 AND kinds >= 2 THEN 2 WHEN score >= 2 THEN 1 ELSE 0 END GROUP BY 1)
   SELECT repo_name, coalesce(subdomains, '') AS subdomains, CASE WHEN grade < 0 THEN 0.0 ELSE greatest(0.0, least(100.0, coalesce(top, best, 0))) END AS classification_score, CASE grade WHEN 2 THEN 'accepted' WHEN 1 THEN 'borderline' ELSE 'rejected' END AS classification_status FROM judged LEFT JOIN listed USING (repo_name)"""
-add("hard_exclusions", lambda s: classify.join_single_actor_share(s.metadata, s.activity).select("repo_name", classify.hard_exclusions().alias("reasons")),
-    _excluded)
+#: Short names and descriptions, and the exclusion that each stands for.
+_BAD_NAMES = {"awesome-things": "awesome_list", "learn-metal": "tutorial", "leetcode-answers": "interview_prep", "my-dotfiles": "dotfiles", "cse110-lab": "student_assignment", "handbook": "documentation_only", "cve-2021-44228": None, "sha256-tool": None}
+_BAD_TEXTS = {"a curated list of bolts": "awesome_list", "crash course in gears": "tutorial", "interview questions about rods": "interview_prep", "my dotfiles": "dotfiles", "semester work": "student_assignment", "docs only": "documentation_only", "documentation of gears": None}
+
+
+def _named_badly(s: Stages) -> DataFrame:
+    """Repositories renamed and described in turn, so that each pattern meets names and texts that it fits, and some that look alike."""
+    k = F.regexp_extract("repo_name", "([0-9]+)$", 1).cast("long")
+    pick = lambda values, at, other: F.coalesce(F.get(F.array(*map(F.lit, values)), at.cast("int")), other)
+    rows = classify.join_single_actor_share(s.metadata, s.activity).withColumns({"short": pick(_BAD_NAMES, k % 10, F.lit("plain")), "description": pick(_BAD_TEXTS, F.floor(k / 10) % 9, F.col("description"))})
+    return rows.withColumn("repo_name", F.concat_ws("/", F.replace("repo_name", F.lit("/"), F.lit("~")), "short"))
+
+
+_tag = lambda values, at: f"CASE {at} " + " ".join(f"WHEN {i} THEN {Q.quoted(t)}" for i, t in enumerate(values.values()) if t) + " END"
+_short = "CASE k % 10 " + " ".join(f"WHEN {i} THEN {Q.quoted(n)}" for i, n in enumerate(_BAD_NAMES)) + " ELSE 'plain' END"
+add("hard_exclusions", lambda s: _named_badly(s).select("repo_name", classify.hard_exclusions().alias("reasons")),
+    f"""SELECT replace(repo_name, '/', '~') || '/' || {_short} AS repo_name, concat_ws('|', CASE WHEN is_fork THEN 'fork' END, CASE WHEN is_archived THEN 'archived' END, CASE WHEN license_spdx_id IS NULL THEN 'license' END, CASE WHEN single_actor_event_share > 0.9 THEN 'single_actor' END,
+  {_tag(_BAD_NAMES, 'k % 10')}, CASE WHEN {_tag(_BAD_TEXTS, '(k // 10) % 9')} IS DISTINCT FROM {_tag(_BAD_NAMES, 'k % 10')} THEN {_tag(_BAD_TEXTS, '(k // 10) % 9')} END) AS reasons
+  FROM (SELECT *, CAST(regexp_extract(repo_name, '([0-9]+)$', 1) AS BIGINT) AS k FROM repo_meta LEFT JOIN repo_activity USING (repo_name))""")
 add("classify_run", lambda s: s.classification.select("repo_name", "subdomains", "classification_score", "classification_status"),
     _classified, "classification_score")
 _items = lambda name, *kinds: f"coalesce(string_agg(DISTINCT item, '|' ORDER BY item) FILTER (kind IN ({', '.join(map(Q.quoted, kinds))})), '') AS {name}"

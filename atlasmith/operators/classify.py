@@ -23,17 +23,32 @@ def match_topics(metadata: DataFrame, taxonomy: DataFrame) -> DataFrame:
     return _found(topics.join(taxonomy.where("kind = 'topic'").withColumn("token", X.normalize_token("item")), "token"), "topic")
 
 
+def tokens(text: str | Column) -> Column:
+    """The tokens of a text in order: runs of a-z and 0-9, and every other character that separates no words as one of its own.
+
+    (token, glued, word_before, word_after): whether it follows the token before it directly, and whether a letter
+    or digit stands right before or after it.
+    """
+    clean = F.regexp_replace(F.lower(F.col(text) if isinstance(text, str) else text), r"(?U)[\s\-_./]+", " ")
+    pieces = F.regexp_extract_all(clean, F.lit("[a-z0-9]+|[^a-z0-9]"), F.lit(0))
+    is_word = lambda x: F.coalesce(((x >= "0") & (x < ":")) | ((x >= "a") & (x < "{")), F.lit(False))
+    beside = lambda i, step: F.when(i + step >= 0, F.get(pieces, i + step))
+    placed = lambda x, i: F.struct(x.alias("token"), F.coalesce(beside(i, -1) != " ", F.lit(False)).alias("glued"), is_word(beside(i, -1)).alias("word_before"), is_word(beside(i, 1)).alias("word_after"))
+    return F.filter(F.transform(pieces, placed), lambda t: t["token"] != " ")
+
+
 def _phrases(texts: DataFrame, terms: DataFrame, kind: str) -> DataFrame:
-    """Terms that stand in (repo_name, text): an equi-join on the term's first word, then the exact phrase.
+    """Terms that stand in (repo_name, text), by a join over the places of tokens.
 
-    A text meets only terms whose first word it has, never all terms.
+    A term's tokens meet the same tokens of texts; where all of them start at one place, and are glued or apart as in
+    the term, the term stands. Letters and digits right before or after it rule it out. A term of separators alone stands nowhere.
     """
-    words = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != "")
-    keyed = terms.withColumn("word", F.get(words(F.col("item")), F.lit(0)))
-    # The phrase's words with separators between, as a pattern.
-    pattern = F.concat(F.lit(r"(^|[^a-z0-9])"), F.regexp_replace(F.regexp_replace(F.lower("item"), r"([^a-z0-9\s\-_./])", r"\\$1"), r"[\s\-_./]+", r"[\\s\\-_./]+"), F.lit(r"($|[^a-z0-9])"))
-    tokens = texts.where("text is not null").select("repo_name", F.lower("text").alias("text"), F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-    return _found(tokens.join(keyed.withColumn("pattern", pattern), "word").where(F.expr("text rlike pattern")), kind)
+    items = terms.select("item").distinct().withColumn("w", tokens("item"))
+    wanted = items.select("item", F.size("w").alias("n"), F.posexplode("w").alias("i", "w")).select("item", "n", "i", F.col("w.token").alias("token"), F.col("w.glued").alias("glue"))
+    there = texts.where("text is not null").select("repo_name", F.posexplode(tokens("text")).alias("pos", "t")).select("repo_name", "pos", "t.*")
+    fits = F.when(F.col("i") == 0, ~F.col("word_before")).otherwise(F.col("glued") == F.col("glue")) & ((F.col("i") < F.col("n") - 1) | ~F.col("word_after"))
+    met = there.join(wanted, "token").where(fits).groupBy("repo_name", "item", "n", (F.col("pos") - F.col("i")).alias("start")).agg(F.count("*").alias("met"))
+    return _found(met.where("met = n").select("repo_name", "item").distinct().join(terms, "item"), kind)
 
 
 def match_description_terms(metadata: DataFrame, taxonomy: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def dims(spark: SparkSession) -> L.Dims:
 
 
 #: Forms of free text that profiles() deals to customers in turn.
-N_FORMS = 15
+N_FORMS, TWIN = 16, 14
 
 
 def _code(nation: str | Column) -> Column:
@@ -48,12 +48,12 @@ def _anchors(nation: DataFrame) -> DataFrame:
 def star_dims(customer: DataFrame, nation: DataFrame, region: DataFrame) -> L.Dims:
     """Dimensions from the tables: nations are countries (the first one with states, the segments), customers name cities.
 
-    A city is large or small in turn; every fifteenth name also belongs to a city of the next nation.
+    A city is large or small in turn; every sixteenth name also belongs to a city of the next nation.
     """
     countries = nation.select(_code("n_nationkey").alias("code"), F.col("n_name").alias("name"), F.array(F.concat(F.lit("Republic of "), "n_name")).alias("forms"))
     segment, none = F.upper(F.substring("c_mktsegment", 1, 2)), F.lit(None).cast("double")
     place = lambda n, p: (F.col("c_name").alias("name"), F.array().cast("array<string>").alias("alternates"), _code(n).alias("country_code"), segment.alias("admin1"), p.cast("long").alias("population"), none.alias("latitude"), none.alias("longitude"))
-    twin = F.col("c_custkey") % N_FORMS == N_FORMS - 1
+    twin = F.col("c_custkey") % N_FORMS == TWIN
     cities = customer.select(*place("c_nationkey", F.when(twin, 150_000).when(F.col("c_custkey") % 2 == 1, 120_000).otherwise(60_000)))
     twins = customer.where(twin).crossJoin(nation.agg(F.count("*").cast("int").alias("__n"))).select(*place((F.col("c_nationkey") + 1) % F.col("__n"), F.lit(140_000)))
     curated = nation.limit(0).select(*(F.col("n_name").alias(c) for c in ("alias", "raw_location", "code", "city", "level")))
@@ -72,21 +72,21 @@ def profiles(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataF
     name, place, area, state = F.col("c_name"), F.col("n_name"), F.col("r_name"), F.col("c_mktsegment")
     texts = [
         F.lit(None).cast("string"), F.lit("Remote"), place, comma(name, place), comma(name, state), comma(state, place), name, comma(name, state, place), area, comma(area, place), comma(name, area),
-        F.concat_ws(" / ", name, place), F.concat_ws(" / ", name, "__next"), F.concat(F.lit("near "), name, F.lit(", elsewhere")), name,
+        F.concat_ws(" / ", name, place), F.concat_ws(" / ", name, "__next"), F.concat(F.lit("near "), name, F.lit(", elsewhere")), name, comma(name, F.lit("elsewhere")),
     ]
     return known.select(F.concat(F.lit("c"), "c_custkey").alias("actor_login"), F.get(F.array(*texts), (F.col("c_custkey") % N_FORMS).cast("int")).alias("public_location_raw"), F.lit("success").alias("fetch_status"))
 
 
 _OWN, _ANCHOR = (f"CASE WHEN {n} = 0 THEN 'US' ELSE 'N' || {n} END" for n in ("n_nationkey", "anchor"))
-_CITY = "(t IN (3, 6, 7, 11, 14) OR (t = 4 AND n_nationkey = 0) OR (t = 10 AND n_nationkey = anchor))"
+_CITY = "(t IN (3, 6, 7, 11, 14, 15) OR (t = 4 AND n_nationkey = 0) OR (t = 10 AND n_nationkey = anchor))"
 _LOST = "t IN (0, 1, 12, 13)"
 #: What each form means, by the same keys.
 ORACLE = f"""SELECT 'c' || c_custkey AS actor_login,
   CASE t WHEN 1 THEN 'Remote' WHEN 2 THEN n_name WHEN 3 THEN c_name || ', ' || n_name WHEN 4 THEN c_name || ', ' || c_mktsegment WHEN 5 THEN c_mktsegment || ', ' || n_name WHEN 6 THEN c_name WHEN 7 THEN c_name || ', ' || c_mktsegment || ', ' || n_name WHEN 8 THEN r_name
-    WHEN 9 THEN r_name || ', ' || n_name WHEN 10 THEN c_name || ', ' || r_name WHEN 11 THEN c_name || ' / ' || n_name WHEN 12 THEN c_name || ' / ' || next_name WHEN 13 THEN 'near ' || c_name || ', elsewhere' WHEN 14 THEN c_name END AS raw_location,
+    WHEN 9 THEN r_name || ', ' || n_name WHEN 10 THEN c_name || ', ' || r_name WHEN 11 THEN c_name || ' / ' || n_name WHEN 12 THEN c_name || ' / ' || next_name WHEN 13 THEN 'near ' || c_name || ', elsewhere' WHEN 14 THEN c_name WHEN 15 THEN c_name || ', elsewhere' END AS raw_location,
   CASE WHEN {_LOST} THEN NULL WHEN t = 4 THEN 'US' WHEN t IN (8, 10) THEN {_ANCHOR} ELSE {_OWN} END AS normalized_country_code, CASE WHEN {_CITY} THEN c_name END AS normalized_city,
   CASE WHEN {_LOST} THEN 'unresolved' WHEN {_CITY} THEN 'city' WHEN t IN (4, 8, 10) OR (t = 5 AND n_nationkey = 0) OR (t = 9 AND n_nationkey = anchor) THEN 'region' ELSE 'country' END AS location_level,
-  CASE WHEN {_LOST} THEN 'unusable' WHEN t IN (8, 14) OR (t IN (6, 11) AND c_custkey % 2 = 0) THEN 'low' WHEN t IN (4, 6, 10, 11) OR (t = 5 AND n_nationkey = 0) OR (t = 9 AND n_nationkey = anchor) THEN 'medium' ELSE 'high' END AS location_confidence,
-  CASE WHEN {_LOST} THEN 'unresolved' WHEN t IN (6, 11, 14) THEN 'unique_city' WHEN {_CITY} THEN 'city_country_pair' ELSE 'country_name' END AS normalization_method
+  CASE WHEN {_LOST} THEN 'unusable' WHEN t IN (8, 14) OR (t IN (6, 11, 15) AND c_custkey % 2 = 0) THEN 'low' WHEN t IN (4, 6, 10, 11, 15) OR (t = 5 AND n_nationkey = 0) OR (t = 9 AND n_nationkey = anchor) THEN 'medium' ELSE 'high' END AS location_confidence,
+  CASE WHEN {_LOST} THEN 'unresolved' WHEN t IN (6, 11, 14, 15) THEN 'unique_city' WHEN {_CITY} THEN 'city_country_pair' ELSE 'country_name' END AS normalization_method, t AS form, n_nationkey AS nation, anchor
   FROM (SELECT *, c_custkey % {N_FORMS} AS t FROM customer) JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN (SELECT n_regionkey AS k, min(n_nationkey) AS anchor FROM nation WHERE n_nationkey > 0 GROUP BY 1) ON k = n_regionkey
   JOIN (SELECT (n_nationkey + (SELECT count(*) FROM nation) - 1) % (SELECT count(*) FROM nation) AS before, n_name AS next_name FROM nation) ON before = c_nationkey"""

@@ -97,6 +97,12 @@ PLACEHOLDERS = (
     "somewhere", "nowhere", "localhost", "127.0.0.1", "the cloud", "cloud", "cyberspace", "metaverse", "the moon", "moon", "mars", "milky way",
     "universe", "the universe", "home", "my house", "behind you", "unknown", "n/a", "none", "null", "undefined",
 )
+#: Why a location is unsure or unusable.
+REASONS = {
+    "same_name": "%d same-name cities in %s; largest chosen", "also_state": "country name is also a US state name", "no_city_in_country": "city segment not in gazetteer", "no_city_in_state": "state recognized; city not in gazetteer",
+    "no_city_in_region": "region recognized; city not in gazetteer", "region_only": "broad region only", "ambiguous": "ambiguous city (%d candidates); largest chosen", "symbols": "emoji or symbols only", "joke": "virtual or joke location",
+    "conflict": "multiple conflicting locations", "unresolved": "unresolved text",
+}
 DOMINANT_POPULATION, DOMINANT_RATIO = 100_000, 5
 
 #: What published text must not hold.

@@ -166,18 +166,61 @@ _judged = lambda s: classify.judged(s.metadata, s.activity, classify.best_subdom
 for _name, _make, _column in (("classification_decision", classify.classification_decision, "classification_status"), ("chosen_order", classify.chosen_order, "subdomains"), ("classification_score", classify.classification_score, "classification_score")):
     add(_name, lambda s, make=_make, c=_column: _judged(s).select("repo_name", make().alias(c)), f"SELECT repo_name, {_column} FROM ({K._classified})", "classification_score" if _name == "classification_score" else "")
 
-# 2.9 locations: all customers are resolved, then those that a stage decided are kept
+# 2.9 locations: each stage runs on the texts that come to it; the SQL names the forms of text that it decides
 
+_place = ["actor_login", "normalized_country_code", "normalized_city", "location_level", "location_confidence"]
+#: Forms (of gazetteer.profiles) on which a stage is the first with an answer.
 STAGES = {
-    "null_and_placeholder": "normalization_method = 'unresolved'", "stage_country": "normalization_method = 'country_name' AND location_level = 'country'",
-    "stage_multi": "contains(raw_location, '/')", "stage_us_state_pair": "normalization_method = 'city_country_pair' AND normalized_country_code = 'US'",
-    "stage_city_country": "normalization_method = 'city_country_pair' AND location_confidence = 'high'", "stage_region_anchor": "location_level = 'region' AND location_confidence = 'medium'",
-    "stage_state_or_region_city": "normalization_method = 'city_country_pair' AND location_confidence = 'medium'", "stage_head_only": "normalization_method = 'unique_city' AND location_confidence = 'medium'",
-    "stage_single_term": "location_confidence = 'low'", "dim_city_join": "normalized_city IS NOT NULL",
+    "stage_country": "form = 2", "stage_us_state_pair": "form = 4 AND nation = 0", "stage_city_country": "form IN (3, 7)", "stage_region_anchor": "(form = 5 AND nation > 0) OR form = 9",
+    "stage_state_or_region_city": "(form = 4 AND nation > 0) OR form = 10", "stage_head_only": "form = 15", "stage_single_term": "form IN (6, 8, 14)",
 }
-_place = ["actor_login", "normalized_country_code", "normalized_city", "location_level", "location_confidence"]
+
+
+def _texts(s: Stages) -> tuple[DataFrame, locations.Dims]:
+    tables = [table(s, t) for t in ("customer", "nation", "region")]
+    return gazetteer.profiles(*tables).select("actor_login", F.col("public_location_raw").alias("raw_location")), gazetteer.star_dims(*tables)
+
+
+def _placed(found: DataFrame) -> DataFrame:
+    """(actor_login, answer) as columns."""
+    return found.select("actor_login", F.col("answer.code").alias("normalized_country_code"), F.col("answer.city").alias("normalized_city"), F.col("answer.level").alias("location_level"), F.col("answer.confidence").alias("location_confidence"))
+
+
+def _stage_alone(s: Stages, name: str) -> DataFrame:
+    people, dims = _texts(s)
+    usable, _ = locations.null_and_placeholder(people)
+    one = usable.where(F.size("parts") < 2)
+    answers = locations.run_stage(one.select("text").distinct(), dims, name)
+    return _placed(people.join(one.select("raw_location", "text"), "raw_location").join(answers, "text"))
+
+
 for _name, _decided in STAGES.items():
-    add(_name, lambda s, decided=_decided: s.normalized.where(decided).select(*_place), f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE {_decided}")
+    add(_name, lambda s, name=_name: _stage_alone(s, name), f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE {_decided}")
+
+
+def _lost(s: Stages) -> DataFrame:
+    people, _ = _texts(s)
+    return _placed(people.join(locations.null_and_placeholder(people)[1], "raw_location"))
+
+
+def _several(s: Stages) -> DataFrame:
+    people, dims = _texts(s)
+    usable, _ = locations.null_and_placeholder(people)
+    _, several = locations.located_parts(usable, dims)
+    return _placed(people.join(locations.stage_multi(several).withColumnRenamed("merged", "answer"), "raw_location"))
+
+
+def _city_candidates(s: Stages) -> DataFrame:
+    """Cities of a text's first segment in the country that its last one names: the largest, and how many there are."""
+    people, dims = _texts(s)
+    usable, _ = locations.null_and_placeholder(people)
+    wide = locations.pivoted(usable.select("text").distinct(), dims).where("country_city is not null")
+    return people.join(usable.select("raw_location", "text"), "raw_location").join(wide, "text").select("actor_login", F.col("country_city.c.name").alias("city"), F.col("country_city.c.country_code").alias("country_code"), F.col("country_city.n").alias("n"))
+
+
+add("null_and_placeholder", _lost, f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE form = 1")
+add("stage_multi", _several, f"SELECT {', '.join(_place)} FROM ({gazetteer.ORACLE}) WHERE form IN (11, 12)")
+add("dim_city_join", _city_candidates, f"SELECT actor_login, normalized_city AS city, normalized_country_code AS country_code, CAST(1 AS BIGINT) AS n FROM ({gazetteer.ORACLE}) WHERE form IN (3, 7)")
 
 
 def _curated_dims(s: Stages) -> locations.Dims:

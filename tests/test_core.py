@@ -108,6 +108,28 @@ def test_statistics_in_buckets_equal_brute_force(spark):
     assert stats.percentiles(df.limit(0), [], "v", {"m": 0.5}).first()["m"] is None
 
 
+PHRASES = [
+    ("red bolt", "a Red-Bolt", True), ("red bolt", "red  . bolt!", True), ("red bolt", "redbolt", False), ("red bolt", "red big bolt", False), ("red bolt", "bolt red", False), ("red bolt", "xred bolt", False), ("red bolt", "red bolts", False),
+    ("red bolt", "red red bolt", True), ("c++", "in C++.", True), ("c++", "c++11", False), ("c++", "objective-c++", True), ("c++", "c+ +", False), (".net", "the .NET core", True), ("#tag", "a#tag", False), ("#tag", "+#tag", True),
+    ("機器學習", "我愛機器學習", True), ("機器學習", "機器 學習", False), ("學習 2", "學習_2", True), ("é", "café", False), ("é", "é e", True), ("naïve bayes", "Naïve\u00a0Bayes", True), ("...", "a ... b", False), ("a a", "a a a", True), ("x", None, False),
+]
+
+
+def test_phrases_equal_the_bounded_pattern(spark):
+    """Terms of any script, separators, symbols and bounds; the expected answer is that of the pattern with lookarounds."""
+    import re
+
+    for term, text, expected in PHRASES:
+        words = [re.escape(w) for w in re.split(r"[\s\-_./]+", term.lower()) if w]
+        found = bool(words) and text is not None and re.search(r"(?<![a-z0-9])" + r"[\s\-_./]+".join(words) + r"(?![a-z0-9])", text.lower()) is not None
+        assert found is expected, (term, text)
+    meta = spark.createDataFrame([(f"o/r{i}", text) for i, (_, text, _) in enumerate(PHRASES)], "repo_name string, description string")
+    terms = spark.createDataFrame([("d", f"s{i}", "term", term) for i, (term, _, _) in enumerate(PHRASES)], "domain_id string, subdomain_id string, kind string, item string")
+    got = {(r["repo_name"][3:], r["subdomain_id"][1:]) for r in classify.match_description_terms(meta, terms).collect()}
+    assert [(str(i), str(i)) in got for i in range(len(PHRASES))] == [e for *_, e in PHRASES]
+    assert not any("rlike" in x.lower() for x in classify.match_description_terms(meta, terms)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+
 def test_phrases_need_word_bounds(spark):
     meta = spark.createDataFrame([("o/a", "a maniac of basalt", []), ("o/b", "IaC with salt", []), ("o/c", None, None)], "repo_name string, description string, topics array<string>")
     terms = spark.createDataFrame([("d", "s", "term", "iac"), ("d", "s", "term", "salt")], "domain_id string, subdomain_id string, kind string, item string")
