@@ -115,7 +115,7 @@ def scaled(df: DataFrame, groups: list[str], counts: dict[str, str], ranks: dict
         out = _with_groups(out, groups, wide)
     for new, old in counts.items():
         ceiling = F.col(f"__c_{new}")
-        lo, hi = F.log1p(F.least(F.col(f"__a_{new}"), ceiling)), F.log1p(F.least(F.col(f"__b_{new}"), ceiling))
+        lo, hi = (log1p_scale(F.least(F.col(f"__{k}_{new}"), ceiling)) for k in "ab")
         x = log1p_scale(F.least(F.col(old).cast("double"), ceiling))
         out = out.withColumn(new, F.when(hi == lo, 50.0).otherwise((x - lo) / (hi - lo) * 100))
     for new, old in ranks.items():

@@ -84,11 +84,33 @@ def test_statistics_edge_cases(spark):
     assert stats.percentile_rank(df.limit(0), ["g"], "v", "pr").count() == 0
 
 
-def test_statistics_in_buckets_equal_brute_force(spark):
+def test_statistics_reject_what_has_no_answer(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.0), ("a", 2.0, 0.0), ("b", 3.0, 0.0)], "g string, v double, w double")
+    assert stats.weighted_median(df.where("g = 'a'"), ["g"], "v", "w", "m").first()["m"] == 1.0
+    with pytest.raises(Exception, match="must not all be zero"):
+        stats.weighted_median(df, ["g"], "v", "w", "m").collect()
+    with pytest.raises(Exception, match="must not be negative"):
+        stats.weighted_median(df.withColumn("w", F.col("w") - 0.5), ["g"], "v", "w", "m").collect()
+    with pytest.raises(ValueError, match="within"):
+        stats.percentiles(df, ["g"], "v", {"p": 1.5})
+    with pytest.raises(Exception, match="negative"):
+        stats.scale_counts(df.withColumn("v", -F.col("v")), ["g"], {"s": "v"}).collect()
+    blend = lambda high: df.select(X.weighted_blend({"a": F.col("v") * high, "b": F.lit(50.0)}, {"a": 0.5, "b": 0.5}).alias("x"))
+    assert [r["x"] for r in blend(10).collect()] == [30.0, 35.0, 40.0]
+    for factor in (50, -1):
+        with pytest.raises(Exception, match="within 0 and 100"):
+            blend(factor).collect()
+    with pytest.raises(ValueError, match="positive"):
+        X.saturating_ratio("v", 0)
+    with pytest.raises(Exception, match="must not be negative"):
+        df.select(X.saturating_ratio(-F.col("v"), 2)).collect()
+
+
+def test_statistics_in_ranges_equal_brute_force(spark):
     """A group with nearly all rows, more distinct values than buckets, ties, nulls, a group of nulls and one of one value."""
     rng = np.random.default_rng(5)
     rows = [("hot", float(x)) for x in np.exp(rng.normal(0, 4, 3000))] + [("hot", 1.5)] * 400 + [("hot", None)] * 7 + [("one", -2.0)] * 3 + [("none", None)] * 2
-    df = spark.createDataFrame(rows, "g string, v double").withColumn("w", F.coalesce(F.abs(F.hash("v")) % 7, F.lit(1)).cast("double") / 8)
+    df = spark.createDataFrame(rows, "g string, v double").withColumn("w", F.when(F.col("g") == "one", 1).otherwise(F.coalesce(F.abs(F.hash("v")) % 7, F.lit(1))).cast("double") / 8)
     for groups in (["g"], []):
         found = {tuple(r[g] for g in groups): r for r in stats.percentiles(df, groups, "v", {"a": 0, "m": 0.5, "p": 0.973, "z": 1}).collect()}
         ranks = stats.percentile_rank(df, groups, "v", "pr").collect()
