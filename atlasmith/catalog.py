@@ -239,15 +239,26 @@ add("privacy_scan", lambda s: quality.privacy_scan(A.text_lines(s.spark, s.sf_di
     f"WITH lines AS (SELECT file, unnest(regexp_split_to_array(text, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e]')) AS line FROM text_lines) SELECT file, pattern, count(*) AS n, min(CASE WHEN length(t) <= 120 THEN t ELSE t[1:120] || '…' END) AS excerpt FROM ({_privacy_sql}) GROUP BY 1, 2")
 add("precision_metrics", lambda s: quality.precision_metrics(table(s, "documents").select("doc_id", (F.col("n_chars") > 500).alias("predicted")), table(s, "labels").select("doc_id", (F.col("quality") == 1).alias("label")), "doc_id"),
     "SELECT count(*) AS reviewed, avg(CASE WHEN quality = 1 THEN 1.0 ELSE 0.0 END) AS precision, avg(CASE WHEN quality = 1 THEN 0.0 ELSE 1.0 END) AS false_inclusion_rate FROM documents JOIN labels USING (doc_id) WHERE n_chars > 500", "precision false_inclusion_rate")
-add("coverage_bias", lambda s: quality.coverage_bias(quality.activity_decile(s.contributor_scores, "raw_event_count").withColumn("located", F.col("country_code").isNotNull()), ["activity_decile", "one_repo"]),
-    """WITH cuts AS (SELECT quantile_cont(raw_event_count, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM contributor_scores), rows AS (SELECT 1 + len(list_filter(cuts, lambda c: raw_event_count > c)) AS decile, qualified_repo_count = 1 AS one_repo, normalized_country_code IS NOT NULL AS located FROM contributor_scores LEFT JOIN actor_geo USING (actor_login) CROSS JOIN cuts)
-  SELECT 'activity_decile' AS dimension, CAST(decile AS VARCHAR) AS bucket, count(*) AS n, avg(CASE WHEN located THEN 1.0 ELSE 0.0 END) AS located_share FROM rows GROUP BY 2 UNION ALL SELECT 'one_repo', CAST(one_repo AS VARCHAR), count(*), avg(CASE WHEN located THEN 1.0 ELSE 0.0 END) FROM rows GROUP BY 2""", "located_share")
+_dimensions = {"activity_decile": "CAST(decile AS VARCHAR)", "one_repo": "CAST(one_repo AS VARCHAR)", "language": "primary_language", "organization_size": "size"}
+add("coverage_bias", lambda s: quality.coverage_bias(quality.bias_rows(s.contributor_scores, s.contributors, s.metadata), list(_dimensions)),
+    """WITH cuts AS (SELECT quantile_cont(raw_event_count, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM contributor_scores),
+  main AS (SELECT actor_login, repo_name FROM contributor QUALIFY row_number() OVER (PARTITION BY actor_login ORDER BY raw_contribution_points DESC, repo_name DESC) = 1),
+  sizes AS (SELECT owner, CASE WHEN n <= 5 THEN '1-5' WHEN n <= 50 THEN '6-50' WHEN n <= 500 THEN '51-500' ELSE '501+' END AS size FROM (SELECT split_part(repo_name, '/', 1) AS owner, count(DISTINCT actor_login) AS n FROM contributor GROUP BY 1)),
+  rows AS (SELECT 1 + len(list_filter(cuts, lambda c: raw_event_count > c)) AS decile, qualified_repo_count = 1 AS one_repo, primary_language, size, normalized_country_code IS NOT NULL AS located
+    FROM contributor_scores LEFT JOIN actor_geo USING (actor_login) LEFT JOIN main USING (actor_login) LEFT JOIN repo_meta USING (repo_name) LEFT JOIN sizes ON owner = split_part(repo_name, '/', 1) CROSS JOIN cuts)
+  """ + " UNION ALL ".join(f"SELECT '{n}' AS dimension, {c} AS bucket, count(*) AS n, avg(CASE WHEN located THEN 1.0 ELSE 0.0 END) AS located_share FROM rows GROUP BY 2" for n, c in _dimensions.items()), "located_share")
 add("sensitivity", lambda s: quality.sensitivity(s.contributor_scores, s.contributors, s.classified, s.locations, s.repo_scores, A.WINDOW[1], A.SAMPLES).select("scenario", "geo_level", "geo_id", F.col("rank").cast("long").alias("rank"), F.col("shift").cast("long").alias("shift")),
     " UNION ALL ".join(f"SELECT '{n}' AS scenario, x.geo_level, x.geo_id, x.rank, x.rank - b.rank AS shift FROM rankings{v} x JOIN rankings b ON x.domain_id = b.domain_id AND x.geo_level = b.geo_level AND x.geo_id = b.geo_id" for n, v in Q.SCENARIOS.items()))
 add("raw_vs_weighted", lambda s: quality.raw_vs_weighted(s.rankings).select("geo_level", "geo_id", F.col("raw_rank").cast("long").alias("raw_rank"), F.col("weighted_rank").cast("long").alias("weighted_rank")),
     "SELECT geo_level, geo_id, row_number() OVER (PARTITION BY geo_level ORDER BY observable_expert_count DESC, geo_id) AS raw_rank, row_number() OVER (PARTITION BY geo_level ORDER BY weighted_expert_count DESC, geo_id) AS weighted_rank FROM rankings")
-add("window_comparison", lambda s: quality.window_comparison(s.grid, _months[-3:], _months, A.actor_country(s.spark, s.sf_dir)).select("country_code", "short_n", "long_n", F.col("short_rank").cast("long").alias("short_rank"), F.col("long_rank").cast("long").alias("long_rank")),
-    "SELECT *, row_number() OVER (ORDER BY short_n DESC, country_code) AS short_rank, row_number() OVER (ORDER BY long_n DESC, country_code) AS long_rank FROM (SELECT country_code, count(DISTINCT actor_login) FILTER (month >= 200109) AS short_n, count(DISTINCT actor_login) AS long_n FROM grid JOIN actor_country USING (actor_login) WHERE NOT is_bot AND month BETWEEN 200106 AND 200111 GROUP BY 1)")
+def _windows(s: Stages) -> DataFrame:
+    states = tuple(T.stage(x, "states") for x in discovery.monthly_states(s.grid))
+    short, long = (quality.window_ranks(states, months, s.discovered, s.classified, s.metadata, s.locations, A.TERMS, A.DOMAIN, A.WINDOW[1], A.SAMPLES) for months in Q.WINDOWS.values())
+    return quality.window_comparison(short, long).select("geo_level", "geo_id", *(F.col(c).cast("long").alias(c) for c in ("short_rank", "long_rank", "shift")))
+
+
+add("window_comparison", _windows,
+    "SELECT geo_level, geo_id, x.rank AS short_rank, y.rank AS long_rank, x.rank - y.rank AS shift FROM rankings_w3 x FULL JOIN rankings_w12 y USING (domain_id, geo_level, geo_id)")
 
 # 2.12 published datasets
 

@@ -79,7 +79,11 @@ def join_repo_days(repos: DataFrame, days: DataFrame) -> DataFrame:
 
 def repo_activity(grid: DataFrame, terms: list[str]) -> DataFrame:
     """One row per repository within the summary bound."""
-    repos = join_repo_days(per_repo_rollup(per_actor_rollup(grid)), active_days_exact(month_day_mask(grid)))
+    return activity_of(join_repo_days(per_repo_rollup(per_actor_rollup(grid)), active_days_exact(month_day_mask(grid))), terms)
+
+
+def activity_of(repos: DataFrame, terms: list[str]) -> DataFrame:
+    """Sums per repository as the activity table."""
     names = {"prs_merged": "merged_pull_requests", "prs_opened": "pull_requests_opened", "prs_closed": "pull_requests_closed", "human_counted_events": "meaningful_events"}
     whole = F.col("bot_counted_events") + F.col("meaningful_events")
     out = (
@@ -114,9 +118,14 @@ def join_accepted_events(grid: DataFrame, discovery: DataFrame) -> DataFrame:
 
 def contributor_rollup(grid: DataFrame, discovery: DataFrame, domain: str) -> DataFrame:
     """One row per human actor and accepted repository with counted events."""
+    return contributors_of(grid.where(~F.col("is_bot")), discovery, domain)
+
+
+def contributors_of(rows: DataFrame, discovery: DataFrame, domain: str) -> DataFrame:
+    """Contributor rows from monthly rows of human actors."""
     sums = F.sum
     return (
-        join_accepted_events(grid.where(~F.col("is_bot")), discovery).groupBy("actor_login", "repo_name").agg(
+        join_accepted_events(rows, discovery).groupBy("actor_login", "repo_name").agg(
             sums("push_events").alias("push_events"), sums("prs_opened").alias("pull_requests_opened"), sums("prs_merged").alias("merged_pull_requests_authored"),
             sums("reviews_submitted").alias("reviews_submitted"), sums("issues_opened").alias("issues_opened"), sums("issue_comments").alias("issue_comments"),
             sums("active_days").alias("active_days"), F.count_distinct("month").alias("active_months"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
@@ -128,6 +137,38 @@ def contributor_rollup(grid: DataFrame, discovery: DataFrame, domain: str) -> Da
     )
 
 
+# Monthly states: what any set of months is rolled up from, without reading events or the grid again
+
+
+def monthly_states(grid: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Partial sums that merge over months: human actors per month and repository, and repositories per month."""
+    human = ~F.col("is_bot")
+    own = lambda c: F.when(human, c)
+    actors = grid.where(human).select("month", "repo_name", "actor_login", *COUNTERS, "active_days", "first_seen", "last_seen")
+    repos = grid.groupBy("month", "repo_name").agg(
+        *(F.sum(own(F.col(c)).otherwise(0)).alias(c) for c in COUNTERS), F.sum(own(counted_events()).otherwise(0)).alias("human_counted_events"), F.sum(F.when(~human, counted_events()).otherwise(0)).alias("bot_counted_events"),
+        F.bit_or(own(F.col("active_day_mask"))).alias("mask"), F.min(own(F.col("first_seen"))).alias("first_seen"), F.max(own(F.col("last_seen"))).alias("last_seen"),
+    )
+    return actors, repos
+
+
+def roll_activity(actors: DataFrame, repos: DataFrame, months: list[int], terms: list[str]) -> DataFrame:
+    """repo_activity() of these months, from states."""
+    inside = F.col("month").isin(*months)
+    per_actor = actors.where(inside).groupBy("repo_name", "actor_login").agg(F.sum(counted_events()).alias("n"))
+    people = per_actor.groupBy("repo_name").agg(F.count_if(F.col("n") > 0).alias("unique_human_contributors"), F.max("n").alias("top_human_actor_events"))
+    sums = repos.where(inside).groupBy("repo_name").agg(
+        *(F.sum(c).alias(c) for c in (*COUNTERS, "human_counted_events", "bot_counted_events")), F.coalesce(F.sum(F.bit_count("mask")).cast("long"), F.lit(0)).alias("active_days"), F.count("mask").alias("active_months"),
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+    )
+    return activity_of(sums.join(people, "repo_name", "left").withColumn("unique_human_contributors", F.coalesce("unique_human_contributors", F.lit(0))), terms)
+
+
+def roll_contributors(actors: DataFrame, months: list[int], discovery: DataFrame, domain: str) -> DataFrame:
+    """contributor_rollup() of these months, from states."""
+    return contributors_of(actors.where(F.col("month").isin(*months)), discovery, domain)
+
+
 def dup_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 

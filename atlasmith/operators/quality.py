@@ -249,6 +249,25 @@ def coverage_bias(rows: DataFrame, dimensions: list[str]) -> DataFrame:
     return rows.select("located", long.alias("x")).groupBy("x.dimension", "x.bucket").agg(F.count("*").alias("n"), F.avg(F.col("located").cast("double")).alias("located_share"))
 
 
+def main_repository(activity: DataFrame) -> DataFrame:
+    """(actor_login, repo_name): where an actor has the most contribution points."""
+    order = F.struct("raw_contribution_points", F.col("repo_name"))
+    return activity.groupBy("domain_id", "actor_login").agg(F.max(order).alias("x")).select("domain_id", "actor_login", F.col("x.repo_name").alias("repo_name"))
+
+
+def organization_size(activity: DataFrame) -> DataFrame:
+    """(owner, organization_size): owners by how many actors contribute to their repositories."""
+    n = F.count_distinct("actor_login")
+    return activity.groupBy(X.owner_of("repo_name").alias("owner")).agg(F.when(n <= 5, "1-5").when(n <= 50, "6-50").when(n <= 500, "51-500").otherwise("501+").alias("organization_size"))
+
+
+def bias_rows(scores: DataFrame, activity: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Scored actors with the dimensions of coverage_bias(): activity decile, language and organization of their main repository."""
+    main = main_repository(activity).join(metadata.select("repo_name", F.col("primary_language").alias("language")), "repo_name", "left").withColumn("owner", X.owner_of("repo_name"))
+    known = main.join(organization_size(activity), "owner", "left").select("domain_id", "actor_login", "language", "organization_size")
+    return activity_decile(scores, "raw_event_count").join(known, ["domain_id", "actor_login"], "left").withColumn("located", F.col("country_code").isNotNull())
+
+
 def activity_decile(df: DataFrame, value: str, name: str = "activity_decile") -> DataFrame:
     """1 to 10 by exact cut points from counts per distinct value, without sorting all rows."""
     cuts = S.percentiles(df, [], value, {f"__d{i}": i / 10 for i in range(1, 10)})
@@ -294,12 +313,22 @@ def raw_vs_weighted(rankings: DataFrame) -> DataFrame:
     return rankings.select("domain_id", "geo_level", "geo_id", order("observable_expert_count").alias("raw_rank"), order("weighted_expert_count").alias("weighted_rank")).withColumn("difference", F.col("raw_rank") - F.col("weighted_rank"))
 
 
-def window_comparison(grid: DataFrame, short: list[int], long: list[int], actor_country: DataFrame) -> DataFrame:
-    """Countries by active human actors in two sets of months, with both ranks."""
-    rows = grid.where(~F.col("is_bot") & F.col("month").isin(*long)).join(actor_country, "actor_login")
-    counted = rows.groupBy("country_code").agg(F.count_distinct(F.when(F.col("month").isin(*short), F.col("actor_login"))).alias("short_n"), F.count_distinct("actor_login").alias("long_n"))
-    one = Window.partitionBy(F.lit(0))  # a row per country
-    return counted.withColumn("short_rank", F.row_number().over(one.orderBy(F.desc("short_n"), "country_code"))).withColumn("long_rank", F.row_number().over(one.orderBy(F.desc("long_n"), "country_code")))
+def window_ranks(states: tuple[DataFrame, DataFrame], months: list[int], discovery: DataFrame, classification: DataFrame, metadata: DataFrame, locations: DataFrame, terms: list[str], domain: str, window_end: datetime.date, minimums: dict) -> DataFrame:
+    """All scores and the ranking of geographies over these months, rolled up from monthly states."""
+    actors, repos = states
+    activity = D.roll_activity(actors, repos, months, terms)
+    repo_scores = T.stage(G.finish_repositories(T.stage(G.repo_signals(T.stage(G.join_score_inputs(classification, activity, metadata), "window-repositories"), window_end), "window-signals")), "window-qualities")
+    contributors = T.stage(D.roll_contributors(actors, months, discovery, domain), "window-contributors")
+    evidence = T.stage(G.contributor_evidence(contributors, classification, repo_scores), "window-evidence")
+    scores = T.stage(G.finish_contributors(T.stage(G.contributor_signals(evidence, window_end), "window-signals"), locations), "window-scores")
+    return G.score_geographies(T.stage(G.geo_evidence(scores, contributors, classification, locations, window_end), "window-geographies"), minimums=minimums)
+
+
+def window_comparison(short: DataFrame, long: DataFrame) -> DataFrame:
+    """Ranks of geographies over two windows side by side; null where a window has no such geography."""
+    key = ["domain_id", "geo_level", "geo_id"]
+    both = short.select(*key, F.col("rank").alias("short_rank")).join(long.select(*key, F.col("rank").alias("long_rank")), key, "full")
+    return both.withColumn("shift", F.col("short_rank") - F.col("long_rank"))
 
 
 def sample_rows(df: DataFrame, strata: str, key: str, n: int, seed: int) -> DataFrame:

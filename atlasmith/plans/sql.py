@@ -145,12 +145,12 @@ VIEWS = {
   bool_or(first_seen <= last_day({END} - INTERVAL 1 MONTH) AND last_seen >= date_trunc('month', {END} - INTERVAL 1 MONTH)) AS is_before FROM capped GROUP BY 1, 2) USING (domain_id, actor_login) GROUP BY ALL""",
     "geo_median": f"""SELECT {_GEO}, min(expert_score) FILTER (upto * 2 >= total) AS weighted_median FROM (SELECT *, sum(w) OVER (PARTITION BY {_GEO} ORDER BY expert_score) AS upto, sum(w) OVER (PARTITION BY {_GEO}) AS total
   FROM (SELECT {_GEO}, expert_score, sum(CAST(least(expert_score, 85.0) / 100 AS DECIMAL(38,12))) AS w FROM members GROUP BY ALL)) GROUP BY ALL""",
-    "geo_evidence": f"""SELECT g.*, w.weighted_median, r.max_repo_share, r.qualified_repo_count, o.max_org_share, o.organization_count, r.n_subdomains AS subdomain_count, g.weighted_expert_count - r.given + r.kept AS capped_supply,
+    "geo_evidence": f"""SELECT g.*, w.weighted_median, r.max_repo_share, r.qualified_repo_count, o.max_org_share, o.organization_count, r.n_subdomains AS subdomain_count, g.weighted_expert_count - coalesce(r.given, 0) + coalesce(r.kept, 0) AS capped_supply,
   (SELECT avg(CASE WHEN location_confidence IN ('high', 'medium') AND normalized_country_code IS NOT NULL THEN 1.0 ELSE 0.0 END) FROM contributor_scores LEFT JOIN actor_geo USING (actor_login)) AS coverage
   FROM geo_members g JOIN geo_median w ON {_same('g', 'w')}
-  JOIN (SELECT x.domain_id, x.geo_level, x.country_code, x.city, max(points) / sum(points) AS max_repo_share, count(*) AS qualified_repo_count, sum(x.given) AS given, sum(CASE WHEN x.given IS NOT NULL THEN least(x.given, {C.SUPPLY_REPO_CAP} * m.weighted_expert_count) END) AS kept, any_value(s.n) AS n_subdomains
+  JOIN (SELECT x.domain_id, x.geo_level, x.country_code, x.city, CASE WHEN sum(points) > 0 THEN max(points) / sum(points) ELSE 0 END AS max_repo_share, count(*) AS qualified_repo_count, sum(x.given) AS given, sum(CASE WHEN x.given IS NOT NULL THEN least(x.given, {C.SUPPLY_REPO_CAP} * m.weighted_expert_count) END) AS kept, any_value(s.n) AS n_subdomains
     FROM geo_repos x JOIN geo_members m ON {_same('x', 'm')} JOIN (SELECT {_GEO}, count(DISTINCT s) AS n FROM geo_repos JOIN subdomain_rows USING (repo_name) GROUP BY ALL) s ON {_same('x', 's')} GROUP BY 1, 2, 3, 4) r ON {_same('g', 'r')}
-  JOIN (SELECT {_GEO}, max(points) / sum(points) AS max_org_share, count(*) AS organization_count FROM geo_owners GROUP BY ALL) o ON {_same('g', 'o')}""",
+  JOIN (SELECT {_GEO}, CASE WHEN sum(points) > 0 THEN max(points) / sum(points) ELSE 0 END AS max_org_share, count(*) AS organization_count FROM geo_owners GROUP BY ALL) o ON {_same('g', 'o')}""",
     "geo_scaled": "SELECT *, coverage AS located_profile_coverage, " + scale_count("capped_supply", _P) + " AS expert_supply_score, "
     + blend({"weighted_median": "weighted_median", "top_quartile_share": "top_quartile_share"}, _G["expert_quality"]) + " AS expert_quality_score, " + blend({n: n for n in _G["collaboration_depth"]}, _G["collaboration_depth"]) + " AS collaboration_depth_score, "
     + "CAST(CASE WHEN latest_active > previous_active THEN 75 WHEN latest_active < previous_active THEN 25 ELSE 50 END AS DOUBLE) AS momentum_score, "
@@ -186,6 +186,16 @@ _scenario("_top", {"capped": VIEWS["capped"].replace("FROM contributor WHERE", "
 _scenario("_org", {"capped": VIEWS["capped"].replace("FROM contributor WHERE", "FROM contributor WHERE split_part(repo_name, '/', 1) <> (SELECT split_part(repo_name, '/', 1) AS owner FROM contributor GROUP BY 1 ORDER BY count(*) DESC, owner LIMIT 1) AND")})
 
 
+#: The last three and the last twelve months of the window, by the suffix of their views.
+_all = [y * 100 + m for y in range(A.WINDOW[0].year, A.WINDOW[1].year + 1) for m in range(1, 13) if y * 100 + m <= A.WINDOW[1].year * 100 + A.WINDOW[1].month]
+WINDOWS = {"_w3": _all[-3:], "_w12": _all[-12:]}
+_rolled = ["per_actor", "masks", "repo_days", "repo_activity", "contributor", "repo_scores", "capped", "evidence", "contributor_scores", "members", "supplied", "geo_repos", "geo_owners", "geo_members", "geo_median", "geo_evidence", "geo_scaled", "geo_tiered", "rankings"]
+for _suffix, _months in WINDOWS.items():
+    VIEWS[f"grid{_suffix}"] = f"SELECT * FROM grid WHERE month IN ({', '.join(map(str, _months))})"
+    for _name in _rolled:
+        VIEWS[f"{_name}{_suffix}"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(['grid', *_rolled])})\b", rf"\1 \2{_suffix}", VIEWS[_name])
+
+
 def query(select: str) -> str:
     """A select over the views that it needs."""
     needed: set[str] = set()

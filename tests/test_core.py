@@ -84,6 +84,22 @@ def test_statistics_edge_cases(spark):
     assert stats.percentile_rank(df.limit(0), ["g"], "v", "pr").count() == 0
 
 
+def test_states_of_all_months_give_the_whole_rollups(spark):
+    from atlasmith.operators import discovery
+    from atlasmith.plans import adapters as A
+    from atlasmith.plans.stages import stages
+
+    s = stages(spark, SF)
+    actors, repos = discovery.monthly_states(s.grid)
+    months = [r["month"] for r in s.grid.select("month").distinct().collect()]
+    columns = sorted(s.activity.columns)
+    shown = lambda df, columns: sorted(repr([plain(r[c]) for c in columns]) for r in df.collect())
+    assert shown(discovery.roll_activity(actors, repos, months, A.TERMS), columns) == shown(s.activity, columns)
+    columns = sorted(s.contributors.columns)
+    assert shown(discovery.roll_contributors(actors, months, s.discovered, A.DOMAIN), columns) == shown(s.contributors, columns)
+    assert discovery.roll_activity(actors, repos, [190001], A.TERMS).count() == 0
+
+
 def test_statistics_reject_what_has_no_answer(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0), ("a", 2.0, 0.0), ("b", 3.0, 0.0)], "g string, v double, w double")
     assert stats.weighted_median(df.where("g = 'a'"), ["g"], "v", "w", "m").first()["m"] == 1.0
