@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from atlasmith import settings as C
@@ -279,7 +279,9 @@ add("recommendations", lambda s: publish.recommendations(s.rankings, s.countries
     f"SELECT geo_id, {_named} AS name, {_most(_parts, 'greatest')} AS strongest, {_most(_parts, 'least')} AS weakest FROM rankings LEFT JOIN country_names USING (country_code) WHERE geo_level = 'country' AND recommendation_tier <> 'insufficient_data' ORDER BY CASE recommendation_tier WHEN 'priority' THEN 0 WHEN 'promising' THEN 1 ELSE 2 END, rank LIMIT 3")
 _all = {n: f"{n}_score" for n in publish.ALL_COMPONENTS}
 add("why_statements", lambda s: publish.why_statements(s.rankings, s.countries), f"SELECT geo_level, geo_id, {_named} || ' does best in ' || replace({_most(_all, 'greatest')}, '_', ' ') || '.|' || {_named} || ' does worst in ' || replace({_most(_all, 'least')}, '_', ' ') || '.' AS statements FROM rankings LEFT JOIN country_names USING (country_code)")
-add("caveats", lambda s: s.rankings.select("geo_level", "geo_id", publish.caveats().alias("caveats")).withColumn("n", F.size("caveats").cast("long")).select("geo_level", "geo_id", "n"), f"SELECT geo_level, geo_id, CAST(1 + CASE WHEN located_profile_coverage < 0.4 THEN 1 ELSE 0 END + CASE WHEN max_org_share > {C.ORG_SHARE_FLAG} THEN 1 ELSE 0 END AS BIGINT) AS n FROM rankings")
+_caveats = f"""concat_ws('|', CASE WHEN located_profile_coverage < 0.4 THEN printf('Only %.0f%% of scored profiles could be located.', located_profile_coverage * 100) END,
+  CASE WHEN max_org_share > {C.ORG_SHARE_FLAG} THEN printf('One organization accounts for %.0f%% of activity.', max_org_share * 100) END, 'Momentum compares two months only and is provisional.')"""
+add("caveats", lambda s: s.rankings.select("geo_level", "geo_id", publish.caveats().alias("caveats")), f"SELECT geo_level, geo_id, {_caveats} AS caveats FROM rankings")
 add("explorer_filter", lambda s: publish.explorer_filter(s.rankings, min_confidence=30, text="building").select("geo_id", "confidence_score"), "SELECT geo_id, confidence_score FROM rankings WHERE confidence_score >= 30 AND contains(lower(concat_ws(' ', city, country_code)), 'building')", "confidence_score")
 _metrics = ("opportunity_score", "confidence_score", "observable_expert_count")
 add("subdomain_options", lambda s: publish.subdomain_options(s.rankings),
@@ -287,19 +289,32 @@ add("subdomain_options", lambda s: publish.subdomain_options(s.rankings),
 add("comparison_summary", lambda s: publish.comparison_summary(s.rankings, s.countries, ["N1", "N2", "N3"]),
     f"""WITH long AS (SELECT {_named} AS name, unnest([{', '.join(map(Q.quoted, _metrics))}]) AS metric, unnest([{', '.join(f'CAST({m} AS DOUBLE)' for m in _metrics)}]) AS value FROM rankings LEFT JOIN country_names USING (country_code) WHERE geo_id IN ('N1', 'N2', 'N3'))
   SELECT *, printf('%s: %s leads with %.1f.', replace(metric, '_', ' '), leaders, best) AS text FROM (SELECT metric, value AS best, string_agg(name, ' and ' ORDER BY name) AS leaders FROM (SELECT *, max(value) OVER (PARTITION BY metric) AS top FROM long) WHERE value = top GROUP BY 1, 2)""", "best")
-add("rankings_payload", lambda s: publish.rankings_payload(s.rankings, s.countries).select("geo_level", "geo_id", F.get_json_object("payload", "$.name").alias("name"), F.get_json_object("payload", "$.rank").cast("long").alias("rank")), f"SELECT geo_level, geo_id, {_named} AS name, rank FROM rankings LEFT JOIN country_names USING (country_code)")
 _read = lambda df, *keep, **kinds: df.select(*keep, F.from_json("payload", ", ".join(f"{k} {t}" for k, t in kinds.items())).alias("x")).select(*keep, "x.*")
-add("compare_payload", lambda s: _read(publish.compare_payload(s.rankings, s.countries), "geo_level", "geo_id", name="string", rank="long", opportunityScore="double", confidenceScore="double", recommendationTier="string", topSubdomains="array<string>", momentumProvisional="boolean"),
-    f"""WITH best AS (SELECT geo_level, country_code, city, string_agg(s, '|' ORDER BY r) AS subs FROM geo_top WHERE r <= {C.TOP_SUBDOMAINS} GROUP BY ALL)
-  SELECT r.geo_level, r.geo_id, coalesce(r.city, country_name, r.country_code) AS name, rank, opportunity_score AS "opportunityScore", confidence_score AS "confidenceScore", recommendation_tier AS "recommendationTier", coalesce(subs, '') AS "topSubdomains", true AS "momentumProvisional"
-  FROM rankings r LEFT JOIN country_names n ON n.country_code = r.country_code LEFT JOIN best b ON b.geo_level = r.geo_level AND b.country_code = r.country_code AND b.city IS NOT DISTINCT FROM r.city""", '"opportunityScore" "confidenceScore"')
+_payload = {"name": "string", "rank": "long", "opportunityScore": "double", "confidenceScore": "double", "recommendationTier": "string", "topSubdomains": "array<string>", "momentumProvisional": "boolean"}
+_scores = {X.camel_case(f"{n}_score"): f"{n}_score" for n in publish.ALL_COMPONENTS}
+_more = _scores | {"weightedExpertCount": "weighted_expert_count", "multiRepoExpertShare": "multi_repo_share / 100", "locatedProfileCoverage": "coverage", "highConfidenceLocationShare": "high_confidence_count / observable_expert_count"}
+_counted = {"observableExpertCount": "observable_expert_count", "qualifiedRepoCount": "qualified_repo_count", "organizationCount": "organization_count"}
+_doubles = " ".join(f'"{c}"' for c in ("opportunityScore", "confidenceScore", *_more))
+
+
+def _payload_sql(fields: dict[str, str]) -> str:
+    more = "".join(f', r.{x} AS "{n}"' if x.isidentifier() else f', {x} AS "{n}"' for n, x in fields.items())
+    return f"""WITH best AS (SELECT geo_level, country_code, city, string_agg(s, '|' ORDER BY r) AS subs FROM geo_top WHERE r <= {C.TOP_SUBDOMAINS} GROUP BY ALL)
+  SELECT r.geo_level, r.geo_id, coalesce(r.city, country_name, r.country_code) AS name, rank, opportunity_score AS "opportunityScore", confidence_score AS "confidenceScore", recommendation_tier AS "recommendationTier", coalesce(subs, '') AS "topSubdomains", true AS "momentumProvisional"{more}
+  FROM rankings r LEFT JOIN country_names n ON n.country_code = r.country_code LEFT JOIN best b ON b.geo_level = r.geo_level AND b.country_code = r.country_code AND b.city IS NOT DISTINCT FROM r.city"""
+
+
+add("compare_payload", lambda s: _read(publish.compare_payload(s.rankings, s.countries), "geo_level", "geo_id", **_payload), _payload_sql({}), '"opportunityScore" "confidenceScore"')
+add("rankings_payload", lambda s: _read(publish.rankings_payload(s.rankings, s.countries), "geo_level", "geo_id", **_payload, **dict.fromkeys(_more, "double"), **dict.fromkeys(_counted, "long")), _payload_sql(_more | _counted), _doubles)
 _details = lambda s: publish.country_detail(s.rankings, s.countries, publish.subdomain_mix(counts(s)), discovery.geo_monthly_trend(s.grid, A.actor_country(s.spark, s.sf_dir)))
 _detail = {"name": "string", "rank": "long", "caveats": "array<string>", "subdomainMix": "array<struct<subdomain: string, experts: long, share: double>>", "trend": "array<struct<month: int, events: long, active_contributors: long>>"}
-add("country_detail", lambda s: _read(_details(s), "geo_id", "file", **_detail).select("geo_id", "file", "name", "rank", F.size("caveats").cast("long").alias("n_caveats"), F.array_join(F.transform("subdomainMix", lambda x: F.concat_ws(":", x["subdomain"], x["experts"])), "|").alias("mix"), F.array_join(F.transform("trend", lambda x: F.concat_ws(":", x["month"], x["events"], x["active_contributors"])), "|").alias("trend")),
-    f"""SELECT geo_id, replace(lower(geo_id), ' ', '-') AS file, {_named} AS name, rank, CAST(1 + CASE WHEN located_profile_coverage < 0.4 THEN 1 ELSE 0 END + CASE WHEN max_org_share > {C.ORG_SHARE_FLAG} THEN 1 ELSE 0 END AS BIGINT) AS n_caveats, mix, trend
+add("country_detail", lambda s: _read(_details(s), "geo_id", "file", **_detail).select("geo_id", "file", "name", "rank", "caveats", F.array_join(F.transform("subdomainMix", lambda x: F.concat_ws(":", x["subdomain"], x["experts"])), "|").alias("mix"), F.array_join(F.transform("trend", lambda x: F.concat_ws(":", x["month"], x["events"], x["active_contributors"])), "|").alias("trend")),
+    f"""SELECT geo_id, replace(lower(geo_id), ' ', '-') AS file, {_named} AS name, rank, {_caveats} AS caveats, mix, trend
   FROM rankings LEFT JOIN country_names USING (country_code) LEFT JOIN (SELECT country_code, string_agg(subdomain || ':' || experts, '|' ORDER BY subdomain) AS mix FROM subdomain_counts GROUP BY 1) USING (country_code)
   LEFT JOIN (SELECT country_code, string_agg(month || ':' || events || ':' || active_contributors, '|' ORDER BY month) AS trend FROM trend GROUP BY 1) USING (country_code) WHERE geo_level = 'country'""")
-add("city_detail", lambda s: publish.city_detail(s.rankings, s.countries).select("geo_id", "file"), "SELECT geo_id, replace(replace(lower(geo_id), '/', '-'), ' ', '-') AS file FROM rankings WHERE geo_level = 'city'")
+add("city_detail", lambda s: _read(publish.city_detail(s.rankings, s.countries), "geo_id", "file", name="string", rank="long", caveats="array<string>", opportunityScore="double", qualifiedRepoCount="long", recommendationTier="string"),
+    f"""SELECT geo_id, replace(replace(lower(geo_id), '/', '-'), ' ', '-') AS file, {_named} AS name, rank, 'City samples count high-confidence locations only.' AS caveats, opportunity_score AS "opportunityScore", qualified_repo_count AS "qualifiedRepoCount", recommendation_tier AS "recommendationTier"
+  FROM rankings LEFT JOIN country_names USING (country_code) WHERE geo_level = 'city'""", '"opportunityScore"')
 _rows = lambda df, column, *fields: df.select(F.explode(F.from_json(column, f"array<struct<{', '.join(fields)}>>")).alias("x")).select("x.*")
 
 
@@ -329,4 +344,12 @@ add("summary_payload", _summary,
     """SELECT 'kpi' AS list, unnest(['qualified_repos', 'experts', 'located_coverage', 'sufficient_countries']) AS key, unnest([(SELECT CAST(count(*) AS DOUBLE) FROM classified WHERE classification_status = 'accepted'), (SELECT count(DISTINCT actor_login) FROM contributor_scores), (SELECT count(normalized_country_code) / count(*) FROM actor_geo), (SELECT count(*) FROM rankings WHERE geo_level = 'country' AND recommendation_tier <> 'insufficient_data')]) AS value
   UNION ALL SELECT * FROM (SELECT 'top', geo_id, opportunity_score FROM rankings WHERE geo_level = 'country' AND recommendation_tier <> 'insufficient_data' ORDER BY rank LIMIT 5)
   UNION ALL SELECT 'hub', subdomain || ':' || country_code, experts FROM (SELECT * FROM subdomain_counts QUALIFY row_number() OVER (PARTITION BY subdomain ORDER BY experts DESC, country_code) = 1)""", "value")
-add("table_sort", lambda s: publish.table_sort(s.rankings.where("geo_level = 'country'").select("geo_id", "observable_expert_count"), "observable_expert_count", ascending=False), "SELECT geo_id, observable_expert_count FROM rankings WHERE geo_level = 'country'")
+
+
+def _sorted(s: Stages) -> DataFrame:
+    """Countries by experts, as a table shows them, with the place that each row has."""
+    shown = publish.table_sort(s.rankings.where("geo_level = 'country'").select("geo_id", "observable_expert_count"), "observable_expert_count", "geo_id", ascending=False)
+    return shown.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("long"))  # a row per country
+
+
+add("table_sort", _sorted, "SELECT geo_id, observable_expert_count, row_number() OVER (ORDER BY observable_expert_count DESC, geo_id) AS place FROM rankings WHERE geo_level = 'country'")

@@ -79,8 +79,10 @@ def recommendation_topk(rankings: DataFrame, n: int = 3) -> DataFrame:
     return rankings.where("geo_level = 'country' and recommendation_tier <> 'insufficient_data'").withColumn("tier_rank", tier).orderBy("tier_rank", "rank", "geo_id").limit(n)
 
 
-def table_sort(df: DataFrame, column: str, ascending: bool = True) -> DataFrame:
-    return df.orderBy(F.col(column).asc() if ascending else F.col(column).desc())
+def table_sort(df: DataFrame, column: str, then: str | None = None, ascending: bool = True) -> DataFrame:
+    """Rows by a column; equal ones by another, ascending."""
+    first = F.col(column).asc() if ascending else F.col(column).desc()
+    return df.orderBy(first, *([then] if then else []))
 
 
 def explorer_filter(rankings: DataFrame, subdomain: str | None = None, tier: str | None = None, min_confidence: float | None = None, text: str | None = None) -> DataFrame:
