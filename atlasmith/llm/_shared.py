@@ -44,10 +44,12 @@ def hash_pair(*columns: Column) -> list[Column]:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    The cluster names it in spark.checkpoint.dir. Only where that is unset (tests on one machine)
-    a local folder is used.
+    The cluster names it in spark.checkpoint.dir. Only a local master may leave that unset, as in tests.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
+    return (named or "/tmp/checkpoints").rstrip("/")
 
 
 def stage_table(df: DataFrame, what: str) -> DataFrame:

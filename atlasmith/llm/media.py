@@ -306,7 +306,9 @@ def _digest(text: str | None) -> tuple:
     media = avi_of(text)
     seconds, files = read_avi(media)
     frames = decode_frames(files)
-    stored = b"".join(x.tobytes() for x in frames if x is not None)
+    if any(x is None for x in frames):
+        raise ValueError("a stored frame does not decode")
+    stored = b"".join(x.tobytes() for x in frames)
     found = _clips(seconds, frames)
     whole = np.rint(np.average([c.histogram for c in found], axis=0, weights=[c.n_frames for c in found])).astype(int).tolist()
     feature = f"frames={len(frames)};clips={len(found)};longest={max(c.n_frames for c in found)};end={found[-1].end_s:.2f};histogram={','.join(map(str, whole))}"

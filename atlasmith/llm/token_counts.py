@@ -6,7 +6,8 @@ by byte; popped counts add up to its number of pieces, and no piece is ever buil
 
 Words follow the white-space rule, A-Z lower-cased. A vocabulary entry is bytes, and may demand to
 end a word (END is its last symbol). A word of which some part is in no entry counts as one unknown
-piece. Distinct words are counted once per batch and remembered within a bound.
+piece. Distinct words are counted once and remembered within a bound, but for long ones, which are
+remembered for their text only.
 
 Defined cases. A null or wordless text has no tokens. A null doc_id is carried through. Repeated
 rows are counted alike; an empty table gives no rows. Columns of docs pass through with_counts(), but
@@ -116,11 +117,13 @@ def with_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             rows = []
             for text in texts:
                 words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+                own: dict[bytes, int] = {}  # Long words: those of this text only.
                 for w in set(words).difference(known):
-                    known[w] = matcher.count(w)
-                rows.append((len(words), sum(map(known.__getitem__, words))))
-                if len(known) > CACHE_WORDS or any(len(w) > CACHE_BYTES for w in words):
-                    known = {} if len(known) > CACHE_WORDS else {w: n for w, n in known.items() if len(w) <= CACHE_BYTES}
+                    (known if len(w) <= CACHE_BYTES else own)[w] = matcher.count(w)
+                total = sum(known[w] if w in known else own[w] for w in words) if own else sum(map(known.__getitem__, words))
+                rows.append((len(words), total))
+                if len(known) > CACHE_WORDS:
+                    known.clear()
             yield pd.DataFrame(rows, columns=["n_words", "n_tokens"])
 
     counted = docs.select(F.struct("*").alias("doc"), F.pandas_udf(run, "n_words long, n_tokens long")(F.col("text")).alias("counts"))

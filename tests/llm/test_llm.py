@@ -312,6 +312,26 @@ def test_media_query_equals_brute_force(spark):
     assert not got
 
 
+def test_media_query_equals_its_files_and_clip_rows(spark):
+    """The stored form and the feature of the query, from files written as a column and the timed clip rows read from them."""
+    from collections import defaultdict
+
+    docs = media.with_avi(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    files = {r["doc_id"]: bytes(r["media"]) for r in docs.select("doc_id", "media").collect()}
+    cut = defaultdict(list)
+    for r in media.clips(docs.drop("text")).collect():
+        cut[r["doc_id"]].append(r)
+    for row in catalog.QUERIES["op1_media"](spark, SF).collect():
+        data, rows = files[row["doc_id"]], sorted(cut[row["doc_id"]], key=lambda r: r["clip"])
+        assert (row["media_bytes"], row["media_sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
+        sizes = [r["n_frames"] for r in rows]
+        assert [r["first_frame"] for r in rows] == [sum(sizes[:i]) for i in range(len(rows))] and all(a["end_s"] == b["start_s"] for a, b in zip(rows, rows[1:]))
+        whole = [round(sum(r["histogram"][i] * r["n_frames"] for r in rows) / sum(sizes)) for i in range(len(rows[0]["histogram"]))]
+        parts = dict(x.split("=") for x in row["feature"].split(";"))
+        assert (int(parts["frames"]), int(parts["clips"]), int(parts["longest"]), parts["end"]) == (sum(sizes), len(rows), max(sizes), f"{rows[-1]['end_s']:.2f}")
+        assert max(abs(a - b) for a, b in zip(map(int, parts["histogram"].split(",")), whole)) <= 1
+
+
 def test_simhash_query_equals_brute_force(spark):
     import re
 
@@ -390,6 +410,15 @@ def test_shards_are_dealt_within_their_size():
     assert [(int(a), int(b)) for a, b in zip(first, parts, strict=True)] == [(0, 1), (0, 1), (0, 1), (1, 3), (4, 1), (5, 1), (5, 1)]
 
 
+def test_long_words_do_not_fill_or_clear_the_cache(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHE_WORDS", 5)
+    long = "antidisestablishmentarianism" * 5
+    docs = spark.createDataFrame([(i, f"word{i} {long} {long}x the of {long}") for i in range(12)] + [(99, "the of word3")], "doc_id long, text string").coalesce(1)
+    matcher = token_counts.Matcher(token_counts.read_vocabulary(token_counts.default_vocabulary()))
+    for r in token_counts.with_counts(docs).collect():
+        assert (r["n_words"], r["n_tokens"]) == (len(r["text"].split()), sum(matcher.count(w.encode()) for w in r["text"].split()))
+
+
 def test_token_counts_query_equals_greedy_matching(spark):
     vocabulary = set(token_counts.read_vocabulary(token_counts.default_vocabulary()))
     longest, known = max(map(len, vocabulary)), {}
