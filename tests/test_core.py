@@ -122,6 +122,13 @@ def test_statistics_reject_what_has_no_answer(spark):
         df.select(X.saturating_ratio(-F.col("v"), 2)).collect()
 
 
+def test_weighted_blend_query_cuts_no_part_off(spark):
+    """Each size counts in full, the largest too: what the blend adds for one more is the same all over the table."""
+    found = catalog.QUERIES["weighted_blend"](spark, SF).join(spark.read.parquet(f"{SF}/part.parquet"), "p_partkey").select("p_size", "x").collect()
+    assert max(r["p_size"] for r in found) > 100 / 3
+    assert all(abs(r["x"] - 1.6 * r["p_size"]) < 1e-9 for r in found)
+
+
 def test_statistics_in_ranges_equal_brute_force(spark):
     """A group with nearly all rows, more distinct values than buckets, ties, nulls, a group of nulls and one of one value."""
     rng = np.random.default_rng(5)
