@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,7 +37,8 @@ THRESHOLD = 0.3
 SIZE = 1 << 18
 PREFIXES = (3, 4, 5, 6)
 EPOCHS, STEP, RIDGE, SWAP_PENALTY = 40, 0.5, 1e-6, 1.0
-CACHE_WORDS = 400_000
+#: Words whose features a task remembers, up to so many letters each; texts that it works on at once.
+CACHE_WORDS, LONG_WORD, SLICE = 65_536, 32, 256
 
 #: Identity terms by kind; a swap stays within its kind.
 IDENTITY = {
@@ -103,12 +103,12 @@ def _unpack(packed: bytes) -> np.ndarray:
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [x.as_py() for x in batch.column("text")]
-        if not texts:
-            continue
-        packed = [[_pack(w) for w in side] for side in (map(words_of, texts), *zip(*map(twins, texts), strict=True))]
-        columns = [batch.column("doc_id"), batch.column("toxic"), *(pa.array(x, pa.binary()) for x in packed)]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "features", "plain", "other"])
+        for start in range(0, batch.num_rows, SLICE):
+            part = batch.slice(start, SLICE)
+            texts = part.column("text").to_pylist()
+            packed = [[_pack(w) for w in side] for side in (map(words_of, texts), *zip(*map(twins, texts), strict=True))]
+            columns = [part.column("doc_id"), part.column("toxic"), *(pa.array(x, pa.binary()) for x in packed)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "features", "plain", "other"])
 
 
 @dataclass
@@ -120,17 +120,20 @@ class Model:
     def logit(self, features: np.ndarray) -> float:
         return self.base + self.weight[features].sum() / max(1e-6, self.square[features].sum()) ** 0.5
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        known: dict[str, list[int]] = {}
+    def scores(self, texts: list[str | None], known: dict[str, bytes] | None = None) -> np.ndarray:
+        """known: packed features of words, kept from call to call, CACHE_WORDS at most."""
+        known = {} if known is None else known
         out = np.empty(len(texts))
         for i, text in enumerate(texts):
-            found: set[int] = set()
+            found = []
             for w in words_of(text):
                 features = known.get(w)
                 if features is None:
-                    features = known[w] = features_of(w)
-                found.update(features)
-            out[i] = self.logit(np.sort(np.fromiter(found, np.int64, len(found))))
+                    features = np.array(features_of(w), "<i4").tobytes()
+                    if len(w) <= LONG_WORD:
+                        known[w] = features
+                found.append(features)
+            out[i] = self.logit(np.unique(np.frombuffer(b"".join(found), "<i4")))
             if len(known) > CACHE_WORDS:
                 known.clear()
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
@@ -267,11 +270,13 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs with score (0 to 1) and predicted (1 from THRESHOLD on)."""
 
-    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scored(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str, bytes] = {}
         for texts in parts:
-            yield pd.Series(model.scores(list(texts)))
+            each = (texts.slice(start, SLICE).to_pylist() for start in range(0, len(texts), SLICE))
+            yield pa.array(np.concatenate([np.empty(0), *(model.scores(x, known) for x in each)]))
 
-    of = F.pandas_udf(scored, T.DoubleType())
+    of = F.arrow_udf(scored, T.DoubleType())
     with_score = docs.select(*(docs[c] for c in docs.columns if c not in ("score", "predicted")), of(docs["text"]).alias("score"))
     return with_score.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 

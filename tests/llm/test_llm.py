@@ -1,6 +1,7 @@
 """Dealt operators: brute force, round trips and edge cases on small inputs."""
 
 import hashlib
+import tracemalloc
 import zlib
 from itertools import combinations
 
@@ -136,6 +137,23 @@ def test_topk_leaves_postings_unread():
     assert share < 0.8
 
 
+def test_toxicity_scores_hold_little_in_memory():
+    """Texts of 300,000 distinct words: what scoring remembers of words is bounded, and scores are those of the plain rule."""
+    rng = np.random.default_rng(4)
+    model = toxicity.Model(-0.2, rng.normal(size=toxicity.SIZE).astype(np.float32), rng.random(toxicity.SIZE).astype(np.float32))
+    texts = [" ".join(f"w{i}x{k}" for k in range(3000)) for i in range(100)] + [None, "", "Längeres Wort " + "y" * 90]
+    tracemalloc.start()
+    try:
+        got = model.scores(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 << 20, peak
+    for i in (0, 50, 99, 100, 101, 102):
+        z = model.logit(np.unique(np.array([f for w in toxicity.words_of(texts[i]) for f in toxicity.features_of(w)], np.int64)))
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-12)
+
+
 def test_simhash_links_and_components(spark):
     rng = np.random.default_rng(1)
     fp = np.unique(np.concatenate([rng.integers(0, 1 << 62, 300, dtype=np.uint64), *(x ^ (np.uint64(1) << rng.integers(0, 62, 40, dtype=np.uint64)) for x in rng.integers(0, 1 << 62, 5, dtype=np.uint64))]))
