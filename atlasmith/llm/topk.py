@@ -4,8 +4,10 @@ Vectors are dealt into groups of BLOCKS blocks of about BLOCK rows, queries into
 pair of a group and a part is one task. A block's index has, for each component, its rows by quantised
 impact: LEVELS steps between the least and the greatest value; rows of one level are a posting segment.
 For a query, a segment adds between its least and its greatest product. Segments of all components are
-read in descending order of their quantised impact. At any time a row's score lies between what it
-has gathered and that plus, for each component it was not yet read in, the best that is unread there.
+read in descending order of their quantised impact, up to the shares in LOOKS; as a component's segments come
+one after another, what is read of it between two looks is one stretch of its rows. At a look a row's
+score is at most what it has gathered, the doubt that its segments leave and, for each component it was not yet
+read in, the best that is unread there; the exact scores of the few rows that look best bound the k-th score from below.
 Reading stops only when these bounds prove that few rows can belong to the best k, or none can beat the
 k-th score that earlier blocks gave; what remains possible is rescored exactly. Each task gives k rows a
 query; the best of all follow from a ranking per query.
@@ -20,16 +22,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from atlasmith.llm import _shared as S
 
-BLOCK, BLOCKS, QUERIES, LEVELS = 2048, 8, 1024, 256
+BLOCK, BLOCKS, QUERIES, LEVELS = 8192, 2, 8192, 256
 K = 10
 SCALE = 1024
-ROUNDS = 32  # looks at the bounds, at most
-FEW = 16  # times k: so many possible members are rescored without further reading
+LOOKS = (0.35, 0.45, 0.55, 0.65, 0.75, 0.85, 1.0)  # shares of the postings after which the bounds are looked at
+FEW, SHARE = 16, 32  # times k, or a part of the block: so many possible members are rescored without further reading
 
 
 class ImpactIndex:
@@ -40,16 +43,19 @@ class ImpactIndex:
         self.ids, self.vectors = ids[order], vectors[order]
         n, width = self.vectors.shape
         least, most = self.vectors.min(axis=0), self.vectors.max(axis=0)
-        level = (self.vectors - least) * LEVELS // (most - least + 1)
-        rows = np.argsort(level, axis=0, kind="stable").T
-        # The segments of all components one after another: component, first and last posting, least and greatest value.
-        key = np.take_along_axis(level.T, rows, axis=1) + LEVELS * np.arange(width)[:, None]
-        self.starts = np.flatnonzero(np.concatenate(([True], np.diff(key.ravel()) > 0)))
+        self.level = ((self.vectors - least) * LEVELS // (most - least + 1)).astype(np.uint8)
+        #: For each component, its rows by level, and the least and the greatest value of each one's segment.
+        self.rows = np.argsort(self.level, axis=0, kind="stable").T.copy()
+        # The segments of all components one after another: component, level, first posting, size, least and greatest value.
+        key = (np.take_along_axis(self.level.T, self.rows, axis=1).astype(np.int64) + LEVELS * np.arange(width)[:, None]).ravel()
+        self.starts = np.flatnonzero(np.concatenate(([True], np.diff(key) > 0)))
+        self.component, self.levels = key[self.starts] // LEVELS, key[self.starts] % LEVELS
         self.sizes = np.diff(np.append(self.starts, n * width))
-        self.component = self.starts // n
-        self.rows = rows.ravel().astype(np.int32)
-        values = np.take_along_axis(self.vectors.T, rows, axis=1).ravel().astype(np.float64)
+        values = np.take_along_axis(self.vectors.T, self.rows, axis=1).ravel().astype(np.float64)
         self.low, self.high = np.minimum.reduceat(values, self.starts), np.maximum.reduceat(values, self.starts)
+        self.lows, self.highs = (np.repeat(x, self.sizes).reshape(width, n) for x in (self.low, self.high))
+        #: The first segment of each component, and the one after its last.
+        self.first, self.end = np.searchsorted(self.component, np.arange(width)), np.searchsorted(self.component, np.arange(width), "right")
         #: Postings read and held, over all queries so far.
         self.read = self.held = 0
 
@@ -57,41 +63,53 @@ class ImpactIndex:
         """Ids and exact scores of the best k rows but the query's own, ties by id; rows under least_score may lack."""
         n, width = self.vectors.shape
         q = query.astype(np.float64)
-        a, b = q[self.component] * self.low, q[self.component] * self.high
+        of_segment, up = q[self.component], q > 0
+        a, b = of_segment * self.low, of_segment * self.high
         under, over = np.minimum(a, b), np.maximum(a, b)
-        base = np.full(width, np.inf)
-        np.minimum.at(base, self.component, under)
-        under, over = under - base[self.component], over - base[self.component]
-        slack = 1e-9 * (1 + np.abs(base).sum() + over.sum())
-        order = np.argsort(-over, kind="stable")
-        component, sizes = self.component[order], self.sizes[order]
-        ends = np.cumsum(sizes)
-        gathered, doubt = np.zeros(n), np.zeros(n)
-        unread = np.ones((n, width), np.float32)
+        base = np.minimum.reduceat(under, self.first)
+        over -= base[self.component]
+        # What a row's segments leave open of its products, at most.
+        blur = np.maximum.reduceat(over + base[self.component] - under, self.first).sum()
+        slack = 1e-9 * (1 + np.abs(base).sum() + np.maximum.reduceat(over, self.first).sum())
+        order = np.argsort(-over)
+        component, ends = self.component[order], np.cumsum(self.sizes[order])
+        gathered = np.zeros(n)
         others = self.ids != query_id
         left = int(others.sum())
         wanted = least_score - base.sum()
-        possible, at, looked = np.flatnonzero(others), 0, 0
+        possible, at, done = np.flatnonzero(others), 0, np.zeros(width, np.int64)
+        few, bound = max(FEW * k, n // SHARE), -np.inf
         self.held += n * width
-        while at < len(order) and left > k:
-            looked += 1
-            upto = max(at + 1, int(np.searchsorted(ends, looked * n * width / ROUNDS, "right")))
-            some = order[at:upto]
-            size = self.sizes[some]
-            posting = np.repeat(self.starts[some] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            rows, columns = self.rows[posting], np.repeat(component[at:upto], size)
-            gathered += np.bincount(rows, np.repeat(under[some], size), minlength=n)
-            doubt += np.bincount(rows, np.repeat(over[some] - under[some], size), minlength=n)
-            unread[rows, columns] = 0
+        for share in LOOKS if left > k else ():
+            upto = max(at + 1, int(np.searchsorted(ends, share * n * width, "right")))
+            if at == len(order):
+                break
+            # A component's segments are read from one end of its rows, so what a look adds lies together.
+            now = done + np.bincount(component[at:upto], minlength=width)
+            at = min(upto, len(order))
+            begin, stop = np.where(up, self.end - now, self.first + done), np.where(up, self.end - done, self.first + now)
+            edges = np.append(self.starts, n * width)
+            begin, stop = edges[begin] - n * np.arange(width), edges[stop] - n * np.arange(width)
+            some = [d for d in range(width) if begin[d] < stop[d]]
+            rows = np.concatenate([self.rows[d, begin[d] : stop[d]] for d in some])
+            added = np.concatenate([(self.lows if up[d] else self.highs)[d, begin[d] : stop[d]] * q[d] - base[d] for d in some])
+            gathered += np.bincount(rows, added, minlength=n)
             self.read += len(rows)
-            at = upto
-            # Segments come in descending order, so a component's next one is the best that is unread there.
-            top = np.zeros(width)
-            top[component[at:][::-1]] = over[order[at:]][::-1]
-            best_case = gathered + doubt + unread @ top.astype(np.float32) * (1 + 1e-5)
-            bound = max(wanted, np.partition(gathered[others], left - k)[left - k])
-            possible = np.flatnonzero(others & (best_case >= bound - slack))
-            if len(possible) <= FEW * k:
+            done = now
+            # The best that is unread in each component; rows that have it there, or less, are those beyond its level.
+            open_ = done < self.end - self.first
+            following = np.where(up, self.end - 1 - done, self.first + done)[open_]
+            top, edge = np.zeros(width, np.float32), np.zeros(width, np.int64)
+            top[open_], edge[open_] = over[following], self.levels[following]
+            unread = np.where(up, self.level <= edge.astype(np.uint8), self.level >= edge.astype(np.uint8))
+            best_case = gathered + blur + unread.astype(np.float32) @ top * (1 + 1e-5)
+            # The exact scores of those that look best say how good the k-th is at least.
+            likely = np.argpartition(np.where(others, best_case, -np.inf), n - min(n, 4 * k))[n - min(n, 4 * k) :]
+            likely = likely[others[likely]]
+            if len(likely) >= k:
+                bound = max(bound, float(np.partition(self.vectors[likely] @ query, len(likely) - k)[len(likely) - k]) - base.sum())
+            possible = np.flatnonzero(others & (best_case >= max(wanted, bound) - slack))
+            if len(possible) <= few:
                 break
         scores = self.vectors[possible] @ query
         first = np.lexsort((self.ids[possible], -scores))[:k]
@@ -99,9 +117,11 @@ class ImpactIndex:
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    out = np.zeros((len(column), width), np.int64)
-    for i, x in enumerate(column.to_pylist()):
-        out[i, : len(x)] = x
+    lists = column.combine_chunks()
+    lengths = np.asarray(pc.list_value_length(lists)).astype(np.int64)
+    out = np.zeros((len(lists), width), np.int64)
+    row = np.repeat(np.arange(len(lists)), lengths)
+    out[row, np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = np.asarray(lists.flatten())
     return out
 
 
@@ -109,17 +129,20 @@ def _search(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     """The k best rows of a group for each query, block by block with the k-th score carried on."""
     found: list[tuple] = []
     if len(vectors) and len(queries):
-        width = max(max(map(len, t["v"].to_pylist())) for t in (vectors, queries))
+        width = max(pc.max(pc.list_value_length(t["v"])).as_py() for t in (vectors, queries))
         ids, matrix = vectors["vec_id"].to_numpy(), _matrix(vectors["v"], width)
-        blocks = [ImpactIndex(ids[i : i + BLOCK], matrix[i : i + BLOCK]) for i in range(0, len(ids), BLOCK)]
-        for query_id, query in zip(queries["vec_id"].to_pylist(), _matrix(queries["v"], width), strict=True):
-            best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
-            for index in blocks:
-                more_ids, more = index.best(query_id, query, k, best[-1] if len(best) == k else -np.inf)
-                best_ids, best = np.concatenate([best_ids, more_ids]), np.concatenate([best, more])
-                first = np.lexsort((best_ids, -best))[:k]
-                best_ids, best = best_ids[first], best[first]
-            found += [(query_id, int(i), int(s)) for i, s in zip(best_ids, best, strict=True)]
+        asked = list(zip(queries["vec_id"].to_pylist(), _matrix(queries["v"], width), strict=True))
+        best = {i: (np.empty(0, np.int64), np.empty(0, np.int64)) for i, _ in asked}
+        # One index at a time: all queries pass it, then it goes.
+        for start in range(0, len(ids), BLOCK):
+            index = ImpactIndex(ids[start : start + BLOCK], matrix[start : start + BLOCK])
+            for query_id, query in asked:
+                own_ids, own = best[query_id]
+                more_ids, more = index.best(query_id, query, k, own[-1] if len(own) == k else -np.inf)
+                own_ids, own = np.concatenate([own_ids, more_ids]), np.concatenate([own, more])
+                first = np.lexsort((own_ids, -own))[:k]
+                best[query_id] = own_ids[first], own[first]
+        found = [(query_id, int(i), int(s)) for query_id, (own_ids, own) in best.items() for i, s in zip(own_ids, own, strict=True)]
     return pa.table({name: pa.array([x[i] for x in found], pa.int64()) for i, name in enumerate(("query_id", "vec_id", "score"))})
 
 

@@ -137,6 +137,21 @@ def test_topk_leaves_postings_unread():
     assert share < 0.8
 
 
+def test_topk_reads_less_at_production_size():
+    """Two blocks of BLOCK random directions: exact, also with a score carried on, and over a quarter of the postings is never read."""
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(topk.BLOCK + 300, 64))
+    vectors = np.floor(1024 * vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.int64)
+    ids = rng.permutation(len(vectors)).astype(np.int64)
+    first, second = topk.ImpactIndex(ids[: topk.BLOCK], vectors[: topk.BLOCK]), topk.ImpactIndex(ids[topk.BLOCK :], vectors[topk.BLOCK :])
+    for i in range(0, len(ids), len(ids) // 20):
+        best = list(zip(*first.best(int(ids[i]), vectors[i], 10), strict=True))
+        best += zip(*second.best(int(ids[i]), vectors[i], 10, min(s for _, s in best)), strict=True)
+        want = sorted((-int(s), int(d)) for s, d in zip(vectors @ vectors[i], ids, strict=True) if d != ids[i])[:10]
+        assert sorted((-int(s), int(d)) for d, s in best)[:10] == want
+    assert first.read < 0.75 * first.held
+
+
 def test_toxicity_scores_hold_little_in_memory():
     """Texts of 300,000 distinct words: what scoring remembers of words is bounded, and scores are those of the plain rule."""
     rng = np.random.default_rng(4)
