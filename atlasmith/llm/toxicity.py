@@ -133,7 +133,8 @@ class Model:
                     if len(w) <= LONG_WORD:
                         known[w] = features
                 found.append(features)
-            out[i] = self.logit(np.unique(np.frombuffer(b"".join(found), "<i4")))
+            features = np.sort(np.frombuffer(b"".join(found), "<i4"))
+            out[i] = self.logit(features[np.append(True, features[1:] != features[:-1])[: len(features)]])
             if len(known) > CACHE_WORDS:
                 known.clear()
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
