@@ -129,6 +129,15 @@ def test_weighted_blend_query_cuts_no_part_off(spark):
     assert all(abs(r["x"] - 1.6 * r["p_size"]) < 1e-9 for r in found)
 
 
+def test_weighted_blend_takes_parts_up_to_the_bound_and_rejects_those_beyond(spark):
+    """The query's second part goes as far as the reference lets one; three times the size is out of its bounds."""
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    blend = lambda factor: part.select(X.weighted_blend({"a": F.col("p_size").cast("double"), "b": F.col("p_size") * factor}, {"a": 0.4, "b": 0.6}).alias("x"))
+    assert part.agg(F.max("p_size")).first()[0] * 2 == 100 and max(r["x"] for r in blend(2.0).collect()) == 80.0
+    with pytest.raises(Exception, match="within 0 and 100"):
+        blend(3.0).collect()
+
+
 def test_statistics_in_ranges_equal_brute_force(spark):
     """A group with nearly all rows, more distinct values than buckets, ties, nulls, a group of nulls and one of one value."""
     rng = np.random.default_rng(5)
