@@ -215,18 +215,24 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return found.join(lowest, "root").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame] = groups) -> DataFrame:
+def keep_one(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame] = groups, nameless: bool = False) -> DataFrame:
     """docs with one document of each near-duplicate group: the smallest doc_id, once.
 
     grouped gives (doc_id, h1, h2, root) for each row. Documents are told apart by doc_id and text, so
-    a text is never lost because another has its id. Rows without a doc_id stay: they have no order.
+    a text is never lost because another has its id. Rows without a doc_id stay: they have no order. With
+    nameless they are grouped too, under the hash of their text, and come after all that have a doc_id.
     """
-    found = grouped(docs).where("doc_id is not null").select("root", F.struct("doc_id", "h1", "h2").alias("me")).distinct()
+    h1, h2 = S.hash_pair(S.text_or_empty("doc.text"))
+    own = F.col("doc.doc_id").cast("long")
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", (F.coalesce(own, h1) if nameless else own).alias("doc_id"), h1.alias("h1"), h2.alias("h2"))
+    last = (F.lit(nameless) & (F.col("doc_id") == F.col("h1"))).alias("last")
+    found = grouped(rows.select("doc_id", "doc.text")).where("doc_id is not null").select("root", F.struct(last, "doc_id", "h1", "h2").alias("me")).distinct()
     keeper = found.groupBy("root").agg(F.min("me").alias("keeper"), F.count("*").alias("n")).where("n > 1").select("root", "keeper")
     lost = found.join(keeper, "root").where("me <> keeper").select("me.*").select(*(F.col(c).alias(f"lost_{c}") for c in ("doc_id", "h1", "h2")))
-    h1, h2 = S.hash_pair(S.text_or_empty("doc.text"))
-    rows = docs.select(F.struct("*").alias("doc")).select("doc", F.col("doc.doc_id").cast("long").alias("doc_id"), h1.alias("h1"), h2.alias("h2"))
     known = rows.where("doc_id is not null")
+    if nameless:
+        # Copies without a doc_id share one key, so they are combined before they are joined.
+        known = rows.where("doc.doc_id is not null").unionByName(rows.where("doc.doc_id is null").dropDuplicates(["doc_id", "h1", "h2"]))
     kept = known.join(lost, [known[c] == lost[f"lost_{c}"] for c in ("doc_id", "h1", "h2")], "left_anti").dropDuplicates(["doc_id", "h1", "h2"])
     both = kept.select("doc").unionByName(rows.where("doc_id is null").select("doc"))
     return both.select(*(F.col("doc")[c].alias(c) for c in docs.columns))
